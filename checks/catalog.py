@@ -16,7 +16,7 @@ from terrafold.operators import (
 )
 from terrafold.operators.kmeans import KMeansSettings
 from terrafold.plans import analysis
-from terrafold.session import fresh_path
+from terrafold.session import cut_lineage, fresh_path
 from terrafold.sources import countries as country_source
 from terrafold.sources import files
 from terrafold.sources import samples as sample_source
@@ -493,10 +493,11 @@ select l.id, l.country_id, z.id as cluster_id
 from located l left join zone_clusters z
   on z.country_id = l.country_id and z.cluster_number = cast(floor(l.latitude) as bigint) % 4 + 1""")
 def assign_clusters(spark, d):
-    ids = tables.surrogate_ids(I.zone_clusters(spark, d), ["country_id", "cluster_number"])
-    members = I.zones(spark, d).select("id", "country_id", "cluster_number")
-    return clustering.assign_clusters(
-        I.located(spark, d).select("id", "country_id"), members, ids)
+    located = cut_lineage(I.located(spark, d).select("id", "country_id", "latitude", "longitude"))
+    zoned = I.zones(located)
+    ids = tables.surrogate_ids(I.clusters_of(zoned), ["country_id", "cluster_number"])
+    members = zoned.select("id", "country_id", "cluster_number")
+    return clustering.assign_clusters(located.select("id", "country_id"), members, ids)
 
 
 @register("active_countries", f"""with {LOCATED}
@@ -552,8 +553,9 @@ stats as (
 
 
 def _zone_reports(spark, d):
-    clusters = tables.surrogate_ids(I.zone_clusters(spark, d), ["country_id", "cluster_number"])
-    zoned = I.zones(spark, d).select("id", "country_id", "cluster_number", "soc_percent")
+    zoned = cut_lineage(I.zones(I.located(spark, d)).select(
+        "id", "country_id", "cluster_number", "latitude", "longitude", "soc_percent"))
+    clusters = tables.surrogate_ids(I.clusters_of(zoned), ["country_id", "cluster_number"])
     members = zoned.select("id", "country_id", "cluster_number")
     placed = clustering.assign_clusters(zoned.drop("cluster_number"), members, clusters)
     return analysis.cluster_reports(clusters, I.countries(spark), placed)
@@ -898,7 +900,7 @@ DRAWN = "select id, g as country_id from drawn union all select id, g from plain
 
 
 def _positions(spark, d):
-    return I.located(spark, d).select("id", "country_id", "latitude", "longitude")
+    return cut_lineage(I.located(spark, d).select("id", "country_id", "latitude", "longitude"))
 
 
 @register("cluster_sample", f"{PROPORTIONAL_SQL} {DRAWN}")
@@ -925,13 +927,13 @@ join countries c on c.id = s.country_id group by all"""
 @register("country_statistics_clustering", _figures_sql(PROPORTIONAL_SQL, "clustering"))
 def country_statistics_clustering(spark, d):
     return I.tidy(statistics.country_statistics(
-        I.located(spark, d), I.countries(spark), "clustering"))
+        cut_lineage(I.located(spark, d)), I.countries(spark), "clustering"))
 
 
 @register("country_statistics_single_cluster", _figures_sql(SINGLE_SQL, "single_cluster"))
 def country_statistics_single_cluster(spark, d):
     return I.tidy(statistics.country_statistics(
-        I.located(spark, d), I.countries(spark), "single_cluster"))
+        cut_lineage(I.located(spark, d)), I.countries(spark), "single_cluster"))
 
 
 @register("grouped_kmeans", f"""with recursive {LOCATED},

@@ -64,15 +64,19 @@ def located(spark, folder) -> DataFrame:
     return assign_polygons(samples(spark, folder), boundaries(spark))
 
 
-def zones(spark, folder) -> DataFrame:
+def zones(located_samples) -> DataFrame:
     """Located samples with a zone number: latitude degree modulo 4, plus 1."""
     zone = (F.floor("latitude") % 4 + 1).cast("long")
-    return located(spark, folder).where("country_id is not null").withColumn("cluster_number", zone)
+    return located_samples.where("country_id is not null").withColumn("cluster_number", zone)
 
 
 def zone_clusters(spark, folder) -> DataFrame:
     """A clusters table made of zones, without ids."""
-    return zones(spark, folder).groupBy("country_id", "cluster_number").agg(
+    return clusters_of(zones(located(spark, folder)))
+
+
+def clusters_of(zoned) -> DataFrame:
+    return zoned.groupBy("country_id", "cluster_number").agg(
         F.avg("latitude").alias("center_latitude"),
         F.avg("longitude").alias("center_longitude"),
         F.count(F.lit(1)).alias("sample_count"),

@@ -15,6 +15,15 @@ def _as_column(column) -> Column:
     return F.col(column) if isinstance(column, str) else column
 
 
+def once(column: Column) -> Column:
+    """The column, evaluated once per row.
+
+    Filters on a computed column are pushed below it by repeating its expression. A one-element
+    generator stops that; use it for costly expressions only.
+    """
+    return F.explode(F.array(column))
+
+
 def measured_number(raw, value_key: str = "value") -> Column:
     """The numeric field of a JSON object held in a string; null when there is none."""
     text = F.get_json_object(_as_column(raw), f"$.{value_key}")

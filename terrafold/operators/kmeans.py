@@ -23,6 +23,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from terrafold import defaults as D
+from terrafold.functions.measurement import once, sample_key
 from terrafold.operators.ranking import random_rank
 from terrafold.session import cut_lineage
 
@@ -30,6 +31,7 @@ DECIMALS = 9  # centres are rounded so that the order of additions cannot show
 BATCH_DISTANCES = 2_000_000  # distances held at once inside a task
 MAX_GROUPS = 100_000
 MAX_STEP_CENTERS = 200_000
+SEED_SLACK = 64  # rows kept above the digest bar beyond four times the wanted ones
 MAX_PARTIAL_ROWS = 500_000  # rows a step may return without a shuffle
 
 
@@ -260,22 +262,27 @@ class KeyedKMeans:
             for i, (g, n) in enumerate(zip(rows["grp"], rows["n"]))
         }
 
-    def _seed_rows(self, depths: dict) -> dict:
+    def _seed_rows(self, depths: dict, profiles: dict, all_rows: bool = False) -> dict:
         """First rows of each (group, restart) in the digest order of seed + restart.
 
         ``depths`` gives the rows wanted per group; their sum is within the centre bound, so the
-        seeds are as small as one batch of centres.
+        seeds are as small as one batch of centres. Digests are uniform, so all but a few times the
+        wanted rows can be dropped by a bar on the digest before anything is sorted. Should fewer
+        rows than wanted stay below the bar, the search is repeated without it.
         """
         group_type = self.samples.schema["grp"].dataType.simpleString()
-        wanted = self.spark.createDataFrame(list(depths.items()), f"grp {group_type}, _depth long")
+        bars = []
+        for g, depth in depths.items():
+            share = 1.0 if all_rows else min(1.0, (4 * depth + SEED_SLACK) / profiles[g].n)
+            bars.append((g, depth, f"{int(share * 16**8):08x}" if share < 1.0 else "g"))
+        wanted = self.spark.createDataFrame(bars, f"grp {group_type}, _depth long, _bar string")
         restarts = F.sequence(F.lit(0), F.lit(self.settings.restarts - 1))
         tries = self.samples.join(F.broadcast(wanted), "grp").withColumn(
             "restart", F.explode(restarts)
         )
-        rows = random_rank(
-            tries, ["grp", "restart"], max(depths.values()),
-            F.lit(self.settings.seed) + F.col("restart"),
-        )
+        seed = F.lit(self.settings.seed) + F.col("restart")
+        low = tries.where(F.substring(sample_key("id", seed), 1, 8) < F.col("_bar"))
+        rows = random_rank(low, ["grp", "restart"], max(depths.values()), seed)
         found = (
             rows.where("_rank <= _depth")
             .select("grp", "restart", "_rank", "latitude", "longitude")
@@ -285,7 +292,11 @@ class KeyedKMeans:
         seeds: dict = defaultdict(dict)
         for (g, r), part in found.groupby(["grp", "restart"]):
             seeds[g][int(r)] = (part["latitude"].to_numpy(), part["longitude"].to_numpy())
-        return seeds
+        complete = all(
+            len(seeds[g].get(r, ((),))[0]) >= depth
+            for g, depth in depths.items() for r in range(self.settings.restarts)
+        )
+        return seeds if complete or all_rows else self._seed_rows(depths, profiles, all_rows=True)
 
     def fit(self, specs: list[tuple[object, int]], profiles: dict[object, GroupProfile]) -> list[Model]:
         """Best model of every (group, k)."""
@@ -316,7 +327,7 @@ class KeyedKMeans:
         depths: dict = defaultdict(int)
         for g, k in specs:
             depths[g] = max(depths[g], k)
-        found = self._seed_rows(depths)
+        found = self._seed_rows(depths, profiles)
         plan = [(g, k, r) for g, k in specs for r in range(self.settings.restarts)]
         seeds = [found[g][r] for g, _, r in plan]
         batch = _Batch(
@@ -412,7 +423,8 @@ def grouped_kmeans(
         usable = [(g, k) for g, k in specs if g in profiles and 1 <= k <= profiles[g].n]
         models = engine.fit(usable, profiles)
     label = model_labels(samples.sparkSession, models, group_col)
-    return models, samples.withColumn("cluster_number", label).where("cluster_number is not null")
+    labelled = samples.withColumn("cluster_number", once(label))
+    return models, labelled.where("cluster_number is not null")
 
 
 def kmeans_assign(locations: DataFrame, centers: DataFrame, group_col: str = "country_id") -> DataFrame:
@@ -426,7 +438,7 @@ def kmeans_assign(locations: DataFrame, centers: DataFrame, group_col: str = "co
         for group, part in rows.sort_values("cluster_number").groupby(group_col)
     }
     return locations.withColumn(
-        "cluster_number", label_column(locations.sparkSession, placed, group_col)
+        "cluster_number", once(label_column(locations.sparkSession, placed, group_col))
     )
 
 

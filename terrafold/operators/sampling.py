@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from terrafold import defaults as D
-from terrafold.functions.measurement import sample_key
+from terrafold.functions.measurement import once, sample_key
 from terrafold.functions.sizing import cluster_quota, proportional_k, single_cluster_k
 from terrafold.operators.kmeans import (
     KeyedKMeans, KMeansSettings, Model, clusters_frame, model_labels,
@@ -67,16 +67,15 @@ def draw_proportional(
     planned = ranked.join(
         F.broadcast(quotas(clusters, sample_size)), ["country_id", "cluster_number"]
     )
-    drawn = planned.where("_rank <= quota")
-    spare = planned.where("_rank > quota and _rank <= quota + short")
-    rest = Window.partitionBy("country_id").orderBy(KEY, "id")
-    filled = (
-        spare.withColumn(KEY, sample_key("id", seed))
-        .withColumn("_fill", F.row_number().over(rest))
-        .where("_fill <= short")
-        .drop(KEY, "_fill")
+    spare = Window.partitionBy("country_id", "_spare").orderBy(KEY, "id")
+    return (
+        planned.where("_rank <= quota + short")
+        .withColumn("_spare", F.col("_rank") > F.col("quota"))
+        .withColumn(KEY, sample_key("id", seed))
+        .withColumn("_place", F.row_number().over(spare))
+        .where("not _spare or _place <= short")
+        .drop(KEY, "_rank", "_spare", "_place", "quota", "short")
     )
-    return drawn.unionByName(filled).drop("_rank", "quota", "short")
 
 
 def cluster_sample(
@@ -94,7 +93,7 @@ def cluster_sample(
 
 def _proportional_from(samples, models, sample_size, seed) -> DataFrame:
     spark = samples.sparkSession
-    labelled = samples.withColumn("cluster_number", model_labels(spark, models))
+    labelled = samples.withColumn("cluster_number", once(model_labels(spark, models)))
     drawn = draw_proportional(
         labelled.where("cluster_number is not null"), clusters_frame(spark, models, 1),
         sample_size, seed,
@@ -144,7 +143,7 @@ def single_cluster_sample(
         samples, single_cluster_k, sample_size, settings or KMeansSettings(seed=seed)
     )
     spark = samples.sparkSession
-    labelled = samples.withColumn("cluster_number", model_labels(spark, models))
+    labelled = samples.withColumn("cluster_number", once(model_labels(spark, models)))
     drawn = draw_single(
         labelled.where("cluster_number is not null"), clusters_frame(spark, models, 1),
         sample_size, seed,

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from terrafold import defaults as D
 from terrafold.functions.geometry import bounding_box, odd_crossings, shape_edges, strictly_inside
+from terrafold.functions.measurement import once
 from terrafold.session import cut_lineage
 
 # Upper bound for the broadcast cell table, counted in polygon edges (32 bytes each).
@@ -113,10 +114,11 @@ def _assign_by_lookup(samples: DataFrame, cells: DataFrame, grid: float) -> Data
     )
     lon, lat = F.col("longitude"), F.col("latitude")
     hits = F.filter("_shapes", lambda s: s["covered"] | strictly_inside(s["edges"], lon, lat))
+    winner = F.array_max(F.transform(hits, lambda s: s["country_id"]))
     return (
         _with_cell(samples, grid)
         .join(F.broadcast(lookup), ["_cx", "_cy"], "left")
-        .withColumn("country_id", F.array_max(F.transform(hits, lambda s: s["country_id"])))
+        .withColumn("country_id", once(winner))
         .drop("_cx", "_cy", "_shapes")
     )
 
