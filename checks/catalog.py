@@ -947,6 +947,15 @@ def grouped_kmeans(spark, d):
     return labelled.select("id", "country_id", "cluster_number")
 
 
+@register("grouped_kmeans_by_rows", ORACLES["grouped_kmeans"])
+def grouped_kmeans_by_rows(spark, d):
+    rows = _positions(spark, d)
+    sizes = rows.where("country_id is not null").groupBy("country_id").count().collect()
+    _, labelled = kmeans.grouped_kmeans(
+        rows, [(r.country_id, min(5, r["count"])) for r in sizes], KMeansSettings(small_group=0))
+    return labelled.select("id", "country_id", "cluster_number")
+
+
 @register("kmeans_inertia_curve", f"""with recursive {LOCATED}, {SEARCH_SQL}
 select g as country_id, k, round(inertia, 4) as inertia from best""")
 def kmeans_inertia_curve(spark, d):

@@ -6,8 +6,12 @@ group and add up coordinates per centre; only those sums (one row per centre and
 The new centres, whose number is bounded by ``max_centers``, go back out as a broadcast. Requests
 with more centres are fitted in several passes.
 
-The nearest-centre step works on Arrow batches with numpy: on 66 million distances it took 0.6 s
-where the same step as higher-order array functions took 5.9 s (local[8]).
+Groups with at most ``small_group`` distinct locations (counted, a few megabytes) need no job per
+iteration: their models are dealt out to tasks, each with a copy of the locations, and all of them
+come to rest in one job. Both ways give the same centres.
+
+The nearest-centre step works on Arrow batches with numpy: on 66 million distances a first version
+took 0.6 s where the same step as higher-order array functions took 5.9 s (local[8]).
 """
 
 from __future__ import annotations
@@ -28,7 +32,8 @@ from terrafold.operators.ranking import random_rank
 from terrafold.session import cut_lineage
 
 DECIMALS = 9  # centres are rounded so that the order of additions cannot show
-BATCH_DISTANCES = 2_000_000  # distances held at once inside a task
+BLOCK_ROWS = 50_000  # rows a task looks at together
+SLOT_DISTANCES = 20_000_000  # distances per iteration dealt to one copy of a small group
 MAX_GROUPS = 100_000
 MAX_STEP_CENTERS = 200_000
 SEED_SLACK = 64  # rows kept above the digest bar beyond four times the wanted ones
@@ -42,6 +47,7 @@ class KMeansSettings:
     tolerance: float = D.KMEANS_TOLERANCE
     seed: int = D.SEED
     max_centers: int = 200_000
+    small_group: int = 100_000
 
 
 @dataclass
@@ -61,9 +67,10 @@ class Model:
 
 @dataclass
 class GroupProfile:
-    """Row count and tolerance base of a group."""
+    """Rows, distinct locations and tolerance base of a group."""
 
     n: int
+    locations: int
     spread: float
 
 
@@ -90,16 +97,36 @@ class _Batch:
 
 
 def nearest(lat: np.ndarray, lon: np.ndarray, clat: np.ndarray, clon: np.ndarray):
-    """Index of the nearest centre per row (lowest on ties) and its squared distance."""
-    step = max(1, BATCH_DISTANCES // len(clat))
-    index = np.empty(len(lat), dtype=np.int64)
-    distance = np.empty(len(lat))
-    for i in range(0, len(lat), step):
-        rows = slice(i, i + step)
-        d = (lat[rows, None] - clat) ** 2 + (lon[rows, None] - clon) ** 2
-        index[rows] = d.argmin(axis=1)
-        distance[rows] = d[np.arange(len(d)), index[rows]]
-    return index, distance
+    """Index of the nearest centre per row (lowest on ties) and its squared distance.
+
+    Centres are visited one after another over whole coordinate arrays, which stays in vector
+    instructions and needs no rows x centres matrix.
+    """
+    index = np.zeros(len(lat), dtype=np.int64)
+    best = (lat - clat[0]) ** 2 + (lon - clon[0]) ** 2
+    d, e = np.empty_like(best), np.empty_like(best)
+    for j in range(1, len(clat)):
+        np.subtract(lat, clat[j], out=d)
+        np.multiply(d, d, out=d)
+        np.subtract(lon, clon[j], out=e)
+        np.multiply(e, e, out=e)
+        np.add(d, e, out=d)
+        np.putmask(index, d < best, j)
+        np.minimum(best, d, out=best)
+    return index, best
+
+
+def _blocks(batches):
+    """Arrow batches joined to blocks of about BLOCK_ROWS rows, as numpy columns."""
+    held, rows = [], 0
+    for batch in batches:
+        held.append(batch)
+        rows += batch.num_rows
+        if rows >= BLOCK_ROWS:
+            yield pa.Table.from_batches(held).combine_chunks()
+            held, rows = [], 0
+    if rows:
+        yield pa.Table.from_batches(held).combine_chunks()
 
 
 def distinct_locations(samples: DataFrame, group_col: str, parts: int) -> DataFrame:
@@ -124,7 +151,7 @@ def distinct_locations(samples: DataFrame, group_col: str, parts: int) -> DataFr
 
 
 def center_sums(
-    locations: DataFrame, models: dict, spark: SparkSession, tasks: int
+    locations: DataFrame, models: dict, spark: SparkSession, tasks: int, with_cost: bool = True
 ) -> pd.DataFrame:
     """Per (model, centre): weight, weighted coordinate sums and weighted squared distance.
 
@@ -136,20 +163,23 @@ def center_sums(
 
     def partial(batches):
         sums = {}
-        for batch in batches:
-            groups = batch.column(0).dictionary_encode()
+        for block in _blocks(batches):
+            groups = block.column(0).combine_chunks().dictionary_encode()
             codes = groups.indices.to_numpy()
-            lat, lon, w = (batch.column(i).to_numpy() for i in (1, 2, 3))
+            lat, lon, w = (block.column(i).to_numpy() for i in (1, 2, 3))
             for code, group in enumerate(groups.dictionary.to_pylist()):
                 if group not in shared.value:
                     continue
                 rows = codes == code
                 glat, glon, gw = lat[rows], lon[rows], w[rows]
+                wlat, wlon = gw * glat, gw * glon
                 for model, clat, clon in shared.value[group]:
                     j, d = nearest(glat, glon, clat, clon)
                     total = sums.setdefault(model, np.zeros((4, len(clat))))
-                    for line, values in enumerate((gw, gw * glat, gw * glon, gw * d)):
+                    for line, values in enumerate((gw, wlat, wlon)):
                         total[line] += np.bincount(j, values, len(clat))
+                    if with_cost:
+                        total[3] += np.bincount(j, gw * d, len(clat))
         if sums:
             lengths = [t.shape[1] for t in sums.values()]
             stacked = np.concatenate(list(sums.values()), axis=1)
@@ -175,38 +205,100 @@ def center_sums(
     return summed[summed["w"] > 0]
 
 
-def _lloyd(
-    locations: DataFrame, batch: _Batch, spread: dict, settings: KMeansSettings, tasks: int
-):
-    """Move the centres of a batch until they rest.
+def _moved(sums: np.ndarray, clat: np.ndarray, clon: np.ndarray):
+    """New centres from (weight, lat, lon) sums; a centre without members stays where it is."""
+    lat, lon, filled = clat.copy(), clon.copy(), sums[0] > 0
+    lat[filled] = np.round(sums[1][filled] / sums[0][filled], DECIMALS)
+    lon[filled] = np.round(sums[2][filled] / sums[0][filled], DECIMALS)
+    return lat, lon
 
-    Returns the inertia of every model and, per centre, its members and their mean.
-    """
+
+def _scattered(batch: _Batch, found: pd.DataFrame) -> np.ndarray:
+    """Rows (model, j, w, s_lat, s_lon, s_dist) as four flat arrays over all centres of a batch."""
+    sums = np.zeros((4, len(batch.lat)))
+    at = batch.starts[found["model"].to_numpy()] + found["j"].to_numpy()
+    for line, name in enumerate(("w", "s_lat", "s_lon", "s_dist")):
+        sums[line][at] = found[name].to_numpy()
+    return sums
+
+
+def _fit_large(
+    locations: DataFrame, batch: _Batch, chosen: np.ndarray, limit: np.ndarray, max_iter: int,
+    tasks: int,
+) -> pd.DataFrame:
+    """Move the chosen models of a batch until they rest, one job per iteration."""
     spark = locations.sparkSession
-    limit = np.array([settings.tolerance * spread[g] for g in batch.groups])
-    active = np.ones(len(batch.groups), dtype=bool)
-    for _ in range(settings.max_iter):
-        sums = center_sums(locations, batch.by_group(active), spark, tasks)
-        at = batch.starts[sums["model"].to_numpy()] + sums["j"].to_numpy()
-        lat, lon = batch.lat.copy(), batch.lon.copy()
-        # A centre without members stays where it is.
-        lat[at] = np.round(sums["s_lat"].to_numpy() / sums["w"].to_numpy(), DECIMALS)
-        lon[at] = np.round(sums["s_lon"].to_numpy() / sums["w"].to_numpy(), DECIMALS)
+    active = chosen.copy()
+    for _ in range(max_iter):
+        sums = _scattered(
+            batch, center_sums(locations, batch.by_group(active), spark, tasks, with_cost=False)
+        )
+        lat, lon = _moved(sums, batch.lat, batch.lon)
         moved = (lat - batch.lat) ** 2 + (lon - batch.lon) ** 2
         batch.lat, batch.lon = lat, lon
         active &= np.add.reduceat(moved, batch.starts) > limit
         if not active.any():
             break
-    everything = np.ones(len(batch.groups), dtype=bool)
-    last = center_sums(locations, batch.by_group(everything), spark, tasks)
-    inertia = np.zeros(len(batch.groups))
-    np.add.at(inertia, last["model"].to_numpy(), last["s_dist"].to_numpy())
-    at = batch.starts[last["model"].to_numpy()] + last["j"].to_numpy()
-    rows, lat, lon = np.zeros(len(batch.lat), dtype=np.int64), batch.lat.copy(), batch.lon.copy()
-    rows[at] = last["w"].to_numpy()
-    lat[at] = last["s_lat"].to_numpy() / last["w"].to_numpy()
-    lon[at] = last["s_lon"].to_numpy() / last["w"].to_numpy()
-    return np.round(inertia, 6), rows, lat, lon
+    return center_sums(locations, batch.by_group(chosen), spark, tasks)
+
+
+def _fit_small(
+    locations: DataFrame, batch: _Batch, chosen: np.ndarray, limit: np.ndarray, max_iter: int,
+    tasks: int, places: dict,
+) -> pd.DataFrame:
+    """The same for models of small groups, all iterations in one job.
+
+    A group gets as many copies of its locations as its models need work, and each copy is one
+    task's share of the models. Updates the centres of the batch; returns the final sums.
+    """
+    spark = locations.sparkSession
+    dealt: dict = {}
+    for group, models in batch.by_group(chosen).items():
+        work = places[group] * sum(len(lat) for _, lat, _ in models)
+        slots = min(len(models), work // SLOT_DISTANCES + 1)
+        for i, model in enumerate(sorted(models, key=lambda m: -len(m[1]))):
+            dealt.setdefault((group, i % slots), []).append((*model, limit[model[0]]))
+    shared = spark.sparkContext.broadcast(dealt)
+
+    def settle(key: tuple[object, ...], rows: pd.DataFrame) -> pd.DataFrame:
+        lat, lon, w = (rows[c].to_numpy() for c in ("lat", "lon", "w"))
+        out = []
+        for model, clat, clon, rest in shared.value[key]:
+            def sums(cost: bool):
+                j, d = nearest(lat, lon, clat, clon)
+                lines = (w, w * lat, w * lon, w * d) if cost else (w, w * lat, w * lon)
+                return np.stack([np.bincount(j, line, len(clat)) for line in lines])
+
+            for _ in range(max_iter):
+                nlat, nlon = _moved(sums(False), clat, clon)
+                shift = ((nlat - clat) ** 2 + (nlon - clon) ** 2).sum()
+                clat, clon = nlat, nlon
+                if shift <= rest:
+                    break
+            names = ("w", "s_lat", "s_lon", "s_dist")
+            out.append(pd.DataFrame({
+                "model": model, "j": np.arange(len(clat)), "c_lat": clat, "c_lon": clon,
+                **dict(zip(names, sums(True))),
+            }))
+        return pd.concat(out)
+
+    kind = locations.schema["grp"].dataType.simpleString()
+    copies = spark.createDataFrame(list(dealt), f"grp {kind}, slot long")
+    found = (
+        locations.join(F.broadcast(copies), "grp")
+        .repartition(max(1, min(tasks, len(dealt))), "grp", "slot")
+        .groupBy("grp", "slot")
+        .applyInPandas(
+            settle,
+            "model long, j long, c_lat double, c_lon double, w double, s_lat double, s_lon double, "
+            "s_dist double",
+        )
+        .toPandas()
+    )
+    shared.destroy()
+    at = batch.starts[found["model"].to_numpy()] + found["j"].to_numpy()
+    batch.lat[at], batch.lon[at] = found["c_lat"].to_numpy(), found["c_lon"].to_numpy()
+    return found
 
 
 class KeyedKMeans:
@@ -245,6 +337,7 @@ class KeyedKMeans:
         # Variance around a per-group pivot keeps the second moment free of cancellation.
         means = self.locations.groupBy("grp").agg(
             F.sum("w").alias("n"),
+            F.count(F.lit(1)).alias("places"),
             (F.sum(F.col("w") * F.col("lat")) / F.sum("w")).alias("m_lat"),
             (F.sum(F.col("w") * F.col("lon")) / F.sum("w")).alias("m_lon"),
         )
@@ -258,8 +351,8 @@ class KeyedKMeans:
         sums = center_sums(self.locations, pivots, self.spark, self.tasks)
         sums = sums.set_index("model")["s_dist"]
         return {
-            g: GroupProfile(int(n), float(sums.get(i, 0.0)) / n / 2)
-            for i, (g, n) in enumerate(zip(rows["grp"], rows["n"]))
+            g: GroupProfile(int(n), int(places), float(sums.get(i, 0.0)) / n / 2)
+            for i, (g, n, places) in enumerate(zip(rows["grp"], rows["n"], rows["places"]))
         }
 
     def _seed_rows(self, depths: dict, profiles: dict, all_rows: bool = False) -> dict:
@@ -337,10 +430,24 @@ class KeyedKMeans:
             lat=np.round(np.concatenate([s[0][:k] for s, (_, k, _) in zip(seeds, plan)]), DECIMALS),
             lon=np.round(np.concatenate([s[1][:k] for s, (_, k, _) in zip(seeds, plan)]), DECIMALS),
         )
-        inertia, *members = _lloyd(
-            self.locations, batch, {g: profiles[g].spread for g in depths}, self.settings,
-            self.tasks,
-        )
+        limit = np.array([self.settings.tolerance * profiles[g].spread for g in batch.groups])
+        small = np.array([profiles[g].locations <= self.settings.small_group for g in batch.groups])
+        parts = []
+        if small.any():
+            places = {g: profiles[g].locations for g in depths}
+            parts.append(_fit_small(
+                self.locations, batch, small, limit, self.settings.max_iter, self.tasks, places
+            ))
+        if not small.all():
+            parts.append(_fit_large(
+                self.locations, batch, ~small, limit, self.settings.max_iter, self.tasks
+            ))
+        sums = _scattered(batch, pd.concat(parts))
+        inertia = np.round(np.add.reduceat(sums[3], batch.starts), 6)
+        filled = sums[0] > 0
+        members = [sums[0].astype(np.int64), batch.lat.copy(), batch.lon.copy()]
+        members[1][filled] = sums[1][filled] / sums[0][filled]
+        members[2][filled] = sums[2][filled] / sums[0][filled]
         best: dict = {}
         for m, (g, k, r) in enumerate(plan):
             if (g, k) not in best or (inertia[m], r) < best[(g, k)][:2]:
