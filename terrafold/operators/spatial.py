@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from terrafold import defaults as D
@@ -79,6 +79,21 @@ def polygon_cells(boundaries: DataFrame, grid: float = D.GRID_DEGREES) -> DataFr
     )
 
 
+def _winnable(cells: DataFrame) -> DataFrame:
+    """Cells without the polygons that cannot win there.
+
+    The highest id wins, so below the highest polygon that covers a cell nothing needs a test.
+    """
+    floor = F.max(F.when(F.col("covered"), F.col("country_id"))).over(
+        Window.partitionBy("cell_x", "cell_y")
+    )
+    return (
+        cells.withColumn("_floor", floor)
+        .where("_floor is null or country_id >= _floor")
+        .drop("_floor")
+    )
+
+
 def _with_cell(samples: DataFrame, grid: float) -> DataFrame:
     usable = ~F.isnan("longitude") & ~F.isnan("latitude")
     return samples.withColumn(
@@ -101,7 +116,7 @@ def assign_polygons(
     """
     samples = samples.drop("country_id")
     # Kept once: every action on the result would otherwise grid the polygons again.
-    cells = cut_lineage(polygon_cells(boundaries, grid))
+    cells = cut_lineage(_winnable(polygon_cells(boundaries, grid)))
     held = cells.agg(F.sum(F.size("edges") + 1)).first()[0] or 0
     if held <= max_broadcast_edges:
         return _assign_by_lookup(samples, cells, grid)
