@@ -33,7 +33,7 @@ from terrafold.session import cut_lineage
 
 DECIMALS = 9  # centres are rounded so that the order of additions cannot show
 BLOCK_ROWS = 50_000  # rows a task looks at together
-SLOT_DISTANCES = 20_000_000  # distances per iteration dealt to one copy of a small group
+SLOT_DISTANCES = 1_000_000  # distances per iteration dealt to one copy of a small group
 MAX_GROUPS = 100_000
 MAX_STEP_CENTERS = 200_000
 SEED_SLACK = 64  # rows kept above the digest bar beyond four times the wanted ones

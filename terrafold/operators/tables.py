@@ -89,6 +89,20 @@ def require_columns(df: DataFrame, required: list[str] | None = None) -> DataFra
     return df
 
 
+def enforce_columns(df: DataFrame, required: list[str] | None = None) -> DataFrame:
+    """The same frame, failing when computed if a required value is missing.
+
+    The check rides on the first required column, so it costs no pass of its own and holds as long
+    as that column (the key) is used.
+    """
+    required = required or schemas.REQUIRED_SAMPLE_COLUMNS
+    carrier = required[0]
+    failure = F.raise_error(F.lit(f"missing value in one of: {', '.join(required)}"))
+    kind = df.schema[carrier].dataType
+    checked = F.when(missing_required(required, df), failure.cast(kind)).otherwise(F.col(carrier))
+    return df.withColumn(carrier, checked)
+
+
 def surrogate_ids(
     df: DataFrame, order_cols: list[str], start_after: int | DataFrame = 0, id_col: str = "id"
 ) -> DataFrame:

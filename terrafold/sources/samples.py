@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from terrafold import schemas
 from terrafold.functions.measurement import clay_fraction, parse_measurement
-from terrafold.operators.tables import require_columns, upsert_samples
+from terrafold.operators.tables import enforce_columns, upsert_samples
 
 FORMATS = ("parquet", "csv", "json")
 
@@ -46,8 +46,11 @@ def load_samples(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFr
 
 
 def load_into(existing: DataFrame | None, raw: DataFrame, order_cols: list[str]) -> DataFrame:
-    """Clean raw rows, insist on the required columns, replace earlier rows with the same key."""
-    incoming = require_columns(
+    """Clean raw rows, insist on the required columns, replace earlier rows with the same key.
+
+    One lazy plan: a missing required value fails the job that computes it.
+    """
+    incoming = enforce_columns(
         clean_samples(raw.withColumns({f"_seq{i}": F.col(c) for i, c in enumerate(order_cols)}))
     )
     ordered = [f"_seq{i}" for i in range(len(order_cols))]
