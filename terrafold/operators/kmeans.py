@@ -16,13 +16,14 @@ took 0.6 s where the same step as higher-order array functions took 5.9 s (local
 
 from __future__ import annotations
 
+import sys
 from collections import defaultdict
 from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark import StorageLevel
+from pyspark import StorageLevel, cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -31,6 +32,9 @@ from terrafold.functions.measurement import once, sample_key
 from terrafold.operators.ranking import random_rank
 from terrafold.session import cut_lineage
 
+# Tasks get the functions below by value, so executors need no copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 DECIMALS = 9  # centres are rounded so that the order of additions cannot show
 BLOCK_ROWS = 50_000  # rows a task looks at together
 SLOT_DISTANCES = 1_000_000  # distances per iteration dealt to one copy of a small group

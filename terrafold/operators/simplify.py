@@ -2,14 +2,21 @@
 
 from __future__ import annotations
 
+import sys
+
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from terrafold import defaults as D
 
 
+# Tasks get the functions below by value, so executors need no copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+
 def _distance(points: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Distance of points to the segment a-b."""
     along = b - a
