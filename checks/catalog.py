@@ -581,6 +581,14 @@ def results_by_country(spark, d):
     return I.tidy(statistics.results_by_country(results, I.countries(spark)))
 
 
+@register("view_country_statistics", f"""with {LOCATED}, {RANDOM_SAMPLE}
+select country_id, country_name, sample_size, {RESULT_FIGURES} from results""")
+def view_country_statistics(spark, d):
+    shown = tables.view_country_statistics(_results(spark, d))
+    return I.tidy(shown, "country_id", "country_name", "sample_size", "soc_mean", "soc_variance",
+                  "clay_fraction_mean")
+
+
 # --- aggregations -----------------------------------------------------------
 
 

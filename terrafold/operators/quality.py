@@ -11,6 +11,10 @@ from terrafold import defaults as D
 
 QUARTILES = (0.25, 0.5, 0.75)
 SKETCH_ACCURACY = 10_000
+MAX_RANKED = 1_000_000  # rows of one bracket ranked in a task
+
+
+BRACKET = "c int, q int, pos double, lo double, hi double"
 
 
 def exact_quantiles(
@@ -22,7 +26,8 @@ def exact_quantiles(
     The built-in exact aggregate keeps every distinct value in one task. Here an approximate sketch
     first gives, per quantile, two values that enclose it: the sketch misses a rank by at most
     rows / accuracy. A second pass counts the rows below and collapses the few rows between by
-    value; only those distinct values are ranked. NaN counts as missing.
+    value; only those distinct values are ranked. Where a bracket could still hold more than
+    MAX_RANKED rows, it is narrowed by further sketches first. NaN counts as missing.
     """
     spark = df.sparkSession
     values = df.select(
@@ -48,8 +53,9 @@ def exact_quantiles(
             lo = r.v_min if whole or lows[i] == 0.0 else r.lo[i]
             hi = r.v_max if whole or highs[i] == 1.0 else r.hi[i]
             brackets.append((c, i, (r.n - 1) * q, lo, hi))
-    schema = "c int, q int, pos double, lo double, hi double"
-    wanted = spark.createDataFrame(brackets, schema)
+    if any(6 * r.n > MAX_RANKED * accuracy for r in found.values()):
+        brackets = _narrowed(values, brackets, accuracy)
+    wanted = spark.createDataFrame(brackets, BRACKET)
     near = values.join(F.broadcast(wanted), "c").where("v <= hi")
     # Rows below a bracket collapse into one entry, rows inside it into one entry per value.
     collapsed = near.groupBy(
@@ -79,6 +85,43 @@ def exact_quantiles(
     )
 
 
+def _narrowed(values: DataFrame, brackets: list[tuple], accuracy: int) -> list[tuple]:
+    """Brackets with at most MAX_RANKED rows each, or of a single value.
+
+    Each round counts the rows below and inside every bracket and sketches inside the wide ones,
+    which leaves about 4 / accuracy of their rows. A bracket that a round does not even halve is
+    filled by copies of few values, and copies collapse before they are ranked.
+    """
+    spark = values.sparkSession
+    before: dict = {}
+    while True:
+        held = spark.createDataFrame(brackets, BRACKET)
+        inside = F.col("v").between(F.col("lo"), F.col("hi"))
+        counts = values.join(F.broadcast(held), "c").groupBy("c", "q").agg(
+            F.count_if(F.col("v") < F.col("lo")).alias("below"), F.count_if(inside).alias("rows")
+        )
+        found = {(r.c, r.q): r for r in counts.collect()}  # one row per bracket
+        wide = [
+            b for b in brackets
+            if b[3] < b[4] and found[b[:2]].rows > max(MAX_RANKED, accuracy)
+            and 2 * found[b[:2]].rows < before.get(b[:2], float("inf"))
+        ]
+        before = {key: r.rows for key, r in found.items()}
+        if not wide:
+            return brackets
+        sketches = []
+        for c, q, pos, lo, hi in wide:
+            at = (pos - found[c, q].below) / found[c, q].rows
+            shares = [max(0.0, at - 2 / accuracy), min(1.0, at + 2 / accuracy)]
+            rows = (F.col("c") == c) & F.col("v").between(lo, hi)
+            sketches.append(F.percentile_approx(F.when(rows, F.col("v")), shares, accuracy))
+        narrow = dict(zip([b[:2] for b in wide], values.agg(*sketches).first()))
+        brackets = [
+            (c, q, pos, *narrow[c, q]) if (c, q) in narrow else (c, q, pos, lo, hi)
+            for c, q, pos, lo, hi in brackets
+        ]
+
+
 def describe_columns(
     df: DataFrame, columns: tuple[str, ...] = ("soc_percent", "clay_fraction")
 ) -> DataFrame:

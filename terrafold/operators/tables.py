@@ -166,6 +166,10 @@ def view_clusters(clusters: DataFrame, country_id: int) -> DataFrame:
     return clusters.where(F.col("country_id") == country_id).orderBy("cluster_number")
 
 
+def view_country_statistics(results: DataFrame) -> DataFrame:
+    return results.orderBy("country_id")
+
+
 def result_rows(results: DataFrame) -> DataFrame:
     """The stored columns of result rows."""
     return results.select(

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from terrafold import defaults as D
 from terrafold.operators import clustering, quality, reports, spatial, statistics, tables
 from terrafold.operators.clustering import ClusterSettings
+from terrafold.operators.kmeans import clusters_frame
 from terrafold.session import cut_lineage
 from terrafold.sources.countries import boundary_rings
 
@@ -75,11 +76,13 @@ def run_analysis(
     settings = settings or AnalysisSettings()
     located = cut_lineage(locate_samples(samples, countries, settings.grid))
     counted = spatial.refresh_sample_counts(countries, located)
-    clusters, members = clustering.cluster_country_samples(located, settings.clustering)
+    models = clustering.choose_models(located, settings.clustering)
+    smallest = settings.clustering.min_rows_per_cluster
+    found = clusters_frame(located.sparkSession, models, smallest)
     clusters = tables.surrogate_ids(
-        clustering.store_clusters(clusters), ["country_id", "cluster_number"]
+        clustering.store_clusters(found), ["country_id", "cluster_number"]
     )
-    placed = clustering.assign_clusters(located, members, clusters)
+    placed = clustering.place_samples(located, models, clusters, smallest)
     results = cut_lineage(
         statistics.country_statistics(
             located, counted, settings.sampling_method, settings.sample_size,

@@ -101,6 +101,15 @@ def test_exact_quantiles(spark, values):
     assert [got[s] for s in shares] == pytest.approx(list(want))
 
 
+def test_quantile_brackets_are_narrowed(spark, monkeypatch):
+    monkeypatch.setattr(quality, "MAX_RANKED", 200)
+    values = [float((i * 7919) % 30_011) for i in range(30_000)] + [5.0] * 4000
+    df = spark.createDataFrame([(v,) for v in values], "v double").repartition(5)
+    shares = (0.0, 0.01, 0.25, 0.5, 0.9, 1.0)
+    got = {r.share: r.value for r in quality.exact_quantiles(df, ["v"], shares, 100).collect()}
+    assert [got[s] for s in shares] == pytest.approx(list(np.quantile(np.array(values), shares)))
+
+
 def test_describe_and_missing(spark):
     rows = [(1.0, None), (2.0, 5.0), (float("nan"), None), (4.0, None)]
     df = spark.createDataFrame(rows, "a double, b double")
