@@ -7,8 +7,8 @@ rest of their text into the next round. Equality is decided by the bytes themsel
 
 A round has two steps. The digits are counted per group with map-side sums, so a digit that a third of all
 rows share costs each task one row; only digits that occur twice go on. The members then look their
-digit up by a left join of two written tables, which Spark broadcasts when the repeated digits are few
-and else shuffles, splitting large partitions.
+digit up by a left merge join of two written tables, whose large partitions adaptive execution splits on
+the members' side.
 """
 
 from __future__ import annotations
@@ -81,7 +81,7 @@ def _groups(state: DataFrame, digit: int, growth: int, longest: int) -> DataFram
         repeated = written(counted, "exact-digits")
         open_ = F.col("n").isNotNull() & (F.octet_length("head") == digit)
         own = F.struct(F.isnull("id").alias("none"), F.col("id").alias("id"), F.col("uid").alias("uid"))
-        joined = state.withColumn("head", head).join(repeated, ["grp", "head"], "left").select(
+        joined = state.withColumn("head", head).join(repeated.hint("merge"), ["grp", "head"], "left").select(
             "uid", "id", "text_sha256",
             F.coalesce("n", F.lit(1)).alias("n"), F.coalesce("keeper", own).alias("keeper"),
             F.when(open_, F.expr(f"substring(rest, {digit + 1})")).alias("rest"),
