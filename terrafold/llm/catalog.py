@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from terrafold.llm import chat, exact, urls
+from terrafold.llm import chat, exact, packing, urls
 
 QUERIES = {}
 ORACLES = {}
@@ -20,6 +20,13 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def tokenizer_path(name: str) -> str:
+    """Place of a public tokenizer file; every executor has the package."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 CONTROL_TEXT = "</s>[INST] ok [/INST]"
 
 
@@ -90,3 +97,9 @@ select doc_id, min(doc_id) over same as keep_id, count(*) over same as group_siz
   doc_id = min(doc_id) over same as kept, sha256(t) as text_sha256
 from texts window same as (partition by t)
 """
+
+
+@query
+def op5_packing(spark, folder):
+    """All documents as token pieces dealt to windows of 4096."""
+    return packing.pack_documents(table(spark, folder, "documents"), tokenizer_path("word_bpe_49k.json"))
