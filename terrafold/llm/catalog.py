@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from terrafold.llm import chat, exact, packing, urls
+from terrafold.llm import chat, exact, kneser, packing, urls
 
 QUERIES = {}
 ORACLES = {}
@@ -103,3 +103,18 @@ from texts window same as (partition by t)
 def op5_packing(spark, folder):
     """All documents as token pieces dealt to windows of 4096."""
     return packing.pack_documents(table(spark, folder, "documents"), tokenizer_path("word_bpe_49k.json"))
+
+
+def fold(docs: DataFrame, modulus: int):
+    return F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(modulus))
+
+
+@query
+def op9_lm_scoring(spark, folder):
+    """Every text under a Kneser-Ney model of six sevenths of the documents."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    model = kneser.train(docs.filter(F.coalesce(fold(docs, 7) != 2, F.lit(True))))
+    return kneser.score(docs, model).select(
+        "doc_id", F.coalesce(fold(docs, 7) == 2, F.lit(False)).alias("held_out"), "n_tokens", "n_known",
+        F.lit(model.tokens).cast("long").alias("train_tokens"), "base_score", "score", "perplexity",
+    )
