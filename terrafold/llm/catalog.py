@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from terrafold.llm import chat, exact, kneser, packing, urls
+from terrafold.llm import chat, exact, jaccard, kneser, packing, urls
 
 QUERIES = {}
 ORACLES = {}
@@ -99,6 +99,12 @@ from texts window same as (partition by t)
 """
 
 
+@query
+def op4_ngram_join(spark, folder):
+    """Every document with its near-duplicate class and number of links."""
+    return jaccard.similar_texts(table(spark, folder, "documents"))
+
+
 @query
 def op5_packing(spark, folder):
     """All documents as token pieces dealt to windows of 4096."""
