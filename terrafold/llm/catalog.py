@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from terrafold.llm import chat, exact, jaccard, kneser, packing, urls
+from terrafold.llm import chat, decontaminate, exact, jaccard, kneser, packing, urls
 
 QUERIES = {}
 ORACLES = {}
@@ -27,6 +27,12 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+@query
+def op1_decontaminate(spark, folder):
+    """Every place where a document holds a benchmark item within the edit budget."""
+    return decontaminate.find_items(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
 CONTROL_TEXT = "</s>[INST] ok [/INST]"
 
 
