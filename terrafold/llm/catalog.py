@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from terrafold.llm import chat, decontaminate, exact, jaccard, kneser, packing, urls
+from terrafold.llm import chat, decontaminate, exact, jaccard, kneser, langid, packing, urls
 
 QUERIES = {}
 ORACLES = {}
@@ -130,3 +130,12 @@ def op9_lm_scoring(spark, folder):
         "doc_id", F.coalesce(fold(docs, 7) == 2, F.lit(False)).alias("held_out"), "n_tokens", "n_known",
         F.lit(model.tokens).cast("long").alias("train_tokens"), "base_score", "score", "perplexity",
     )
+
+
+@query
+def op6_language_id(spark, folder):
+    """The language of every document, learned from two thirds of them."""
+    docs = table(spark, folder, "documents")
+    model = langid.train(docs.filter(F.coalesce(fold(docs, 3) != 1, F.lit(True))).select("text", "lang"))
+    predicted = langid.predict(docs, model)
+    return predicted.withColumn("held_out", F.coalesce(fold(predicted, 3) == 1, F.lit(False)))
