@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from terrafold.llm import chat, decontaminate, exact, jaccard, kneser, langid, packing, urls
+from terrafold.llm import chat, decontaminate, exact, jaccard, kneser, langid, packing, toxicity, urls
 
 QUERIES = {}
 ORACLES = {}
@@ -139,3 +139,19 @@ def op6_language_id(spark, folder):
     model = langid.train(docs.filter(F.coalesce(fold(docs, 3) != 1, F.lit(True))).select("text", "lang"))
     predicted = langid.predict(docs, model)
     return predicted.withColumn("held_out", F.coalesce(fold(predicted, 3) == 1, F.lit(False)))
+
+
+def toxicity_model(spark, folder):
+    docs, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
+    learned = F.coalesce(fold(labels, 4) != 2, F.lit(True))
+    return toxicity.train(docs, labels.filter(learned))
+
+
+@query
+def op8_toxicity(spark, folder):
+    """The toxicity score of every document."""
+    scored = toxicity.score(table(spark, folder, "documents"), toxicity_model(spark, folder))
+    return scored.select(
+        "doc_id", F.coalesce(fold(scored, 4) == 2, F.lit(False)).alias("held_out"), "score",
+        (F.col("score") >= 0.3).cast("int").alias("predicted"), "flagged",
+    )

@@ -134,7 +134,7 @@ def train(texts: DataFrame, settings: LanguageSettings = LanguageSettings()) ->
         number = F.element_at(F.create_map(*[F.lit(x) for i, l in enumerate(languages) for x in (l, i)]), F.col("lang"))
         bits = kept.select("gram", F.shiftright(number, 6).alias("plane"), F.expr("1L").alias("one"), F.pmod(number, F.lit(64)).alias("bit"))
         masks = bits.groupBy("gram", "plane").agg(F.bit_or(F.expr("shiftleft(one, bit)")).alias("mask"))
-        for batch in masks.toPandas().groupby("plane"):  # bounded as said above
+        for batch in masks.toArrow().to_pandas().groupby("plane"):  # bounded as said above
             plane, held = batch
             for slots in slots_of(held["gram"].to_numpy().view(_U64), settings):
                 np.bitwise_or.at(words[:, int(plane)], slots, held["mask"].to_numpy().view(_U64))

@@ -110,7 +110,7 @@ def fit(labelled: DataFrame, settings: UrlModelSettings = UrlModelSettings()) ->
             )
 
     counts = rows.filter("fold != 0").select("url", "bad").mapInArrow(count, "cell long, n long")
-    filled = counts.groupBy("cell").agg(F.sum("n").alias("n")).toPandas()  # at most 4 * 2**table_bits rows
+    filled = counts.groupBy("cell").agg(F.sum("n").alias("n")).toArrow().to_pandas()  # at most 4 * 2**table_bits rows
     tables = np.zeros(4 * size, dtype=np.float32)
     tables[filled["cell"].to_numpy()] = filled["n"].to_numpy()
     model = {"tables": tables.reshape(2, 2, size), "threshold": float("inf")}
@@ -166,7 +166,7 @@ def _calibrated(held_out: DataFrame, settings: UrlModelSettings) -> float:
     step = 2 * settings.reach / (settings.bins - 1)
     bucket = F.round((F.greatest(F.lit(-settings.reach), F.least(F.lit(settings.reach), F.col("llr")))
                       + settings.reach) / step).cast("int")
-    table = held_out.groupBy(bucket.alias("bucket"), "bad").count().toPandas()  # at most 2 * bins rows
+    table = held_out.groupBy(bucket.alias("bucket"), "bad").count().toArrow().to_pandas()  # at most 2 * bins rows
     both = np.zeros((2, settings.bins))
     both[table["bad"].astype(int), table["bucket"]] = table["count"]
     if not both.sum(axis=1).all():
