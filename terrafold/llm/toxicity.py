@@ -25,14 +25,14 @@ _U64 = np.uint64
 @dataclass(frozen=True)
 class ToxicitySettings:
     sample: int = 3000  # labelled rows of each kind that the network is fitted on, at most; and
-    sample_words: int = 6_000_000  # words of them
+    sample_words: int = 4_000_000  # words of them
     calibration: int = 4000  # labelled rows that calibrate, at most
     hash_bits: int = 18
     prefixes: tuple[int, ...] = (4, 5, 6)  # bytes; each has an embedding beside that of the word
     part: int = 4  # dimensions of each embedding
     widths: tuple[int, ...] = (1, 2, 3)
     filters: int = 8  # per width
-    rounds: int = 8
+    rounds: int = 6
     batch: int = 32
     rate: float = 0.02
     threshold: float = 0.3  # where no language has one of its own
