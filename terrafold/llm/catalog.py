@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from terrafold.llm import chat, decontaminate, exact, jaccard, kneser, langid, packing, toxicity, urls
+from terrafold.llm import chat, decontaminate, exact, jaccard, kneser, langid, packing, suffixes, toxicity, urls
 
 QUERIES = {}
 ORACLES = {}
@@ -90,6 +90,12 @@ def op3_url_filter(spark, folder):
     return urls.filter_urls(table(spark, folder, "pages"), URL_RULES)
 
 
+@query
+def op7_suffix_dedup(spark, folder):
+    """Every document without the bytes of repeated passages of 200 bytes and more."""
+    return suffixes.remove_repeats(table(spark, folder, "documents")).drop("kept")
+
+
 @query
 def op10_exact_dedup(spark, folder):
     """Groups of equal whole texts by radix partitioning."""
