@@ -1,25 +1,54 @@
-"""The corpus pipeline: each stage reads what the last one wrote."""
+"""The corpus pipeline: each stage reads what the last one wrote.
+
+toxicity     rows whose toxicity score reaches the threshold of their language go
+exact_dedup  of equal texts the row with the smallest id stays
+near_dedup   of each class of similar texts the row with the smallest id stays
+decontaminate  texts that hold a benchmark item within its edit budget go
+packing      token pieces of what is left, dealt to windows of 4096
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from terrafold.llm import exact
+from terrafold.llm import catalog, decontaminate, exact, jaccard, packing, toxicity
 from terrafold.llm.store import written
 
 
-def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return toxicity.drop_toxic(docs, catalog.toxicity_model(spark, sf_dir))
+
+
+def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return exact.drop_exact_copies(docs)
 
 
-STAGES = [("exact_dedup", exact_dedup)]
+def drop_similar(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return jaccard.drop_similar(docs)
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return decontaminate.drop_contaminated(docs, catalog.table(spark, sf_dir, "benchmark"))
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(docs, catalog.tokenizer_path("word_bpe_49k.json"))
+
+
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("exact_dedup", drop_copies),
+    ("near_dedup", drop_similar),
+    ("decontaminate", drop_contaminated),
+    ("packing", pack),
+]
 
-#: Stages of models and tokenizers have no SQL; tests compare with brute force.
+#: Stages of models and tokenizers have no SQL; tests compare them with brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = catalog.table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
         docs = written(stage(spark, docs, sf_dir), name)
     return STAGES[-1][1](spark, docs, sf_dir)
