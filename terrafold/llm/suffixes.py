@@ -272,6 +272,8 @@ def column_order(texts: list[bytes], ahead: np.ndarray, length: int) -> Iterator
     sizes = np.array([len(t) for t in texts], np.int64)
     left, right = int(ahead.max()), int((sizes - ahead).max())
     width = left + right
+    if not width:
+        return
     with tempfile.TemporaryFile() as file:
         for a in range(0, m, 1024):  # blocks of texts are turned into columns and written in order
             block = np.zeros((min(1024, m - a), width), np.uint16)
