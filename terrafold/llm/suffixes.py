@@ -40,10 +40,10 @@ _CHUNK = 4 << 20  # windows of a long text that are looked at together
 class RepeatSettings:
     length: int = 200  # bytes of a repeated string
     gram: int = 32  # bytes of an anchor; length - gram must lie between 127 and 254
-    shard: int = 2_000_000  # expected segments per shard
+    shard: int = 400_000  # expected segments per shard
     collection: int = 20_000  # expected segments that are ordered together
     largest: int = 200_000  # segments of one anchor beyond which its windows are compared one by one
-    flush: int = 1_000_000  # segments that a task gathers before it passes them on
+    flush: int = 400_000  # segments that a task gathers before it passes them on
 
 
 def segments_of(data: np.ndarray, offsets: np.ndarray, settings: RepeatSettings, hasher: SpanHasher) -> tuple:
