@@ -38,8 +38,9 @@ class PieceTokenizer:
     """Token ids of many texts, with every distinct run of letters or signs encoded once.
 
     The tokenizer splits texts at white space and between letters and signs before it merges anything, so
-    encoding the runs one by one gives the ids of the whole text. A run starts after white space, where signs follow
-    a word, and where an ASCII letter or digit follows signs that do not end in an apostrophe (contractions).
+    encoding the runs one by one gives the ids of the whole text. A run starts after white space, where an ASCII sign
+    follows an ASCII letter or digit, and where one of those follows signs that do not end in an apostrophe
+    (contractions). Other characters may combine with their neighbours, so no run starts beside them.
     """
 
     def __init__(self, path: str, cache: int):
@@ -67,9 +68,8 @@ class PieceTokenizer:
         space, word = SPACE[data], WORD_BYTE[data]
         sign = ~space & ~word
         begin = ~space
-        begin[1:] &= space[:-1] | (sign[1:] & word[:-1]) | (
-            word[1:] & sign[:-1] & (data[:-1] != 0x27) & (data[1:] < 0x80)
-        )
+        plain = word & (data < 0x80)
+        begin[1:] &= space[:-1] | (sign[1:] & plain[:-1]) | (plain[1:] & sign[:-1] & (data[:-1] != 0x27))
         heads = offsets[:-1][offsets[1:] > offsets[:-1]]
         begin[heads] = ~space[heads]
         starts = np.flatnonzero(begin)

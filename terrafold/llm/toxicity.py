@@ -285,7 +285,7 @@ def score(docs: DataFrame, model: ToxicityModel) -> DataFrame:
 
 def drop_toxic(docs: DataFrame, model: ToxicityModel) -> DataFrame:
     """``docs`` without the rows that are flagged; rows are judged where they are, nothing is shuffled."""
-    sent = docs.sparkSession.sparkContext.broadcast(model)
+    sent, names = docs.sparkSession.sparkContext.broadcast(model), list(docs.columns)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher, model = SpanHasher(), sent.value
@@ -297,7 +297,7 @@ def drop_toxic(docs: DataFrame, model: ToxicityModel) -> DataFrame:
                 keep.append(p < [model.thresholds.get(l, model.settings.threshold) for l in langs[first : first + len(p)]])
             if keep:
                 kept = batch.filter(pa.array(np.concatenate(keep)))
-                yield pa.RecordBatch.from_arrays(kept.column(2).flatten(), names=docs.columns)
+                yield pa.RecordBatch.from_arrays(kept.column(2).flatten(), names=names)
 
     source = docs.select(F.lower("text").alias("low"), F.col("lang").cast("string"), F.struct(*docs.columns).alias("row"))
     return source.mapInArrow(run, docs.schema)
