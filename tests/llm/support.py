@@ -39,7 +39,7 @@ CLASHING = [
 def frame(spark: SparkSession, rows: list[tuple] | None = None, schema: str = "doc_id long, text string, lang string",
           clash: bool = True) -> DataFrame:
     df = spark.createDataFrame(awkward_rows() if rows is None else rows, schema)
-    return df.withColumns({c: F.lit("x") for c in CLASHING}) if clash else df
+    return df.withColumns({c: F.lit("x") for c in CLASHING if c not in df.columns}) if clash else df
 
 
 def collected(df: DataFrame) -> pd.DataFrame:
