@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -30,24 +29,44 @@ def local_session(cpus: int = 8, memory: str = "16g") -> SparkSession:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder all executors can reach, as named by ``spark.checkpoint.dir``.
+    """The folder all executors can reach: the checkpoint folder of the context, which
+    ``spark.checkpoint.dir`` names unless somebody has called ``setCheckpointDir``.
 
     Only a local-mode session may fall back to a temporary folder.
     """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-    folder = tempfile.mkdtemp(prefix="terrafold-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    spark.sparkContext.setCheckpointDir(folder)
-    return folder
+    context = spark.sparkContext
+    folder = context.getCheckpointDir() or context.getConf().get("spark.checkpoint.dir")
+    if not folder:
+        if not context.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
+        folder = tempfile.mkdtemp(prefix="terrafold-")
+    if not context.getCheckpointDir():
+        context.setCheckpointDir(folder)
+    return context.getCheckpointDir()
+
+
+_HANDED_OUT: list[tuple[str, str]] = []  # (application, path) of what fresh_path has named
 
 
 def fresh_path(spark: SparkSession, label: str) -> str:
     """A path below the shared folder that nothing has used yet."""
-    return os.path.join(shared_folder(spark), f"{label}-{uuid.uuid4().hex}")
+    path = f"{shared_folder(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    _HANDED_OUT.append((spark.sparkContext.applicationId, path))
+    return path
+
+
+def release(spark: SparkSession) -> int:
+    """Delete the tables that this application has written below the shared folder; the number of paths.
+
+    Frames that still read them fail afterwards, so call it when results are stored.
+    """
+    own = [p for a, p in _HANDED_OUT if a == spark.sparkContext.applicationId]
+    jvm = spark.sparkContext._jvm
+    for path in own:
+        place = jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+    _HANDED_OUT[:] = [x for x in _HANDED_OUT if x[0] != spark.sparkContext.applicationId]
+    return len(own)
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
