@@ -46,9 +46,10 @@ zone_clusters as (
          count(*) as sample_count
   from zoned group by country_id, cluster_number)"""
 
-MEASURED = """case when o_orderkey % 11 in (0, 1, 2, 3, 5, 6) then cast(0 as double)
+MEASURED = """case when o_orderkey % 19 in (0, 1, 2, 3, 5, 6, 7, 8, 11, 12) then cast(0 as double)
+              when o_orderkey % 19 = 10 then cast(1 as double)
               else cast((o_orderkey*31)%3100 as double)/100 end"""
-METHOD = "case when o_orderkey % 11 in (0, 1, 2, 3, 4, 5, 6) then '' else o_orderpriority end"
+METHOD = "case when o_orderkey % 19 = 10 then 'dry' when o_orderkey % 19 < 13 then '' else o_orderpriority end"
 CLAY = "case when {v} < 1 then 0.15e0 when {v} < 3 then 0.25e0 else 0.35e0 end"
 SAMPLE_COLUMNS = """raw_data_id, round(latitude, 6) as latitude, round(longitude, 6) as longitude,
   round(soc_percent, 6) as soc_percent, soc_method, cast(top_depth_cm as bigint) as top_depth_cm,
@@ -59,7 +60,7 @@ select raw_data_id, latitude, longitude, soc_percent, soc_method, top_depth_cm,
        sampling_date, lab_analysis_date, {CLAY.format(v='soc_percent')} as clay_fraction, soc_parsed
 from (select r.raw_data_id, r.latitude, r.longitude, {MEASURED} as soc_percent,
              {METHOD} as soc_method, r.top_depth_cm, r.bottom_depth_cm, r.sampling_date,
-             r.lab_analysis_date, o_orderkey % 11 not in (0, 1, 2, 3, 5, 6) as soc_parsed
+             r.lab_analysis_date, o_orderkey % 19 not in (0, 1, 2, 3, 5, 6, 7, 8, 11, 12) as soc_parsed
       from ({V.RAW_SAMPLES}) r join orders on o_orderkey = r.line) c"""
 
 # --- scans, sources, sinks --------------------------------------------------
@@ -254,23 +255,23 @@ def scan_countries(spark, d):
     return I.tidy(tables.scan_countries(I.customer_countries(spark, d)))
 
 
-EXPORTED = f"select id, raw_data_id, sampling_date, lab_analysis_date from ({V.SAMPLES}) s"
+EXPORTED = f"select {SAMPLE_COLUMNS}, soc_parsed from ({CLEANED}) s"
 
 
 @register("export_table_csv", EXPORTED)
 def export_table_csv(spark, d):
     path = fresh_path(spark, "csv")
-    rows = I.samples(spark, d).select("id", "raw_data_id", "sampling_date", "lab_analysis_date")
+    rows = sample_source.clean_samples(I.raw_samples(spark, d))
     files.export_table(rows, path, "csv")
-    return spark.read.schema(rows.schema).option("header", True).csv(path)
+    return I.tidy(files.read_exported(spark, path, rows.schema, "csv"))
 
 
 @register("export_table_json", EXPORTED)
 def export_table_json(spark, d):
     path = fresh_path(spark, "json")
-    rows = I.samples(spark, d).select("id", "raw_data_id", "sampling_date", "lab_analysis_date")
+    rows = sample_source.clean_samples(I.raw_samples(spark, d))
     files.export_table(rows, path, "json")
-    return spark.read.schema(rows.schema).json(path)
+    return I.tidy(files.read_exported(spark, path, rows.schema, "json"))
 
 
 @register("surrogate_ids", """
@@ -299,8 +300,8 @@ def load_into_table(spark, d):
 # Relations coded by outline code, for the dump-to-table composition.
 CODED = """
 select c_custkey as doc, 0 as pos, 'relation' as type, c_custkey as rel,
-       substr('DEFRITESPLNLBEATCHCZSEXX', (c_nationkey % 12) * 2 + 1, 2) as code, c_name as name
-from customer where c_acctbal > 0"""
+       {code} as code, c_name as name
+from customer""".format(code=V.CUSTOMER_CODE)
 
 
 @register("countries_from_dumps", f"""
@@ -320,13 +321,14 @@ def countries_from_dumps(spark, d):
 # --- projections, filters, predicates ---------------------------------------
 
 
-@register("parse_measurement", """
-select event_id, cast(regexp_extract(props, '[0-9]+') as double) as soc_percent, '' as soc_method,
-       true as soc_parsed
-from events""")
+@register("parse_measurement", f"""
+select line, case when line % 19 = 14 then cast('nan' as double) else soc_percent end as soc_percent,
+       case when line % 19 = 14 then '' else soc_method end as soc_method, soc_parsed
+from (select o_orderkey as line, {MEASURED} as soc_percent, {METHOD} as soc_method,
+             o_orderkey % 19 not in (0, 1, 2, 3, 5, 6, 7, 8, 11, 12) as soc_parsed from orders) m""")
 def parse_measurement_query(spark, d):
-    events = I.table(spark, d, "events")
-    return events.select("event_id", parse_measurement("props", "k").alias("m")).select("event_id", "m.*")
+    text = F.when(F.col("line") % 19 == 14, '{"value": NaN}').otherwise(F.col("soc_percent"))
+    return I.raw_samples(spark, d).select("line", parse_measurement(text).alias("m")).select("line", "m.*")
 
 
 @register("clay_fraction", f"select event_id, {CLAY.format(v='value / 20')} as clay_fraction from events")
@@ -481,11 +483,11 @@ def assign_countries(spark, d):
 
 @register("refresh_sample_counts", f"""with {LOCATED}
 select cast(c.id as bigint) as id, c.name,
-       (select count(*) from located l where l.country_id = c.id and l.soc_percent > 30.5) as sample_count
-from countries c""")
+       (select count(*) from located l where l.country_id = c.id) as sample_count
+from (select id, name from countries union all select 99, 'Nowhere') c""")
 def refresh_sample_counts(spark, d):
-    rich = I.located(spark, d).where("soc_percent > 30.5")
-    return spatial.refresh_sample_counts(I.countries(spark), rich).select("id", "name", "sample_count")
+    return spatial.refresh_sample_counts(I.countries_and_nowhere(spark), I.located(spark, d)).select(
+        "id", "name", "sample_count")
 
 
 @register("assign_clusters", f"""with {ZONES}
@@ -502,9 +504,9 @@ def assign_clusters(spark, d):
 
 @register("active_countries", f"""with {LOCATED}
 select cast(id as bigint) as id, name, iso_code from countries
-where id in (select country_id from located where soc_percent > 30.5)""")
+where id in (select country_id from located)""")
 def active_countries(spark, d):
-    return spatial.active_countries(I.countries(spark), I.located(spark, d).where("soc_percent > 30.5"))
+    return spatial.active_countries(I.countries_and_nowhere(spark), I.located(spark, d))
 
 
 @register("unassigned_samples", f"""with {LOCATED}
@@ -697,11 +699,11 @@ def association_coverage(spark, d):
 
 @register("country_distribution", f"""with {LOCATED}
 select c.iso_code, count(s.id) as n_samples
-from countries c left join located s on s.country_id = c.id and s.soc_percent > 30.5
+from (select id, iso_code from countries union all select 99, 'XX') c
+left join located s on s.country_id = c.id
 group by c.iso_code""")
 def country_distribution(spark, d):
-    rich = I.located(spark, d).where("soc_percent > 30.5")
-    return spatial.country_distribution(rich, I.countries(spark))
+    return spatial.country_distribution(I.located(spark, d), I.countries_and_nowhere(spark))
 
 
 @register("clustering_coverage", f"""with {ZONES},
@@ -835,8 +837,8 @@ def k_large_adjust_query(spark, d):
 # --- sampling and clustering ------------------------------------------------
 
 # Three restarts keep the SQL side of whole-range searches short; the fit itself is not cut.
-SEARCH = clustering.ClusterSettings(kmeans=KMeansSettings(restarts=3))
-SEARCH_SQL = K.fit_ctes(K.range_specs(), 3, D.KMEANS_MAX_ITER, D.KMEANS_TOLERANCE)
+SEARCH = clustering.ClusterSettings()
+SEARCH_SQL = K.fit_ctes(K.range_specs(), D.KMEANS_RESTARTS, D.KMEANS_MAX_ITER, D.KMEANS_TOLERANCE)
 
 
 @register("random_sample", f"""with {LOCATED}, {RANDOM_SAMPLE}
@@ -1139,12 +1141,11 @@ def result_warnings(spark, d):
 
 
 @register("referential_check", """
-select o_orderkey, o_custkey from orders
-where o_custkey not in (select c_custkey from customer where c_acctbal > 0)""")
+select o_orderkey, o_custkey * 2 as o_custkey from orders
+where o_custkey * 2 not in (select c_custkey from customer)""")
 def referential_check(spark, d):
-    orders = I.table(spark, d, "orders").select("o_orderkey", "o_custkey")
-    return tables.referential_check(
-        orders, "o_custkey", I.table(spark, d, "customer").where("c_acctbal > 0"), "c_custkey")
+    orders = I.table(spark, d, "orders").select("o_orderkey", (F.col("o_custkey") * 2).alias("o_custkey"))
+    return tables.referential_check(orders, "o_custkey", I.table(spark, d, "customer"), "c_custkey")
 
 
 @register("unique_check", """

@@ -44,6 +44,14 @@ def customer_countries(spark, folder) -> DataFrame:
     return view(spark, folder, views.CUSTOMER_COUNTRIES, "customer")
 
 
+def countries_and_nowhere(spark) -> DataFrame:
+    """The countries and one that no sample reaches."""
+    known = countries(spark)
+    return known.unionByName(
+        spark.createDataFrame([(99, "Nowhere", "XX")], "id long, name string, iso_code string"), allowMissingColumns=True
+    )
+
+
 def countries(spark) -> DataFrame:
     """The nine default countries with stored outlines."""
     named = spark.sql(views.COUNTRIES).select(F.col("id").cast("long"), "name", "iso_code")

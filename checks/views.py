@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from terrafold import defaults as D
+
 # Point samples: one per order. The odd offsets keep points off polygon edges and means off the
 # halves at which the engines could round differently.
 SAMPLES = """
@@ -29,7 +31,7 @@ RAW_SAMPLES = """
 select concat('S', o_orderkey) as raw_data_id,
        (cast((o_orderkey*7919)%35000 as double)+cast(0.5137 as double))/1000 - 10 as longitude,
        (cast((o_orderkey*104729)%21000 as double)+cast(0.4871 as double))/1000 + 35 as latitude,
-       case o_orderkey % 11
+       case o_orderkey % 19
          when 0 then null
          when 1 then '{"v": 1}'
          when 2 then 'oops'
@@ -37,6 +39,12 @@ select concat('S', o_orderkey) as raw_data_id,
          when 4 then concat('{"value": "', number_text, '"}')
          when 5 then '{"value": null, "method": "dry"}'
          when 6 then ''
+         when 7 then '{''value'': 2.5}'
+         when 8 then '{"value": 2.5} junk'
+         when 9 then concat('{"value": 5, "value": ', number_text, '}')
+         when 10 then '{"value": true, "method": "dry"}'
+         when 11 then '{"value": {"a": 1}}'
+         when 12 then '{"value": 2.5'
          else concat('{"value": ', number_text, ', "method": "', o_orderpriority, '"}')
        end as soc_percent,
        cast(o_orderkey % 40 as int) as top_depth_cm,
@@ -51,26 +59,29 @@ from (
   from orders) o
 """
 
+_NAMES = {
+    "AT": "Austria", "BE": "Belgium", "CZ": "Czechia", "DE": "Germany", "ES": "Spain", "FR": "France", "IT": "Italy",
+    "NL": "Netherlands", "PL": "Poland",
+}
+_BOXES = sorted(box for box in D.COUNTRY_BOXES if box[0] in _NAMES)
+
 # Country boxes, ids alphabetical by code.
-COUNTRIES = """
-select * from (values
-  (1, 'Austria',     'AT',  9.5e0, 46.4e0, 17.2e0, 49.0e0),
-  (2, 'Belgium',     'BE',  2.5e0, 49.5e0,  6.4e0, 51.5e0),
-  (3, 'Czechia',     'CZ', 12.1e0, 48.6e0, 18.9e0, 51.0e0),
-  (4, 'Germany',     'DE',  5.9e0, 47.3e0, 15.0e0, 55.1e0),
-  (5, 'Spain',       'ES', -9.4e0, 35.9e0,  4.6e0, 43.8e0),
-  (6, 'France',      'FR', -5.1e0, 41.3e0,  9.6e0, 51.1e0),
-  (7, 'Italy',       'IT',  6.7e0, 35.5e0, 18.5e0, 47.1e0),
-  (8, 'Netherlands', 'NL',  3.2e0, 50.8e0,  7.2e0, 53.7e0),
-  (9, 'Poland',      'PL', 14.1e0, 49.0e0, 24.1e0, 55.0e0)
-) as t(id, name, iso_code, min_lon, min_lat, max_lon, max_lat)
-"""
+COUNTRIES = "select * from (values\n" + ",\n".join(
+    f"  ({n}, '{_NAMES[code]}', '{code}', {w}e0, {s}e0, {e}e0, {north}e0)"
+    for n, (code, w, s, e, north) in enumerate(_BOXES, 1)
+) + "\n) as t(id, name, iso_code, min_lon, min_lat, max_lon, max_lat)\n"
+
+# One of twelve codes by nation: those with an outline, and two that have none.
+_CODES = sorted(box[0] for box in D.COUNTRY_BOXES) + ["SE", "XX"]
+CUSTOMER_CODE = "case c_nationkey % {} {} end".format(
+    len(_CODES), " ".join(f"when {i} then '{code}'" for i, code in enumerate(_CODES))
+)
 
 # A countries-like table that grows with the data: one row per customer.
-CUSTOMER_COUNTRIES = """
+CUSTOMER_COUNTRIES = f"""
 select c_custkey as id,
        concat(c_mktsegment, ' ', c_nationkey) as name,
-       substr('DEFRITESPLNLBEATCHCZSEXX', (c_nationkey % 12) * 2 + 1, 2) as iso_code,
+       {CUSTOMER_CODE} as iso_code,
        case when c_acctbal >= 0 then concat('"POINT ', c_custkey, '"') end as boundary,
        cast(c_nationkey as bigint) - 5 as sample_count
 from customer

@@ -24,10 +24,28 @@ def once(column: Column) -> Column:
     return F.explode(F.array(column))
 
 
+def _json_field(raw: Column, key: str, kind: str = "string") -> Column:
+    """A field of the one JSON object that the text holds; null when it holds anything else.
+
+    The text is parsed twice, as the only element of an array and as the only field of an object: whatever
+    follows the object breaks one of the two. Of repeated keys the last counts.
+    """
+    strict = {"allowSingleQuotes": "false", "columnNameOfCorruptRecord": "_bad"}
+    inner = f"struct<`{key}`: {kind}>"
+    listed = F.from_json(F.concat(F.lit("["), raw, F.lit("]")), f"array<{inner}>", strict)
+    held = F.from_json(F.concat(F.lit('{"x":'), raw, F.lit("}")), f"x {inner}, _bad string", strict)
+    return F.when((F.size(listed) == 1) & F.isnull(held["_bad"]), listed[0][key])
+
+
 def measured_number(raw, value_key: str = "value") -> Column:
-    """The numeric field of a JSON object held in a string; null when there is none."""
-    text = F.get_json_object(_as_column(raw), f"$.{value_key}")
-    return F.when(text.rlike(NUMBER_TEXT), text.try_cast("double"))
+    """The numeric field of a JSON object held in a string; null when there is none.
+
+    A number may be quoted. The words NaN and Infinity are numbers, true and false are 1 and 0.
+    """
+    raw = _as_column(raw)
+    text = F.regexp_replace(_json_field(raw, value_key), r'^"([+-]?(?:NaN|INF|Infinity))"$', "$1")
+    flag = F.when(text.isin("true", "false"), _json_field(raw, value_key, "boolean").cast("double"))
+    return F.when(text.rlike(NUMBER_TEXT), text.try_cast("double")).otherwise(flag)
 
 
 def parse_measurement(raw, value_key: str = "value", method_key: str = "method") -> Column:
@@ -38,7 +56,7 @@ def parse_measurement(raw, value_key: str = "value", method_key: str = "method")
     """
     raw = _as_column(raw)
     number = measured_number(raw, value_key)
-    method = F.coalesce(F.get_json_object(raw, f"$.{method_key}"), F.lit(""))
+    method = F.coalesce(_json_field(raw, method_key), F.lit(""))
     return F.struct(
         F.coalesce(number, F.lit(0.0)).alias("soc_percent"),
         F.when(number.isNotNull(), method).otherwise(F.lit("")).alias("soc_method"),

@@ -6,14 +6,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 
-def append_table(df: DataFrame, path: str) -> None:
-    df.write.mode("append").parquet(path)
-
-
-def overwrite_table(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").parquet(path)
-
-
 def read_table(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     return spark.read.schema(schema).parquet(path)
 
@@ -26,3 +18,11 @@ def export_table(df: DataFrame, path: str, fmt: str = "csv") -> None:
         df.write.mode("errorifexists").option("ignoreNullFields", False).json(path)
     else:
         raise ValueError(f"unknown format: {fmt}")
+
+
+def read_exported(spark: SparkSession, path: str, schema: StructType, fmt: str = "csv") -> DataFrame:
+    """An exported table, with the types it had."""
+    if fmt == "csv":
+        # A bare empty field is null and a quoted one is empty text, so the null marker must not be empty.
+        return spark.read.schema(schema).option("header", True).option("nullValue", "\u0000").csv(path)
+    return spark.read.schema(schema).option("allowNonNumericNumbers", True).json(path)

@@ -20,7 +20,21 @@ from terrafold.functions.measurement import clay_fraction, parse_measurement
     ("", 0.0, "", False),
     (None, 0.0, "", False),
     ('{"value":"2.5d","method":"dry"}', 0.0, "", False),
-    ('{"value":true}', 0.0, "", False),
+    ('{"value":true}', 1.0, "", True),
+    ('{"value":"true"}', 0.0, "", False),
+    ("{'value': 2.5}", 0.0, "", False),
+    ('{"value": 2.5} junk', 0.0, "", False),
+    ('{"value": 2.5}]', 0.0, "", False),
+    ('{"value": 2.5}}', 0.0, "", False),
+    ('{"value": 1}, {"value": 2}', 0.0, "", False),
+    ('[{"value": 1}]', 0.0, "", False),
+    ('{"value": 5, "value": 7}', 7.0, "", True),
+    ('{"value": 2.5', 0.0, "", False),
+    ('{"value": 2.5, "method": bad}', 0.0, "", False),
+    ('{"value": -Infinity}', float("-inf"), "", True),
+    ('{"value": 1.5, "method": {"a": 2}}', 1.5, '{"a":2}', True),
+    ('{"value": 01}', 0.0, "", False),
+    ("null", 0.0, "", False),
     ('{"value":{"a":1}}', 0.0, "", False),
 ])
 def test_parse_measurement(spark, text, soc, method, parsed):
