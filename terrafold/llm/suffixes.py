@@ -28,7 +28,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from terrafold.llm.arrays import SpanHasher, ranges, runs, text_slices
+from terrafold.llm.arrays import SpanHasher, mix, ranges, runs, text_slices
 from terrafold.llm.store import written
 
 _U64 = np.uint64
@@ -89,7 +89,8 @@ def _segments(data: np.ndarray, offsets: np.ndarray, settings: RepeatSettings, h
     starts, lengths = runs(anchor)
     first, last, q = p[starts], p[starts + lengths - 1], anchor[starts]
     own = row[starts]
-    return [grams[q], hasher(data, first, last + span), own, first - offsets[own], last - offsets[own], q - first]
+    # Minima are small numbers: mixed again, so that they spread over shards.
+    return [mix(grams[q]), hasher(data, first, last + span), own, first - offsets[own], last - offsets[own], q - first]
 
 
 _MATCHED = "kind int, anchor long, rid long, lo long, hi long, ahead int, single boolean, many long"
