@@ -962,7 +962,23 @@ def grouped_kmeans_by_rows(spark, d):
     rows = _positions(spark, d)
     sizes = rows.where("country_id is not null").groupBy("country_id").count().collect()
     _, labelled = kmeans.grouped_kmeans(
-        rows, [(r.country_id, min(5, r["count"])) for r in sizes], KMeansSettings(small_group=0))
+        rows, [(r.country_id, min(5, r["count"])) for r in sizes], KMeansSettings(max_centers=30))
+    return labelled.select("id", "country_id", "cluster_number")
+
+
+COARSE = LOCATED.replace("located as (\n  select s.*,", "located as (\n  select s.* replace (round(s.latitude) as latitude, round(s.longitude) as longitude),")
+
+
+@register("grouped_kmeans_repeated", f"""with recursive {COARSE},
+{K.fit_ctes("select g, least(5, n) as k from prof", D.KMEANS_RESTARTS, D.KMEANS_MAX_ITER, D.KMEANS_TOLERANCE)},
+{K.label_ctes("select g, k from specs")}
+select id, g as country_id, cluster_number from members""")
+def grouped_kmeans_repeated(spark, d):
+    """Many rows on few locations."""
+    rows = _positions(spark, d).withColumns(
+        {"latitude": F.round("latitude"), "longitude": F.round("longitude")})
+    sizes = rows.where("country_id is not null").groupBy("country_id").count().collect()
+    _, labelled = kmeans.grouped_kmeans(rows, [(r.country_id, min(5, r["count"])) for r in sizes])
     return labelled.select("id", "country_id", "cluster_number")
 
 

@@ -34,12 +34,15 @@ pts as materialized (
 prof as materialized (
   select g, count(*) as n, (var_pop(lat) + var_pop(lon)) / 2 as spread from pts group by g),
 specs as materialized ({specs}),
+places as materialized (
+  select g, lat, lon, count(*) as w, min(id) as tag from pts group by g, lat, lon),
 ranked as materialized (
   select * from (
     select p.g, t.r, p.lat, p.lon,
-           row_number() over (partition by p.g, t.r
-                              order by md5(concat({seed} + t.r, ':', p.id)), p.id) as rk
-    from pts p cross join range({restarts}) t(r)) x
+           row_number() over (partition by p.g, t.r order by -ln(
+             (cast(concat('0x', substr(md5(concat({seed} + t.r, ':', p.tag)), 1, 13)) as ubigint) + 0.5)
+             / 4503599627370496) / p.w, p.tag) as rk
+    from places p cross join range({restarts}) t(r)) x
   where rk <= (select max(k) from specs)),
 seeds as materialized (
   select s.g, s.k, q.r, p.spread * {tolerance} as lim,
@@ -51,14 +54,14 @@ lloyd as (
   union all
   select it, g, k, r, lim, nlat, nlon,
          list_sum([(nlat[j]-clat[j])*(nlat[j]-clat[j]) + (nlon[j]-clon[j])*(nlon[j]-clon[j])
-                   for j in range(1, k + 1)]) <= lim
+                   for j in range(1, len(clat) + 1)]) <= lim
   from (
     select c.it + 1 as it, c.g, c.k, c.r, c.lim,
            list(c.lat order by c.j) as clat, list(c.lon order by c.j) as clon,
            list(coalesce(m.lat, c.lat) order by c.j) as nlat,
            list(coalesce(m.lon, c.lon) order by c.j) as nlon
     from (
-      select it, g, k, r, lim, unnest(range(1, k + 1)) as j,
+      select it, g, k, r, lim, unnest(range(1, len(clat) + 1)) as j,
              unnest(clat) as lat, unnest(clon) as lon
       from lloyd where not done and it < {max_iter}) c
     left join (
@@ -68,7 +71,7 @@ lloyd as (
         from (
           select p.lat, p.lon, l.g, l.k, l.r,
                  [(p.lat-l.clat[j])*(p.lat-l.clat[j]) + (p.lon-l.clon[j])*(p.lon-l.clon[j])
-                  for j in range(1, l.k + 1)] as d
+                  for j in range(1, len(l.clat) + 1)] as d
           from lloyd l join pts p on p.g = l.g
           where not l.done and l.it < {max_iter}) b) a
       group by g, k, r, j) m
@@ -81,7 +84,7 @@ scored as materialized (
   select f.g, f.k, f.r,
          round(sum(list_min([(p.lat-f.clat[j])*(p.lat-f.clat[j])
                            + (p.lon-f.clon[j])*(p.lon-f.clon[j])
-                             for j in range(1, f.k + 1)])), 6) as inertia
+                             for j in range(1, len(f.clat) + 1)])), 6) as inertia
   from final f join pts p on p.g = f.g group by f.g, f.k, f.r),
 best as materialized (
   select s.g, s.k, min({{'i': s.inertia, 'r': s.r}}).r as r, min(s.inertia) as inertia

@@ -3,12 +3,11 @@
 Rows are spread by location, never by group, so a dominant group is as parallel as any other. Every
 iteration is one Spark job: tasks find the nearest centre of each location under all models of its
 group and add up coordinates per centre; only those sums (one row per centre and task) are shuffled.
-The new centres, whose number is bounded by ``max_centers``, go back out as a broadcast. Requests
-with more centres are fitted in several passes.
+The new centres go back out as a broadcast. Models are fitted in passes of at most ``max_centers`` centres, or of one
+model if that has more; how they are dealt to passes does not show in the result.
 
-Groups with at most ``small_group`` distinct locations (counted, a few megabytes) need no job per
-iteration: their models are dealt out to tasks, each with a copy of the locations, and all of them
-come to rest in one job. Both ways give the same centres.
+A model starts from distinct locations, drawn without replacement in proportion to their rows, so no two
+centres start on one spot. A group with fewer locations than wanted centres gets one centre for each.
 
 The nearest-centre step works on Arrow batches with numpy: on 66 million distances a first version
 took 0.6 s where the same step as higher-order array functions took 5.9 s (local[8]).
@@ -29,17 +28,15 @@ from pyspark.sql import functions as F
 
 from terrafold import defaults as D
 from terrafold.functions.measurement import once, sample_key
-from terrafold.operators.ranking import random_rank
-from terrafold.session import cut_lineage
+from terrafold.operators.ranking import first_by
+from terrafold.session import cut_lineage, lookup_side
 
 # Tasks get the functions below by value, so executors need no copy of this package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 DECIMALS = 9  # centres are rounded so that the order of additions cannot show
 BLOCK_ROWS = 50_000  # rows a task looks at together
-SLOT_DISTANCES = 1_000_000  # distances per iteration dealt to one copy of a small group
-MAX_GROUPS = 100_000
-MAX_STEP_CENTERS = 200_000
+STEP_CENTERS = 200_000  # centres that one pass of an assignment step looks at
 SEED_SLACK = 64  # rows kept above the digest bar beyond four times the wanted ones
 MAX_PARTIAL_ROWS = 500_000  # rows a step may return without a shuffle
 
@@ -50,8 +47,7 @@ class KMeansSettings:
     max_iter: int = D.KMEANS_MAX_ITER
     tolerance: float = D.KMEANS_TOLERANCE
     seed: int = D.SEED
-    max_centers: int = 200_000
-    small_group: int = 100_000
+    max_centers: int = 200_000  # of one pass
 
 
 @dataclass
@@ -133,22 +129,36 @@ def _blocks(batches):
         yield pa.Table.from_batches(held).combine_chunks()
 
 
+def usable_rows(samples: DataFrame, *columns: str) -> DataFrame:
+    """Rows without a null or NaN in the given columns; only floats can be NaN."""
+    floats = {f.name for f in samples.schema.fields if f.dataType.typeName() in ("double", "float")}
+    for c in columns:
+        fine = F.col(c).isNotNull()
+        samples = samples.where(fine & ~F.isnan(c) if c in floats else fine)
+    return samples
+
+
+def _slices(codes: np.ndarray, n: int):
+    """Row numbers of each code from 0 to n - 1, sorted once."""
+    order = np.argsort(codes, kind="stable")
+    cuts = np.searchsorted(codes[order], np.arange(n + 1))
+    return [order[a:b] for a, b in zip(cuts[:-1], cuts[1:])]
+
+
 def distinct_locations(samples: DataFrame, group_col: str, parts: int) -> DataFrame:
-    """(grp, lat, lon, w): equal locations collapsed, spread evenly over the tasks.
+    """(grp, lat, lon, w, tag): equal locations collapsed, spread evenly over the tasks.
 
     The count is pre-aggregated before the shuffle, so a heavily repeated location stays one row per
     task. Sorting by group inside a partition makes Arrow batches mostly single-group.
     """
     return (
-        samples.where(
-            F.col(group_col).isNotNull() & F.col("latitude").isNotNull() & F.col("longitude").isNotNull()
-        )
+        usable_rows(samples, group_col, "latitude", "longitude")
         .groupBy(
             F.col(group_col).alias("grp"),
             F.col("latitude").alias("lat"),
             F.col("longitude").alias("lon"),
         )
-        .agg(F.count(F.lit(1)).cast("double").alias("w"))
+        .agg(F.count(F.lit(1)).cast("double").alias("w"), F.min("id").alias("tag"))
         .repartition(parts, "lat", "lon")
         .sortWithinPartitions("grp")
     )
@@ -171,10 +181,10 @@ def center_sums(
             groups = block.column(0).combine_chunks().dictionary_encode()
             codes = groups.indices.to_numpy()
             lat, lon, w = (block.column(i).to_numpy() for i in (1, 2, 3))
-            for code, group in enumerate(groups.dictionary.to_pylist()):
+            held = groups.dictionary.to_pylist()
+            for group, rows in zip(held, _slices(codes, len(held))):
                 if group not in shared.value:
                     continue
-                rows = codes == code
                 glat, glon, gw = lat[rows], lon[rows], w[rows]
                 wlat, wlon = gw * glat, gw * glon
                 for model, clat, clon in shared.value[group]:
@@ -197,7 +207,7 @@ def center_sums(
             )
 
     schema = "model long, j long, w double, s_lat double, s_lon double, s_dist double"
-    partials = locations.mapInArrow(partial, schema)
+    partials = locations.select("grp", "lat", "lon", "w").mapInArrow(partial, schema)
     centers = sum(len(lat) for held in models.values() for _, lat, _ in held)
     if centers * tasks > MAX_PARTIAL_ROWS:
         partials = partials.groupBy("model", "j").agg(
@@ -226,13 +236,12 @@ def _scattered(batch: _Batch, found: pd.DataFrame) -> np.ndarray:
     return sums
 
 
-def _fit_large(
-    locations: DataFrame, batch: _Batch, chosen: np.ndarray, limit: np.ndarray, max_iter: int,
-    tasks: int,
+def _settle(
+    locations: DataFrame, batch: _Batch, limit: np.ndarray, max_iter: int, tasks: int
 ) -> pd.DataFrame:
-    """Move the chosen models of a batch until they rest, one job per iteration."""
+    """Move the models of a batch until they rest, one job per iteration; returns the final sums."""
     spark = locations.sparkSession
-    active = chosen.copy()
+    active = np.ones(len(batch.ks), dtype=bool)
     for _ in range(max_iter):
         sums = _scattered(
             batch, center_sums(locations, batch.by_group(active), spark, tasks, with_cost=False)
@@ -243,66 +252,7 @@ def _fit_large(
         active &= np.add.reduceat(moved, batch.starts) > limit
         if not active.any():
             break
-    return center_sums(locations, batch.by_group(chosen), spark, tasks)
-
-
-def _fit_small(
-    locations: DataFrame, batch: _Batch, chosen: np.ndarray, limit: np.ndarray, max_iter: int,
-    tasks: int, places: dict,
-) -> pd.DataFrame:
-    """The same for models of small groups, all iterations in one job.
-
-    A group gets as many copies of its locations as its models need work, and each copy is one
-    task's share of the models. Updates the centres of the batch; returns the final sums.
-    """
-    spark = locations.sparkSession
-    dealt: dict = {}
-    for group, models in batch.by_group(chosen).items():
-        work = places[group] * sum(len(lat) for _, lat, _ in models)
-        slots = min(len(models), work // SLOT_DISTANCES + 1)
-        for i, model in enumerate(sorted(models, key=lambda m: -len(m[1]))):
-            dealt.setdefault((group, i % slots), []).append((*model, limit[model[0]]))
-    shared = spark.sparkContext.broadcast(dealt)
-
-    def settle(key: tuple[object, ...], rows: pd.DataFrame) -> pd.DataFrame:
-        lat, lon, w = (rows[c].to_numpy() for c in ("lat", "lon", "w"))
-        out = []
-        for model, clat, clon, rest in shared.value[key]:
-            def sums(cost: bool):
-                j, d = nearest(lat, lon, clat, clon)
-                lines = (w, w * lat, w * lon, w * d) if cost else (w, w * lat, w * lon)
-                return np.stack([np.bincount(j, line, len(clat)) for line in lines])
-
-            for _ in range(max_iter):
-                nlat, nlon = _moved(sums(False), clat, clon)
-                shift = ((nlat - clat) ** 2 + (nlon - clon) ** 2).sum()
-                clat, clon = nlat, nlon
-                if shift <= rest:
-                    break
-            names = ("w", "s_lat", "s_lon", "s_dist")
-            out.append(pd.DataFrame({
-                "model": model, "j": np.arange(len(clat)), "c_lat": clat, "c_lon": clon,
-                **dict(zip(names, sums(True))),
-            }))
-        return pd.concat(out)
-
-    kind = locations.schema["grp"].dataType.simpleString()
-    copies = spark.createDataFrame(list(dealt), f"grp {kind}, slot long")
-    found = (
-        locations.join(F.broadcast(copies), "grp")
-        .repartition(max(1, min(tasks, len(dealt))), "grp", "slot")
-        .groupBy("grp", "slot")
-        .applyInPandas(
-            settle,
-            "model long, j long, c_lat double, c_lon double, w double, s_lat double, s_lon double, "
-            "s_dist double",
-        )
-        .toPandas()
-    )
-    shared.destroy()
-    at = batch.starts[found["model"].to_numpy()] + found["j"].to_numpy()
-    batch.lat[at], batch.lon[at] = found["c_lat"].to_numpy(), found["c_lon"].to_numpy()
-    return found
+    return center_sums(locations, batch.by_group(np.ones_like(active)), spark, tasks)
 
 
 class KeyedKMeans:
@@ -317,16 +267,16 @@ class KeyedKMeans:
     ):
         self.settings = settings or KMeansSettings()
         self.spark = samples.sparkSession
-        self.samples = samples.select(
+        rows = samples.select(
             F.col(id_col).alias("id"), F.col(group_col).alias("grp"), "latitude", "longitude"
-        ).where("grp is not null and latitude is not null and longitude is not null")
+        )
         self.tasks = max(
             self.spark.sparkContext.defaultParallelism,
             int(self.spark.conf.get("spark.sql.shuffle.partitions")),
         )
         # Checkpointed, so that a lost executor costs a re-read and not the work behind the samples;
         # kept in memory on top of that for the iterations.
-        self.locations = cut_lineage(distinct_locations(self.samples, "grp", self.tasks)).persist(
+        self.locations = cut_lineage(distinct_locations(rows, "grp", self.tasks)).persist(
             StorageLevel.MEMORY_AND_DISK
         )
 
@@ -345,124 +295,113 @@ class KeyedKMeans:
             (F.sum(F.col("w") * F.col("lat")) / F.sum("w")).alias("m_lat"),
             (F.sum(F.col("w") * F.col("lon")) / F.sum("w")).alias("m_lon"),
         )
-        rows = means.limit(MAX_GROUPS + 1).toPandas()
-        if len(rows) > MAX_GROUPS:
-            raise ValueError(f"more than {MAX_GROUPS} groups; cluster them in several calls")
-        pivots = {
-            g: [(i, np.array([lat]), np.array([lon]))]
-            for i, (g, lat, lon) in enumerate(zip(rows["grp"], rows["m_lat"], rows["m_lon"]))
-        }
-        sums = center_sums(self.locations, pivots, self.spark, self.tasks)
-        sums = sums.set_index("model")["s_dist"]
+        apart = F.pow(F.col("lat") - F.col("m_lat"), 2) + F.pow(F.col("lon") - F.col("m_lon"), 2)
+        rows = (
+            self.locations.join(lookup_side(means), "grp")
+            .groupBy("grp")
+            .agg(F.first("n").alias("n"), F.first("places").alias("places"), F.sum(F.col("w") * apart).alias("s"))
+            .toArrow()
+            .to_pylist()
+        )
         return {
-            g: GroupProfile(int(n), int(places), float(sums.get(i, 0.0)) / n / 2)
-            for i, (g, n, places) in enumerate(zip(rows["grp"], rows["n"], rows["places"]))
+            r["grp"]: GroupProfile(int(r["n"]), int(r["places"]), float(r["s"]) / r["n"] / 2) for r in rows
         }
 
-    def _seed_rows(self, depths: dict, profiles: dict, all_rows: bool = False) -> dict:
-        """First rows of each (group, restart) in the digest order of seed + restart.
+    def _seeds(self, depths: dict, profiles: dict, all_rows: bool = False) -> dict:
+        """Starting locations of each (group, restart): the first ones of a weighted random order.
 
-        ``depths`` gives the rows wanted per group; their sum is within the centre bound, so the
-        seeds are as small as one batch of centres. Digests are uniform, so all but a few times the
-        wanted rows can be dropped by a bar on the digest before anything is sorted. Should fewer
-        rows than wanted stay below the bar, the search is repeated without it.
+        A location with w rows has the key -ln(u) / w, u being a digest of seed, restart and its smallest id; the
+        smallest keys are a draw without replacement in proportion to the rows. Keys are exponential, so all
+        but a few times the wanted locations can be dropped by a bar before anything is sorted.
+        Should fewer than wanted stay below the bar, the search is repeated without it.
         """
-        group_type = self.samples.schema["grp"].dataType.simpleString()
+        group_type = self.locations.schema["grp"].dataType.simpleString()
         bars = []
-        for g, depth in depths.items():
-            share = 1.0 if all_rows else min(1.0, (4 * depth + SEED_SLACK) / profiles[g].n)
-            bars.append((g, depth, f"{int(share * 16**8):08x}" if share < 1.0 else "g"))
-        wanted = self.spark.createDataFrame(bars, f"grp {group_type}, _depth long, _bar string")
-        restarts = F.sequence(F.lit(0), F.lit(self.settings.restarts - 1))
-        tries = self.samples.join(F.broadcast(wanted), "grp").withColumn(
-            "restart", F.explode(restarts)
+        for (g, r), depth in depths.items():
+            bar = float("inf") if all_rows else (4 * depth + SEED_SLACK) / profiles[g].n
+            bars.append((g, r, depth, bar))
+        wanted = self.spark.createDataFrame(
+            bars, f"grp {group_type}, restart long, _depth long, _bar double"
         )
-        seed = F.lit(self.settings.seed) + F.col("restart")
-        low = tries.where(F.substring(sample_key("id", seed), 1, 8) < F.col("_bar"))
-        rows = random_rank(low, ["grp", "restart"], max(depths.values()), seed)
-        found = (
-            rows.where("_rank <= _depth")
-            .select("grp", "restart", "_rank", "latitude", "longitude")
-            .toPandas()
-            .sort_values("_rank")
+        digest = sample_key("tag", F.lit(self.settings.seed) + F.col("restart"))
+        u = (F.conv(F.substring(digest, 1, 13), 16, 10).cast("double") + 0.5) / float(1 << 52)
+        low = (
+            self.locations.join(lookup_side(wanted), "grp")
+            .withColumn("_order", -F.ln(u) / F.col("w"))
+            .where("_order <= _bar")
         )
-        seeds: dict = defaultdict(dict)
-        for (g, r), part in found.groupby(["grp", "restart"]):
-            seeds[g][int(r)] = (part["latitude"].to_numpy(), part["longitude"].to_numpy())
-        complete = all(
-            len(seeds[g].get(r, ((),))[0]) >= depth
-            for g, depth in depths.items() for r in range(self.settings.restarts)
+        rows = first_by(low, ["grp", "restart"], ["_order", "tag"], max(depths.values()), "_rank")
+        found = (
+            rows.where("_rank <= _depth").select("grp", "restart", "_rank", "lat", "lon")
+            .toArrow().to_pandas().sort_values("_rank")
         )
-        return seeds if complete or all_rows else self._seed_rows(depths, profiles, all_rows=True)
+        seeds = {
+            (g, int(r)): (part["lat"].to_numpy(), part["lon"].to_numpy())
+            for (g, r), part in found.groupby(["grp", "restart"])
+        }
+        complete = all(len(seeds.get(x, ((),))[0]) >= depth for x, depth in depths.items())
+        return seeds if complete or all_rows else self._seeds(depths, profiles, all_rows=True)
 
     def fit(self, specs: list[tuple[object, int]], profiles: dict[object, GroupProfile]) -> list[Model]:
         """Best model of every (group, k)."""
-        fitted: list[Model] = []
-        for chunk in self._split(specs):
-            fitted.extend(self._fit_chunk(chunk, profiles))
-        return fitted
-
-    def _split(self, specs):
-        """Chunks whose centres stay within the bound."""
-        chunk, held = [], 0
+        best = self._best(specs, profiles, keep=True)
+        return [best[spec][2] for spec in specs]
+
+    def curve(self, specs: list[tuple[object, int]], profiles: dict[object, GroupProfile]) -> list[tuple]:
+        """(group, k, inertia) of the best models; no centres are kept."""
+        best = self._best(specs, profiles, keep=False)
+        return [(g, k, best[g, k][0]) for g, k in specs]
+
+    def _best(self, specs, profiles, keep: bool) -> dict:
+        """(inertia, restart, model or None) of the first restart with the least inertia."""
+        best: dict = {}
+        for units in self._passes(specs, profiles):
+            for model in self._fit_pass(units, profiles):
+                old = best.get((model.group, model.k))
+                if old is None or (model.inertia, model.restart) < old[:2]:
+                    best[model.group, model.k] = (model.inertia, model.restart, model if keep else None)
+        return best
+
+    def _passes(self, specs, profiles):
+        """Lists of (group, k, restart, centres) whose centres stay within the bound, or of one model."""
+        units, held = [], 0
         for group, k in specs:
-            size = k * self.settings.restarts
-            if size > self.settings.max_centers:
-                raise ValueError(
-                    f"{k} clusters x {self.settings.restarts} restarts exceed max_centers="
-                    f"{self.settings.max_centers}; raise it or limit the cluster search"
-                )
-            if chunk and held + size > self.settings.max_centers:
-                yield chunk
-                chunk, held = [], 0
-            chunk.append((group, k))
-            held += size
-        if chunk:
-            yield chunk
-
-    def _fit_chunk(self, specs, profiles) -> list[Model]:
+            size = min(k, profiles[group].locations)
+            for restart in range(self.settings.restarts):
+                if units and held + size > self.settings.max_centers:
+                    yield units
+                    units, held = [], 0
+                units.append((group, k, restart, size))
+                held += size
+        if units:
+            yield units
+
+    def _fit_pass(self, units, profiles) -> list[Model]:
         depths: dict = defaultdict(int)
-        for g, k in specs:
-            depths[g] = max(depths[g], k)
-        found = self._seed_rows(depths, profiles)
-        plan = [(g, k, r) for g, k in specs for r in range(self.settings.restarts)]
-        seeds = [found[g][r] for g, _, r in plan]
+        for g, _, r, size in units:
+            depths[g, r] = max(depths[g, r], size)
+        seeds = self._seeds(depths, profiles)
+        starts = [(seeds[g, r][0][:size], seeds[g, r][1][:size]) for g, _, r, size in units]
         batch = _Batch(
-            groups=[g for g, _, _ in plan],
-            ks=np.array([k for _, k, _ in plan]),
-            restarts=np.array([r for _, _, r in plan]),
-            lat=np.round(np.concatenate([s[0][:k] for s, (_, k, _) in zip(seeds, plan)]), DECIMALS),
-            lon=np.round(np.concatenate([s[1][:k] for s, (_, k, _) in zip(seeds, plan)]), DECIMALS),
+            groups=[g for g, *_ in units],
+            ks=np.array([size for *_, size in units]),
+            restarts=np.array([r for _, _, r, _ in units]),
+            lat=np.round(np.concatenate([s[0] for s in starts]), DECIMALS),
+            lon=np.round(np.concatenate([s[1] for s in starts]), DECIMALS),
         )
         limit = np.array([self.settings.tolerance * profiles[g].spread for g in batch.groups])
-        small = np.array([profiles[g].locations <= self.settings.small_group for g in batch.groups])
-        parts = []
-        if small.any():
-            places = {g: profiles[g].locations for g in depths}
-            parts.append(_fit_small(
-                self.locations, batch, small, limit, self.settings.max_iter, self.tasks, places
-            ))
-        if not small.all():
-            parts.append(_fit_large(
-                self.locations, batch, ~small, limit, self.settings.max_iter, self.tasks
-            ))
-        sums = _scattered(batch, pd.concat(parts))
+        sums = _scattered(batch, _settle(self.locations, batch, limit, self.settings.max_iter, self.tasks))
         inertia = np.round(np.add.reduceat(sums[3], batch.starts), 6)
         filled = sums[0] > 0
         members = [sums[0].astype(np.int64), batch.lat.copy(), batch.lon.copy()]
         members[1][filled] = sums[1][filled] / sums[0][filled]
         members[2][filled] = sums[2][filled] / sums[0][filled]
-        best: dict = {}
-        for m, (g, k, r) in enumerate(plan):
-            if (g, k) not in best or (inertia[m], r) < best[(g, k)][:2]:
-                best[(g, k)] = (inertia[m], r, m)
         models = []
-        for g, k in specs:
-            cost, restart, m = best[(g, k)]
-            cut = slice(batch.starts[m], batch.starts[m] + k)
+        for m, (g, k, restart, size) in enumerate(units):
+            cut = slice(batch.starts[m], batch.starts[m] + size)
             order = np.lexsort((batch.lon[cut], batch.lat[cut]))
             arrays = [values[cut][order] for values in (batch.lat, batch.lon, *members)]
-            models.append(Model(g, k, restart, float(cost), *arrays))
+            models.append(Model(g, k, restart, float(inertia[m]), *arrays))
         return models
 
 
@@ -477,18 +416,17 @@ def label_column(spark: SparkSession, centers: dict, group, keep: dict | None =
     @F.pandas_udf("long")
     def label(grp: pd.Series, lat: pd.Series, lon: pd.Series) -> pd.Series:
         held, flags = shared.value
-        out = pd.Series(pd.NA, index=grp.index, dtype="Int64")
-        usable = lat.notna() & lon.notna()
-        for value in grp.dropna().unique():
-            if value not in held:
+        out = np.zeros(len(grp), dtype=np.int64)  # 0: none
+        usable = (lat.notna() & lon.notna()).to_numpy()
+        y, x = lat.to_numpy(), lon.to_numpy()
+        codes, values = pd.factorize(grp)
+        for value, rows in zip(values, _slices(codes, len(values))):
+            rows = rows[usable[rows]]
+            if value not in held or not len(rows):
                 continue
-            rows = (grp == value) & usable
-            j, _ = nearest(lat[rows].to_numpy(), lon[rows].to_numpy(), *held[value])
-            numbers = pd.array(j + 1, dtype="Int64")
-            if value in flags:
-                numbers[~flags[value][j]] = pd.NA
-            out[rows] = numbers
-        return out
+            j, _ = nearest(y[rows], x[rows], *held[value])
+            out[rows] = np.where(flags[value][j], j + 1, 0) if value in flags else j + 1
+        return pd.Series(pd.array(out, dtype="Int64")).mask(out == 0)
 
     return label(F.col(group) if isinstance(group, str) else group, F.col("latitude"), F.col("longitude"))
 
@@ -514,7 +452,7 @@ def clusters_frame(spark: SparkSession, models: list[Model], min_rows: int = 0)
     rows = [
         (m.group, j + 1, float(m.mean_latitude[j]), float(m.mean_longitude[j]), int(m.rows[j]))
         for m in models
-        for j in range(m.k)
+        for j in range(len(m.rows))
         if m.rows[j] >= min_rows
     ]
     return spark.createDataFrame(
@@ -539,18 +477,57 @@ def grouped_kmeans(
 
 
 def kmeans_assign(locations: DataFrame, centers: DataFrame, group_col: str = "country_id") -> DataFrame:
-    """One assignment step against given centres (group, cluster_number, latitude, longitude)."""
+    """One assignment step against given centres (group, cluster_number, center_latitude, center_longitude).
+
+    Centres are looked at in passes of bounded size; the nearest of all passes wins, and of equally near ones the
+    smallest number. Null without coordinates or without centres of the group.
+    """
     held = centers.select(group_col, "cluster_number", "center_latitude", "center_longitude")
-    rows = held.limit(MAX_STEP_CENTERS + 1).toPandas()
-    if len(rows) > MAX_STEP_CENTERS:
-        raise ValueError(f"more than {MAX_STEP_CENTERS} centres in one step")
-    placed = {
-        group: (part["center_latitude"].to_numpy(), part["center_longitude"].to_numpy())
-        for group, part in rows.sort_values("cluster_number").groupby(group_col)
-    }
-    return locations.withColumn(
-        "cluster_number", once(label_column(locations.sparkSession, placed, group_col))
-    )
+    best = F.lit(None).cast("struct<d:double,number:bigint>")
+    for part in _center_passes(held, group_col):
+        found = _nearest_column(locations.sparkSession, part, group_col)
+        best = F.least(best, found)  # least skips nulls
+    return locations.withColumn("_best", once(best)).withColumn("cluster_number", F.col("_best.number")).drop("_best")
+
+
+def _center_passes(centers: DataFrame, group_col: str):
+    """Group -> (numbers, latitudes, longitudes), at most STEP_CENTERS centres at a time."""
+    rows = []
+    for row in centers.toLocalIterator():
+        rows.append(tuple(row))
+        if len(rows) == STEP_CENTERS:
+            yield _by_group(rows)
+            rows = []
+    if rows:
+        yield _by_group(rows)
+
+
+def _by_group(rows: list[tuple]) -> dict:
+    out: dict = defaultdict(list)
+    for group, *center in rows:
+        out[group].append(center)
+    return {g: tuple(np.array(c) for c in zip(*sorted(v))) for g, v in out.items()}
+
+
+def _nearest_column(spark: SparkSession, centers: dict, group_col: str) -> Column:
+    shared = spark.sparkContext.broadcast(centers)
+
+    @F.pandas_udf("d double, number long")
+    def found(grp: pd.Series, lat: pd.Series, lon: pd.Series) -> pd.DataFrame:
+        d, number = np.full(len(grp), np.inf), np.zeros(len(grp), dtype=np.int64)
+        usable = (lat.notna() & lon.notna()).to_numpy()
+        y, x = lat.to_numpy(), lon.to_numpy()
+        codes, values = pd.factorize(grp)
+        for value, rows in zip(values, _slices(codes, len(values))):
+            rows = rows[usable[rows]]
+            if value in shared.value and len(rows):
+                numbers, clat, clon = shared.value[value]
+                j, d[rows] = nearest(y[rows], x[rows], clat, clon)
+                number[rows] = numbers[j]
+        return pd.DataFrame({"d": d, "number": number})
+
+    struct = found(F.col(group_col), F.col("latitude"), F.col("longitude"))
+    return F.transform(F.array(struct), lambda s: F.when(~s.d.isin(float("inf")), s))[0]
 
 
 def kmeans_update(labelled: DataFrame, group_col: str = "country_id") -> DataFrame:

@@ -34,9 +34,11 @@ def random_rank(
 
     Up to the group-limit threshold a ranked filter is enough. For larger n the rows are cut first:
     counting rows per digest prefix gives, for each group, the prefix that holds the n-th row; rows
-    beyond it are dropped before anything is ranked. Both ways give the same rows.
+    beyond it are dropped before anything is ranked. Both ways give the same rows. Rows without an
+    id come last.
     """
-    keyed = df.where(F.col(group_cols[0]).isNotNull()).withColumn(KEY, sample_key(id_col, seed))
+    key = F.coalesce(sample_key(id_col, seed), F.lit("z"))  # behind every hexadecimal digest
+    keyed = df.where(F.col(group_cols[0]).isNotNull()).withColumn(KEY, key)
     if n > group_limit(df):
         keyed = _cut_after_prefix(keyed, group_cols, n)
     return first_by(keyed, group_cols, [KEY, id_col], n, rank_col).drop(KEY)

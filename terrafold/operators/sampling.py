@@ -65,7 +65,7 @@ def draw_proportional(
     """
     ranked = random_rank(labelled, ["country_id", "cluster_number"], 2 * sample_size, seed)
     planned = ranked.join(
-        F.broadcast(quotas(clusters, sample_size)), ["country_id", "cluster_number"]
+        lookup_side(quotas(clusters, sample_size)), ["country_id", "cluster_number"]
     )
     spare = Window.partitionBy("country_id", "_spare").orderBy(KEY, "id")
     return (
@@ -105,8 +105,8 @@ def _proportional_from(samples, models, sample_size, seed) -> DataFrame:
 
 def _plain_rest(samples, models, sample_size, seed) -> DataFrame:
     """Random sample of the countries that have no model."""
-    modelled = [m.group for m in models]
-    others = samples.where(~F.col("country_id").isin(modelled)) if modelled else samples
+    modelled = samples.sparkSession.createDataFrame([(m.group,) for m in models], "country_id long")
+    others = samples.join(lookup_side(modelled), "country_id", "left_anti").select(*samples.columns)
     return random_sample(others, sample_size, seed)
 
 
@@ -129,7 +129,7 @@ def draw_single(
 ) -> DataFrame:
     """Random rows of one picked cluster per country; ``clusters`` as in draw_proportional."""
     chosen = labelled.join(
-        F.broadcast(pick_cluster(clusters, sample_size, seed)), ["country_id", "cluster_number"]
+        lookup_side(pick_cluster(clusters, sample_size, seed)), ["country_id", "cluster_number"]
     )
     return random_rank(chosen, ["country_id"], sample_size, seed).drop("_rank")
 

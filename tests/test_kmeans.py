@@ -1,5 +1,7 @@
 import hashlib
+import math
 import random
+import time
 
 import numpy as np
 import pytest
@@ -30,6 +32,18 @@ def _digest(seed, i):
     return hashlib.md5(f"{seed}:{i}".encode()).hexdigest()
 
 
+def _drawn(own, seed, k):
+    """The first k distinct locations of (id, lat, lon) rows, drawn in proportion to their rows."""
+    places = {}
+    for i, la, lo in own:
+        places.setdefault((la, lo), []).append(i)
+    keys = []
+    for place, ids in places.items():
+        u = (int(_digest(seed, min(ids))[:13], 16) + 0.5) / 2**52
+        keys.append((-math.log(u) / len(ids), min(ids), place))
+    return [place for *_, place in sorted(keys)[:k]]
+
+
 def _plain_fit(rows, group, k, restarts, max_iter=300, tolerance=1e-4):
     """Straightforward Lloyd iterations for one group; (inertia, sorted centres)."""
     own = [(i, la, lo) for i, g, la, lo in rows if g == group]
@@ -37,12 +51,11 @@ def _plain_fit(rows, group, k, restarts, max_iter=300, tolerance=1e-4):
     limit = tolerance * x.var(axis=0).mean()
     best = None
     for r in range(restarts):
-        order = sorted(range(len(own)), key=lambda p: (_digest(42 + r, own[p][0]), own[p][0]))
-        c = np.round(x[order[:k]], 9)
+        c = np.round(np.array(_drawn(own, 42 + r, k)), 9)
         for _ in range(max_iter):
             j = ((x[:, None] - c) ** 2).sum(axis=2).argmin(axis=1)
             new = np.array([np.round(x[j == m].mean(axis=0), 9) if (j == m).any() else c[m]
-                            for m in range(k)])
+                            for m in range(len(c))])
             shift = ((new - c) ** 2).sum()
             c = new
             if shift <= limit:
@@ -53,10 +66,10 @@ def _plain_fit(rows, group, k, restarts, max_iter=300, tolerance=1e-4):
     return best
 
 
-@pytest.mark.parametrize("small_group", [0, 100_000])
-def test_fit_equals_plain_iterations(spark, small_group):
+@pytest.mark.parametrize("max_centers", [1, 10, 200_000])
+def test_fit_equals_plain_iterations(spark, max_centers):
     rows = _rows({1: 150, 2: 60}, repeats=80)
-    settings = KMeansSettings(restarts=3, small_group=small_group)
+    settings = KMeansSettings(restarts=3, max_centers=max_centers)
     with KeyedKMeans(_frame(spark, rows), settings=settings) as engine:
         profiles = engine.profiles()
         models = engine.fit([(1, 4), (1, 7), (2, 3)], profiles)
@@ -75,7 +88,7 @@ def test_result_does_not_depend_on_partitions_or_batches(spark):
     for parts, settings in (
         (1, KMeansSettings(restarts=2)),
         (9, KMeansSettings(restarts=2, max_centers=12)),
-        (5, KMeansSettings(restarts=2, small_group=100)),
+        (5, KMeansSettings(restarts=2, max_centers=1)),
     ):
         with KeyedKMeans(_frame(spark, rows, parts), settings=settings) as engine:
             models = engine.fit(specs, engine.profiles())
@@ -85,7 +98,7 @@ def test_result_does_not_depend_on_partitions_or_batches(spark):
 
 def test_shuffled_sums_equal_direct_sums(spark, monkeypatch):
     rows = _rows({1: 80})
-    settings = KMeansSettings(restarts=2, small_group=0)
+    settings = KMeansSettings(restarts=2)
     with KeyedKMeans(_frame(spark, rows), settings=settings) as engine:
         profiles = engine.profiles()
         direct = engine.fit([(1, 4)], profiles)[0]
@@ -99,14 +112,39 @@ def test_seed_search_repeats_when_the_bar_is_too_low(spark, monkeypatch):
     rows = _rows({1: 400})
     with KeyedKMeans(_frame(spark, rows), settings=KMeansSettings(restarts=2)) as engine:
         profiles = engine.profiles()
-        whole = engine._seed_rows({1: 20}, profiles, all_rows=True)
-        barred = engine._seed_rows({1: 20}, profiles)
+        asked = {(1, 0): 20, (1, 1): 20}
+        whole = engine._seeds(asked, profiles, all_rows=True)
+        barred = engine._seeds(asked, profiles)
         monkeypatch.setattr(kmeans, "SEED_SLACK", -79)
-        starved = engine._seed_rows({1: 20}, profiles)
+        starved = engine._seeds(asked, profiles)
     for r in (0, 1):
-        first = sorted(rows, key=lambda row: (_digest(42 + r, row[0]), row[0]))[:20]
-        want = [row[2] for row in first]
-        assert whole[1][r][0].tolist() == barred[1][r][0].tolist() == starved[1][r][0].tolist() == want
+        want = [la for la, _ in _drawn([(i, la, lo) for i, _, la, lo in rows], 42 + r, 20)]
+        assert whole[1, r][0].tolist() == barred[1, r][0].tolist() == starved[1, r][0].tolist() == want
+
+
+def test_a_location_with_most_rows_leaves_no_centre_empty(spark):
+    rows = [(i, 1, 50.0, 10.0) for i in range(960)] + [(1000 + i, 1, 40.0 + i % 8, float(i // 8)) for i in range(40)]
+    with KeyedKMeans(_frame(spark, rows), settings=KMeansSettings(restarts=3)) as engine:
+        five, many = engine.fit([(1, 5), (1, 100)], engine.profiles())
+    assert (five.rows > 0).all() and len(five.rows) == 5 and five.rows.sum() == 1000
+    assert len(many.rows) == 41 and many.inertia == 0
+
+
+def test_rows_without_coordinates_are_left_out(spark):
+    nan = float("nan")
+    rows = _rows({1: 200}) + [(900, 1, nan, 1.0), (901, 1, 1.0, nan), (902, 1, None, 1.0), (903, None, 1.0, 1.0)]
+    models, labelled = kmeans.grouped_kmeans(_frame(spark, rows), [(1, 3)], KMeansSettings(restarts=2))
+    assert models[0].rows.sum() == 200 and np.isfinite(models[0].inertia)
+    assert labelled.where("id >= 900").count() == 0
+
+
+def test_many_groups(spark):
+    rows = [(3 * g + j, g, float(g % 90), float(j)) for g in range(20_000) for j in range(3)]
+    began = time.time()
+    models, labelled = kmeans.grouped_kmeans(
+        _frame(spark, rows), [(g, 2) for g in range(20_000)], KMeansSettings(restarts=1, max_iter=3))
+    assert len(models) == 20_000 and labelled.count() == 60_000
+    assert time.time() - began < 240
 
 
 def test_labels_are_nearest_centres(spark):
@@ -122,19 +160,16 @@ def test_labels_are_nearest_centres(spark):
         assert r.cluster_number == d.argmin() + 1
 
 
-def test_too_many_centres_raise(spark):
-    with KeyedKMeans(_frame(spark, _rows({1: 50})), settings=KMeansSettings(max_centers=30)) as engine:
-        with pytest.raises(ValueError, match="max_centers"):
-            engine.fit([(1, 4)], engine.profiles())
-
-
-def test_single_steps(spark):
+def test_single_steps(spark, monkeypatch):
     rows = [(1, 1, 0.0, 0.0), (2, 1, 0.0, 2.0), (3, 1, 0.0, 9.0), (4, 2, 0.0, 0.0)]
     centers = spark.createDataFrame(
         [(1, 1, 0.0, 0.0), (1, 2, 0.0, 4.0)],
         "country_id long, cluster_number long, center_latitude double, center_longitude double")
     step = kmeans.kmeans_assign(_frame(spark, rows), centers)
     assert {r.id: r.cluster_number for r in step.collect()} == {1: 1, 2: 1, 3: 2, 4: None}
+    monkeypatch.setattr(kmeans, "STEP_CENTERS", 1)
+    again = kmeans.kmeans_assign(_frame(spark, rows), centers)
+    assert {r.id: r.cluster_number for r in again.collect()} == {1: 1, 2: 1, 3: 2, 4: None}
     new = {r.cluster_number: (r.center_longitude, r.sample_count)
            for r in kmeans.kmeans_update(step).collect()}
     assert new == {1: (1.0, 2), 2: (9.0, 1)}
