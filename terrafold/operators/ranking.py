@@ -27,6 +27,11 @@ def group_limit(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000"))
 
 
+def draw_key(id_col: str, seed):
+    """The seeded digest of an id; a null id is behind every digest."""
+    return F.coalesce(sample_key(id_col, seed), F.lit("z"))
+
+
 def random_rank(
     df: DataFrame, group_cols: list[str], n: int, seed, id_col: str = "id", rank_col: str = "_rank"
 ) -> DataFrame:
@@ -37,8 +42,7 @@ def random_rank(
     beyond it are dropped before anything is ranked. Both ways give the same rows. Rows without an
     id come last.
     """
-    key = F.coalesce(sample_key(id_col, seed), F.lit("z"))  # behind every hexadecimal digest
-    keyed = df.where(F.col(group_cols[0]).isNotNull()).withColumn(KEY, key)
+    keyed = df.where(F.col(group_cols[0]).isNotNull()).withColumn(KEY, draw_key(id_col, seed))
     if n > group_limit(df):
         keyed = _cut_after_prefix(keyed, group_cols, n)
     return first_by(keyed, group_cols, [KEY, id_col], n, rank_col).drop(KEY)

@@ -9,12 +9,13 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from terrafold import defaults as D
-from terrafold.functions.measurement import once, sample_key
+from terrafold.functions.measurement import once
 from terrafold.functions.sizing import cluster_quota, proportional_k, single_cluster_k
 from terrafold.operators.kmeans import (
     KeyedKMeans, KMeansSettings, Model, clusters_frame, model_labels,
 )
-from terrafold.operators.ranking import KEY, random_rank
+from terrafold.operators.ranking import KEY, draw_key, random_rank
+from terrafold.session import lookup_side
 
 METHODS = ("random", "clustering", "single_cluster")
 
@@ -71,7 +72,7 @@ def draw_proportional(
     return (
         planned.where("_rank <= quota + short")
         .withColumn("_spare", F.col("_rank") > F.col("quota"))
-        .withColumn(KEY, sample_key("id", seed))
+        .withColumn(KEY, draw_key("id", seed))
         .withColumn("_place", F.row_number().over(spare))
         .where("not _spare or _place <= short")
         .drop(KEY, "_rank", "_spare", "_place", "quota", "short")

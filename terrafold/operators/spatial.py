@@ -112,7 +112,8 @@ def assign_polygons(
     The polygon side becomes a table of grid cells. When its measured size is within bounds, one row
     per cell is broadcast with all candidate polygons: samples are then neither shuffled nor
     multiplied. A larger table is joined by shuffle, salted so that a crowded cell is shared by many
-    tasks, and the candidates of a sample are reduced by its id.
+    tasks, and the candidates of a sample are reduced by a row number of its own. Ids play no part, so null and
+    repeated ones are treated alike on both ways.
     """
     samples = samples.drop("country_id")
     # Kept once: every action on the result would otherwise grid the polygons again.
@@ -138,9 +139,10 @@ def _assign_by_lookup(samples: DataFrame, cells: DataFrame, grid: float) -> Data
     )
 
 
-def _assign_by_shuffle(
-    samples: DataFrame, cells: DataFrame, grid: float, id_col: str = "id"
-) -> DataFrame:
+def _assign_by_shuffle(samples: DataFrame, cells: DataFrame, grid: float) -> DataFrame:
+    id_col = "_row"
+    # Checkpointed, so that the numbers stay when a task is repeated.
+    samples = cut_lineage(samples.withColumn(id_col, F.monotonically_increasing_id()))
     spread = F.pmod(F.xxhash64(id_col), F.lit(CELL_SALT)).cast("int")
     keyed = _with_cell(samples.select(id_col, "longitude", "latitude"), grid).withColumn("_s", spread)
     copies = cells.select(
@@ -153,7 +155,7 @@ def _assign_by_shuffle(
         .groupBy(id_col)
         .agg(F.max("country_id").alias("country_id"))
     )
-    return samples.join(matched, id_col, "left")
+    return samples.join(matched, id_col, "left").drop(id_col)
 
 
 def points_in_polygons(samples: DataFrame, boundaries: DataFrame, **options) -> DataFrame:

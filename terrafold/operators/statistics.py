@@ -6,8 +6,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from terrafold import defaults as D
+from terrafold import schemas
 from terrafold.operators.kmeans import KMeansSettings
 from terrafold.operators.sampling import draw_samples
+from terrafold.operators.tables import (
+    result_rows, stored_table_exists, surrogate_ids, with_row_defaults,
+)
+from terrafold.session import cut_lineage
 
 
 def _present(name: str) -> Column:
@@ -178,10 +183,12 @@ def results_by_country(results: DataFrame, countries: DataFrame) -> DataFrame:
 
 
 def store_results(results: DataFrame, path: str | None = None) -> DataFrame:
-    """The stored columns of result rows, appended to ``path`` when given."""
-    from terrafold.operators.tables import result_rows
-
-    rows = result_rows(results)
+    """Result rows as stored, with id and analysis date; appended to ``path`` when given, ids behind those there."""
+    start: int | DataFrame = 0
+    if path is not None and stored_table_exists(results.sparkSession, path):
+        start = results.sparkSession.read.schema(schemas.RESULTS).parquet(path).agg(F.max("id").alias("m"))
+    numbered = surrogate_ids(result_rows(results), ["country_id", "sampling_method"], start)
+    rows = cut_lineage(with_row_defaults(numbered, schemas.RESULTS))
     if path is not None:
         rows.write.mode("append").parquet(path)
     return rows

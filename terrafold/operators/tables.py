@@ -64,6 +64,52 @@ def require_unique(df: DataFrame, key_cols: list[str]) -> DataFrame:
     return df
 
 
+def append_unique(df: DataFrame, path: str, key_cols: list[str]) -> DataFrame:
+    """Append to a stored table whose key must stay unique; ConstraintError before anything is written.
+
+    The keys are checked among the new rows and against the stored ones.
+    """
+    spark = df.sparkSession
+    fresh = cut_lineage(require_unique(df, key_cols))
+    if stored_table_exists(spark, path):
+        known = spark.read.parquet(path).select(*key_cols)
+        clash = fresh.select(*key_cols).join(known, key_cols, "left_semi").limit(1).collect()
+        if clash:
+            raise ConstraintError(f"key already stored ({', '.join(key_cols)}): {clash[0].asDict()}")
+    fresh.write.mode("append").parquet(path)
+    return fresh
+
+
+def stored_table_exists(spark, path: str) -> bool:
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(place)
+
+
+def with_row_defaults(df: DataFrame, schema) -> DataFrame:
+    """The columns of a stored table: absent time stamps are now, other absent columns are null."""
+    stamps = {"created_at", "analysis_date", "timestamp"}
+    return df.select(*[
+        (F.col(f.name) if f.name in df.columns
+         else F.current_timestamp() if f.name in stamps else F.lit(None)).cast(f.dataType).alias(f.name)
+        for f in schema.fields
+    ])
+
+
+def replace_with_ids(
+    existing: DataFrame | None, incoming: DataFrame, key_cols: list[str], order_cols: list[str],
+    id_col: str = "id",
+) -> DataFrame:
+    """Insert-or-replace into a table with generated ids: every row that comes in, also a replacing one, gets
+    a new id behind all ids that were ever given in ``existing``."""
+    newest = keep_last(incoming, key_cols, order_cols)
+    if existing is None:
+        return surrogate_ids(newest, key_cols, 0, id_col)
+    start = existing.agg(F.max(id_col).alias("m"))
+    numbered = surrogate_ids(newest.drop(id_col), key_cols, start, id_col)
+    kept = existing.join(newest.select(*key_cols), key_cols, "left_anti")
+    return kept.unionByName(numbered, allowMissingColumns=True)
+
+
 def missing_required(required: list[str], df: DataFrame):
     """Condition: some required column is null, or NaN where it is a float."""
     floats = {f.name for f in df.schema.fields if f.dataType.typeName() in ("double", "float")}
@@ -139,8 +185,11 @@ def surrogate_ids(
 def assign_column(
     df: DataFrame, mapping: DataFrame, key_col: str, value_col: str
 ) -> DataFrame:
-    """Keyed update: rows found in the mapping take its value, the others keep theirs."""
-    fresh = mapping.select(F.col(key_col), F.col(value_col).alias("_new"))
+    """Keyed update: rows found in the mapping take its value, the others keep theirs.
+
+    A key that the mapping repeats counts once, with its largest value; null keys match nothing.
+    """
+    fresh = mapping.groupBy(key_col).agg(F.max(value_col).alias("_new"))
     updated = df.join(fresh, key_col, "left")
     if value_col not in df.columns:
         return updated.withColumnRenamed("_new", value_col)

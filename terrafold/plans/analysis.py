@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import time
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from terrafold import defaults as D
-from terrafold.operators import clustering, quality, reports, spatial, statistics, tables
+from terrafold import schemas
+from terrafold.operators import clustering, quality, reports, runlog, spatial, statistics, tables
 from terrafold.operators.clustering import ClusterSettings
 from terrafold.operators.kmeans import clusters_frame
 from terrafold.session import cut_lineage
@@ -103,6 +105,32 @@ def run_analysis(
     )
 
 
+def persist_run(run: Analysis, folder: str, run_id: str) -> None:
+    """Write the tables of a run below ``folder`` and append its results and one log row per stage.
+
+    Samples, countries and clusters are those of the latest run; results and the log of all runs stay.
+    """
+    spark = run.samples.sparkSession
+    latest = {
+        "soil_samples": (run.samples, schemas.SAMPLES),
+        "countries": (run.countries, schemas.COUNTRIES),
+        "clusters": (run.clusters, schemas.CLUSTERS),
+    }
+    entries = []
+    for name, (rows, schema) in latest.items():
+        began = time.monotonic()
+        held = cut_lineage(tables.with_row_defaults(rows, schema))
+        held.write.mode("overwrite").parquet(f"{folder}/{name}")
+        entries.append((name, began, held.count()))
+    began = time.monotonic()
+    stored = statistics.store_results(run.results, f"{folder}/analysis_results")
+    entries.append(("analysis_results", began, stored.count()))
+    for name, began, n in entries:
+        spent = int((time.monotonic() - began) * 1000)
+        row = runlog.log_row(spark, run_id, name, "INFO", f"{n} rows written", spent, n)
+        runlog.append_run_log(row, f"{folder}/pipeline_logs")
+
+
 def cluster_reports(clusters: DataFrame, countries: DataFrame, samples: DataFrame) -> ClusterReports:
     """All reporting frames over stored clusters."""
     stats = reports.cluster_stats_by_country(clusters, countries)

@@ -4,12 +4,13 @@ from checks import inputs
 from terrafold.operators.clustering import ClusterSettings
 from terrafold.operators.kmeans import KMeansSettings
 from terrafold.operators.tables import surrogate_ids
-from terrafold.plans.analysis import AnalysisSettings, cluster_reports, run_analysis
+from terrafold import schemas
+from terrafold.plans.analysis import AnalysisSettings, cluster_reports, persist_run, run_analysis
 from terrafold.sources.samples import load_into
 
 
 @pytest.mark.parametrize("method", ["random", "clustering", "single_cluster"])
-def test_whole_run(spark, folder, method):
+def test_whole_run(spark, folder, method, tmp_path):
     loaded = load_into(None, inputs.raw_samples(spark, folder), ["line"])
     numbered = surrogate_ids(loaded, ["raw_data_id"])
     settings = AnalysisSettings(
@@ -36,3 +37,11 @@ def test_whole_run(spark, folder, method):
     assert run.summary.first().total_countries == len(results) == run.validation.first().total_results
     reports = cluster_reports(run.clusters, run.countries, run.samples)
     assert reports.headline.first().distinct_regions == len(clusters) == reports.soc.count()
+    if method == "random":
+        for _ in range(2):
+            persist_run(run, str(tmp_path), "r1")
+        stored = spark.read.parquet(f"{tmp_path}/analysis_results")
+        assert sorted(r.id for r in stored.collect()) == list(range(1, 2 * len(results) + 1))
+        assert stored.schema.names == schemas.RESULTS.names and stored.where("analysis_date is null").isEmpty()
+        assert spark.read.parquet(f"{tmp_path}/soil_samples").count() == total
+        assert spark.read.parquet(f"{tmp_path}/pipeline_logs").count() == 8

@@ -112,3 +112,15 @@ def test_points_are_neither_shuffled_nor_multiplied(spark):
     plan = spatial.assign_polygons(points, _boundaries(spark, (1, BOX)))._jdf.queryExecution()
     text = plan.executedPlan().toString()
     assert "BroadcastHashJoin" in text and "NestedLoop" not in text and "SortMergeJoin" not in text
+
+
+def test_null_and_repeated_ids_are_placed_alike_on_both_ways(spark):
+    shapes = _boundaries(spark, (7, BOX), (3, "POLYGON ((0 0, 30 0, 30 60, 0 60, 0 0))"))
+    points = [(None, 10.0, 50.0), (None, 40.0, 50.0), (1, 10.0, 50.0), (1, 20.0, 20.0), (1, None, 1.0), (2, float("nan"), 50.0)]
+    df = spark.createDataFrame(points, "id long, longitude double, latitude double")
+    found = [
+        sorted(map(str, spatial.assign_polygons(df, shapes, **options).select("id", "longitude", "country_id").collect()))
+        for options in BOTH
+    ]
+    assert found[0] == found[1] and len(found[0]) == 6
+    assert [r.country_id for r in spatial.assign_polygons(df, shapes, **BOTH[1]).where("id = 1").orderBy("longitude").collect()] == [None, 7, 3]

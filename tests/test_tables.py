@@ -75,3 +75,27 @@ def test_scan_orders_by_id_and_prunes(spark):
     got = tables.scan_samples(df)
     assert got.columns == ["id", "raw_data_id"] and [r.id for r in got.collect()] == [1, 2]
     assert schemas.SAMPLE_COLUMNS[0] == "id" and len(schemas.SAMPLE_COLUMNS) == 14
+
+
+def test_a_stored_key_cannot_be_appended_again(spark, tmp_path):
+    path = str(tmp_path / "t")
+    rows = spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string")
+    tables.append_unique(rows, path, ["k"])
+    with pytest.raises(tables.ConstraintError):
+        tables.append_unique(spark.createDataFrame([(3, "c"), (2, "z")], "k int, v string"), path, ["k"])
+    tables.append_unique(spark.createDataFrame([(3, "c")], "k int, v string"), path, ["k"])
+    assert sorted(tuple(r) for r in spark.read.parquet(path).collect()) == [(1, "a"), (2, "b"), (3, "c")]
+
+
+def test_replaced_rows_get_new_ids(spark):
+    old = spark.createDataFrame([(1, "a", 10), (2, "b", 20)], "id long, k string, v int")
+    new = spark.createDataFrame([("b", 21), ("c", 30), ("b", 22)], "k string, v int")
+    got = {r.k: (r.id, r.v) for r in tables.replace_with_ids(old, new, ["k"], ["v"]).collect()}
+    assert got == {"a": (1, 10), "b": (3, 22), "c": (4, 30)}
+
+
+def test_a_mapping_with_repeated_keys_does_not_multiply_rows(spark):
+    rows = spark.createDataFrame([(1, 5), (2, 6), (None, 7)], "id long, country_id long")
+    twice = spark.createDataFrame([(1, 8), (1, 9), (None, 3)], "id long, country_id long")
+    got = tables.assign_column(rows, twice, "id", "country_id").collect()
+    assert sorted((r.id or 0, r.country_id) for r in got) == [(0, 7), (1, 9), (2, 6)]
