@@ -9,6 +9,8 @@ chosen per language there. Language is used for thresholds alone, never for a sc
 
 from __future__ import annotations
 
+import io
+import json
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -210,9 +212,21 @@ def train(docs: DataFrame, labels: DataFrame, settings: ToxicitySettings = Toxic
     parts.append(known.filter(calibrates).orderBy(order, "doc_id").limit(settings.calibration).withColumn("use", F.lit(1)))
     chosen = parts[0].unionByName(parts[1]).unionByName(parts[2])  # at most 3 * sample + calibration rows
     texts = docs.select("doc_id", F.lower("text").alias("text"), "lang").join(F.broadcast(chosen), "doc_id")
-    rows = texts.mapInArrow(
-        _numbered(settings), "doc_id long, lang string, toxic int, use int, ids binary"
-    ).toArrow().to_pandas().sort_values("doc_id", kind="stable")
+    rows = texts.mapInArrow(_numbered(settings), "doc_id long, lang string, toxic int, use int, ids binary")
+
+    def fit(table: pa.Table) -> pa.Table:
+        return pa.table({"body": pa.array([_packed(_fit_rows(table, settings))], pa.binary())})
+
+    # The sample is bounded, so one task fits on it, and the driver gets the weights alone.
+    done = rows.groupBy(F.lit(0).alias("all")).applyInArrow(fit, "body binary").collect()
+    return _unpacked(done[0].body, settings) if done else _fit_rows(None, settings)
+
+
+def _fit_rows(table: pa.Table | None, settings: ToxicitySettings) -> ToxicityModel:
+    """The calibrated model of the sampled rows (doc_id, lang, toxic, use, ids)."""
+    if table is None:
+        return ToxicityModel(settings, scale=(1.0, 0.0))
+    rows = table.to_pandas().sort_values("doc_id", kind="stable")
     slots = 1 + len(settings.prefixes)
     rows["ids"] = [np.frombuffer(b, np.int32).reshape(slots, -1) for b in rows["ids"]]
     rows = rows.iloc[np.random.default_rng(settings.seed).permutation(len(rows))]
@@ -239,6 +253,26 @@ def train(docs: DataFrame, labels: DataFrame, settings: ToxicitySettings = Toxic
     return model
 
 
+def _packed(model: ToxicityModel) -> bytes:
+    held = io.BytesIO()
+    plain = {"offset": model.offset, "scale": model.scale, "thresholds": model.thresholds}
+    arrays = {f"{k}{i}": a for k in ("tables", "kernels", "bias") for i, a in enumerate(getattr(model, k))}
+    if model.weights is not None:
+        arrays["weights"] = model.weights
+    np.savez(held, plain=np.frombuffer(json.dumps(plain).encode(), np.uint8), **arrays)
+    return held.getvalue()
+
+
+def _unpacked(body: bytes, settings: ToxicitySettings) -> ToxicityModel:
+    held = np.load(io.BytesIO(body))
+    plain = json.loads(held["plain"].tobytes())
+    parts = [[held[f"{k}{i}"] for i in range(sum(n.startswith(k) for n in held))] for k in ("tables", "kernels", "bias")]
+    return ToxicityModel(
+        settings, *parts, held["weights"] if "weights" in held else None, plain["offset"], tuple(plain["scale"]),
+        plain["thresholds"],
+    )
+
+
 def _numbered(settings: ToxicitySettings):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = SpanHasher()
