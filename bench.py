@@ -24,7 +24,8 @@ KEYS = [
     "load_samples", "upsert_samples", "surrogate_ids", "required_columns_check", "validate_ranges",
     "quality_report", "describe_column", "points_in_polygons", "points_in_concave_polygons",
     "refresh_sample_counts", "country_full_stats", "association_coverage", "random_sample",
-    "random_sample_large", "country_statistics", "overall_summary", "grouped_kmeans",
+    "random_sample_large", "country_statistics", "overall_summary", "grouped_kmeans", "kmeans_inertia_curve",
+    "cluster_country_samples", "points_in_polygons_shuffled",
     "cluster_sample", "single_cluster_sample", "cluster_report", "stage_performance",
 ]
 

@@ -213,7 +213,7 @@ def center_sums(
         partials = partials.groupBy("model", "j").agg(
             *[F.sum(c).alias(c) for c in ("w", "s_lat", "s_lon", "s_dist")]
         )
-    rows = partials.toPandas()
+    rows = partials.toArrow().to_pandas()
     shared.destroy()
     summed = rows.groupby(["model", "j"], as_index=False, sort=True).sum()
     return summed[summed["w"] > 0]
