@@ -26,9 +26,9 @@ _U64 = np.uint64
 
 @dataclass(frozen=True)
 class ToxicitySettings:
-    sample: int = 3000  # labelled rows of each kind that the network is fitted on, at most; and
-    sample_words: int = 4_000_000  # words of them
-    calibration: int = 4000  # labelled rows that calibrate, at most
+    sample: int = 1500  # labelled rows of each kind that the network is fitted on, at most; and
+    sample_words: int = 2_500_000  # words of them
+    calibration: int = 2500  # labelled rows that calibrate, at most
     hash_bits: int = 18
     prefixes: tuple[int, ...] = (4, 5, 6)  # bytes; each has an embedding beside that of the word
     part: int = 4  # dimensions of each embedding
