@@ -24,17 +24,23 @@ def once(column: Column) -> Column:
     return F.explode(F.array(column))
 
 
-def _json_field(raw: Column, key: str, kind: str = "string") -> Column:
-    """A field of the one JSON object that the text holds; null when it holds anything else.
+def _object(raw: Column, fields: dict[str, str]) -> Column:
+    """Fields (name to type) of the one JSON object that the text holds; null when it holds anything else.
 
     The text is parsed twice, as the only element of an array and as the only field of an object: whatever
     follows the object breaks one of the two. Of repeated keys the last counts.
     """
     strict = {"allowSingleQuotes": "false", "columnNameOfCorruptRecord": "_bad"}
-    inner = f"struct<`{key}`: {kind}>"
-    listed = F.from_json(F.concat(F.lit("["), raw, F.lit("]")), f"array<{inner}>", strict)
-    held = F.from_json(F.concat(F.lit('{"x":'), raw, F.lit("}")), f"x {inner}, _bad string", strict)
-    return F.when((F.size(listed) == 1) & F.isnull(held["_bad"]), listed[0][key])
+    inner = ", ".join(f"`{key}`: {kind}" for key, kind in fields.items())
+    listed = F.from_json(F.concat(F.lit("["), raw, F.lit("]")), f"array<struct<{inner}>>", strict)
+    held = F.from_json(F.concat(F.lit('{"x":'), raw, F.lit("}")), "x struct<_none: string>, _bad string", strict)
+    return F.when(F.isnull(held["_bad"]), F.get(F.filter(F.array(listed), lambda x: F.size(x) == 1), F.lit(0))[0])
+
+
+def _number(text: Column, raw: Column, value_key: str) -> Column:
+    plain = F.regexp_replace(text, r'^"([+-]?(?:NaN|INF|Infinity))"$', "$1")
+    flag = F.when(text.isin("true", "false"), _object(raw, {value_key: "boolean"})[value_key].cast("double"))
+    return F.when(plain.rlike(NUMBER_TEXT), plain.try_cast("double")).otherwise(flag)
 
 
 def measured_number(raw, value_key: str = "value") -> Column:
@@ -43,25 +49,26 @@ def measured_number(raw, value_key: str = "value") -> Column:
     A number may be quoted. The words NaN and Infinity are numbers, true and false are 1 and 0.
     """
     raw = _as_column(raw)
-    text = F.regexp_replace(_json_field(raw, value_key), r'^"([+-]?(?:NaN|INF|Infinity))"$', "$1")
-    flag = F.when(text.isin("true", "false"), _json_field(raw, value_key, "boolean").cast("double"))
-    return F.when(text.rlike(NUMBER_TEXT), text.try_cast("double")).otherwise(flag)
+    parsed = F.array(_object(raw, {value_key: "string"}))
+    return F.transform(parsed, lambda p: _number(p[value_key], raw, value_key))[0]
 
 
 def parse_measurement(raw, value_key: str = "value", method_key: str = "method") -> Column:
     """Struct (soc_percent, soc_method, soc_parsed).
 
     Anything without a usable number counts as 0.0 with an empty method; ``soc_parsed`` tells such
-    rows apart from measured zeros.
+    rows apart from measured zeros. The text is parsed once for all fields.
     """
     raw = _as_column(raw)
-    number = measured_number(raw, value_key)
-    method = F.coalesce(_json_field(raw, method_key), F.lit(""))
-    return F.struct(
-        F.coalesce(number, F.lit(0.0)).alias("soc_percent"),
-        F.when(number.isNotNull(), method).otherwise(F.lit("")).alias("soc_method"),
-        number.isNotNull().alias("soc_parsed"),
-    )
+    parsed = F.array(_object(raw, {value_key: "string", method_key: "string"}))
+    found = F.transform(parsed, lambda p: F.struct(
+        _number(p[value_key], raw, value_key).alias("n"), F.coalesce(p[method_key], F.lit("")).alias("m")
+    ))
+    return F.transform(found, lambda f: F.struct(
+        F.coalesce(f["n"], F.lit(0.0)).alias("soc_percent"),
+        F.when(f["n"].isNotNull(), f["m"]).otherwise(F.lit("")).alias("soc_method"),
+        f["n"].isNotNull().alias("soc_parsed"),
+    ))[0]
 
 
 def clay_fraction(soc) -> Column:
