@@ -2,9 +2,9 @@
 
 A word is the concatenation of hashed embeddings, one of the word itself and one of each of a few prefixes, so
 inflected and compounded forms share parts, and two words only look alike where all their hashes meet. Filters of several widths slide over the words, each filter keeps its largest value over the whole text, and a logistic
-layer weighs them. Only the places of the maxima carry a gradient. The network is fitted on a bounded sample of
-labelled rows, its output is calibrated on another one with the natural share of labels, and thresholds are
-chosen per language there. Language is used for thresholds alone, never for a score.
+layer weighs them. Only the places of the maxima carry a gradient. The network alone is fitted on a bounded sample of
+labelled rows. Every other labelled row is scored and counted by language, score bin and label; the logistic curve of the
+scores and the thresholds per language come from those counts. Language is used for thresholds alone, never for a score.
 """
 
 from __future__ import annotations
@@ -19,7 +19,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from terrafold.llm.arrays import WORD_BYTE, SpanHasher, text_slices, word_spans
+from terrafold.llm.arrays import WORD_BYTE, SpanHasher, mix, text_slices, word_spans
+from terrafold.llm.store import written
 
 _U64 = np.uint64
 
@@ -28,7 +29,9 @@ _U64 = np.uint64
 class ToxicitySettings:
     sample: int = 1500  # labelled rows of each kind that the network is fitted on, at most; and
     sample_words: int = 2_500_000  # words of them
-    calibration: int = 2500  # labelled rows that calibrate, at most
+    bins: int = 256  # of a unit of the network's output, in which labelled rows are counted
+    prior: float = 20.0  # toxic rows that all languages together count as in the threshold of each
+    near: int = 2_000_000  # labels that are broadcast to the texts, at most
     hash_bits: int = 18
     prefixes: tuple[int, ...] = (4, 5, 6)  # bytes; each has an embedding beside that of the word
     part: int = 4  # dimensions of each embedding
@@ -82,6 +85,8 @@ def _pooled(model: ToxicityModel, x: np.ndarray, wide: np.ndarray) -> Iterator[t
         out = np.zeros((len(x), kernel.shape[1]), np.float32)
         for k in range(width):
             out[: len(x) - k] += x[k:] @ kernel[k * size : (k + 1) * size]
+        for k in range(1, width):
+            out[wide[1:] - k] = 0  # these places reach the next row
         yield out, np.maximum(np.maximum.reduceat(out, wide[:-1], axis=0) + bias, 0)
 
 
@@ -170,13 +175,13 @@ def _argmax(out: np.ndarray, wide: np.ndarray) -> np.ndarray:
     return np.stack([out[a:b].argmax(axis=0) + a for a, b in zip(wide[:-1], wide[1:])])
 
 
-def _platt(z: np.ndarray, y: np.ndarray) -> tuple[float, float]:
-    """Slope and offset of a logistic curve through (z, y), by damped Newton steps."""
+def _platt(z: np.ndarray, y: np.ndarray, n: np.ndarray) -> tuple[float, float]:
+    """Slope and offset of a logistic curve through (z, y), each counted n times, by damped Newton steps."""
     a, b = 1.0, 0.0
     for _ in range(50):
         p = _sigmoid(a * z + b)
-        g = np.array([((p - y) * z).sum() + 1e-3 * (a - 1), (p - y).sum() + 1e-3 * b])
-        w = p * (1 - p) + 1e-9
+        g = np.array([(n * (p - y) * z).sum() + 1e-3 * (a - 1), (n * (p - y)).sum() + 1e-3 * b])
+        w = n * (p * (1 - p) + 1e-9)
         h = np.array([[(w * z * z).sum() + 1e-3, (w * z).sum()], [(w * z).sum(), w.sum() + 1e-3]])
         step = np.linalg.solve(h, g)
         step *= min(1, 2 / max(1e-9, np.abs(step).max()))
@@ -184,13 +189,11 @@ def _platt(z: np.ndarray, y: np.ndarray) -> tuple[float, float]:
     return float(max(a, 1e-3)), float(b)
 
 
-def _best_threshold(score: np.ndarray, y: np.ndarray, usual: float) -> float:
-    """The threshold with the best F1; the usual one where it is as good, or where there are few labels."""
-    if y.sum() < 20:
-        return usual
+def _best_threshold(score: np.ndarray, y: np.ndarray, n: np.ndarray, usual: float) -> float:
+    """The threshold with the best F1 over rows counted n times; the usual one where it is as good."""
     def f1(t):
         hit = score >= t
-        return 2 * (hit & (y > 0)).sum() / max(1, hit.sum() + y.sum())
+        return 2 * (n * hit * y).sum() / max(1e-9, (n * hit).sum() + (n * y).sum())
     grid = np.round(np.arange(0.1, 0.91, 0.05), 2)
     best = grid[int(np.argmax([f1(t) for t in grid]))]
     return float(best) if f1(best) > f1(usual) else usual
@@ -199,57 +202,97 @@ def _best_threshold(score: np.ndarray, y: np.ndarray, usual: float) -> float:
 def train(docs: DataFrame, labels: DataFrame, settings: ToxicitySettings = ToxicitySettings()) -> ToxicityModel:
     """Fit on rows of ``docs`` (doc_id, text, lang) that ``labels`` (doc_id, toxic) covers.
 
-    The samples are the rows with the smallest digests of their id, so they do not depend on partitions. Rows with a
-    null label are no labels; an id that is labelled twice counts as toxic if either says so. With labels of one
-    kind only the score is the share of toxic ones.
+    The network sees the rows with the smallest digests of their id, so they do not depend on partitions; a third of
+    the ids, by another digest, is kept from it at any size. Rows with a null label are no labels; an id that is
+    labelled twice counts as toxic if either says so. With labels of one kind only the score is the share of toxic ones.
     """
     known = labels.filter("toxic is not null and doc_id is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     known = known.withColumn("toxic", (F.col("toxic") > 0).cast("int"))
     order = F.xxhash64("doc_id", F.lit(settings.seed))
-    calibrates = F.pmod(F.xxhash64("doc_id", F.lit(settings.seed + 1)), F.lit(3)) == 0
-    parts = [known.filter(~calibrates & (F.col("toxic") == kind)).orderBy(order, "doc_id").limit(n).withColumn("use", F.lit(0))
+    kept = F.pmod(F.xxhash64("doc_id", F.lit(settings.seed + 1)), F.lit(3)) == 0
+    parts = [known.filter(~kept & (F.col("toxic") == kind)).orderBy(order, "doc_id").limit(n)
              for kind, n in ((1, settings.sample), (0, 2 * settings.sample))]
-    parts.append(known.filter(calibrates).orderBy(order, "doc_id").limit(settings.calibration).withColumn("use", F.lit(1)))
-    chosen = parts[0].unionByName(parts[1]).unionByName(parts[2])  # at most 3 * sample + calibration rows
-    texts = docs.select("doc_id", F.lower("text").alias("text"), "lang").join(F.broadcast(chosen), "doc_id")
-    rows = texts.mapInArrow(_numbered(settings), "doc_id long, lang string, toxic int, use int, ids binary")
+    chosen = parts[0].unionByName(parts[1])  # at most 3 * sample rows
+    texts = docs.filter("doc_id is not null").select("doc_id", F.lower("text").alias("text"), F.col("lang").cast("string").alias("lang"))
+    model = _fit(texts, chosen, settings)
+    marked = known.join(F.broadcast(chosen.select("doc_id", F.lit(1).alias("fitted"))), "doc_id", "left").fillna(0, ["fitted"])
+    return calibrated(model, _counted(texts, written(marked, "labels"), model))
+
+
+def _fit(texts: DataFrame, chosen: DataFrame, settings: ToxicitySettings) -> ToxicityModel:
+    """The network of the chosen rows, without a curve and thresholds."""
+    found = written(texts.join(F.broadcast(chosen), "doc_id").drop("lang").mapInArrow(
+        _measured, "doc_id long, text string, toxic int, words int"), "sample")
+    sizes = found.select("words").toArrow().column("words").to_numpy()  # one number per row of the sample
+    rows = found.mapInArrow(_numbered(settings, int(sizes.max(initial=1))), "doc_id long, toxic int, ids binary")
 
     def fit(table: pa.Table) -> pa.Table:
         return pa.table({"body": pa.array([_packed(_fit_rows(table, settings))], pa.binary())})
 
     # The sample is bounded, so one task fits on it, and the driver gets the weights alone.
     done = rows.groupBy(F.lit(0).alias("all")).applyInArrow(fit, "body binary").collect()
-    return _unpacked(done[0].body, settings) if done else _fit_rows(None, settings)
+    return _unpacked(done[0].body, settings) if done else ToxicityModel(settings)
 
 
-def _fit_rows(table: pa.Table | None, settings: ToxicitySettings) -> ToxicityModel:
-    """The calibrated model of the sampled rows (doc_id, lang, toxic, use, ids)."""
-    if table is None:
-        return ToxicityModel(settings, scale=(1.0, 0.0))
-    rows = table.to_pandas().sort_values("doc_id", kind="stable")
-    slots = 1 + len(settings.prefixes)
-    rows["ids"] = [np.frombuffer(b, np.int32).reshape(slots, -1) for b in rows["ids"]]
+def _fit_rows(table: pa.Table, settings: ToxicitySettings) -> ToxicityModel:
+    """The network of the sampled rows (doc_id, toxic, ids)."""
+    rows = table.to_pandas().sort_values(["doc_id", "ids"], kind="stable")
+    rows["ids"] = [np.frombuffer(b, np.int32).reshape(1 + len(settings.prefixes), -1) for b in rows["ids"]]
     rows = rows.iloc[np.random.default_rng(settings.seed).permutation(len(rows))]
-    fitted = rows[(rows["use"] == 0) & (rows["ids"].map(lambda t: t.shape[1]) > 0)]
+    fitted = rows[rows["ids"].map(lambda t: t.shape[1]) > 0]
     fitted = fitted[np.cumsum([t.shape[1] for t in fitted["ids"]]) <= settings.sample_words]
-    model = ToxicityModel(settings)
     y = fitted["toxic"].to_numpy()
-    if len(y) and 0 < y.sum() < len(y):
-        model = fit_network(list(fitted["ids"]), y, settings)
-    tuned = rows[rows["use"] == 1]
-    tuned = tuned if len(tuned) else rows
-    y = tuned["toxic"].to_numpy(dtype=float)
-    bounds = np.cumsum([0, *(t.shape[1] for t in tuned["ids"])])
-    ids = np.concatenate([*tuned["ids"], np.zeros((slots, 0), np.int32)], axis=1)
-    z = np.concatenate([[], *(
-        logits(model, ids[:, bounds[a] : bounds[min(a + 256, len(y))]], bounds[a : a + 257] - bounds[a])
-        for a in range(0, len(y), 256)
-    )])
-    model.scale = _platt(z, y) if len(y) and 0 < y.sum() < len(y) else (1.0, float(np.log((y.sum() + 1) / (len(y) - y.sum() + 1))))
+    return fit_network(list(fitted["ids"]), y, settings) if 0 < y.sum() < len(y) else ToxicityModel(settings)
+
+
+def _counted(texts: DataFrame, marked: DataFrame, model: ToxicityModel) -> pa.Table:
+    """All labelled rows as counts by lang, bin, toxic and fitted. Texts stay where they are; where the labels are too many
+    to broadcast, all texts are scored and only their ids and bins meet the labels."""
+    sent, names = texts.sparkSession.sparkContext.broadcast(model), ["doc_id", "lang", "bin"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hasher, model = SpanHasher(), sent.value
+        for batch in batches:
+            for first, data, offsets in text_slices(batch, "text", 1 << 20):
+                z = logits(model, *word_ids(data, offsets, hasher, model.settings))
+                bins = np.floor(np.clip(z, -40, 40) * model.settings.bins).astype(np.int32)
+                own = batch.slice(first, len(z))
+                yield pa.RecordBatch.from_arrays([own.column(0), own.column(1), pa.array(bins)], names=names)
+
+    few = marked.count() <= model.settings.near
+    if few:
+        texts = texts.join(F.broadcast(marked.select("doc_id")), "doc_id", "left_semi")
+    kind = texts.schema["doc_id"].dataType.simpleString()
+    binned = texts.select("doc_id", "lang", "text").mapInArrow(run, f"doc_id {kind}, lang string, bin int")
+    binned = binned.join(F.broadcast(marked) if few else marked, "doc_id")
+    return binned.groupBy("lang", "bin", "toxic", "fitted").count().toArrow()
+
+
+def calibrated(model: ToxicityModel, counts: pa.Table) -> ToxicityModel:
+    """The model with its curve and a threshold for each language, from the counts (lang, bin, toxic, fitted, count).
+
+    Rows that the network was fitted on are represented by the others of their label, which are weighted so that labels keep their
+    natural share; a label without others is represented by the fitted rows. Each language's rows are joined by those of
+    all languages, at the weight of a fixed number of toxic rows, so a rare language nears the common threshold
+    without a step, and a frequent one has its own.
+    """
+    rows = counts.to_pandas().sort_values(["lang", "bin", "toxic", "fitted"], kind="stable")
+    weight = rows["count"].to_numpy(dtype=float)
+    y, fitted, all_rows = rows["toxic"].to_numpy(dtype=float), rows["fitted"].to_numpy() > 0, weight.copy()
+    for label in (0, 1):
+        own = y == label
+        if weight[own & ~fitted].sum() > 0:
+            weight[own & fitted] = 0
+            weight[own] *= all_rows[own].sum() / weight[own].sum()
+    z = (rows["bin"].to_numpy(dtype=float) + 0.5) / model.settings.bins if model.weights is not None else np.zeros(len(rows))
+    toxic, total = (weight * y).sum(), weight.sum()
+    one_kind = not 0 < toxic < total
+    model.scale = (1.0, float(np.log((toxic + 1) / (total - toxic + 1)))) if one_kind else _platt(z, y, weight)
     score = _sigmoid(model.scale[0] * z + model.scale[1])
-    for lang in sorted({l for l in tuned["lang"] if l is not None}):
-        own = (tuned["lang"] == lang).to_numpy()
-        model.thresholds[lang] = _best_threshold(score[own], y[own], settings.threshold)
+    prior = weight * (model.settings.prior / toxic) if toxic else np.zeros(len(rows))
+    for lang in sorted(set(rows["lang"].dropna())):
+        own = weight * (rows["lang"] == lang).to_numpy()
+        model.thresholds[lang] = _best_threshold(score, y, own + prior, model.settings.threshold)
     return model
 
 
@@ -273,19 +316,31 @@ def _unpacked(body: bytes, settings: ToxicitySettings) -> ToxicityModel:
     )
 
 
-def _numbered(settings: ToxicitySettings):
+def _measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (doc_id, text, toxic) with their number of words."""
+    for batch in batches:
+        words = [np.diff(word_spans(data, offsets, WORD_BYTE)[2]) for _, data, offsets in text_slices(batch, "text")]
+        if words:
+            columns = {n: batch.column(i) for i, n in enumerate(batch.schema.names)}
+            yield pa.RecordBatch.from_arrays(
+                [columns["doc_id"].cast(pa.int64()), columns["text"], columns["toxic"].cast(pa.int32()),
+                 pa.array(np.concatenate(words), pa.int32())], names=["doc_id", "text", "toxic", "words"],
+            )
+
+
+def _numbered(settings: ToxicitySettings, window: int):
+    """Rows (doc_id, text, toxic, words) as bucket numbers: of a window of words, at a place drawn by the id, where there are more."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = SpanHasher()
         for batch in batches:
-            held = []
-            for _, data, offsets in text_slices(batch, "text"):
+            held, keys = [], batch.column(0).to_numpy().astype(_U64)
+            for first, data, offsets in text_slices(batch, "text"):
                 ids, bounds = word_ids(data, offsets, hasher, settings)
-                held += [np.ascontiguousarray(ids[:, a:b]).tobytes() for a, b in zip(bounds[:-1], bounds[1:])]
-            columns = {n: batch.column(i) for i, n in enumerate(batch.schema.names)}
+                spare = np.maximum(np.diff(bounds) - window, 0)
+                starts = bounds[:-1] + (mix(keys[first : first + len(spare)] + _U64(settings.seed)) % (spare + 1).astype(_U64)).astype(np.int64)
+                held += [np.ascontiguousarray(ids[:, a:b]).tobytes() for a, b in zip(starts, np.minimum(starts + window, bounds[1:]))]
             yield pa.RecordBatch.from_arrays(
-                [columns["doc_id"].cast(pa.int64()), columns["lang"].cast(pa.string()), columns["toxic"].cast(pa.int32()),
-                 columns["use"].cast(pa.int32()), pa.array(held, pa.binary())],
-                names=["doc_id", "lang", "toxic", "use", "ids"],
+                [batch.column(0), batch.column(2), pa.array(held, pa.binary())], names=["doc_id", "toxic", "ids"]
             )
 
     return run

@@ -288,6 +288,45 @@ def test_scores_do_not_depend_on_language_or_neighbours(spark, toxic_model):
     assert np.allclose(one.sort_index(), two.sort_index(), atol=1e-6)
 
 
+def test_thresholds_cover_every_labelled_row(spark):
+    rows = [(i, t, "es" if i % 40 == 0 else l, y) for i, t, l, y in toxic_rows(4, 900)]
+    docs, labels = frame(spark, [r[:3] for r in rows]), frame(spark, [(i, y) for i, _, _, y in rows], "doc_id long, toxic int")
+    seen, real = [], toxicity.calibrated
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(toxicity, "calibrated", lambda model, counts: seen.append(counts.to_pandas()) or real(model, counts))
+        models = [toxicity.train(docs, labels, toxicity.ToxicitySettings(hash_bits=12, rounds=2, sample=30, near=n)) for n in (10**6, 0)]
+    for counts in seen:
+        assert counts["count"].sum() == 900 and counts[counts.fitted == 1]["count"].sum() == 90
+    assert models[0].thresholds == models[1].thresholds and models[0].scale == models[1].scale
+    assert set(models[0].thresholds) == {"de", "fr", "es"}
+
+
+def counts_of(cells):
+    return pa.table(dict(zip(("lang", "bin", "toxic", "fitted", "count"), map(list, zip(*cells)))))
+
+
+def test_thresholds_of_rare_languages_near_the_common_one():
+    def model_of(*cells):
+        model = toxicity.ToxicityModel(toxicity.ToxicitySettings(), weights=np.ones(1, np.float32))
+        return toxicity.calibrated(model, counts_of(cells))
+
+    common = [("en", 600, 1, 0, 500), ("en", 0, 0, 0, 450), ("en", 0, 1, 0, 250), ("en", -900, 0, 0, 5000)]
+    rare = model_of(*common, ("es", 600, 1, 0, 1), ("es", 0, 0, 0, 8))
+    assert rare.thresholds["es"] == rare.thresholds["en"] != 0.3
+    many = model_of(*common, ("es", 0, 1, 0, 900), ("es", -900, 0, 0, 3000))
+    assert many.thresholds["es"] < many.thresholds["en"]
+
+
+def test_labels_keep_their_share_when_most_toxic_rows_are_fitted_on():
+    def scale(*cells):
+        model = toxicity.ToxicityModel(toxicity.ToxicitySettings(), weights=np.ones(1, np.float32))
+        return toxicity.calibrated(model, counts_of(cells)).scale
+
+    whole = scale(("en", 300, 1, 0, 90), ("en", -300, 1, 0, 10), ("en", 300, 0, 0, 50), ("en", -300, 0, 0, 950))
+    part = scale(("en", 300, 1, 0, 9), ("en", -300, 1, 0, 1), ("en", 5000, 1, 1, 90), ("en", 300, 0, 0, 50), ("en", -300, 0, 0, 950))
+    assert part == pytest.approx(whole, rel=1e-6)
+
+
 @pytest.mark.parametrize("labels", [[], [(1, 0), (2, 0)], [(1, 1)]])
 def test_labels_of_one_kind(spark, labels):
     model = toxicity.train(frame(spark), frame(spark, labels, "doc_id long, toxic int"), SMALL)
