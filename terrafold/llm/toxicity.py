@@ -28,7 +28,7 @@ _U64 = np.uint64
 @dataclass(frozen=True)
 class ToxicitySettings:
     sample: int = 1500  # labelled rows of each kind that the network is fitted on, at most; and
-    sample_words: int = 2_500_000  # words of them
+    sample_words: int = 2_500_000  # words of them; the longest give a window each, so that all rows fit
     bins: int = 256  # of a unit of the network's output, in which labelled rows are counted
     prior: float = 20.0  # toxic rows that all languages together count as in the threshold of each
     near: int = 2_000_000  # labels that are broadcast to the texts, at most
@@ -224,7 +224,7 @@ def _fit(texts: DataFrame, chosen: DataFrame, settings: ToxicitySettings) -> Tox
     found = written(texts.join(F.broadcast(chosen), "doc_id").drop("lang").mapInArrow(
         _measured, "doc_id long, text string, toxic int, words int"), "sample")
     sizes = found.select("words").toArrow().column("words").to_numpy()  # one number per row of the sample
-    rows = found.mapInArrow(_numbered(settings, int(sizes.max(initial=1))), "doc_id long, toxic int, ids binary")
+    rows = found.mapInArrow(_numbered(settings, window_words(sizes, settings.sample_words)), "doc_id long, toxic int, ids binary")
 
     def fit(table: pa.Table) -> pa.Table:
         return pa.table({"body": pa.array([_packed(_fit_rows(table, settings))], pa.binary())})
@@ -234,13 +234,22 @@ def _fit(texts: DataFrame, chosen: DataFrame, settings: ToxicitySettings) -> Tox
     return _unpacked(done[0].body, settings) if done else ToxicityModel(settings)
 
 
+def window_words(sizes: np.ndarray, budget: int) -> int:
+    """The largest w for which rows of these many words, cut to w each, hold ``budget`` words together; at least 1."""
+    sizes = np.sort(np.asarray(sizes, np.int64))
+    left = budget - np.concatenate([[0], np.cumsum(sizes)])  # when the smallest are taken whole
+    for taken, size in enumerate(sizes):
+        if left[taken] < size * (len(sizes) - taken):
+            return int(max(1, left[taken] // (len(sizes) - taken)))
+    return int(max(1, sizes.max(initial=1)))
+
+
 def _fit_rows(table: pa.Table, settings: ToxicitySettings) -> ToxicityModel:
     """The network of the sampled rows (doc_id, toxic, ids)."""
     rows = table.to_pandas().sort_values(["doc_id", "ids"], kind="stable")
     rows["ids"] = [np.frombuffer(b, np.int32).reshape(1 + len(settings.prefixes), -1) for b in rows["ids"]]
     rows = rows.iloc[np.random.default_rng(settings.seed).permutation(len(rows))]
     fitted = rows[rows["ids"].map(lambda t: t.shape[1]) > 0]
-    fitted = fitted[np.cumsum([t.shape[1] for t in fitted["ids"]]) <= settings.sample_words]
     y = fitted["toxic"].to_numpy()
     return fit_network(list(fitted["ids"]), y, settings) if 0 < y.sum() < len(y) else ToxicityModel(settings)
 

@@ -327,6 +327,20 @@ def test_labels_keep_their_share_when_most_toxic_rows_are_fitted_on():
     assert part == pytest.approx(whole, rel=1e-6)
 
 
+def test_a_long_text_takes_no_row_out_of_the_sample(spark):
+    assert toxicity.window_words(np.array([3, 10**7, 5, 4]), 20) == 8
+    assert toxicity.window_words(np.array([3, 5]), 20) == 5 and toxicity.window_words(np.array([], int), 20) == 1
+    rows = toxic_rows(6, 200)
+    rows += [(10**4 + i, "lorem ipsum " * 4000, "de", 0) for i in range(20)]
+    labels = frame(spark, [(i, y) for i, _, _, y in rows], "doc_id long, toxic int")
+    config = toxicity.ToxicitySettings(hash_bits=12, rounds=6, sample=200, sample_words=6000)
+    model = toxicity.train(frame(spark, [r[:3] for r in rows]), labels, config)
+    asked = toxic_rows(7, 100)
+    got = collected(toxicity.score(frame(spark, [r[:3] for r in asked]), model)).set_index("doc_id")
+    assert model.weights is not None and got.score.nunique() > 1
+    assert sum((got.score[i] >= 0.3) == t for i, _, _, t in asked) >= 85
+
+
 @pytest.mark.parametrize("labels", [[], [(1, 0), (2, 0)], [(1, 1)]])
 def test_labels_of_one_kind(spark, labels):
     model = toxicity.train(frame(spark), frame(spark, labels, "doc_id long, toxic int"), SMALL)
