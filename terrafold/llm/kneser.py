@@ -7,13 +7,14 @@ continuations were seen once, twice or more; what it hands to the next lower ord
 each suffix. Those counts add up over shards, so a context that a third of all tokens share costs each task at most one
 entry per following word.
 
-Each shard is one file: sorted n-gram hashes with counts, and sorted context hashes with totals. Workers map
-the files into memory and look up whole batches by binary search; nothing of the model passes through the driver but
+Each shard is one file: sorted context hashes with totals, and for each context its following words in order with
+counts, in as few bytes as they need. Workers map the files into memory and look up whole batches by binary search; nothing of the model passes through the driver but
 file names, sums and the counts of counts, which have a fixed size per shard.
 """
 
 from __future__ import annotations
 
+import gc
 import json
 import tempfile
 from collections.abc import Iterator
@@ -24,8 +25,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from terrafold.llm.arrays import LOWER, SPACE, SpanHasher, mix, runs, text_slices, word_spans
-from terrafold.llm.store import fresh_folder, local_name, make_folder, put_bytes, read_bytes, written
+from terrafold.llm.arrays import LOWER, SPACE, SpanHasher, mix, ranges, runs, text_slices, word_spans
+from terrafold.llm.store import fresh_folder, local_name, make_folder, put_bytes, read_bytes, remove_folder
 
 _U64 = np.uint64
 END_HASH = _U64(0)  # the end token; hashes of words are never 0
@@ -33,7 +34,7 @@ END_HASH = _U64(0)  # the end token; hashes of words are never 0
 
 @dataclass(frozen=True)
 class ModelSettings:
-    order: int = 2
+    order: int = 3
     shard_tokens: int = 4_000_000  # expected tokens per shard
     flush: int = 3_000_000  # n-grams that a task gathers before it sums and packs them
 
@@ -203,12 +204,18 @@ def train(texts: DataFrame, settings: ModelSettings = ModelSettings()) -> Model:
         [found[s].path if s in found else "" for s in range(shards)],
         [[] for _ in range(settings.order)], [[0.0] * 3 for _ in range(settings.order)],
     )
-    body = texts.mapInArrow(_count_grams(model, settings), "shard int, body binary")
+    del vocabulary
+    _forget(spark)
+    body, spent = texts.mapInArrow(_count_grams(model, settings), "shard int, body binary"), None
     for order in range(settings.order, 0, -1):
         body = _shuffled(body, shards)
-        stored = written(
-            body.groupBy("shard").applyInArrow(_store_grams(folder, model, order), _STORED), f"order-{order}"
-        )
+        place = fresh_folder(spark, f"order-{order}")
+        body.groupBy("shard").applyInArrow(_store_grams(folder, model, order), _STORED).write.parquet(place)
+        if spent:  # the table that this one was made of
+            remove_folder(spent)
+        stored, spent = spark.read.schema(_STORED).parquet(place), place
+        body = None
+        _forget(spark)
         rows = stored.filter("path is not null").drop("body").collect()  # one row per shard
         paths = {r.shard: r.path for r in rows}
         model.grams[order - 1] = [paths.get(s, "") for s in range(shards)]
@@ -216,6 +223,7 @@ def train(texts: DataFrame, settings: ModelSettings = ModelSettings()) -> Model:
         if order == 1:
             model.unigram = {k: sum(r[k] for r in rows) for k in ("total", "k1", "k2", "k3")}
         body = stored.filter("body is not null").select(F.col("to_shard").alias("shard"), "body")
+    remove_folder(spent)
     return model
 
 
@@ -225,6 +233,13 @@ _STORED = (
 )
 
 
+def _forget(spark) -> None:
+    """Let Spark delete the shuffle files of plans that nothing refers to any more; it does so when the driver collects garbage."""
+    gc.collect()
+    if jvm := getattr(getattr(spark, "_sc", None), "_jvm", None):
+        jvm.System.gc()
+
+
 def _shards(texts: DataFrame, settings: ModelSettings) -> int:
     """From the bytes of all texts: about six to a token."""
     size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
@@ -315,7 +330,8 @@ def _count_grams(model: Model, settings: ModelSettings):
 
 
 def packed_grams(shard: np.ndarray, keys: list[np.ndarray], counts: np.ndarray, width: np.dtype) -> Iterator[tuple]:
-    """Like ``packed``, for sorted keys: counts as bytes where they fit, the first column as steps."""
+    """Like ``packed``, for sorted keys: counts as bytes where they fit, the first column as steps, and each column's
+    bytes by significance, so that the high ones compress to nothing."""
     order = np.argsort(shard, kind="stable")
     starts, lengths = runs(shard[order])
     for s, n in zip(starts, lengths):
@@ -325,16 +341,21 @@ def packed_grams(shard: np.ndarray, keys: list[np.ndarray], counts: np.ndarray,
         steps = np.diff(keys[0][own], prepend=keys[0].dtype.type(0))
         columns = [steps, *(k[own] for k in keys[1:])]
         yield int(shard[own[0]]), b"".join(
-            [np.int64(n).tobytes(), *(k.astype(width).tobytes() for k in columns), small.tobytes(), large.tobytes()]
+            [np.int64(n).tobytes(), *(_planes(k.astype(width)) for k in columns), small.tobytes(), large.tobytes()]
         )
 
 
+def _planes(column: np.ndarray) -> bytes:
+    return np.ascontiguousarray(column.view(np.uint8).reshape(-1, column.itemsize).T).tobytes()
+
+
 def unpacked_grams(blobs: list[bytes], columns: int, width: np.dtype) -> tuple[list[np.ndarray], np.ndarray]:
     keys, counts = [[] for _ in range(columns)], []
     for blob in blobs:
         n, at = int(np.frombuffer(blob, np.int64, 1)[0]), 8
         for c in range(columns):
-            column = np.frombuffer(blob, width, n, at)
+            planes = np.frombuffer(blob, np.uint8, n * width.itemsize, at).reshape(width.itemsize, n)
+            column = np.ascontiguousarray(planes.T).reshape(-1).view(width)
             keys[c].append(column if c else np.cumsum(column, dtype=width))
             at += n * width.itemsize
         count = np.frombuffer(blob, np.uint8, n, at).astype(np.int64)
@@ -359,14 +380,19 @@ def _store_grams(folder: str, model: Model, order: int):
             at = np.flatnonzero(change)
             context = gram_hash([k[at] for k in keys[:-1]])
             into = np.argsort(context)
+            sizes = np.diff(np.append(at, len(counts)))[into]
             arrays["context"] = context[into]
-            arrays["total"] = np.add.reduceat(counts, at)[into]
-            for i in (1, 2, 3):
-                arrays[f"k{i}"] = np.add.reduceat((low == i).astype(np.int64), at)[into].astype(np.uint32)
-        hashes = gram_hash(keys)
-        into = np.argsort(hashes)
-        arrays["gram"] = hashes[into]
-        arrays["count"] = counts[into].astype(np.uint32 if counts.max() < 1 << 32 else np.uint64)
+            first = np.cumsum(sizes) - sizes
+            arrays["base"] = first[::_BLOCK].copy()
+            arrays |= _bytes("first", first - np.repeat(arrays["base"], _BLOCK)[: len(first)], np.uint16)
+            arrays |= _bytes("size", sizes) | _bytes("total", np.add.reduceat(counts, at)[into])
+            for i in (2, 3):  # the others were seen once
+                arrays |= _bytes(f"k{i}", np.add.reduceat((low == i).astype(np.int64), at)[into])
+            own = ranges(at[into], sizes)
+        else:
+            own = np.arange(len(counts))
+        arrays["word"] = keys[-1][own]
+        arrays |= _bytes("count", counts[own])
         path = save(f"{folder}/order{order}-{shard}", arrays)
         exact = np.bincount(np.minimum(counts, 5), minlength=6)
         sums = [*(int(exact[i]) for i in range(1, 5)), int(counts.sum()), *(int(kinds[i]) for i in (1, 2, 3))]
@@ -381,6 +407,26 @@ def _store_grams(folder: str, model: Model, order: int):
     return store
 
 
+_BLOCK = 64  # contexts that share a base of their first places
+
+
+def _bytes(name: str, values: np.ndarray, kind=np.uint8) -> dict[str, np.ndarray]:
+    """Values in a narrow type, and those that do not fit by place."""
+    top = np.iinfo(kind).max
+    large = np.flatnonzero(values >= top)
+    return {name: np.minimum(values, top).astype(kind), f"{name}_at": large, f"{name}_large": values[large].astype(np.int64)}
+
+
+def _read(held: Mapped, name: str, place: np.ndarray) -> np.ndarray:
+    """Values of ``_bytes`` at these places."""
+    small = held[name][place]
+    out = small.astype(np.int64)
+    big = np.flatnonzero(small == np.iinfo(small.dtype).max)
+    if len(big):
+        out[big] = held[f"{name}_large"][np.searchsorted(held[f"{name}_at"], place[big])]
+    return out
+
+
 def _discounts(n: list[int]) -> list[float]:
     """Discounts of counts 1, 2 and 3 or more from the counts of counts; plain halves where those are too few."""
     n1, n2, n3, n4 = n
@@ -406,11 +452,11 @@ class Scorer:
         columns = windows(numbers, bounds, model.order, model.words + 1)
         for order in range(1, model.order + 1):
             keys = columns[model.order - order :]
-            distinct, at, back = np.unique(gram_hash(keys), return_index=True, return_inverse=True)
-            chance = self._level(order, [k[at] for k in keys], distinct, chance[at])[back]
+            _, at, back = np.unique(gram_hash(keys), return_index=True, return_inverse=True)
+            chance = self._level(order, [k[at] for k in keys], chance[at])[back]
         return chance
 
-    def _level(self, order: int, keys: list[np.ndarray], grams: np.ndarray, lower: np.ndarray) -> np.ndarray:
+    def _level(self, order: int, keys: list[np.ndarray], lower: np.ndarray) -> np.ndarray:
         """P = (count - discount) / total + (left-over mass) * lower, per distinct n-gram."""
         steps = np.array([0.0, *self.model.discounts[order - 1]])
         out = lower.copy()
@@ -420,7 +466,7 @@ class Scorer:
         starts, lengths = runs(route[by_shard])
         for s, n in zip(starts, lengths):
             own = by_shard[s : s + n]
-            held = self.files[order - 1][route[own[0]]]
+            held, words = self.files[order - 1][route[own[0]]], keys[-1][own]
             if order == 1:
                 u = self.model.unigram
                 total = np.full(n, float(u["total"]))
@@ -430,13 +476,18 @@ class Scorer:
                 continue
             else:
                 place, hit = _find(held["context"], context[own])
-                total = np.where(hit, held["total"][place], 0).astype(float)
-                free = sum(steps[i] * held[f"k{i}"][place] for i in (1, 2, 3))
+                total = np.where(hit, _read(held, "total", place), 0).astype(float)
+                size, k2, k3 = (_read(held, k, place) for k in ("size", "k2", "k3"))
+                free = steps[1] * (size - k2 - k3) + steps[2] * k2 + steps[3] * k3
                 spare = np.where(hit, free / np.maximum(total, 1), 1.0)
             count = np.zeros(n)
             if held is not None:
-                place, hit = _find(held["gram"], grams[own])
-                count[hit] = held["count"][place[hit]]
+                if order == 1:
+                    place, hit = _find(held["word"], words.astype(held["word"].dtype))
+                else:
+                    first = held["base"][place // _BLOCK] + _read(held, "first", place)
+                    place, hit = _within(held["word"], first, np.where(hit, first + size, first), words)
+                count[hit] = _read(held, "count", place[hit])
             gain = np.maximum(count - steps[np.minimum(count, 3).astype(int)], 0)
             out[own] = np.where(total > 0, gain / np.maximum(total, 1), 0) + spare * lower[own]
         return out
@@ -450,6 +501,21 @@ def _find(table: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return place, table[place] == keys
 
 
+def _within(table: np.ndarray, low: np.ndarray, high: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places of the keys in the sorted ranges [low, high) of the table, and whether they are there."""
+    place, end = low.copy(), high.copy()
+    left = np.flatnonzero(place < end)
+    while len(left):
+        middle = (place[left] + end[left]) >> 1
+        less = table[middle] < keys[left]
+        place[left[less]] = middle[less] + 1
+        end[left[~less]] = middle[~less]
+        left = left[place[left] < end[left]]
+    hit = place < high
+    hit[hit] = table[place[hit]] == keys[hit]
+    return place, hit
+
+
 def score(docs: DataFrame, model: Model, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """One row per row: id, n_tokens, n_known, base_score, score (log10 probabilities), perplexity.
 

@@ -40,6 +40,12 @@ def make_folder(path: str) -> str:
     return path
 
 
+def remove_folder(path: str) -> None:
+    """Delete a folder of ``fresh_folder`` that nothing reads any more."""
+    system, inner = _system(path)
+    system.delete_dir(inner)
+
+
 def local_name(path: str) -> str | None:
     """The path for memory mapping if the shared folder is mounted here, else None."""
     system, inner = _system(path)

@@ -158,6 +158,17 @@ def test_language_model_equals_dictionaries(spark, order):
     assert sum(plain.chance(("the", w)[2 - min(order, 2):]) for w in {g[-1] for g in plain.count[1]}) < 1
 
 
+def test_registered_model_sees_two_words_back(spark):
+    """After "a b" always x, after "c b" always y: only a model of three words can tell."""
+    texts = frame(spark, [(i, ("a b x ", "c b y ")[i % 2] * 300) for i in range(20)], "doc_id long, text string")
+    model = kneser.train(texts)
+    got = kneser.score(frame(spark, [(0, "a b x"), (1, "a b y")], "doc_id long, text string"), model).collect()
+    right, wrong = (r.score for r in sorted(got, key=lambda r: r.doc_id))
+    assert model.order >= 3 and right > wrong + 1
+    plain = PlainModel([r.text for r in texts.collect()], 3)  # counts beyond a byte
+    assert [right, wrong] == pytest.approx([plain.score("a b x"), plain.score("a b y")], rel=1e-9)
+
+
 def test_counts_beyond_a_byte_survive_packing():
     keys, counts = [np.arange(5, dtype=np.uint32), np.arange(5, dtype=np.uint32)[::-1].copy()], np.array([1, 254, 255, 256, 10**9])
     (_, body), = kneser.packed_grams(np.zeros(5, np.int64), keys, counts, np.dtype(np.uint32))
