@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+import zlib
+
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from terrafold.llm import chat, decontaminate, exact, jaccard, kneser, langid, packing, suffixes, toxicity, urls
+from terrafold.llm import (
+    chat, decontaminate, divergence, exact, jaccard, kneser, langid, packing, pages, runs, suffixes, toxicity, urls,
+)
 
 QUERIES = {}
 ORACLES = {}
@@ -161,3 +166,70 @@ def op8_toxicity(spark, folder):
         "doc_id", F.coalesce(fold(scored, 4) == 2, F.lit(False)).alias("held_out"), "score",
         (F.col("score") >= 0.3).cast("int").alias("predicted"), "flagged",
     )
+
+
+@query
+def op11_source_divergence(spark, folder):
+    """The divergence between the sources of every language, and the terms that set each source apart."""
+    return divergence.divergence(table(spark, folder, "documents"))
+
+
+_TERM = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"
+ORACLES["op11_source_divergence"] = f"""
+with texts as (
+  select row_number() over () as id, coalesce(lang, '') as lang, coalesce(source, '') as source, coalesce(text, '') as text from documents
+), grps as (select distinct lang, source from texts
+), words as (
+  select id, lang, source, unnest(regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{_TERM}')) as term from texts
+), kept as (select lang, term, count(*) as n from words group by lang, term having count(distinct id) >= {divergence.DivergenceSettings().documents}
+), size as (select lang, count(*) as v, sum(n) as total from kept group by lang
+), counted as (select lang, source, term, count(*) as n from words semi join kept using (lang, term) group by all
+), total as (select lang, source, sum(n) as total from counted group by all
+), cells as (
+  select g.lang, g.source, k.term, coalesce(c.n, 0) as n,
+    1 + cast({divergence.SCALE} as hugeint) * (coalesce(c.n, 0) + 1) // (coalesce(t.total, 0) + s.v) as p,
+    1 + cast({divergence.SCALE} as hugeint) * (k.n + 1) // (s.total + s.v) as q
+  from grps g join kept k using (lang) join size s using (lang)
+  left join total t using (lang, source) left join counted c using (lang, source, term)
+), pairs as (
+  select a.lang, a.source, b.source as item, sum((a.p - b.p) * (a.p - b.p) // b.p) as value
+  from cells a join cells b on a.lang = b.lang and a.term = b.term and a.source <> b.source group by all
+), every as (
+  select a.lang, a.source, 'pair' as part, b.source as item, cast(coalesce(p.value, 0) as bigint) as value
+  from grps a join grps b on a.lang = b.lang and a.source <> b.source
+  left join pairs p on p.lang = a.lang and p.source = a.source and p.item = b.source
+  union all
+  select lang, source, 'term', term, cast((p - q) * (p - q) // q as bigint) from cells where n > 0 and p > q
+), ranked as (
+  select *, cast(row_number() over (partition by lang, source, part order by value desc, item) as integer) as rank from every)
+select lang, source, part, item, value, rank from ranked where part = 'pair' or rank <= {divergence.DivergenceSettings().ranks}
+"""
+
+
+@query
+def op12_html_extraction(spark, folder):
+    """The main text of every page."""
+    return pages.extract_pages(table(spark, folder, "pages"))
+
+
+def planted_tails(ids: list, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First word and period of the tail that a document with a checksum divisible by ten repeats; no id, no tail."""
+    checksum = np.array([0xFFFFFFFF if i is None else zlib.crc32(str(i).encode()) for i in ids], np.int64)
+    chosen = (checksum % 10 == 0) & (n > 0) & np.array([i is not None for i in ids], bool)
+    g = checksum // 10
+    first = np.where(chosen, g % np.maximum(n, 1), 0)
+    return first, np.where(chosen, 1 + (n - first) // (3 + g % 8), 0)
+
+
+@query
+def op13_periodic_runs(spark, folder):
+    """The periodic runs of every document, some of which get a periodic tail first."""
+    found = runs.find_runs(table(spark, folder, "documents"), rewrite=planted_tails)
+    longest = F.array_max(F.transform("runs", lambda r: F.struct(r.length.alias("length"), (-r.start).alias("start"), (-r.period).alias("period"))))
+    lines = F.transform("runs", lambda r: F.concat_ws(",", r.start, r.length, F.concat(r.period.cast("string"), F.lit("\n"))))
+    return found.withColumn("longest", longest).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), (-F.col("longest.start")).alias("start"), F.col("longest.length").alias("length"),
+        (-F.col("longest.period")).alias("period"), F.expr("1000 * longest.length div -longest.period").alias("exponent_milli"),
+        F.sha2(F.concat_ws("", lines), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
