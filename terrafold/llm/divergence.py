@@ -41,7 +41,7 @@ class DivergenceSettings:
     ranks: int = 200  # of the term report
     digest_bits: int = 64  # narrower ones collide; for tests
     shard_tokens: int = 3_000_000  # expected tokens per shard of the digest space
-    flush: int = 2_000_000  # entries that a task gathers before it adds and packs them
+    flush: int = 1_000_000  # entries that a task gathers before it adds and packs them
     filter_bits: int = 25  # the bit filter of kept digests has 2 ** filter_bits bits
 
 
@@ -76,8 +76,7 @@ def kept_counts(docs: DataFrame, settings: DivergenceSettings) -> tuple[DataFram
     shards = int(size // 6 // settings.shard_tokens) + 4
     packed = docs.mapInArrow(_count(settings, shards), "shard int, body binary").repartition(shards, "shard")
     kept = written(packed.groupBy("shard").applyInArrow(_keep(settings), _KEPT), "kept-digests")
-    strings = _strings(docs, settings, _bit_filter(kept.select("digest"), settings), every=False)
-    words = written(strings.groupBy("digest").agg(F.min("low").alias("low"), F.max("high").alias("high")), "kept-words")
+    words = written(_words(docs, settings, _bit_filter(kept.select("digest"), settings)), "kept-words")
     shared = words.filter("low < high").select("digest")
     plain = kept.select("lang", "digest", F.lit(0).alias("part"), "source", "n", "all_n", "first", F.lit(None).cast("string").alias("text"))
     if not shared.isEmpty():
@@ -246,72 +245,84 @@ def _bit_filter(digests: DataFrame, settings: DivergenceSettings) -> bytes:
     return bytes(out)
 
 
-def _strings(docs: DataFrame, settings: DivergenceSettings, held: bytes, every: bool) -> DataFrame:
-    """digest, low, high: the least and greatest term of each digest that the filter lets through, per task and flush; or
-    (``every``) lang, source, digest, term, n, docs."""
+def _words(docs: DataFrame, settings: DivergenceSettings, held: bytes) -> DataFrame:
+    """digest, low, high: the least and greatest term of each digest that the filter lets through.
+
+    A task passes on a term when it first meets it; later it knows it by two 64-bit digests.
+    """
     drop = _U64(settings.digest_bits - min(settings.filter_bits, settings.digest_bits))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher, mask = SpanHasher(), np.frombuffer(held, np.uint8)
-        seen: dict = {}
+        known = np.zeros((2, 0), _U64)
+        for batch in batches:
+            for _, data, offsets in text_slices(batch, "text"):
+                low, starts, ends, digest, _ = _term_hashes(data, offsets, hasher, settings.digest_bits)
+                at = _passed(digest >> drop, mask)
+                at = at[np.argsort(digest[at], kind="stable")]
+                pair = np.stack([digest[at], hasher(~low, starts[at], ends[at])])
+                new = np.append(True, (pair[:, 1:] != pair[:, :-1]).any(axis=0))[: len(at)]
+                at, pair = at[new], pair[:, new]
+                if known.shape[1]:
+                    place = np.minimum(np.searchsorted(known[0], pair[0]), known.shape[1] - 1)
+                    fresh = (known[:, place] != pair).any(axis=0)
+                    at, pair = at[fresh], pair[:, fresh]
+                if not len(at):
+                    continue
+                known = np.concatenate([known if known.shape[1] < settings.flush else known[:, :0], pair], axis=1)
+                known = known[:, np.argsort(known[0], kind="stable")]
+                size = ends[at] - starts[at]
+                text = pa.LargeStringArray.from_buffers(
+                    len(at), pa.py_buffer(np.concatenate([[0], np.cumsum(size)]).astype(np.int64)), pa.py_buffer(low[ranges(starts[at], size)])
+                )
+                yield pa.RecordBatch.from_arrays([pa.array(digest[at].view(np.int64)), text.cast(pa.string())], names=["digest", "term"])
+
+    terms = docs.mapInArrow(run, "digest long, term string")
+    return terms.groupBy("digest").agg(F.min("term").alias("low"), F.max("term").alias("high"))
+
+
+def _passed(place: np.ndarray, mask: np.ndarray) -> np.ndarray:
+    """Which places of the bit filter are set."""
+    return np.flatnonzero((mask[(place >> _U64(3)).astype(np.int64)] >> (place & _U64(7)).astype(np.uint8)) & 1)
+
+
+def _counted_by_text(docs: DataFrame, settings: DivergenceSettings, held: bytes) -> DataFrame:
+    """lang, source, digest, term, n, docs of the terms that the filter lets through, per task and flush."""
+    drop = _U64(settings.digest_bits - min(settings.filter_bits, settings.digest_bits))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hasher, mask, seen = SpanHasher(), np.frombuffer(held, np.uint8), {}
 
         def out() -> pa.RecordBatch:
-            if every:
-                keys = list(seen)
-                columns = [pa.array([k[i] for k in keys]) for i in range(2)]
-                columns += [pa.array(np.array([k[2] for k in keys], _U64).view(np.int64)), pa.array([k[3].decode() for k in keys])]
-                columns += [pa.array([seen[k][i] for k in keys], pa.int64()) for i in range(2)]
-                return pa.RecordBatch.from_arrays(columns, names=["lang", "source", "digest", "term", "n", "docs"])
-            return pa.RecordBatch.from_arrays(
-                [pa.array(np.array(list(seen), _U64).view(np.int64)), pa.array([a.decode() for a, _ in seen.values()]),
-                 pa.array([b.decode() for _, b in seen.values()])], names=["digest", "low", "high"],
-            )
+            keys = list(seen)
+            columns = [pa.array([k[i] for k in keys]) for i in range(2)]
+            columns += [pa.array(np.array([k[2] for k in keys], _U64).view(np.int64)), pa.array([k[3].decode() for k in keys])]
+            columns += [pa.array([seen[k][i] for k in keys], pa.int64()) for i in range(2)]
+            return pa.RecordBatch.from_arrays(columns, names=["lang", "source", "digest", "term", "n", "docs"])
 
         for batch in batches:
-            names = list(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())) if every else []
+            names = list(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()))
             for first, data, offsets in text_slices(batch, "text"):
                 low, starts, ends, digest, row = _term_hashes(data, offsets, hasher, settings.digest_bits)
-                place = digest >> drop
-                use = np.flatnonzero((mask[(place >> _U64(3)).astype(np.int64)] >> (place & _U64(7)).astype(np.uint8)) & 1)
-                if every:
-                    last = {}
-                    for i in use.tolist():
-                        key = (*names[first + row[i]], int(digest[i]), low[starts[i] : ends[i]].tobytes())
-                        entry = seen.setdefault(key, [0, 0])
-                        entry[0] += 1
-                        entry[1] += last.get(key) != row[i]
-                        last[key] = row[i]
-                else:
-                    for i in _distinct(low, starts, ends, digest, use):
-                        word, key = low[starts[i] : ends[i]].tobytes(), int(digest[i])
-                        a, b = seen.get(key, (word, word))
-                        seen[key] = (min(a, word), max(b, word))
-                if len(seen) > settings.flush // 4:
+                last = {}
+                for i in _passed(digest >> drop, mask).tolist():
+                    key = (*names[first + row[i]], int(digest[i]), low[starts[i] : ends[i]].tobytes())
+                    entry = seen.setdefault(key, [0, 0])
+                    entry[0] += 1
+                    entry[1] += last.get(key) != row[i]
+                    last[key] = row[i]
+                if len(seen) > settings.flush // 8:
                     yield out()
                     seen.clear()
         if seen:
             yield out()
 
-    schema = "lang string, source string, digest long, term string, n long, docs long" if every else "digest long, low string, high string"
-    return docs.mapInArrow(run, schema)
-
-
-def _distinct(low: np.ndarray, starts: np.ndarray, ends: np.ndarray, digest: np.ndarray, use: np.ndarray) -> list[int]:
-    """One occurrence of every (digest, bytes): the first of each digest, and all that differ from it."""
-    _, first, like = np.unique(digest[use], return_index=True, return_inverse=True)
-    rep = use[first[like]]
-    size = (ends - starts)[use]
-    same = size == (ends - starts)[rep]
-    at = np.flatnonzero(same)
-    differs = low[ranges(starts[use[at]], size[at])] != low[ranges(starts[rep[at]], size[at])]
-    if differs.any():
-        same[at[np.repeat(np.arange(len(at)), size[at])[differs]]] = False
-    return [*use[first].tolist(), *use[~same].tolist()]
+    return docs.mapInArrow(run, "lang string, source string, digest long, term string, n long, docs long")
 
 
 def _split(docs: DataFrame, shared: DataFrame, settings: DivergenceSettings) -> DataFrame:
     """Kept terms of shared digests, counted by text."""
-    terms = _strings(docs, settings, _bit_filter(shared, settings), every=True).join(lookup_side(shared), "digest", "left_semi")
+    terms = _counted_by_text(docs, settings, _bit_filter(shared, settings)).join(lookup_side(shared), "digest", "left_semi")
     counted = written(
         terms.groupBy("lang", "source", "digest", "term").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs")), "shared-terms"
     )
