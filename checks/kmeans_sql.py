@@ -35,15 +35,26 @@ prof as materialized (
   select g, count(*) as n, (var_pop(lat) + var_pop(lon)) / 2 as spread from pts group by g),
 specs as materialized ({specs}),
 places as materialized (
-  select g, lat, lon, count(*) as w, min(id) as tag from pts group by g, lat, lon),
-ranked as materialized (
-  select * from (
-    select p.g, t.r, p.lat, p.lon,
-           row_number() over (partition by p.g, t.r order by -ln(
-             (cast(concat('0x', substr(md5(concat({seed} + t.r, ':', p.tag)), 1, 13)) as ubigint) + 0.5)
-             / 4503599627370496) / p.w, p.tag) as rk
-    from places p cross join range({restarts}) t(r)) x
-  where rk <= (select max(k) from specs)),
+  select g, lat, lon, count(*) as w from pts group by g, lat, lon),
+tops as materialized (select g, max(k) as top from specs group by g),
+waits as materialized (
+  select p.*, t.r, -ln((cast(concat('0x', substr(md5(concat({seed} + t.r, ':', cast(floor(lat * 1000000) as bigint), ':',
+           cast(floor(lon * 1000000) as bigint))), 1, 13)) as ubigint) + 0.5) / 4503599627370496) as e
+  from places p cross join range({restarts}) t(r)),
+draws as (
+  select 0 as s, g, r, lat, lon, w, e, cast(null as double) as d2, cast(null as double) as plat, cast(null as double) as plon
+  from waits
+  union all
+  select s + 1, g, r, lat, lon, w, e,
+         least((lat - nlat) * (lat - nlat) + (lon - nlon) * (lon - nlon), coalesce(d2, cast('infinity' as double))), nlat, nlon
+  from (
+    select *, first_value(lat) over best as nlat, first_value(lon) over best as nlon, first_value(key) over best as least_key
+    from (
+      select d.*, case when d2 is null then e / w when d2 > 0 then e / (w * d2) else cast('infinity' as double) end as key
+      from draws d join tops t on t.g = d.g and d.s < t.top) k
+    window best as (partition by g, r order by key, lat, lon)) b
+  where least_key < cast('infinity' as double)),
+ranked as materialized (select distinct g, r, s as rk, plat as lat, plon as lon from draws where s > 0),
 seeds as materialized (
   select s.g, s.k, q.r, p.spread * {tolerance} as lim,
          list(round(q.lat, 9) order by q.rk) as clat, list(round(q.lon, 9) order by q.rk) as clon
@@ -56,26 +67,37 @@ lloyd as (
          list_sum([(nlat[j]-clat[j])*(nlat[j]-clat[j]) + (nlon[j]-clon[j])*(nlon[j]-clon[j])
                    for j in range(1, len(clat) + 1)]) <= lim
   from (
-    select c.it + 1 as it, c.g, c.k, c.r, c.lim,
-           list(c.lat order by c.j) as clat, list(c.lon order by c.j) as clon,
-           list(coalesce(m.lat, c.lat) order by c.j) as nlat,
-           list(coalesce(m.lon, c.lon) order by c.j) as nlon
-    from (
-      select it, g, k, r, lim, unnest(range(1, len(clat) + 1)) as j,
+    with cur as (
+      select it + 1 as it, g, k, r, lim, unnest(range(1, len(clat) + 1)) as j,
              unnest(clat) as lat, unnest(clon) as lon
-      from lloyd where not done and it < {max_iter}) c
-    left join (
-      select g, k, r, j, round(avg(lat), 9) as lat, round(avg(lon), 9) as lon
+      from lloyd where not done and it < {max_iter}),
+    near as (
+      select g, k, r, lat, lon, w, list_position(d, list_min(d)) as j, list_min(d) as dist
       from (
-        select lat, lon, g, k, r, list_position(d, list_min(d)) as j
-        from (
-          select p.lat, p.lon, l.g, l.k, l.r,
-                 [(p.lat-l.clat[j])*(p.lat-l.clat[j]) + (p.lon-l.clon[j])*(p.lon-l.clon[j])
-                  for j in range(1, len(l.clat) + 1)] as d
-          from lloyd l join pts p on p.g = l.g
-          where not l.done and l.it < {max_iter}) b) a
-      group by g, k, r, j) m
-    on m.g = c.g and m.k = c.k and m.r = c.r and m.j = c.j
+        select p.lat, p.lon, p.w, l.g, l.k, l.r,
+               [(p.lat-l.clat[j])*(p.lat-l.clat[j]) + (p.lon-l.clon[j])*(p.lon-l.clon[j])
+                for j in range(1, len(l.clat) + 1)] as d
+        from lloyd l join places p on p.g = l.g
+        where not l.done and l.it < {max_iter}) b),
+    m as (
+      select g, k, r, j, round(sum(w * lat) / sum(w), 9) as lat, round(sum(w * lon) / sum(w), 9) as lon
+      from near group by g, k, r, j),
+    gone as (
+      select g, k, r, j, row_number() over (partition by g, k, r order by j) as rk
+      from cur anti join m using (g, k, r, j)),
+    far as (
+      select g, k, r, lat, lon, row_number() over (partition by g, k, r order by dist desc, lat, lon) as rk
+      from near semi join gone using (g, k, r)),
+    sent as (
+      select e.g, e.k, e.r, e.j, round(f.lat, 9) as lat, round(f.lon, 9) as lon
+      from gone e join far f on f.g = e.g and f.k = e.k and f.r = e.r and f.rk = e.rk)
+    select c.it, c.g, c.k, c.r, c.lim,
+           list(c.lat order by c.j) as clat, list(c.lon order by c.j) as clon,
+           list(coalesce(m.lat, t.lat, c.lat) order by c.j) as nlat,
+           list(coalesce(m.lon, t.lon, c.lon) order by c.j) as nlon
+    from cur c
+    left join m on m.g = c.g and m.k = c.k and m.r = c.r and m.j = c.j
+    left join sent t on t.g = c.g and t.k = c.k and t.r = c.r and t.j = c.j
     group by c.it, c.g, c.k, c.r, c.lim) u),
 final as materialized (
   select g, k, r, arg_max(clat, it) as clat, arg_max(clon, it) as clon

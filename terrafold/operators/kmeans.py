@@ -1,20 +1,27 @@
 """k-means over many (group, k, restart) models at once.
 
-Rows are spread by location, never by group, so a dominant group is as parallel as any other. Every
-iteration is one Spark job: tasks find the nearest centre of each location under all models of its
-group and add up coordinates per centre; only those sums (one row per centre and task) are shuffled.
-The new centres go back out as a broadcast. Models are fitted in passes of at most ``max_centers`` centres, or of one
+Rows are collapsed to one per distinct location and group and laid out along a space-filling curve in blocks of neighbours.
+Blocks are dealt by range, never by group, so a group with most of the rows is as parallel as any other. All models of
+a pass advance together; an iteration is one Spark job that returns at most one row of sums per centre and task,
+and the new centres go back out as a broadcast. Models are fitted in passes of at most ``max_centers`` centres, or of one
 model if that has more; how they are dealt to passes does not show in the result.
 
-A model starts from distinct locations, drawn without replacement in proportion to their rows, so no two
-centres start on one spot. A group with fewer locations than wanted centres gets one centre for each.
+The nearest centre comes from the blocks: of a model's centres only those can win in a block that are no farther from its
+box than the least of all greatest distances. Where one centre is left the block's sums are added as they are; else
+the points of the block are compared with the few that are left, for many models in one numpy step.
 
-The nearest-centre step works on Arrow batches with numpy: on 66 million distances a first version
-took 0.6 s where the same step as higher-order array functions took 5.9 s (local[8]).
+Restarts begin with distance-weighted draws. A location with w rows has a seeded exponential number e; the next
+starting location is the one with the least e / (w * d2), d2 being the squared distance to the nearest one drawn so far. These
+keys only grow as more are drawn, so a pass over the data that brings back the least few keys of each task settles all draws up to
+the least key left behind. The draws for k centres are the first k of those for more.
+
+A centre that loses its members moves to the location that is farthest from its own centre. A group with fewer
+locations than wanted centres gets one centre for each.
 """
 
 from __future__ import annotations
 
+import hashlib
 import sys
 from collections import defaultdict
 from dataclasses import dataclass, field
@@ -27,17 +34,19 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from terrafold import defaults as D
-from terrafold.functions.measurement import once, sample_key
-from terrafold.operators.ranking import first_by
-from terrafold.session import cut_lineage, lookup_side
+from terrafold.functions.measurement import once
+from terrafold.session import cut_lineage
 
 # Tasks get the functions below by value, so executors need no copy of this package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 DECIMALS = 9  # centres are rounded so that the order of additions cannot show
-BLOCK_ROWS = 50_000  # rows a task looks at together
+BLOCK_POINTS = 256  # neighbouring locations that are compared with one set of centres
+MODEL_CHUNK = 128  # models that are compared with a block in one step
+FEW_CENTERS = 24  # up to so many are compared with every row of a labelling step
 STEP_CENTERS = 200_000  # centres that one pass of an assignment step looks at
-SEED_SLACK = 64  # rows kept above the digest bar beyond four times the wanted ones
+DRAWN_KEYS = 64  # least keys that a task brings back for each sequence of draws
+CURVE_BITS = 20  # of each coordinate along the space-filling curve
 MAX_PARTIAL_ROWS = 500_000  # rows a step may return without a shuffle
 
 
@@ -99,13 +108,26 @@ class _Batch:
 def nearest(lat: np.ndarray, lon: np.ndarray, clat: np.ndarray, clon: np.ndarray):
     """Index of the nearest centre per row (lowest on ties) and its squared distance.
 
-    Centres are visited one after another over whole coordinate arrays, which stays in vector
-    instructions and needs no rows x centres matrix.
+    Few centres are visited one after another over whole coordinate arrays. With more, rows are taken in blocks of
+    neighbours, and a block visits only the centres that can win in its box.
     """
-    index = np.zeros(len(lat), dtype=np.int64)
-    best = (lat - clat[0]) ** 2 + (lon - clon[0]) ** 2
+    if len(clat) <= FEW_CENTERS or len(lat) <= FEW_CENTERS:
+        return _visit(lat, lon, clat, clon, np.arange(len(clat)))
+    index, best = np.zeros(len(lat), dtype=np.int64), np.zeros(len(lat))
+    order = np.argsort(curve_place(lat, lon, (lat.min(), lat.max(), lon.min(), lon.max())), kind="stable")
+    one = np.zeros(1, np.int64)
+    for at in range(0, len(order), BLOCK_POINTS):
+        rows = order[at : at + BLOCK_POINTS]
+        keep = np.flatnonzero(can_win(lat[rows], lon[rows], clat, clon, one)[0])
+        index[rows], best[rows] = _visit(lat[rows], lon[rows], clat, clon, keep)
+    return index, best
+
+
+def _visit(lat, lon, clat, clon, numbers: np.ndarray):
+    index = np.full(len(lat), numbers[0], dtype=np.int64)
+    best = (lat - clat[numbers[0]]) ** 2 + (lon - clon[numbers[0]]) ** 2
     d, e = np.empty_like(best), np.empty_like(best)
-    for j in range(1, len(clat)):
+    for j in numbers[1:]:
         np.subtract(lat, clat[j], out=d)
         np.multiply(d, d, out=d)
         np.subtract(lon, clon[j], out=e)
@@ -116,17 +138,88 @@ def nearest(lat: np.ndarray, lon: np.ndarray, clat: np.ndarray, clon: np.ndarray
     return index, best
 
 
-def _blocks(batches):
-    """Arrow batches joined to blocks of about BLOCK_ROWS rows, as numpy columns."""
-    held, rows = [], 0
+def curve_place(lat: np.ndarray, lon: np.ndarray, box: tuple) -> np.ndarray:
+    """Place along a space-filling curve through the box: the bits of both coordinates in turn."""
+    def spread(values, low, high):
+        top = (1 << CURVE_BITS) - 1
+        x = np.clip((values - low) / ((high - low) or 1.0) * top, 0, top).astype(np.int64)
+        for shift, mask in ((16, 0x0000FFFF0000FFFF), (8, 0x00FF00FF00FF00FF), (4, 0x0F0F0F0F0F0F0F0F), (2, 0x3333333333333333),
+                            (1, 0x5555555555555555)):
+            x = (x | (x << shift)) & mask
+        return x
+
+    return spread(lat, *box[:2]) << 1 | spread(lon, *box[2:])
+
+
+def can_win(lat, lon, clat, clon, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Which centres can be nearest to a point of the box of the given ones, and how many that are of each model.
+
+    ``starts`` are the places of the models' first centres. No centre that is exactly as near as another is left out.
+    """
+    def reach(values, centers):
+        low, high = values.min(), values.max()
+        inner = np.maximum(np.maximum(low - centers, centers - high), 0.0)
+        outer = np.maximum(np.abs(centers - low), np.abs(centers - high))
+        return inner * inner, outer * outer
+
+    near, far = reach(lat, clat)
+    near_lon, far_lon = reach(lon, clon)
+    near += near_lon
+    far += far_lon
+    bound = np.minimum.reduceat(far, starts) * (1 + 1e-12)  # rounding must not lose a tie
+    keep = near <= np.repeat(bound, np.diff(np.append(starts, len(clat))))
+    return keep, np.add.reduceat(keep, starts)
+
+
+def winners(lat, lon, clat, clon, first: np.ndarray, count: np.ndarray):
+    """Per model and point the place among the model's candidates (lowest on ties), and the squared distance.
+
+    Candidates of model m are ``count[m]`` centres from ``first[m]`` on; counts descend.
+    """
+    best = (lat - clat[first][:, None]) ** 2 + (lon - clon[first][:, None]) ** 2
+    place = np.zeros(best.shape, dtype=np.int64)
+    for j in range(1, int(count[0])):
+        m = int(np.searchsorted(-count, -j, side="left"))  # models with more than j candidates
+        d = (lat - clat[first[:m] + j][:, None]) ** 2 + (lon - clon[first[:m] + j][:, None]) ** 2
+        less = d < best[:m]
+        np.copyto(best[:m], d, where=less)
+        np.copyto(place[:m], j, where=less)
+    return place, best
+
+
+class _Stack:
+    """The centres of a group's models, one after the other."""
+
+    def __init__(self, models: list):
+        self.numbers = np.array([m for m, _, _ in models], np.int64)
+        self.lat = np.concatenate([lat for _, lat, _ in models])
+        self.lon = np.concatenate([lon for _, _, lon in models])
+        sizes = np.array([len(lat) for _, lat, _ in models])
+        self.sizes, self.starts = sizes, np.cumsum(sizes) - sizes
+
+    def compared(self, lat, lon, alone: bool):
+        """(models, first candidates, counts, candidates) in chunks with descending counts. With ``alone`` the first
+        item is instead the centres that win the whole block for their models, the second one None."""
+        keep, count = can_win(lat, lon, self.lat, self.lon, self.starts)
+        candidates = np.flatnonzero(keep)
+        first = np.cumsum(count) - count
+        use = np.arange(len(count))
+        if alone:
+            yield candidates[first[count == 1]], None, None, candidates
+            use = use[count > 1]
+        use = use[np.argsort(-count[use], kind="stable")]
+        for at in range(0, len(use), MODEL_CHUNK):
+            part = use[at : at + MODEL_CHUNK]
+            yield part, first[part], count[part], candidates
+
+
+def _point_blocks(batches):
+    """(group, lat, lon, w) of every block."""
     for batch in batches:
-        held.append(batch)
-        rows += batch.num_rows
-        if rows >= BLOCK_ROWS:
-            yield pa.Table.from_batches(held).combine_chunks()
-            held, rows = [], 0
-    if rows:
-        yield pa.Table.from_batches(held).combine_chunks()
+        groups = batch.column(0).to_pylist()
+        lists = [batch.column(i) for i in (1, 2, 3)]
+        for i, group in enumerate(groups):
+            yield group, *(c[i].values.to_numpy() for c in lists)
 
 
 def usable_rows(samples: DataFrame, *columns: str) -> DataFrame:
@@ -145,27 +238,78 @@ def _slices(codes: np.ndarray, n: int):
     return [order[a:b] for a, b in zip(cuts[:-1], cuts[1:])]
 
 
-def distinct_locations(samples: DataFrame, group_col: str, parts: int) -> DataFrame:
-    """(grp, lat, lon, w, tag): equal locations collapsed, spread evenly over the tasks.
+def location_blocks(samples: DataFrame, parts: int) -> DataFrame:
+    """(grp, lat, lon, w), the last three as arrays: equal locations collapsed, neighbours together.
 
-    The count is pre-aggregated before the shuffle, so a heavily repeated location stays one row per
-    task. Sorting by group inside a partition makes Arrow batches mostly single-group.
+    The count is pre-aggregated before the shuffle, so a heavily repeated location stays one row per task. Rows are dealt by
+    ranges of (group, place along the curve); a block never holds two groups.
     """
+    spark = samples.sparkSession
+    single = (
+        usable_rows(samples, "grp", "latitude", "longitude")
+        .groupBy("grp", F.col("latitude").alias("lat"), F.col("longitude").alias("lon"))
+        .agg(F.count(F.lit(1)).cast("double").alias("w"))
+    )
+    single = cut_lineage(single)
+    box = single.agg(F.min("lat"), F.max("lat"), F.min("lon"), F.max("lon")).first()
+    kind = single.schema["grp"].dataType.simpleString()
+
+    def placed(batches):
+        for batch in batches:
+            lat, lon = batch.column(1).to_numpy(), batch.column(2).to_numpy()
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns, pa.array(curve_place(lat, lon, tuple(box)))], names=["grp", "lat", "lon", "w", "place"]
+            )
+
+    def packed(batches):
+        held = None
+        for batch in batches:
+            table = pa.Table.from_batches([batch] if held is None else [held, batch]).combine_chunks()
+            yield from _packed(table, last=False)
+            held = _open_end(table)
+        if held is not None:
+            yield from _packed(pa.Table.from_batches([held]), last=True)
+
     return (
-        usable_rows(samples, group_col, "latitude", "longitude")
-        .groupBy(
-            F.col(group_col).alias("grp"),
-            F.col("latitude").alias("lat"),
-            F.col("longitude").alias("lon"),
-        )
-        .agg(F.count(F.lit(1)).cast("double").alias("w"), F.min("id").alias("tag"))
-        .repartition(parts, "lat", "lon")
-        .sortWithinPartitions("grp")
+        single.mapInArrow(placed, f"grp {kind}, lat double, lon double, w double, place long")
+        .repartitionByRange(parts, "grp", "place").sortWithinPartitions("grp", "place", "lat", "lon")
+        .mapInArrow(packed, f"grp {kind}, lat array<double>, lon array<double>, w array<double>")
+    )
+
+
+def _starts_of_blocks(table: pa.Table) -> np.ndarray:
+    codes = table.column(0).combine_chunks().dictionary_encode().indices.to_numpy()
+    change = np.flatnonzero(np.append(True, codes[1:] != codes[:-1]))
+    ends = np.append(change[1:], len(codes))
+    return np.concatenate([np.arange(a, b, BLOCK_POINTS) for a, b in zip(change, ends)])
+
+
+def _open_end(table: pa.Table):
+    """The rows of the last block, which may go on in the next batch."""
+    if not table.num_rows:
+        return None
+    return table.slice(int(_starts_of_blocks(table)[-1])).combine_chunks().to_batches()[0]
+
+
+def _packed(table: pa.Table, last: bool):
+    if not table.num_rows:
+        return
+    starts = _starts_of_blocks(table)
+    ends = np.append(starts, table.num_rows)
+    if not last:  # the open end waits
+        starts, ends = starts[:-1], ends[:-1]
+    if not len(starts):
+        return
+    whole = table.slice(0, int(ends[-1])).combine_chunks()
+    offsets = pa.array(ends.astype(np.int32))
+    lists = [pa.ListArray.from_arrays(offsets, whole.column(i).combine_chunks()) for i in (1, 2, 3)]
+    yield pa.RecordBatch.from_arrays(
+        [whole.column(0).combine_chunks().take(pa.array(starts)), *lists], names=["grp", "lat", "lon", "w"]
     )
 
 
 def center_sums(
-    locations: DataFrame, models: dict, spark: SparkSession, tasks: int, with_cost: bool = True
+    blocks: DataFrame, models: dict, spark: SparkSession, tasks: int, with_cost: bool = True
 ) -> pd.DataFrame:
     """Per (model, centre): weight, weighted coordinate sums and weighted squared distance.
 
@@ -176,38 +320,43 @@ def center_sums(
     shared = spark.sparkContext.broadcast(models)
 
     def partial(batches):
-        sums = {}
-        for block in _blocks(batches):
-            groups = block.column(0).combine_chunks().dictionary_encode()
-            codes = groups.indices.to_numpy()
-            lat, lon, w = (block.column(i).to_numpy() for i in (1, 2, 3))
-            held = groups.dictionary.to_pylist()
-            for group, rows in zip(held, _slices(codes, len(held))):
-                if group not in shared.value:
+        stacks, sums = {}, {}
+        for group, lat, lon, w in _point_blocks(batches):
+            if group not in shared.value:
+                continue
+            if group not in stacks:
+                stacks[group] = _Stack(shared.value[group])
+                sums[group] = np.zeros((4, len(stacks[group].lat)))
+            stack, total = stacks[group], sums[group]
+            wlat, wlon = w * lat, w * lon
+            for models_, first, count, candidates in stack.compared(lat, lon, alone=not with_cost):
+                if first is None:
+                    for line, values in enumerate((w, wlat, wlon)):
+                        total[line][models_] += values.sum()
                     continue
-                glat, glon, gw = lat[rows], lon[rows], w[rows]
-                wlat, wlon = gw * glat, gw * glon
-                for model, clat, clon in shared.value[group]:
-                    j, d = nearest(glat, glon, clat, clon)
-                    total = sums.setdefault(model, np.zeros((4, len(clat))))
-                    for line, values in enumerate((gw, wlat, wlon)):
-                        total[line] += np.bincount(j, values, len(clat))
-                    if with_cost:
-                        total[3] += np.bincount(j, gw * d, len(clat))
-        if sums:
-            lengths = [t.shape[1] for t in sums.values()]
-            stacked = np.concatenate(list(sums.values()), axis=1)
+                place, best = winners(lat, lon, stack.lat[candidates], stack.lon[candidates], first, count)
+                own = np.cumsum(count) - count
+                place += own[:, None]
+                at = candidates[np.repeat(first - own, count) + np.arange(count.sum())]
+                flat = place.ravel()
+                for line, values in enumerate((w, wlat, wlon)):
+                    total[line][at] += np.bincount(flat, np.tile(values, len(count)), len(at))
+                if with_cost:
+                    total[3][at] += np.bincount(flat, (best * w).ravel(), len(at))
+        for group, total in sums.items():
+            stack = stacks[group]
+            filled = np.flatnonzero(total[0])
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array(np.repeat(np.fromiter(sums, np.int64), lengths)),
-                    pa.array(np.concatenate([np.arange(n) for n in lengths])),
-                    *[pa.array(line) for line in stacked],
+                    pa.array(np.repeat(stack.numbers, stack.sizes)[filled]),
+                    pa.array((np.arange(len(stack.lat)) - np.repeat(stack.starts, stack.sizes))[filled]),
+                    *[pa.array(line[filled]) for line in total],
                 ],
                 names=["model", "j", "w", "s_lat", "s_lon", "s_dist"],
             )
 
     schema = "model long, j long, w double, s_lat double, s_lon double, s_dist double"
-    partials = locations.select("grp", "lat", "lon", "w").mapInArrow(partial, schema)
+    partials = blocks.mapInArrow(partial, schema)
     centers = sum(len(lat) for held in models.values() for _, lat, _ in held)
     if centers * tasks > MAX_PARTIAL_ROWS:
         partials = partials.groupBy("model", "j").agg(
@@ -215,8 +364,32 @@ def center_sums(
         )
     rows = partials.toArrow().to_pandas()
     shared.destroy()
-    summed = rows.groupby(["model", "j"], as_index=False, sort=True).sum()
-    return summed[summed["w"] > 0]
+    return rows.groupby(["model", "j"], as_index=False, sort=True).sum()
+
+
+def farthest_locations(blocks: DataFrame, models: dict, wanted: dict, spark: SparkSession) -> dict:
+    """Model -> (lat, lon) of the ``wanted[model]`` locations farthest from their centres, ties by latitude, longitude."""
+    shared = spark.sparkContext.broadcast((models, wanted))
+
+    def partial(batches):
+        held, asked = shared.value
+        found: dict = {}
+        for group, lat, lon, _ in _point_blocks(batches):
+            for model, clat, clon in held.get(group, ()):
+                _, d = nearest(lat, lon, clat, clon)
+                rows = np.concatenate([found.get(model, np.zeros((0, 3))), np.column_stack([d, lat, lon])])
+                found[model] = rows[np.lexsort((rows[:, 2], rows[:, 1], -rows[:, 0]))[: asked[model]]]
+        if found:
+            stacked = np.concatenate(list(found.values()))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.repeat(np.array(list(found), np.int64), [len(v) for v in found.values()])), *map(pa.array, stacked.T.copy())],
+                names=["model", "d", "lat", "lon"],
+            )
+
+    rows = blocks.mapInArrow(partial, "model long, d double, lat double, lon double").toArrow().to_pandas()
+    shared.destroy()
+    rows = rows.sort_values(["model", "d", "lat", "lon"], ascending=[True, False, True, True])
+    return {m: part[["lat", "lon"]].to_numpy()[: wanted[m]] for m, part in rows.groupby("model")}
 
 
 def _moved(sums: np.ndarray, clat: np.ndarray, clon: np.ndarray):
@@ -237,22 +410,82 @@ def _scattered(batch: _Batch, found: pd.DataFrame) -> np.ndarray:
 
 
 def _settle(
-    locations: DataFrame, batch: _Batch, limit: np.ndarray, max_iter: int, tasks: int
+    blocks: DataFrame, batch: _Batch, limit: np.ndarray, max_iter: int, tasks: int
 ) -> pd.DataFrame:
     """Move the models of a batch until they rest, one job per iteration; returns the final sums."""
-    spark = locations.sparkSession
+    spark = blocks.sparkSession
     active = np.ones(len(batch.ks), dtype=bool)
     for _ in range(max_iter):
-        sums = _scattered(
-            batch, center_sums(locations, batch.by_group(active), spark, tasks, with_cost=False)
-        )
+        sums = _scattered(batch, center_sums(blocks, batch.by_group(active), spark, tasks, with_cost=False))
         lat, lon = _moved(sums, batch.lat, batch.lon)
+        empty = (sums[0] == 0) & np.repeat(active, batch.ks)
+        if empty.any():
+            missing = np.add.reduceat(empty, batch.starts)
+            hurt = missing > 0
+            far = farthest_locations(
+                blocks, batch.by_group(hurt), {int(m): int(missing[m]) for m in np.flatnonzero(hurt)}, spark
+            )
+            for m, places in far.items():
+                own = batch.starts[m] + np.flatnonzero(empty[batch.starts[m] : batch.starts[m] + batch.ks[m]])
+                lat[own[: len(places)]], lon[own[: len(places)]] = np.round(places, DECIMALS).T
         moved = (lat - batch.lat) ** 2 + (lon - batch.lon) ** 2
-        batch.lat, batch.lon = lat, lon
+        moved[np.repeat(~active, batch.ks)] = 0
+        keep = np.repeat(active, batch.ks)
+        batch.lat, batch.lon = np.where(keep, lat, batch.lat), np.where(keep, lon, batch.lon)
         active &= np.add.reduceat(moved, batch.starts) > limit
         if not active.any():
             break
-    return center_sums(locations, batch.by_group(np.ones_like(active)), spark, tasks)
+    return center_sums(blocks, batch.by_group(np.ones_like(active)), spark, tasks)
+
+
+def exponentials(lat: np.ndarray, lon: np.ndarray, seed: int) -> np.ndarray:
+    """-ln(u), u being the first 52 bits of a digest of seed and location, which is told apart to a millionth."""
+    names = zip(np.floor(lat * 1e6).astype(np.int64).tolist(), np.floor(lon * 1e6).astype(np.int64).tolist())
+    bits = [int(hashlib.md5(b"%d:%d:%d" % (seed, a, b)).hexdigest()[:13], 16) for a, b in names]
+    return -np.log((np.array(bits, np.float64) + 0.5) / 2.0**52)
+
+
+@dataclass
+class _Draws:
+    """The locations drawn so far for one (group, restart)."""
+
+    lat: list = field(default_factory=list)
+    lon: list = field(default_factory=list)
+    ended: bool = False  # no other location is left
+
+    def extend(self, found: np.ndarray, beyond: float, depth: int) -> None:
+        """Draw from rows (key, lat, lon, w, e) while the least key is not over ``beyond``, the least one left behind."""
+        order = np.lexsort((found[:, 2], found[:, 1]))
+        _, lat, lon, w, e = found[order].T
+        near = np.ones(len(lat))
+        if self.lat and len(lat):
+            near = nearest(lat, lon, np.array(self.lat), np.array(self.lon))[1]
+        while len(self.lat) < depth:
+            if len(lat):
+                with np.errstate(divide="ignore"):
+                    key = e / (w * near)
+                at = int(np.argmin(key))
+            if not len(lat) or not np.isfinite(key[at]):
+                self.ended = not np.isfinite(beyond)
+                return
+            if key[at] > beyond:
+                return
+            d = (lat - lat[at]) ** 2 + (lon - lon[at]) ** 2
+            near = np.minimum(near, d) if self.lat else d
+            self.lat.append(float(lat[at]))
+            self.lon.append(float(lon[at]))
+            if len(self.lat) == 1:
+                return  # until now keys were without distances
+
+
+def _merged(one: tuple | None, two: tuple) -> tuple:
+    """(rows, places, mean latitude, mean longitude, sum of squared distances to the mean) of two parts together."""
+    if one is None:
+        return two
+    n = one[0] + two[0]
+    lat, lon = two[2] - one[2], two[3] - one[3]
+    apart = one[4] + two[4] + (lat * lat + lon * lon) * one[0] * two[0] / n
+    return n, one[1] + two[1], one[2] + lat * two[0] / n, one[3] + lon * two[0] / n, apart
 
 
 class KeyedKMeans:
@@ -262,85 +495,97 @@ class KeyedKMeans:
     """
 
     def __init__(
-        self, samples: DataFrame, group_col: str = "country_id", id_col: str = "id",
-        settings: KMeansSettings | None = None,
+        self, samples: DataFrame, group_col: str = "country_id", settings: KMeansSettings | None = None,
     ):
         self.settings = settings or KMeansSettings()
         self.spark = samples.sparkSession
-        rows = samples.select(
-            F.col(id_col).alias("id"), F.col(group_col).alias("grp"), "latitude", "longitude"
-        )
+        rows = samples.select(F.col(group_col).alias("grp"), "latitude", "longitude")
         self.tasks = max(
             self.spark.sparkContext.defaultParallelism,
             int(self.spark.conf.get("spark.sql.shuffle.partitions")),
         )
         # Checkpointed, so that a lost executor costs a re-read and not the work behind the samples;
         # kept in memory on top of that for the iterations.
-        self.locations = cut_lineage(distinct_locations(rows, "grp", self.tasks)).persist(
-            StorageLevel.MEMORY_AND_DISK
-        )
+        self.blocks = cut_lineage(location_blocks(rows, self.tasks)).persist(StorageLevel.MEMORY_AND_DISK)
+        self._draws: dict[tuple, _Draws] = defaultdict(_Draws)
 
     def __enter__(self):
         return self
 
     def __exit__(self, *exc):
-        self.locations.unpersist()
+        self.blocks.unpersist()
 
     def profiles(self) -> dict[object, GroupProfile]:
-        """Row count and mean coordinate variance of each group (one row per group)."""
-        # Variance around a per-group pivot keeps the second moment free of cancellation.
-        means = self.locations.groupBy("grp").agg(
-            F.sum("w").alias("n"),
-            F.count(F.lit(1)).alias("places"),
-            (F.sum(F.col("w") * F.col("lat")) / F.sum("w")).alias("m_lat"),
-            (F.sum(F.col("w") * F.col("lon")) / F.sum("w")).alias("m_lon"),
-        )
-        apart = F.pow(F.col("lat") - F.col("m_lat"), 2) + F.pow(F.col("lon") - F.col("m_lon"), 2)
-        rows = (
-            self.locations.join(lookup_side(means), "grp")
-            .groupBy("grp")
-            .agg(F.first("n").alias("n"), F.first("places").alias("places"), F.sum(F.col("w") * apart).alias("s"))
-            .toArrow()
-            .to_pylist()
-        )
-        return {
-            r["grp"]: GroupProfile(int(r["n"]), int(r["places"]), float(r["s"]) / r["n"] / 2) for r in rows
-        }
-
-    def _seeds(self, depths: dict, profiles: dict, all_rows: bool = False) -> dict:
-        """Starting locations of each (group, restart): the first ones of a weighted random order.
-
-        A location with w rows has the key -ln(u) / w, u being a digest of seed, restart and its smallest id; the
-        smallest keys are a draw without replacement in proportion to the rows. Keys are exponential, so all
-        but a few times the wanted locations can be dropped by a bar before anything is sorted.
-        Should fewer than wanted stay below the bar, the search is repeated without it.
-        """
-        group_type = self.locations.schema["grp"].dataType.simpleString()
-        bars = []
-        for (g, r), depth in depths.items():
-            bar = float("inf") if all_rows else (4 * depth + SEED_SLACK) / profiles[g].n
-            bars.append((g, r, depth, bar))
-        wanted = self.spark.createDataFrame(
-            bars, f"grp {group_type}, restart long, _depth long, _bar double"
-        )
-        digest = sample_key("tag", F.lit(self.settings.seed) + F.col("restart"))
-        u = (F.conv(F.substring(digest, 1, 13), 16, 10).cast("double") + 0.5) / float(1 << 52)
-        low = (
-            self.locations.join(lookup_side(wanted), "grp")
-            .withColumn("_order", -F.ln(u) / F.col("w"))
-            .where("_order <= _bar")
-        )
-        rows = first_by(low, ["grp", "restart"], ["_order", "tag"], max(depths.values()), "_rank")
-        found = (
-            rows.where("_rank <= _depth").select("grp", "restart", "_rank", "lat", "lon")
-            .toArrow().to_pandas().sort_values("_rank")
-        )
-        seeds = {
-            (g, int(r)): (part["lat"].to_numpy(), part["lon"].to_numpy())
-            for (g, r), part in found.groupby(["grp", "restart"])
-        }
-        complete = all(len(seeds.get(x, ((),))[0]) >= depth for x, depth in depths.items())
-        return seeds if complete or all_rows else self._seeds(depths, profiles, all_rows=True)
+        """Row count and mean coordinate variance of each group, merged from one row per group and task."""
+        kind = self.blocks.schema["grp"].dataType.simpleString()
+
+        def moments(batches):
+            held: dict = {}
+            for group, lat, lon, w in _point_blocks(batches):
+                n, m_lat, m_lon = w.sum(), np.average(lat, weights=w), np.average(lon, weights=w)
+                apart = (w * ((lat - m_lat) ** 2 + (lon - m_lon) ** 2)).sum()
+                held[group] = _merged(held.get(group), (n, float(len(w)), m_lat, m_lon, apart))
+            if held:
+                columns = [pa.array(list(held)), *(pa.array(c, pa.float64()) for c in zip(*held.values()))]
+                yield pa.RecordBatch.from_arrays(columns, names=["grp", "n", "places", "m_lat", "m_lon", "apart"])
+
+        found: dict = {}
+        rows = self.blocks.mapInArrow(moments, f"grp {kind}, n double, places double, m_lat double, m_lon double, apart double")
+        for group, *part in sorted(map(lambda r: tuple(r.values()), rows.toArrow().to_pylist())):
+            found[group] = _merged(found.get(group), tuple(part))
+        return {g: GroupProfile(int(n), int(places), float(apart) / n / 2) for g, (n, places, _, _, apart) in found.items()}
+
+    def _seeds(self, depths: dict) -> dict:
+        """Starting locations of each (group, restart): at least ``depths`` of them, if the group has as many."""
+        while True:
+            open_ = [
+                (x, self._draws[x], depth) for x, depth in depths.items()
+                if len(self._draws[x].lat) < depth and not self._draws[x].ended
+            ]
+            if not open_:
+                return {x: (np.array(self._draws[x].lat), np.array(self._draws[x].lon)) for x in depths}
+            by_group: dict = defaultdict(list)
+            for number, ((group, restart), drawn, depth) in enumerate(open_):
+                by_group[group].append((number, self.settings.seed + restart, np.array(drawn.lat), np.array(drawn.lon),
+                                        min(DRAWN_KEYS, 2 * (depth - len(drawn.lat)) + 6) if drawn.lat else 1))
+            for number, (found, beyond) in self._least_keys(dict(by_group)).items():
+                _, drawn, depth = open_[number]
+                drawn.extend(found, beyond, depth)
+
+    def _least_keys(self, sequences: dict) -> dict:
+        """Sequence -> (rows of key, lat, lon, w, e; the least key that may have been left behind)."""
+        shared = self.spark.sparkContext.broadcast(sequences)
+
+        def partial(batches):
+            held: dict = {}
+            more: dict = {}
+            for group, lat, lon, w in _point_blocks(batches):
+                for number, seed, slat, slon, most in shared.value.get(group, ()):
+                    e = exponentials(lat, lon, seed)
+                    near = nearest(lat, lon, slat, slon)[1] if len(slat) else np.ones(len(lat))
+                    with np.errstate(divide="ignore"):
+                        key = e / (w * near)
+                    rows = np.column_stack([key, lat, lon, w, e])[np.isfinite(key)]
+                    rows = np.concatenate([held.get(number, np.zeros((0, 5))), rows])
+                    rows = rows[np.lexsort((rows[:, 2], rows[:, 1], rows[:, 0]))]
+                    if len(rows) > most:
+                        more[number] = min(more.get(number, np.inf), rows[most, 0])
+                    held[number] = rows[:most]
+            for number, rows in held.items():
+                end = np.array([[more.get(number, np.inf), np.nan, np.nan, np.nan, np.nan]])
+                rows = np.concatenate([rows, end])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(len(rows), number)), *map(pa.array, rows.T.copy())], names=["number", "key", "lat", "lon", "w", "e"]
+                )
+
+        rows = self.blocks.mapInArrow(partial, "number long, key double, lat double, lon double, w double, e double").toArrow().to_pandas()
+        shared.destroy()
+        out = {}
+        for number, part in rows.groupby("number"):
+            part = part[["key", "lat", "lon", "w", "e"]].to_numpy()
+            ends = np.isnan(part[:, 1])
+            out[int(number)] = (part[~ends], float(part[ends, 0].min()))
+        return out
 
     def fit(self, specs: list[tuple[object, int]], profiles: dict[object, GroupProfile]) -> list[Model]:
         """Best model of every (group, k)."""
@@ -380,7 +625,7 @@ class KeyedKMeans:
         depths: dict = defaultdict(int)
         for g, _, r, size in units:
             depths[g, r] = max(depths[g, r], size)
-        seeds = self._seeds(depths, profiles)
+        seeds = self._seeds(depths)
         starts = [(seeds[g, r][0][:size], seeds[g, r][1][:size]) for g, _, r, size in units]
         batch = _Batch(
             groups=[g for g, *_ in units],
@@ -390,7 +635,7 @@ class KeyedKMeans:
             lon=np.round(np.concatenate([s[1] for s in starts]), DECIMALS),
         )
         limit = np.array([self.settings.tolerance * profiles[g].spread for g in batch.groups])
-        sums = _scattered(batch, _settle(self.locations, batch, limit, self.settings.max_iter, self.tasks))
+        sums = _scattered(batch, _settle(self.blocks, batch, limit, self.settings.max_iter, self.tasks))
         inertia = np.round(np.add.reduceat(sums[3], batch.starts), 6)
         filled = sums[0] > 0
         members = [sums[0].astype(np.int64), batch.lat.copy(), batch.lon.copy()]

@@ -28,20 +28,20 @@ def _frame(spark, rows, parts=3):
         rows, "id long, country_id long, latitude double, longitude double").repartition(parts)
 
 
-def _digest(seed, i):
-    return hashlib.md5(f"{seed}:{i}".encode()).hexdigest()
-
-
 def _drawn(own, seed, k):
-    """The first k distinct locations of (id, lat, lon) rows, drawn in proportion to their rows."""
-    places = {}
-    for i, la, lo in own:
-        places.setdefault((la, lo), []).append(i)
-    keys = []
-    for place, ids in places.items():
-        u = (int(_digest(seed, min(ids))[:13], 16) + 0.5) / 2**52
-        keys.append((-math.log(u) / len(ids), min(ids), place))
-    return [place for *_, place in sorted(keys)[:k]]
+    """The first k distance-weighted draws among the distinct locations of (id, lat, lon) rows, one by one."""
+    count = {}
+    for _, la, lo in own:
+        count[la, lo] = count.get((la, lo), 0) + 1
+    wait = {}
+    for la, lo in count:
+        digest = hashlib.md5(f"{seed}:{math.floor(la * 1e6)}:{math.floor(lo * 1e6)}".encode()).hexdigest()
+        wait[la, lo] = -math.log((int(digest[:13], 16) + 0.5) / 2**52)
+    drawn = []
+    while len(drawn) < min(k, len(count)):
+        near = {x: min(((x[0] - a) ** 2 + (x[1] - b) ** 2 for a, b in drawn), default=1.0) for x in count}
+        drawn.append(min((wait[x] / (count[x] * near[x]), x) for x in count if near[x] > 0)[1])
+    return drawn
 
 
 def _plain_fit(rows, group, k, restarts, max_iter=300, tolerance=1e-4):
@@ -53,9 +53,14 @@ def _plain_fit(rows, group, k, restarts, max_iter=300, tolerance=1e-4):
     for r in range(restarts):
         c = np.round(np.array(_drawn(own, 42 + r, k)), 9)
         for _ in range(max_iter):
-            j = ((x[:, None] - c) ** 2).sum(axis=2).argmin(axis=1)
-            new = np.array([np.round(x[j == m].mean(axis=0), 9) if (j == m).any() else c[m]
-                            for m in range(len(c))])
+            d = ((x[:, None] - c) ** 2).sum(axis=2)
+            j, far = d.argmin(axis=1), sorted({(-v, *p) for v, p in zip(d.min(axis=1), map(tuple, x))})
+            new, sent = c.copy(), 0
+            for m in range(len(c)):
+                if (j == m).any():
+                    new[m] = np.round(x[j == m].mean(axis=0), 9)
+                else:
+                    new[m], sent = np.round(far[sent][1:], 9), sent + 1
             shift = ((new - c) ** 2).sum()
             c = new
             if shift <= limit:
@@ -108,18 +113,86 @@ def test_shuffled_sums_equal_direct_sums(spark, monkeypatch):
     assert direct.inertia == shuffled.inertia
 
 
-def test_seed_search_repeats_when_the_bar_is_too_low(spark, monkeypatch):
-    rows = _rows({1: 400})
+@pytest.mark.parametrize("keys, block", [(64, 256), (1, 7), (3, 1)])
+def test_draws_equal_draws_one_by_one(spark, monkeypatch, keys, block):
+    monkeypatch.setattr(kmeans, "DRAWN_KEYS", keys)
+    monkeypatch.setattr(kmeans, "BLOCK_POINTS", block)
+    rows = _rows({1: 400, 2: 6}, repeats=50) + [(999, 3, 1.0, 1.0)] * 5
     with KeyedKMeans(_frame(spark, rows), settings=KMeansSettings(restarts=2)) as engine:
-        profiles = engine.profiles()
-        asked = {(1, 0): 20, (1, 1): 20}
-        whole = engine._seeds(asked, profiles, all_rows=True)
-        barred = engine._seeds(asked, profiles)
-        monkeypatch.setattr(kmeans, "SEED_SLACK", -79)
-        starved = engine._seeds(asked, profiles)
-    for r in (0, 1):
-        want = [la for la, _ in _drawn([(i, la, lo) for i, _, la, lo in rows], 42 + r, 20)]
-        assert whole[1, r][0].tolist() == barred[1, r][0].tolist() == starved[1, r][0].tolist() == want
+        asked = {(1, 0): 20, (1, 1): 3, (2, 0): 9, (3, 1): 4}
+        found = engine._seeds(asked)
+        more = engine._seeds({(1, 1): 12})
+    for (g, r), depth in {**asked, (1, 1): 12}.items():
+        own = [(i, la, lo) for i, group, la, lo in rows if group == g]
+        got = more[1, 1] if (g, r) == (1, 1) else found[g, r]
+        assert list(zip(*got))[:depth] == _drawn(own, 42 + r, depth)
+
+
+def test_ids_do_not_matter(spark):
+    """Null ids, one id for all rows, and any number of partitions give one result."""
+    rows = _rows({1: 300, 2: 40}, repeats=30)
+    found = []
+    for parts, ids in ((3, lambda i: i), (7, lambda i: 5), (1, lambda i: None), (5, lambda i: None if i % 9 else i)):
+        frame = _frame(spark, [(ids(i), *rest) for i, *rest in rows], parts)
+        models, labelled = kmeans.grouped_kmeans(frame, [(1, 6), (2, 3)], KMeansSettings(restarts=3))
+        found.append([(m.group, m.inertia, m.latitude.tolist(), m.rows.tolist()) for m in models])
+        assert labelled.count() == len(rows)
+    assert found[0] == found[1] == found[2] == found[3]
+
+
+def _plus_plus(x, k, restarts, seed=0):
+    """Least inertia of Lloyd iterations from plain k-means++ draws."""
+    rng, best = np.random.default_rng(seed), np.inf
+    for _ in range(restarts):
+        c = x[rng.integers(len(x))][None]
+        while len(c) < k:
+            d = ((x[:, None] - c) ** 2).sum(axis=2).min(axis=1)
+            c = np.vstack([c, x[rng.choice(len(x), p=d / d.sum())]])
+        for _ in range(100):
+            j = ((x[:, None] - c) ** 2).sum(axis=2).argmin(axis=1)
+            c = np.array([x[j == m].mean(axis=0) if (j == m).any() else c[m] for m in range(k)])
+        best = min(best, ((x[:, None] - c) ** 2).sum(axis=2).min(axis=1).sum())
+    return best
+
+
+@pytest.mark.parametrize("k", [10, 20])
+def test_towns_of_unequal_size_get_their_centres(spark, k):
+    rng = np.random.default_rng(4)
+    towns = rng.uniform(0, 60, (20, 2))
+    x = np.concatenate([rng.normal(t, 0.15, (int(n), 2)) for t, n in zip(towns, np.geomspace(600, 6, 20))]).round(4)
+    frame = _frame(spark, [(i, 1, float(a), float(b)) for i, (a, b) in enumerate(x)])
+    with KeyedKMeans(frame) as engine:
+        model, = engine.fit([(1, k)], engine.profiles())
+    assert model.inertia <= 1.1 * _plus_plus(x, k, 10)
+
+
+def test_a_centre_without_members_moves_to_the_farthest_location(spark):
+    rows = [(i, 1, float(i % 10), 0.0) for i in range(100)] + [(200, 1, 50.0, 0.0), (201, 1, 51.0, 0.0), (202, 1, 80.0, 0.0)]
+    with KeyedKMeans(_frame(spark, rows)) as engine:
+        start = {1: [(7, np.array([4.0, 900.0, 901.0]), np.array([0.0, 0.0, 0.0]))]}
+        far = kmeans.farthest_locations(engine.blocks, start, {7: 2}, spark)
+        batch = kmeans._Batch([1], np.array([3]), np.array([0]), start[1][0][1].copy(), start[1][0][2].copy())
+        sums = kmeans._settle(engine.blocks, batch, np.array([0.0]), 50, 2)
+    assert far[7].tolist() == [[80.0, 0.0], [51.0, 0.0]]
+    assert sorted(batch.lat.round(6)) == [4.5, 50.5, 80.0] and sums["w"].sum() == 103
+
+
+def test_blocks_find_the_nearest_centre(spark):
+    rng = np.random.default_rng(2)
+    for n, k in ((500, 3), (3000, 60), (2000, 400)):
+        lat, lon = rng.integers(0, 40, n) / 2, rng.integers(0, 40, n) / 2  # many ties
+        clat, clon = rng.integers(0, 40, k) / 2, rng.integers(0, 40, k) / 2
+        d = (lat[:, None] - clat) ** 2 + (lon[:, None] - clon) ** 2
+        index, best = kmeans.nearest(lat, lon, clat, clon)
+        assert (index == d.argmin(axis=1)).all() and (best == d.min(axis=1)).all()
+        rows = [(i, 1, float(a), float(b)) for i, (a, b) in enumerate(zip(lat, lon))]
+        with KeyedKMeans(_frame(spark, rows)) as engine:
+            for cost in (True, False):
+                got = kmeans.center_sums(engine.blocks, {1: [(0, clat, clon), (5, clat[:1], clon[:1])]}, spark, 4, with_cost=cost)
+                one = got[got.model == 0].set_index("j")
+                assert one.w.to_dict() == {j: float(c) for j, c in enumerate(np.bincount(d.argmin(axis=1), minlength=k)) if c}
+                assert got[got.model == 5].w.tolist() == [float(n)]
+            assert not cost or one.s_dist.sum() == pytest.approx(d.min(axis=1).sum())
 
 
 def test_a_location_with_most_rows_leaves_no_centre_empty(spark):
