@@ -37,10 +37,13 @@ specs as materialized ({specs}),
 places as materialized (
   select g, lat, lon, count(*) as w from pts group by g, lat, lon),
 tops as materialized (select g, max(k) as top from specs group by g),
+digests as materialized (
+  select *, cast(concat('0x', substr(h, 1, 13)) as bigint) as x, cast(concat('0x', substr(h, 14, 13)) as bigint) as y
+  from (select *, md5(concat({seed}, ':', cast(floor(lat * 1000000) as bigint), ':', cast(floor(lon * 1000000) as bigint))) as h
+        from places) d),
 waits as materialized (
-  select p.*, t.r, -ln((cast(concat('0x', substr(md5(concat({seed} + t.r, ':', cast(floor(lat * 1000000) as bigint), ':',
-           cast(floor(lon * 1000000) as bigint))), 1, 13)) as ubigint) + 0.5) / 4503599627370496) as e
-  from places p cross join range({restarts}) t(r)),
+  select g, lat, lon, w, t.r, -ln(((x + t.r * y) % 4503599627370496 + 0.5) / 4503599627370496) as e
+  from digests cross join range({restarts}) t(r)),
 draws as (
   select 0 as s, g, r, lat, lon, w, e, cast(null as double) as d2, cast(null as double) as plat, cast(null as double) as plon
   from waits

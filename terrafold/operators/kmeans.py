@@ -10,7 +10,7 @@ The nearest centre comes from the blocks: of a model's centres only those can wi
 box than the least of all greatest distances. Where one centre is left the block's sums are added as they are; else
 the points of the block are compared with the few that are left, for many models in one numpy step.
 
-Restarts begin with distance-weighted draws. A location with w rows has a seeded exponential number e; the next
+Restarts begin with distance-weighted draws. A location with w rows has a seeded exponential number e per restart; the next
 starting location is the one with the least e / (w * d2), d2 being the squared distance to the nearest one drawn so far. These
 keys only grow as more are drawn, so a pass over the data that brings back the least few keys of each task settles all draws up to
 the least key left behind. The draws for k centres are the first k of those for more.
@@ -41,7 +41,7 @@ from terrafold.session import cut_lineage
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 DECIMALS = 9  # centres are rounded so that the order of additions cannot show
-BLOCK_POINTS = 256  # neighbouring locations that are compared with one set of centres
+BLOCK_POINTS = 128  # neighbouring locations that are compared with one set of centres
 MODEL_CHUNK = 128  # models that are compared with a block in one step
 FEW_CENTERS = 24  # up to so many are compared with every row of a labelling step
 STEP_CENTERS = 200_000  # centres that one pass of an assignment step looks at
@@ -438,11 +438,16 @@ def _settle(
     return center_sums(blocks, batch.by_group(np.ones_like(active)), spark, tasks)
 
 
-def exponentials(lat: np.ndarray, lon: np.ndarray, seed: int) -> np.ndarray:
-    """-ln(u), u being the first 52 bits of a digest of seed and location, which is told apart to a millionth."""
+def digits(lat: np.ndarray, lon: np.ndarray, seed: int) -> tuple[np.ndarray, np.ndarray]:
+    """Two numbers of 52 bits from a digest of seed and location, which is told apart to a millionth."""
     names = zip(np.floor(lat * 1e6).astype(np.int64).tolist(), np.floor(lon * 1e6).astype(np.int64).tolist())
-    bits = [int(hashlib.md5(b"%d:%d:%d" % (seed, a, b)).hexdigest()[:13], 16) for a, b in names]
-    return -np.log((np.array(bits, np.float64) + 0.5) / 2.0**52)
+    found = [hashlib.md5(b"%d:%d:%d" % (seed, a, b)).hexdigest() for a, b in names]
+    return np.array([int(x[:13], 16) for x in found], np.int64), np.array([int(x[13:26], 16) for x in found], np.int64)
+
+
+def exponentials(held: tuple[np.ndarray, np.ndarray], restart: int) -> np.ndarray:
+    """-ln(u) per location, u being another one for each restart."""
+    return -np.log((((held[0] + restart * held[1]) & ((1 << 52) - 1)) + 0.5) / 2.0**52)
 
 
 @dataclass
@@ -546,7 +551,7 @@ class KeyedKMeans:
                 return {x: (np.array(self._draws[x].lat), np.array(self._draws[x].lon)) for x in depths}
             by_group: dict = defaultdict(list)
             for number, ((group, restart), drawn, depth) in enumerate(open_):
-                by_group[group].append((number, self.settings.seed + restart, np.array(drawn.lat), np.array(drawn.lon),
+                by_group[group].append((number, restart, np.array(drawn.lat), np.array(drawn.lon),
                                         min(DRAWN_KEYS, 2 * (depth - len(drawn.lat)) + 6) if drawn.lat else 1))
             for number, (found, beyond) in self._least_keys(dict(by_group)).items():
                 _, drawn, depth = open_[number]
@@ -556,20 +561,27 @@ class KeyedKMeans:
         """Sequence -> (rows of key, lat, lon, w, e; the least key that may have been left behind)."""
         shared = self.spark.sparkContext.broadcast(sequences)
 
+        seed = self.settings.seed
+
         def partial(batches):
             held: dict = {}
-            more: dict = {}
+            more: dict = {}  # the least key that a task has let go
             for group, lat, lon, w in _point_blocks(batches):
-                for number, seed, slat, slon, most in shared.value.get(group, ()):
-                    e = exponentials(lat, lon, seed)
+                if group not in shared.value:
+                    continue
+                numbers = digits(lat, lon, seed)
+                for number, restart, slat, slon, most in shared.value[group]:
+                    e = exponentials(numbers, restart)
                     near = nearest(lat, lon, slat, slon)[1] if len(slat) else np.ones(len(lat))
                     with np.errstate(divide="ignore"):
                         key = e / (w * near)
-                    rows = np.column_stack([key, lat, lon, w, e])[np.isfinite(key)]
-                    rows = np.concatenate([held.get(number, np.zeros((0, 5))), rows])
-                    rows = rows[np.lexsort((rows[:, 2], rows[:, 1], rows[:, 0]))]
+                    use = np.flatnonzero(key < more.get(number, np.inf))
+                    rows = np.column_stack([key, lat, lon, w, e])[use]
+                    if number in held:
+                        rows = np.concatenate([held[number], rows])
                     if len(rows) > most:
-                        more[number] = min(more.get(number, np.inf), rows[most, 0])
+                        rows = rows[np.lexsort((rows[:, 2], rows[:, 1], rows[:, 0]))]
+                        more[number] = rows[most, 0]
                     held[number] = rows[:most]
             for number, rows in held.items():
                 end = np.array([[more.get(number, np.inf), np.nan, np.nan, np.nan, np.nan]])

@@ -28,15 +28,16 @@ def _frame(spark, rows, parts=3):
         rows, "id long, country_id long, latitude double, longitude double").repartition(parts)
 
 
-def _drawn(own, seed, k):
+def _drawn(own, restart, k):
     """The first k distance-weighted draws among the distinct locations of (id, lat, lon) rows, one by one."""
     count = {}
     for _, la, lo in own:
         count[la, lo] = count.get((la, lo), 0) + 1
     wait = {}
     for la, lo in count:
-        digest = hashlib.md5(f"{seed}:{math.floor(la * 1e6)}:{math.floor(lo * 1e6)}".encode()).hexdigest()
-        wait[la, lo] = -math.log((int(digest[:13], 16) + 0.5) / 2**52)
+        digest = hashlib.md5(f"42:{math.floor(la * 1e6)}:{math.floor(lo * 1e6)}".encode()).hexdigest()
+        bits = (int(digest[:13], 16) + restart * int(digest[13:26], 16)) % 2**52
+        wait[la, lo] = -math.log((bits + 0.5) / 2**52)
     drawn = []
     while len(drawn) < min(k, len(count)):
         near = {x: min(((x[0] - a) ** 2 + (x[1] - b) ** 2 for a, b in drawn), default=1.0) for x in count}
@@ -51,7 +52,7 @@ def _plain_fit(rows, group, k, restarts, max_iter=300, tolerance=1e-4):
     limit = tolerance * x.var(axis=0).mean()
     best = None
     for r in range(restarts):
-        c = np.round(np.array(_drawn(own, 42 + r, k)), 9)
+        c = np.round(np.array(_drawn(own, r, k)), 9)
         for _ in range(max_iter):
             d = ((x[:, None] - c) ** 2).sum(axis=2)
             j, far = d.argmin(axis=1), sorted({(-v, *p) for v, p in zip(d.min(axis=1), map(tuple, x))})
@@ -125,7 +126,7 @@ def test_draws_equal_draws_one_by_one(spark, monkeypatch, keys, block):
     for (g, r), depth in {**asked, (1, 1): 12}.items():
         own = [(i, la, lo) for i, group, la, lo in rows if group == g]
         got = more[1, 1] if (g, r) == (1, 1) else found[g, r]
-        assert list(zip(*got))[:depth] == _drawn(own, 42 + r, depth)
+        assert list(zip(*got))[:depth] == _drawn(own, r, depth)
 
 
 def test_ids_do_not_matter(spark):
