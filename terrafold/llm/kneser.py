@@ -1,20 +1,20 @@
 """Interpolated modified Kneser-Ney language model, counted in Spark and stored as sorted hash arrays.
 
-Tokens are hashed to 64 bits and numbered by their place in the sorted vocabulary. N-grams are counted order by
-order, highest first. Tasks sum what they have read before anything is shuffled, as packed arrays, one row per task and
-shard. A shard holds whole contexts, so it knows each n-gram's count, each context's total and how many of its
-continuations were seen once, twice or more; what it hands to the next lower order are the distinct left extensions of
-each suffix. Those counts add up over shards, so a context that a third of all tokens share costs each task at most one
-entry per following word.
-
-Each shard is one file: sorted context hashes with totals, and for each context its following words in order with
+Tokens are hashed to 64 bits and numbered by their place in the sorted vocabulary. Only n-grams of the highest order are
+counted in the texts. Tasks sum what they have read before anything is shuffled, as packed arrays, one row per task and
+shard. An n-gram goes to the shard of the last word of its context, so a shard has all suffixes of its n-grams whole: it
+knows each n-gram's count, each context's total and how many of its continuations were seen once, twice or more,
+and counts the distinct left extensions of each suffix for the next lower order by itself. Contexts that end in a common
+word (one that makes up an eighth of a shard) are spread by all their words instead; only their suffixes are shuffled
+once more. A context that a third of all tokens share costs each task at most one entry per following word.
+
+Each file of a shard and order holds sorted context hashes with totals, and for each context its following words in order with
 counts, in as few bytes as they need. Workers map the files into memory and look up whole batches by binary search; nothing of the model passes through the driver but
 file names, sums and the counts of counts, which have a fixed size per shard.
 """
 
 from __future__ import annotations
 
-import gc
 import json
 import tempfile
 from collections.abc import Iterator
@@ -49,9 +49,10 @@ class Model:
     words: int  # distinct training tokens
     base: list[int]  # first word number of each vocabulary shard
     vocabulary: list[str]  # one file per shard
-    grams: list[list[str]]  # by order - 1, one file per shard
+    grams: list[list[str]]  # by order - 1, a file per shard, then one per shard for contexts that end in a common word
     discounts: list[list[float]]  # by order - 1: of counts 1, 2 and more
     unigram: dict = field(default_factory=dict)  # total of the lowest order and its kinds of counts
+    common: list[int] = field(default_factory=list)  # numbers of words whose n-grams are spread over shards
 
 
 class Mapped:
@@ -196,7 +197,7 @@ def train(texts: DataFrame, settings: ModelSettings = ModelSettings()) -> Model:
     texts = texts.select("text")
     shards = _shards(texts, settings)
     vocabulary = _shuffled(texts.mapInArrow(_count_words(shards, settings.flush), "shard int, body binary"), shards)
-    rows = _by_shard(vocabulary, _store_words(folder), "shard int, path string, tokens long, words long")
+    rows = _by_shard(vocabulary, _store_words(folder), _WORDS)
     found = {r.shard: r for r in rows}
     words = [found[s].words if s in found else 0 for s in range(shards)]
     model = Model(
@@ -204,42 +205,52 @@ def train(texts: DataFrame, settings: ModelSettings = ModelSettings()) -> Model:
         [found[s].path if s in found else "" for s in range(shards)],
         [[] for _ in range(settings.order)], [[0.0] * 3 for _ in range(settings.order)],
     )
-    del vocabulary
-    _forget(spark)
-    body, spent = texts.mapInArrow(_count_grams(model, settings), "shard int, body binary"), None
+    model.common = _common_words(model, rows, settings)
+    body = texts.mapInArrow(_count_grams(model, settings), "shard int, body binary")
+    kinds = [[0] * 4 for _ in range(settings.order)]
+    small, spent = None, []
     for order in range(settings.order, 0, -1):
-        body = _shuffled(body, shards)
         place = fresh_folder(spark, f"order-{order}")
-        body.groupBy("shard").applyInArrow(_store_grams(folder, model, order), _STORED).write.parquet(place)
-        if spent:  # the table that this one was made of
-            remove_folder(spent)
-        stored, spent = spark.read.schema(_STORED).parquet(place), place
-        body = None
-        _forget(spark)
-        rows = stored.filter("path is not null").drop("body").collect()  # one row per shard
-        paths = {r.shard: r.path for r in rows}
-        model.grams[order - 1] = [paths.get(s, "") for s in range(shards)]
-        model.discounts[order - 1] = _discounts([sum(r[f"n{i}"] for r in rows) for i in range(1, 5)])
-        if order == 1:
-            model.unigram = {k: sum(r[k] for r in rows) for k in ("total", "k1", "k2", "k3")}
-        body = stored.filter("body is not null").select(F.col("to_shard").alias("shard"), "body")
-    remove_folder(spent)
+        _shuffled(body, shards).groupBy("shard").applyInArrow(_store_grams(folder, model, order), _STORED).write.parquet(place)
+        spent.append(place)
+        stored = spark.read.schema(_STORED).parquet(place)
+        for r in stored.filter("path is not null").drop("body").collect():  # one row per shard and order
+            files = model.grams[r.ngram - 1]
+            files += [""] * (2 * shards - len(files))
+            files[r.shard] = r.path
+            kinds[r.ngram - 1] = [n + r[f"n{i}"] for i, n in enumerate(kinds[r.ngram - 1], 1)]
+            if r.ngram == 1:
+                model.unigram = {k: model.unigram.get(k, 0) + r[k] for k in ("total", "k1", "k2", "k3")}
+        tails = stored.filter("body is not null").select("ngram", F.col("to_shard").alias("shard"), "body")
+        ones = tails.filter("ngram = 1").drop("ngram")
+        small = ones if small is None else small.unionByName(ones)
+        body = small if order == 2 else tails.filter(F.col("ngram") == order - 1).drop("ngram")
+    model.discounts = [_discounts(n) for n in kinds]
+    for place in spent:
+        remove_folder(place)
     return model
 
 
+def _common_words(model: Model, rows: list, settings: ModelSettings) -> list[int]:
+    """Numbers of the words that make up a good part of a shard: at most ``COMMON`` for each shard of the vocabulary."""
+    if settings.order < 3:
+        return []
+    bar = max(model.tokens // model.shards // COMMON, 1)
+    found = []
+    for r in rows:
+        found += [model.base[r.shard] + at for at, n in zip(r.top_at, r.top_count) if n > bar]
+    return sorted(found) + [model.words + 1]  # the beginning of a text, too
+
+
+_WORDS = "shard int, path string, tokens long, words long, top_at array<int>, top_count array<long>"
+COMMON = 8  # a word is common when it makes up this part of a shard's tokens
+
 _STORED = (
-    "shard int, path string, n1 long, n2 long, n3 long, n4 long, total long, k1 long, k2 long, k3 long, "
+    "shard int, ngram int, path string, n1 long, n2 long, n3 long, n4 long, total long, k1 long, k2 long, k3 long, "
     "to_shard int, body binary"
 )
 
 
-def _forget(spark) -> None:
-    """Let Spark delete the shuffle files of plans that nothing refers to any more; it does so when the driver collects garbage."""
-    gc.collect()
-    if jvm := getattr(getattr(spark, "_sc", None), "_jvm", None):
-        jvm.System.gc()
-
-
 def _shards(texts: DataFrame, settings: ModelSettings) -> int:
     """From the bytes of all texts: about six to a token."""
     size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
@@ -287,20 +298,40 @@ def _store_words(folder: str):
         shard = table.column("shard")[0].as_py()
         (keys,), counts = summed(*unpacked(table.column("body").to_pylist(), 1, np.dtype(np.uint64)))
         path = save(f"{folder}/words-{shard}", {"hash": keys, "count": counts})
+        top = np.argsort(-counts, kind="stable")[:_TOP]
         return pa.table({
             "shard": pa.array([shard], pa.int32()), "path": [path], "tokens": [int(counts.sum())], "words": [len(keys)],
+            "top_at": pa.array([top], pa.list_(pa.int32())), "top_count": pa.array([counts[top]], pa.list_(pa.int64())),
         })
 
     return store
 
 
+_TOP = 256  # words of a shard that may be common: fewer than COMMON * shards are, over all shards
+
+
 def _width(model: Model) -> np.dtype:
     return np.dtype(np.uint32 if model.words + 2 < 1 << 32 else np.uint64)
 
 
-def _route(keys: list[np.ndarray], shards: int) -> np.ndarray:
-    """Shard of an n-gram: by its context, or by the word itself in the lowest order."""
-    return shard_of(gram_hash(keys[:-1] or keys), shards)
+def _route(keys: list[np.ndarray], model: Model) -> np.ndarray:
+    """Shard of an n-gram: by the last word of its context, so that all orders of it meet. Contexts that end in a common
+    word are spread by all their words and numbered behind the other shards. The lowest order goes by the word itself."""
+    if len(keys) < 2:
+        return shard_of(gram_hash(keys), model.shards)
+    out = shard_of(gram_hash(keys[-2:-1]), model.shards)
+    often = _is_common(keys[-2], model)
+    if often.any():
+        out[often] = model.shards + shard_of(gram_hash([k[often] for k in keys[:-1]]), model.shards)
+    return out
+
+
+def _is_common(words: np.ndarray, model: Model) -> np.ndarray:
+    if not model.common:
+        return np.zeros(len(words), bool)
+    common = np.array(model.common, np.int64)
+    at = np.minimum(np.searchsorted(common, words), len(common) - 1)
+    return common[at] == words
 
 
 def _count_grams(model: Model, settings: ModelSettings):
@@ -312,7 +343,7 @@ def _count_grams(model: Model, settings: ModelSettings):
         def out():
             columns = [np.concatenate([h[c] for h in held]) for c in range(order)]
             keys, counts = summed(columns, np.ones(len(columns[0]), np.int64))
-            return _batch(list(packed_grams(_route(keys, shards), keys, counts, width)))
+            return _batch(list(packed_grams(_route(keys, model) % shards, keys, counts, width)))
 
         for batch in batches:
             for _, data, offsets in text_slices(batch, "text"):
@@ -365,48 +396,71 @@ def unpacked_grams(blobs: list[bytes], columns: int, width: np.dtype) -> tuple[l
 
 
 def _store_grams(folder: str, model: Model, order: int):
+    """Store the n-grams of a shard. Those behind common words hand their suffixes on to the next order's job; all other
+    suffixes are whole here already, down to the second order, so they are stored at once."""
     width, shards = _width(model), model.shards
+    kinds_of = [pa.int32(), pa.int32(), pa.string(), *[pa.int64()] * 8, pa.int32(), pa.binary()]
+    names = [x.split()[0] for x in _STORED.split(", ")]
 
     def store(table: pa.Table) -> pa.Table:
         shard = table.column("shard")[0].as_py()
         keys, counts = summed(*unpacked_grams(table.column("body").to_pylist(), order, width))
-        arrays, low = {}, np.minimum(counts, 3)
-        kinds = np.bincount(low, minlength=4)
-        if order > 1:  # contexts are whole in a shard, as neighbours
-            change = np.zeros(len(counts), bool)
-            change[0] = True
-            for k in keys[:-1]:
-                change[1:] |= k[1:] != k[:-1]
-            at = np.flatnonzero(change)
-            context = gram_hash([k[at] for k in keys[:-1]])
-            into = np.argsort(context)
-            sizes = np.diff(np.append(at, len(counts)))[into]
-            arrays["context"] = context[into]
-            first = np.cumsum(sizes) - sizes
-            arrays["base"] = first[::_BLOCK].copy()
-            arrays |= _bytes("first", first - np.repeat(arrays["base"], _BLOCK)[: len(first)], np.uint16)
-            arrays |= _bytes("size", sizes) | _bytes("total", np.add.reduceat(counts, at)[into])
-            for i in (2, 3):  # the others were seen once
-                arrays |= _bytes(f"k{i}", np.add.reduceat((low == i).astype(np.int64), at)[into])
-            own = ranges(at[into], sizes)
-        else:
-            own = np.arange(len(counts))
-        arrays["word"] = keys[-1][own]
-        arrays |= _bytes("count", counts[own])
-        path = save(f"{folder}/order{order}-{shard}", arrays)
-        exact = np.bincount(np.minimum(counts, 5), minlength=6)
-        sums = [*(int(exact[i]) for i in range(1, 5)), int(counts.sum()), *(int(kinds[i]) for i in (1, 2, 3))]
-        rows = [(shard, path, *sums, None, None)]
-        if order > 1:  # every distinct n-gram is one left extension of its suffix
+        rows: list[tuple] = []
+
+        def keep(keys: list[np.ndarray], counts: np.ndarray, often: bool) -> None:
+            n = len(keys)
+            arrays, sums = _gram_arrays(keys, counts)
+            path = save(f"{folder}/order{n}-{shard}-{int(often)}", arrays)
+            rows.append((shard + often * shards, n, path, *sums, None, None))
+            if n == 1:
+                return
+            # Every distinct n-gram is one left extension of its suffix.
             tails, ones = summed(keys[1:], np.ones(len(counts), np.int64))
-            rows += [(shard, None, *[None] * 8, s, b) for s, b in packed_grams(_route(tails, shards), tails, ones, width)]
-        kinds_of = [pa.int32(), pa.string(), *[pa.int64()] * 8, pa.int32(), pa.binary()]
-        names = [x.split()[0] for x in _STORED.split(", ")]
+            if n > 2 and not often:
+                keep(tails, ones, False)
+            else:
+                sent = packed_grams(_route(tails, model) % shards, tails, ones, width)
+                rows.extend((shard, n - 1, None, *[None] * 8, s, b) for s, b in sent)
+
+        often = _is_common(keys[-2], model) if order > 1 else np.zeros(len(counts), bool)
+        for flag in (False, True):
+            own = often if flag else ~often
+            if own.any():
+                keep([k[own] for k in keys], counts[own], flag)
         return pa.table({n: pa.array([r[i] for r in rows], t) for i, (n, t) in enumerate(zip(names, kinds_of))})
 
     return store
 
 
+def _gram_arrays(keys: list[np.ndarray], counts: np.ndarray) -> tuple[dict[str, np.ndarray], list[int]]:
+    """The arrays of a file, and sums: kinds of counts 1 to 4, the total, and counts of 1, 2 and more."""
+    arrays, low = {}, np.minimum(counts, 3)
+    kinds = np.bincount(low, minlength=4)
+    if len(keys) > 1:  # contexts are whole in a shard, as neighbours
+        change = np.zeros(len(counts), bool)
+        change[0] = True
+        for k in keys[:-1]:
+            change[1:] |= k[1:] != k[:-1]
+        at = np.flatnonzero(change)
+        context = gram_hash([k[at] for k in keys[:-1]])
+        into = np.argsort(context)
+        sizes = np.diff(np.append(at, len(counts)))[into]
+        arrays["context"] = context[into]
+        first = np.cumsum(sizes) - sizes
+        arrays["base"] = first[::_BLOCK].copy()
+        arrays |= _bytes("first", first - np.repeat(arrays["base"], _BLOCK)[: len(first)], np.uint16)
+        arrays |= _bytes("size", sizes) | _bytes("total", np.add.reduceat(counts, at)[into])
+        for i in (2, 3):  # the others were seen once
+            arrays |= _bytes(f"k{i}", np.add.reduceat((low == i).astype(np.int64), at)[into])
+        own = ranges(at[into], sizes)
+    else:
+        own = np.arange(len(counts))
+    arrays["word"] = keys[-1][own]
+    arrays |= _bytes("count", counts[own])
+    exact = np.bincount(np.minimum(counts, 5), minlength=6)
+    return arrays, [*(int(exact[i]) for i in range(1, 5)), int(counts.sum()), *(int(kinds[i]) for i in (1, 2, 3))]
+
+
 _BLOCK = 64  # contexts that share a base of their first places
 
 
@@ -460,13 +514,14 @@ class Scorer:
         """P = (count - discount) / total + (left-over mass) * lower, per distinct n-gram."""
         steps = np.array([0.0, *self.model.discounts[order - 1]])
         out = lower.copy()
-        route = _route(keys, self.model.shards)
+        route = _route(keys, self.model)
         context = gram_hash(keys[:-1]) if order > 1 else None
         by_shard = np.argsort(route, kind="stable")
         starts, lengths = runs(route[by_shard])
         for s, n in zip(starts, lengths):
             own = by_shard[s : s + n]
-            held, words = self.files[order - 1][route[own[0]]], keys[-1][own]
+            files = self.files[order - 1]
+            held, words = files[route[own[0]]] if files else None, keys[-1][own]
             if order == 1:
                 u = self.model.unigram
                 total = np.full(n, float(u["total"]))
