@@ -19,7 +19,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from terrafold.llm.arrays import WORD_BYTE, SpanHasher, mix, ranges, rolling, runs, text_slices, word_spans
@@ -102,13 +102,13 @@ def sketched(docs: DataFrame, settings: JoinSettings, id_column: str, text_colum
                 else:
                     last = pa.array([labels_of(s) for s in sets], pa.list_(pa.int64()))
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(first, len(sets)), pa.array([node_of(s) for s in sets], pa.int64()),
+                    [batch.column(0).slice(first, len(sets)), batch.column(1).slice(first, len(sets)), pa.array([node_of(s) for s in sets], pa.int64()),
                      pa.array([len(s) for s in sets], pa.int64()), last],
-                    names=["doc", "node", "n", "shingles" if full else "labels"],
+                    names=["doc", "digest", "node", "n", "shingles" if full else "labels"],
                 )
 
-    low = docs.select(F.col(id_column).cast("long").alias("doc"), F.lower(text_column).alias("text"))
-    return low.mapInArrow(run, "doc long, node long, n long, " + ("shingles binary" if full else "labels array<long>"))
+    low = docs.select(F.col(id_column).cast("long").alias("doc"), F.xxhash64(text_column).alias("digest"), F.lower(text_column).alias("text"))
+    return low.mapInArrow(run, "doc long, digest long, node long, n long, " + ("shingles binary" if full else "labels array<long>"))
 
 
 def similar_texts(
@@ -119,9 +119,22 @@ def similar_texts(
 
     Words are runs of letters, digits and non-ASCII characters of the lower-cased text; a text with fewer words than a
     shingle is one shingle. Null, empty and wordless texts have no shingles: each is a class of its own without
-    links. Rows that repeat an id are rows of their own; null ids stay null and never name a class that has
+    links. Ids become long integers. Rows that repeat an id are rows of their own; null ids stay null and never name a class that has
     another id. An empty table gives no rows; other columns are ignored.
     """
+    sketches, wordy, classes = _classes(docs, settings, id_column, text_column)
+    members = wordy.select("doc", "node").join(classes, "node").select(
+        F.col("doc").alias(id_column), F.col("rep").alias("representative"), "class_id", "n_links", "copies"
+    )
+    bare = sketches.filter("node is null").select(
+        F.col("doc").alias(id_column), F.col("doc").alias("representative"), F.col("doc").alias("class_id"),
+        F.lit(0).cast("long").alias("n_links"), F.lit(1).cast("long").alias("copies"),
+    )
+    return members.unionByName(bare)
+
+
+def _classes(docs: DataFrame, settings: JoinSettings, id_column: str, text_column: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Sketches of all rows, those with words, and (node, root, rep, class_id, copies, n_links)."""
     sketches = written(sketched(docs, settings, id_column, text_column, False), "sketches")
     wordy = sketches.filter("node is not null")
     heads = written(wordy.groupBy("node").agg(
@@ -135,22 +148,34 @@ def similar_texts(
     joined = joined.withColumn("root", F.coalesce("root", "node"))
     smallest = joined.groupBy("root").agg(F.min("rep").alias("class_id"))
     classes = written(joined.join(smallest, "root").select(
-        "node", "rep", "class_id", "copies", (F.coalesce("linked", F.lit(0)) + F.col("copies") - 1).alias("n_links")
+        "node", "root", "rep", "class_id", "copies", (F.coalesce("linked", F.lit(0)) + F.col("copies") - 1).alias("n_links")
     ), "named")
-    members = wordy.select("doc", "node").join(classes, "node").select(
-        F.col("doc").alias(id_column), F.col("rep").alias("representative"), "class_id", "n_links", "copies"
-    )
-    bare = sketches.filter("node is null").select(
-        F.col("doc").alias(id_column), F.col("doc").alias("representative"), F.col("doc").alias("class_id"),
-        F.lit(0).cast("long").alias("n_links"), F.lit(1).cast("long").alias("copies"),
-    )
-    return members.unionByName(bare)
+    return sketches, wordy, classes
 
 
-def drop_similar(docs: DataFrame, settings: JoinSettings = JoinSettings(), id_column: str = "doc_id") -> DataFrame:
-    """``docs`` with one row of each class, the one with the smallest id; rows without an id stay."""
-    later = similar_texts(docs, settings, id_column).filter(F.col(id_column) != F.col("class_id")).select(id_column)
-    return docs.join(later.distinct(), id_column, "left_anti").select(*docs.columns)
+def drop_similar(
+    docs: DataFrame, settings: JoinSettings = JoinSettings(), id_column: str = "doc_id", text_column: str = "text"
+) -> DataFrame:
+    """``docs`` with one row of each class: the one with the smallest id, null ids last, and of one id the least text digest.
+
+    Rows are told apart by id and text, so a row never goes for a namesake. Of rows that repeat both one stays.
+    Texts without words are classes of their own.
+    """
+    sketches, _, classes = _classes(docs, settings, id_column, text_column)
+    row = F.struct(F.isnull("doc").alias("none"), "doc", "digest")
+    members = written(sketches.join(classes.select("node", "root"), "node").select("root", "doc", "digest", row.alias("row")), "members")
+    keepers = members.groupBy("root").agg(F.min("row").alias("keeper"), F.count(F.lit(1)).alias("n")).filter("n > 1")
+    going = members.join(keepers, "root").filter(~F.col("row").eqNullSafe(F.col("keeper"))).select("doc", "digest").distinct()
+    marked = docs.withColumns({"__id": F.col(id_column).cast("long"), "__digest": F.xxhash64(text_column)})
+    kept = marked.join(going, marked["__id"].eqNullSafe(going["doc"]) & (marked["__digest"] == going["digest"]), "left_anti")
+    repeated = members.groupBy("doc", "digest").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    if not repeated.isEmpty():
+        wordless = sketches.filter("node is null").select("doc", "digest").distinct()
+        place = F.row_number().over(Window.partitionBy("__id", "__digest").orderBy(F.lit(0)))
+        is_bare = kept["__id"].eqNullSafe(wordless["doc"]) & (kept["__digest"] == wordless["digest"])
+        bare, rest = (kept.join(wordless, is_bare, how) for how in ("left_semi", "left_anti"))
+        kept = rest.withColumn("__place", place).filter("__place = 1").drop("__place").unionByName(bare)
+    return kept.select(*docs.columns)
 
 
 def _verified(docs: DataFrame, heads: DataFrame, settings: JoinSettings, id_column: str, text_column: str) -> DataFrame:

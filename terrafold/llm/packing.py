@@ -40,15 +40,17 @@ class PieceTokenizer:
     The tokenizer splits texts at white space and between letters and signs before it merges anything, so
     encoding the runs one by one gives the ids of the whole text. A run starts after white space, where an ASCII sign
     follows an ASCII letter or digit, and where one of those follows signs that do not end in an apostrophe
-    (contractions). Other characters may combine with their neighbours, so no run starts beside them.
+    (contractions). Other characters may combine with their neighbours, so no run starts beside them. Texts of added
+    tokens such as an end mark are the ids of these tokens, as the tokenizer has it; no run starts inside one.
     """
 
     def __init__(self, path: str, cache: int):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
         self.tokenizer.no_truncation()
+        #: Texts of added tokens: the tokenizer cuts texts at them before anything else.
+        self.added = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
         suffix = "</w>"
         self.word_end = np.zeros(self.tokenizer.get_vocab_size(), dtype=bool)
         for token, i in self.tokenizer.get_vocab().items():
@@ -72,6 +74,8 @@ class PieceTokenizer:
         begin[1:] &= space[:-1] | (sign[1:] & plain[:-1]) | (plain[1:] & sign[:-1] & (data[:-1] != 0x27))
         heads = offsets[:-1][offsets[1:] > offsets[:-1]]
         begin[heads] = ~space[heads]
+        for a, b in self._added_spans(data, offsets):
+            begin[a + 1 : b] = False
         starts = np.flatnonzero(begin)
         row_first = np.searchsorted(starts, offsets)
         kept = np.zeros(len(data) + 1, np.int64)
@@ -85,6 +89,16 @@ class PieceTokenizer:
         row_ends = np.concatenate([[0], np.cumsum(length)])
         return self.ids[ranges(self.starts[entry], length)], row_ends[row_first]
 
+    def _added_spans(self, data: np.ndarray, offsets: np.ndarray):
+        """Places of added tokens inside rows."""
+        whole = data.tobytes()
+        for token in self.added:
+            at = whole.find(token)
+            while at >= 0:
+                if np.searchsorted(offsets, at, side="right") == np.searchsorted(offsets, at + len(token) - 1, side="right"):
+                    yield at, at + len(token)
+                at = whole.find(token, at + 1)
+
     def _entries(self, texts: list[bytes]) -> np.ndarray:
         if len(self.known) + len(texts) > self.limit:
             self._reset()

@@ -20,7 +20,8 @@ from .support import awkward_rows, collected, frame, prose
 VOCABULARY = tokenizer_path("word_bpe_49k.json")
 ODD = [
     "it's 'til rock'n'roll ''s don't.\"s 'LL", "a1b2 x_y __z 3rd", "é̃ ẗ T̈ ≠ ≮a", "x y z", "İstanbul ΑΣ ς",
-    "<|endoftext|> hi<|startoftext|>", "", " \n\t ", "日本語。漢字", "🙂🙂 ok🙂", "\x00a\x01 \x1cb", "'", " '", "A.́b", "x" * 3000,
+    "<|endoftext|> hi<|startoftext|>", "a <|endoftext|> b", "--<|endoftext|><|endoftext|>'s é<|startoftext|>é", "<|ENDOFTEXT|><|endof text|>",
+    "<|endoftext", "|>", "", " \n\t ", "日本語。漢字", "🙂🙂 ok🙂", "\x00a\x01 \x1cb", "'", " '", "A.́b", "x" * 3000,
 ]
 
 
@@ -28,9 +29,7 @@ ODD = [
 def tokenizer():
     from tokenizers import Tokenizer
 
-    plain = Tokenizer.from_file(VOCABULARY)
-    plain.encode_special_tokens = True
-    return plain
+    return Tokenizer.from_file(VOCABULARY)
 
 
 def ids_of(encode, texts):

@@ -85,6 +85,18 @@ def test_dropping_similar_texts(spark):
     assert sorted(r.doc_id for r in left.collect()) == sorted({c for _, _, c, _ in brute_classes(rows)})
 
 
+def test_similar_rows_go_one_by_one(spark):
+    """Rows that repeat an id are judged by their texts; rows that repeat id and text leave one."""
+    one, two = prose(80, 60), prose(81, 60)
+    rows = [(1, one), (2, one + " tail"), (2, "other words stay here"), (3, two), (3, two + " tail"), (None, two + " end"),
+            (4, "x y z"), (4, "x y z"), (5, None), (5, None), (None, "")]
+    left = jaccard.drop_similar(frame(spark, rows, "doc_id long, text string")).collect()
+    texts = sorted((r.doc_id is None, r.doc_id or 0, r.text or "") for r in left)
+    assert [t[1] for t in texts if t[2].startswith(two)] == [3]
+    assert [t for t in texts if not t[2].startswith(two)] == [
+        (False, 1, one), (False, 2, "other words stay here"), (False, 4, "x y z"), (False, 5, ""), (False, 5, ""), (True, 0, "")]
+
+
 def test_depth_is_the_longest_that_reaches_the_recall():
     s = jaccard.JoinSettings()
     reach = lambda d: 1 - (1 - s.threshold**d) ** s.trees
@@ -213,6 +225,8 @@ def test_matches_equal_full_alignment(spark):
         body = " ".join(words_of(text))
         for j, item in ITEMS:
             m = " ".join(words_of(item))
+            if 0 < len(m.encode()) < 8 and f" {m} " in f" {body} ":
+                want[i, j] = 0
             if len(m) >= 8 and len(body) >= len(m) * 0.8:
                 k = min(len(m.encode()) // 10, len(m.encode()) // 8 - 1)
                 n = edits(m.encode(), body.encode())
@@ -238,9 +252,54 @@ def test_matches_of_empty_tables(spark):
     assert decontaminate.find_items(docs, frame(spark, ITEMS, "item_id long, text string")).count() == 0
     assert decontaminate.find_items(frame(spark), items).columns == ["doc_id", "item_id", "start", "length", "edits"]
     left = decontaminate.drop_contaminated(frame(spark), items)
+    assert decontaminate.drop_contaminated(docs, frame(spark, ITEMS, "item_id long, text string")).count() == 0
     assert left.count() == len(awkward_rows()) and left.columns == frame(spark).columns
 
 
+def places_of(spark, text, items, **options):
+    rows = decontaminate.find_items(
+        frame(spark, [(1, text)], "doc_id long, text string"),
+        frame(spark, list(enumerate(items)), "item_id long, text string", clash=False), decontaminate.MatchSettings(**options),
+    ).collect()
+    return sorted((r.item_id, r.start, r.length, r.edits) for r in rows)
+
+
+@pytest.mark.parametrize("item, gap", [
+    ("good morning", " x "), ("the cat sat on mat", " "), ("cat dog", " "), ("ab", " b "), ("abcdefgh", " "), (prose(7, 25), " and "), ("a" * 40, " "),
+])
+def test_every_place_counts(spark, item, gap):
+    text = "x y " + gap.join([item] * 12) + " z"
+    want = [(0, k, len(item), 0) for k in range(len(text)) if text.startswith(item, k) and text[k - 1 : k] + text[k + len(item) :][:1] == "  "]
+    assert len(want) == 12 and places_of(spark, text, [item]) == want
+    assert places_of(spark, text, [item, "absent item here"], block_bytes=4, at_once=3) == want
+
+
+def test_exact_and_damaged_places_of_one_item(spark):
+    item = prose(31, 20)
+    bad = damaged(item, 4, 1)
+    text = f"{item} one {bad} two {item}{item[-1]} {bad}"
+    got = places_of(spark, text, [item])
+    assert [g[3] > 0 for g in got] == [False, True, False, True]
+    assert all(a[1] + a[2] <= b[1] for a, b in zip(got, got[1:]))
+    assert [text[g[1] : g[1] + g[2]] for g in got if not g[3]] == [item, item]
+
+
+def test_short_items_are_whole_words(spark):
+    got = places_of(spark, "Concatenate the CAT, cat-dog; catdog dog", ["cat", "cat dog", "dog", "!?", "the cat"])
+    assert got == [(0, 16, 3, 0), (0, 21, 3, 0), (1, 21, 7, 0), (2, 25, 3, 0), (2, 37, 3, 0), (4, 12, 7, 0)]
+
+
+def test_rows_are_judged_by_their_own_text(spark):
+    """Namesakes of contaminated rows stay, contaminated rows without an id go."""
+    item = prose(72, 20)
+    rows = [(1, f"see {item} here"), (1, "clean namesake"), (None, item), (None, "clean"), (None, None), (2, "ab"), (2, "abc")]
+    items = frame(spark, [(None, item), (4, "ab")], "item_id long, text string", clash=False)
+    for options in ({}, {"block_bytes": 10}):
+        left = decontaminate.drop_contaminated(
+            frame(spark, rows, "doc_id long, text string"), items, decontaminate.MatchSettings(**options))
+        assert sorted((r.text or "") for r in left.collect()) == ["", "abc", "clean", "clean namesake"]
+
+
 @given(st.text("abc", min_size=8, max_size=24), st.text("abc", max_size=60))
 @settings(max_examples=80, deadline=None)
 def test_banded_alignment_equals_the_full_table(item, region):
