@@ -48,6 +48,13 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token pieces of the documents that all filters keep.
+
+    Every filter decides on rows, not ids: namesakes with other texts are judged on their own, rows without an id like
+    all others. Null texts count as empty; empty and blank texts are kept (one of each group of copies). Of rows that
+    repeat id and text one is left after exact_dedup. An empty table gives no rows, and columns whose names the
+    operators use themselves pass through.
+    """
     docs = catalog.table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
         docs = written(stage(spark, docs, sf_dir), name)
