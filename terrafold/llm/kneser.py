@@ -69,6 +69,7 @@ class Mapped:
         else:
             held = np.memmap(name, dtype=np.uint8, mode="r")
         head = json.loads(bytes(held[8 : 8 + int(held[:8].view(np.int64)[0])]))
+        held = np.asarray(held)  # slices of a memmap are slow to make
         self.arrays = {
             k: held[at : at + n * np.dtype(kind).itemsize].view(kind) for k, kind, at, n in head
         }
@@ -123,29 +124,6 @@ def summed(keys: list[np.ndarray], counts: np.ndarray) -> tuple[list[np.ndarray]
     return [k[at] for k in keys], np.add.reduceat(counts, at)
 
 
-def packed(shard: np.ndarray, keys: list[np.ndarray], counts: np.ndarray, width: np.dtype) -> Iterator[tuple]:
-    """(shard, bytes) for each shard: the number of rows, key columns, counts."""
-    order = np.argsort(shard, kind="stable")
-    starts, lengths = runs(shard[order])
-    for s, n in zip(starts, lengths):
-        own = order[s : s + n]
-        body = b"".join(k[own].astype(width).tobytes() for k in keys) + counts[own].astype(np.int64).tobytes()
-        yield int(shard[own[0]]), body
-
-
-def unpacked(blobs: list[bytes], columns: int, width: np.dtype) -> tuple[list[np.ndarray], np.ndarray]:
-    size = columns * width.itemsize + 8
-    keys, counts = [[] for _ in range(columns)], []
-    for blob in blobs:
-        n = len(blob) // size
-        for c in range(columns):
-            keys[c].append(np.frombuffer(blob, width, n, c * n * width.itemsize))
-        counts.append(np.frombuffer(blob, np.int64, n, columns * n * width.itemsize))
-    if not blobs:
-        return [np.zeros(0, width) for _ in range(columns)], np.zeros(0, np.int64)
-    return [np.concatenate(k) for k in keys], np.concatenate(counts)
-
-
 class Vocabulary:
     """Numbers of token hashes; unknown ones get the number ``words``."""
 
@@ -277,7 +255,7 @@ def _count_words(shards: int, flush: int):
 
         def out():
             (keys,), counts = summed([np.concatenate([h for h, _ in held])], np.concatenate([c for _, c in held]))
-            return _batch(list(packed(shard_of(keys, shards), [keys], counts, np.dtype(np.uint64))))
+            return _batch(list(packed_grams(shard_of(keys, shards), [keys], counts, np.dtype(np.uint64))))
 
         for batch in batches:
             for _, data, offsets in text_slices(batch, "text"):
@@ -296,7 +274,7 @@ def _count_words(shards: int, flush: int):
 def _store_words(folder: str):
     def store(table: pa.Table) -> pa.Table:
         shard = table.column("shard")[0].as_py()
-        (keys,), counts = summed(*unpacked(table.column("body").to_pylist(), 1, np.dtype(np.uint64)))
+        (keys,), counts = summed(*unpacked_grams(table.column("body").to_pylist(), 1, np.dtype(np.uint64)))
         path = save(f"{folder}/words-{shard}", {"hash": keys, "count": counts})
         top = np.argsort(-counts, kind="stable")[:_TOP]
         return pa.table({
@@ -314,6 +292,13 @@ def _width(model: Model) -> np.dtype:
     return np.dtype(np.uint32 if model.words + 2 < 1 << 32 else np.uint64)
 
 
+def turned(keys: list[np.ndarray], back: bool = False) -> list[np.ndarray]:
+    """Columns with the last word of the context first: sorted so, a shard's first column hardly changes."""
+    if len(keys) < 3:
+        return keys
+    return [*keys[1:-1], keys[0], keys[-1]] if back else [keys[-2], *keys[:-2], keys[-1]]
+
+
 def _route(keys: list[np.ndarray], model: Model) -> np.ndarray:
     """Shard of an n-gram: by the last word of its context, so that all orders of it meet. Contexts that end in a common
     word are spread by all their words and numbered behind the other shards. The lowest order goes by the word itself."""
@@ -342,8 +327,8 @@ def _count_grams(model: Model, settings: ModelSettings):
 
         def out():
             columns = [np.concatenate([h[c] for h in held]) for c in range(order)]
-            keys, counts = summed(columns, np.ones(len(columns[0]), np.int64))
-            return _batch(list(packed_grams(_route(keys, model) % shards, keys, counts, width)))
+            keys, counts = summed(turned(columns), np.ones(len(columns[0]), np.int64))
+            return _batch(list(packed_grams(_route(turned(keys, back=True), model) % shards, keys, counts, width)))
 
         for batch in batches:
             for _, data, offsets in text_slices(batch, "text"):
@@ -405,6 +390,7 @@ def _store_grams(folder: str, model: Model, order: int):
     def store(table: pa.Table) -> pa.Table:
         shard = table.column("shard")[0].as_py()
         keys, counts = summed(*unpacked_grams(table.column("body").to_pylist(), order, width))
+        keys = turned(keys, back=True)  # rows stay in the other order, in which contexts are whole, too
         rows: list[tuple] = []
 
         def keep(keys: list[np.ndarray], counts: np.ndarray, often: bool) -> None:
@@ -415,11 +401,11 @@ def _store_grams(folder: str, model: Model, order: int):
             if n == 1:
                 return
             # Every distinct n-gram is one left extension of its suffix.
-            tails, ones = summed(keys[1:], np.ones(len(counts), np.int64))
+            tails, ones = summed(turned(keys[1:]), np.ones(len(counts), np.int64))
             if n > 2 and not often:
-                keep(tails, ones, False)
+                keep(turned(tails, back=True), ones, False)
             else:
-                sent = packed_grams(_route(tails, model) % shards, tails, ones, width)
+                sent = packed_grams(_route(turned(tails, back=True), model) % shards, tails, ones, width)
                 rows.extend((shard, n - 1, None, *[None] * 8, s, b) for s, b in sent)
 
         often = _is_common(keys[-2], model) if order > 1 else np.zeros(len(counts), bool)
@@ -455,7 +441,11 @@ def _gram_arrays(keys: list[np.ndarray], counts: np.ndarray) -> tuple[dict[str,
         own = ranges(at[into], sizes)
     else:
         own = np.arange(len(counts))
-    arrays["word"] = keys[-1][own]
+    word = keys[-1][own]
+    if len(keys) > 1 and (not len(word) or int(word.max()) < 1 << 24):  # three bytes
+        arrays |= {"word": (word & 0xFFFF).astype(np.uint16), "word_top": (word >> 16).astype(np.uint8)}
+    else:
+        arrays["word"] = word
     arrays |= _bytes("count", counts[own])
     exact = np.bincount(np.minimum(counts, 5), minlength=6)
     return arrays, [*(int(exact[i]) for i in range(1, 5)), int(counts.sum()), *(int(kinds[i]) for i in (1, 2, 3))]
@@ -504,19 +494,22 @@ class Scorer:
         if not model.tokens:
             return chance
         columns = windows(numbers, bounds, model.order, model.words + 1)
-        for order in range(1, model.order + 1):
-            keys = columns[model.order - order :]
-            _, at, back = np.unique(gram_hash(keys), return_index=True, return_inverse=True)
-            chance = self._level(order, [k[at] for k in keys], chance[at])[back]
+        distinct, back = np.unique(numbers, return_inverse=True)
+        chance = self._level(1, [distinct], chance[: len(distinct)])[back]
+        for order in range(2, model.order + 1):
+            chance = self._level(order, columns[model.order - order :], chance)
         return chance
 
     def _level(self, order: int, keys: list[np.ndarray], lower: np.ndarray) -> np.ndarray:
-        """P = (count - discount) / total + (left-over mass) * lower, per distinct n-gram."""
+        """P = (count - discount) / total + (left-over mass) * lower, per n-gram; shard by shard, contexts in order, so that
+        neighbouring probes touch neighbouring pages."""
         steps = np.array([0.0, *self.model.discounts[order - 1]])
         out = lower.copy()
         route = _route(keys, self.model)
         context = gram_hash(keys[:-1]) if order > 1 else None
-        by_shard = np.argsort(route, kind="stable")
+        turn = np.argsort(context) if order > 1 else np.arange(len(route))
+        narrow = np.uint16 if 2 * self.model.shards < 1 << 16 else np.int64
+        by_shard = turn[np.argsort(route[turn].astype(narrow), kind="stable")]
         starts, lengths = runs(route[by_shard])
         for s, n in zip(starts, lengths):
             own = by_shard[s : s + n]
@@ -541,7 +534,7 @@ class Scorer:
                     place, hit = _find(held["word"], words.astype(held["word"].dtype))
                 else:
                     first = held["base"][place // _BLOCK] + _read(held, "first", place)
-                    place, hit = _within(held["word"], first, np.where(hit, first + size, first), words)
+                    place, hit = _within(_words_of(held), first, np.where(hit, first + size, first), words)
                 count[hit] = _read(held, "count", place[hit])
             gain = np.maximum(count - steps[np.minimum(count, 3).astype(int)], 0)
             out[own] = np.where(total > 0, gain / np.maximum(total, 1), 0) + spare * lower[own]
@@ -549,25 +542,31 @@ class Scorer:
 
 
 def _find(table: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    order = np.argsort(keys)  # neighbouring probes touch neighbouring pages
-    place = np.empty(len(keys), np.int64)
-    place[order] = np.searchsorted(table, keys[order])
-    place = np.minimum(place, len(table) - 1)
+    place = np.minimum(np.searchsorted(table, keys), len(table) - 1)
     return place, table[place] == keys
 
 
-def _within(table: np.ndarray, low: np.ndarray, high: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _words_of(held: Mapped):
+    """Word numbers by place."""
+    word = held["word"]
+    if "word_top" not in held.arrays:
+        return lambda at: word[at]
+    top = held["word_top"]
+    return lambda at: word[at] | (top[at].astype(np.uint32) << np.uint32(16))
+
+
+def _within(table, low: np.ndarray, high: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Places of the keys in the sorted ranges [low, high) of the table, and whether they are there."""
     place, end = low.copy(), high.copy()
     left = np.flatnonzero(place < end)
     while len(left):
         middle = (place[left] + end[left]) >> 1
-        less = table[middle] < keys[left]
+        less = table(middle) < keys[left]
         place[left[less]] = middle[less] + 1
         end[left[~less]] = middle[~less]
         left = left[place[left] < end[left]]
     hit = place < high
-    hit[hit] = table[place[hit]] == keys[hit]
+    hit[hit] = table(place[hit]) == keys[hit]
     return place, hit
 
 
