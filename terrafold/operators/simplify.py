@@ -1,4 +1,9 @@
-"""Outline simplification (Douglas-Peucker), one polygon per row."""
+"""Outline simplification (Douglas-Peucker) that keeps topology, one shape per row.
+
+Vertices within the tolerance go first. Then the segments of all rings of the shape are dealt to the cells of a grid, and those
+that meet in a cell are tested against each other; a segment that crosses or touches another one gets back the farthest of the
+vertices it replaced, until nothing meets that did not meet before.
+"""
 
 from __future__ import annotations
 
@@ -43,32 +48,97 @@ def kept_vertices(ring: np.ndarray, tolerance: float) -> np.ndarray:
     return np.flatnonzero(keep) if keep.sum() >= 4 else np.arange(len(ring))
 
 
+def _segments(rings: list[np.ndarray], kept: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Coordinates (x1, y1, x2, y2) and (ring, first vertex, last vertex) of all segments."""
+    spans = [np.column_stack([np.full(len(k) - 1, r), k[:-1], k[1:]]) for r, k in enumerate(kept) if len(k) > 1]
+    lines = [np.column_stack([rings[r][k[:-1]], rings[r][k[1:]]]) for r, k in enumerate(kept) if len(k) > 1]
+    return np.concatenate(lines or [np.zeros((0, 4))]), np.concatenate(spans or [np.zeros((0, 3), int)]).astype(int)
+
+
+def _near_pairs(lines: np.ndarray):
+    """Pairs of segments whose boxes share a cell of a grid with about as many cells as segments."""
+    n = len(lines)
+    low, high = np.minimum(lines[:, :2], lines[:, 2:]), np.maximum(lines[:, :2], lines[:, 2:])
+    origin, side = low.min(axis=0), (high.max(axis=0) - low.min(axis=0)) / max(1.0, np.sqrt(n))
+    side[side == 0] = 1.0
+    a, b = ((v - origin) // side for v in (low, high))
+    a, b = a.astype(np.int64), b.astype(np.int64)
+    size = b - a + 1
+    count = size.prod(axis=1)
+    who = np.repeat(np.arange(n), count)
+    at = np.arange(len(who)) - np.repeat(np.cumsum(count) - count, count)
+    cell = (a[who, 0] + at // size[who, 1]) * (1 << 32) + a[who, 1] + at % size[who, 1]
+    order = np.argsort(cell, kind="stable")
+    cell, who = cell[order], who[order]
+    for step in range(1, n):  # partners that many places further in the same cell
+        same = np.flatnonzero(cell[step:] == cell[:-step])
+        if not len(same):
+            return
+        yield who[same], who[same + step]
+
+
+def _side(p: np.ndarray, q: np.ndarray, r: np.ndarray) -> np.ndarray:
+    return np.sign((q[:, 0] - p[:, 0]) * (r[:, 1] - p[:, 1]) - (q[:, 1] - p[:, 1]) * (r[:, 0] - p[:, 0]))
+
+
+def _inside(p: np.ndarray, q: np.ndarray, r: np.ndarray, side: np.ndarray) -> np.ndarray:
+    """Whether r lies on the segment p-q, but not at an end."""
+    among = (np.minimum(p, q) <= r).all(axis=1) & (r <= np.maximum(p, q)).all(axis=1)
+    return (side == 0) & among & (r != p).any(axis=1) & (r != q).any(axis=1)
+
+
+def _meeting(lines: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of segments that cross, or of which one touches the other elsewhere than at its ends."""
+    out = [(np.zeros(0, int), np.zeros(0, int))]
+    for i, j in _near_pairs(lines):
+        p, q, r, s = lines[i, :2], lines[i, 2:], lines[j, :2], lines[j, 2:]
+        one, two, three, four = _side(p, q, r), _side(p, q, s), _side(r, s, p), _side(r, s, q)
+        hit = (one * two < 0) & (three * four < 0)
+        hit |= _inside(p, q, r, one) | _inside(p, q, s, two) | _inside(r, s, p, three) | _inside(r, s, q, four)
+        out.append((i[hit], j[hit]))
+    return tuple(np.concatenate(c) for c in zip(*out))
+
+
+def kept_of_shape(rings: list[np.ndarray], tolerance: float) -> list[np.ndarray]:
+    """Indexes of the vertices that stay, ring by ring, so that no segments meet that did not meet before."""
+    kept = [kept_vertices(r, tolerance) if len(r) > 3 else np.arange(len(r)) for r in rings]
+    while True:
+        lines, spans = _segments(rings, kept)
+        shorter = spans[:, 2] - spans[:, 1] > 1
+        if not shorter.any():
+            return kept
+        bad = np.unique(np.concatenate(_meeting(lines)))
+        back = bad[shorter[bad]]
+        if not len(back):
+            return kept
+        for r, first, last in spans[back]:
+            far = _distance(rings[r][first + 1 : last], rings[r][first], rings[r][last])
+            kept[r] = np.append(kept[r], first + 1 + int(far.argmax()))
+        kept = [np.sort(k) for k in kept]
+
+
 def simplify_boundaries(
     boundaries: DataFrame, tolerance: float = D.SIMPLIFY_TOLERANCE, rings_col: str = "rings"
 ) -> DataFrame:
-    """The same rows with fewer vertices per ring, within ``tolerance`` degrees.
+    """The same rows with fewer vertices per ring, within ``tolerance`` degrees, and without new crossings.
 
-    Rings are exploded to one row each, so a many-part shape is spread over tasks and batches stay
-    small. Only the ring travels to Python.
+    Every row gives one row, whatever its other columns; null and empty shapes and rings stay as they are. Only the
+    coordinates travel to Python.
     """
 
-    @F.pandas_udf("array<int>")
+    @F.pandas_udf("array<array<int>>")
     def kept(xs: pd.Series, ys: pd.Series) -> pd.Series:
-        rings = [np.column_stack([x, y]) for x, y in zip(xs, ys)]
-        return pd.Series([kept_vertices(r, tolerance) for r in rings])
-
-    keep = kept(F.transform(rings_col, lambda p: p["x"]), F.transform(rings_col, lambda p: p["y"]))
-    ring = F.col(rings_col)
-    shorter = F.transform("_keep", lambda i: F.get(ring, i))
-    others = [c for c in boundaries.columns if c != rings_col]
-    key = "_shape"
-    exploded = boundaries.withColumn(key, F.struct(*others)).select(
-        key, F.posexplode(rings_col).alias("_part", rings_col)
-    )
-    return (
-        exploded.withColumn("_keep", keep)
-        .select(key, F.struct("_part", shorter.alias("ring")).alias("_ring"))
-        .groupBy(key)
-        .agg(F.transform(F.sort_array(F.collect_list("_ring")), lambda r: r["ring"]).alias(rings_col))
-        .select(f"{key}.*", rings_col)
+        out = []
+        for x, y in zip(xs, ys):
+            missing = x is None
+            rings = [] if missing else [np.column_stack([a, b]).astype(float) if a is not None else np.zeros((0, 2)) for a, b in zip(x, y)]
+            out.append(None if missing else [k.tolist() for k in kept_of_shape(rings, tolerance)])
+        return pd.Series(out, dtype=object)
+
+    def coordinates(name: str):
+        return F.transform(rings_col, lambda ring: F.transform(ring, lambda p: p[name]))
+
+    shorter = F.zip_with(
+        rings_col, "_keep", lambda ring, keep: F.when(ring.isNotNull(), F.transform(keep, lambda i: F.get(ring, i)))
     )
+    return boundaries.withColumn("_keep", kept(coordinates("x"), coordinates("y"))).withColumn(rings_col, shorter).drop("_keep")
