@@ -49,8 +49,9 @@ class PieceTokenizer:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
-        #: Texts of added tokens: the tokenizer cuts texts at them before anything else.
-        self.added = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
+        #: Texts and ids of added tokens: texts are cut at them before anything else, so no other run holds one.
+        self.added = [(t.content.encode(), i) for i, t in self.tokenizer.get_added_tokens_decoder().items()]
+        self.tokenizer.encode_special_tokens = True
         suffix = "</w>"
         self.word_end = np.zeros(self.tokenizer.get_vocab_size(), dtype=bool)
         for token, i in self.tokenizer.get_vocab().items():
@@ -62,6 +63,10 @@ class PieceTokenizer:
         self.known: dict[bytes, int] = {}
         self.ids, self.used = np.zeros(1 << 16, np.uint32), 0
         self.starts, self.lengths = np.zeros(1 << 14, np.int64), np.zeros(1 << 14, np.int64)
+        for token, i in self.added:
+            self.ids[self.used], self.starts[self.used], self.lengths[self.used] = i, self.used, 1
+            self.known[token] = self.used
+            self.used += 1
 
     def __call__(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the rows, and the offsets of the rows in them."""
@@ -74,8 +79,10 @@ class PieceTokenizer:
         begin[1:] &= space[:-1] | (sign[1:] & plain[:-1]) | (plain[1:] & sign[:-1] & (data[:-1] != 0x27))
         heads = offsets[:-1][offsets[1:] > offsets[:-1]]
         begin[heads] = ~space[heads]
-        for a, b in self._added_spans(data, offsets):
-            begin[a + 1 : b] = False
+        for a, b, end in self._added_spans(data, offsets):
+            begin[a], begin[a + 1 : b] = True, False
+            if b < end:
+                begin[b] = ~space[b]
         starts = np.flatnonzero(begin)
         row_first = np.searchsorted(starts, offsets)
         kept = np.zeros(len(data) + 1, np.int64)
@@ -90,13 +97,14 @@ class PieceTokenizer:
         return self.ids[ranges(self.starts[entry], length)], row_ends[row_first]
 
     def _added_spans(self, data: np.ndarray, offsets: np.ndarray):
-        """Places of added tokens inside rows."""
+        """Starts and ends of added tokens inside rows, and the row's end."""
         whole = data.tobytes()
-        for token in self.added:
+        for token, _ in self.added:
             at = whole.find(token)
             while at >= 0:
-                if np.searchsorted(offsets, at, side="right") == np.searchsorted(offsets, at + len(token) - 1, side="right"):
-                    yield at, at + len(token)
+                end = int(offsets[np.searchsorted(offsets, at, side="right")])
+                if at + len(token) <= end:
+                    yield at, at + len(token), end
                 at = whole.find(token, at + 1)
 
     def _entries(self, texts: list[bytes]) -> np.ndarray:
