@@ -18,6 +18,7 @@ from terrafold.operators.kmeans import KMeansSettings
 from terrafold.plans import analysis
 from terrafold.session import cut_lineage, fresh_path
 from terrafold.sources import countries as country_source
+from terrafold.sources import outlines as outline_source
 from terrafold.sources import files
 from terrafold.sources import samples as sample_source
 
@@ -328,6 +329,40 @@ def countries_from_dumps(spark, d):
     return country_source.countries_from_dumps(country_source.dump_from_text(text, "text"), ["doc"])
 
 
+# Outlines cut into ways, one relation per customer: a ring of six points as three ways, in an order and with directions that
+# follow the key, a square hole in every second one, and a way that closes nothing in every third.
+@register("assembled_rings", """
+select concat('K', c_custkey) as iso_code, cast(c_custkey % 3 = 0 as bigint) as open_ways,
+       concat_ws(';', concat_ws(',', x || ' ' || y, (x + 4) || ' ' || (y - 1), (x + 9) || ' ' || y, (x + 9) || ' ' || (y + 7),
+                                (x + 5) || ' ' || (y + 9), x || ' ' || (y + 7), x || ' ' || y),
+                 case when c_custkey % 2 = 0 then
+                   concat_ws(',', (x + 2) || ' ' || (y + 2), (x + 2) || ' ' || (y + 4), (x + 4) || ' ' || (y + 4),
+                             (x + 4) || ' ' || (y + 2), (x + 2) || ' ' || (y + 2)) end) as outline
+from (select *, c_custkey % 170 as x, c_nationkey as y from customer) c""")
+def assembled_rings(spark, d):
+    point = "named_struct('lat', cast(y + {1} as double), 'lon', cast(x + {0} as double))"
+    ring = [(0, 0), (4, -1), (9, 0), (9, 7), (5, 9), (0, 7), (0, 0)]
+    hole = [(2, 2), (2, 4), (4, 4), (4, 2), (2, 2)]
+
+    def way(ref, role, corners):
+        points = f"array({', '.join(point.format(*c) for c in corners)})"
+        return (f"named_struct('type', 'way', 'ref', cast({ref} as bigint), 'role', '{role}', "
+                f"'geometry', if((c_custkey + {ref}) % 2 = 0, {points}, reverse({points})))")
+
+    outer = [way(f"(c_custkey * 7 + {k}) % 3", "outer", ring[2 * k : 2 * k + 3]) for k in range(3)]
+    members = (
+        f"concat(array({', '.join(outer)}), if(c_custkey % 2 = 0, array({way(5, 'inner', hole[:3])}, {way(4, 'inner', hole[2:])}), array()), "
+        f"if(c_custkey % 3 = 0, array({way(9, '', [(20, 20), (21, 21)])}), array()))"
+    )
+    rows = I.view(spark, d, "select *, c_custkey % 170 as x, c_nationkey as y from customer", "customer").selectExpr(
+        "c_custkey as doc", f"array(named_struct('type', 'relation', 'id', c_custkey, 'tags', map('ISO3166-1', concat('K', c_custkey)), "
+                            f"'members', {members})) as elements")
+    text = rows.select("doc", F.to_json(F.struct("elements")).alias("text"))
+    rings = outline_source.assembled_rings(country_source.dump_from_text(text, "text"), ["doc"])
+    line = F.transform("rings", lambda r: F.array_join(F.transform(r, lambda p: F.concat_ws(" ", p["x"].cast("long"), p["y"].cast("long"))), ","))
+    return rings.select("iso_code", "open_ways", F.array_join(line, ";").alias("outline"))
+
+
 # --- projections, filters, predicates ---------------------------------------
 
 

@@ -83,6 +83,10 @@ COUNTRY_DUMP = StructType([
             StructField("type", StringType()),
             StructField("ref", LongType()),
             StructField("role", StringType()),
+            StructField("geometry", ArrayType(StructType([
+                StructField("lat", DoubleType()),
+                StructField("lon", DoubleType()),
+            ]))),
         ]))),
     ]))),
 ])

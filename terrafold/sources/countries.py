@@ -11,6 +11,7 @@ from terrafold.functions.geometry import (
     bounding_box, box_rings, json_quote, json_unquote, rings_wkt, wkt_rings,
 )
 from terrafold.operators.tables import upsert_countries
+from terrafold.sources.outlines import member_outlines
 
 
 def read_country_dump(spark: SparkSession, path: str) -> DataFrame:
@@ -95,9 +96,17 @@ def country_bbox(countries: DataFrame, rings_col: str = "rings") -> DataFrame:
 
 def countries_from_dumps(
     dumps: DataFrame, order_cols: list[str], codes: list[str] | None = None,
-    existing: DataFrame | None = None,
+    existing: DataFrame | None = None, with_members: bool = False,
 ) -> DataFrame:
-    """Dump to countries table in one plan: parse, filter codes, attach outlines, upsert by name."""
-    found = country_boundaries(filter_country_codes(load_countries(dumps, order_cols), codes))
+    """Dump to countries table in one plan: parse, filter codes, attach outlines, upsert by name.
+
+    ``with_members`` stitches outlines from the geometry of the relations' ways; codes without any keep the built-in one.
+    """
+    outlines = None
+    if with_members:
+        found = member_outlines(dumps, order_cols)
+        built_in = outline_table(dumps.sparkSession)
+        outlines = found.unionByName(built_in.join(found, "iso_code", "left_anti"))
+    found = country_boundaries(filter_country_codes(load_countries(dumps, order_cols), codes), outlines)
     rows = found.select("name", "iso_code", stored_boundary("wkt").alias("boundary"))
     return upsert_countries(existing, rows, ["iso_code"])
