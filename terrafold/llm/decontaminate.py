@@ -30,6 +30,7 @@ from terrafold.llm.store import fresh_folder, make_folder, put_bytes, read_bytes
 _U64 = np.uint64
 Q = 8  # bytes of a q-gram: one 64-bit number, so hits are exact
 _BITS = 22
+_TOGETHER = 16  # neighbouring bands that are aligned in one region
 
 
 @dataclass(frozen=True)
@@ -94,7 +95,7 @@ class ItemIndex:
         self.seen[mix(self.grams) >> _U64(64 - _BITS)] = True
 
     def bands(self, text: np.ndarray, at_once: int) -> Iterator[tuple[int, int, int]]:
-        """(item, first diagonal, last diagonal) of the bands that reach the bound."""
+        """(item, first diagonal, last diagonal) of the runs of bands that reach the bound, long runs in parts that share a band."""
         g = grams(text) if len(self.grams) else np.zeros(0, _U64)
         spots = np.flatnonzero(self.seen[mix(g) >> _U64(64 - _BITS)]) if len(g) else np.zeros(0, np.int64)
         if not len(spots):
@@ -115,10 +116,13 @@ class ItemIndex:
             return
         key, back = np.unique(np.concatenate(keys), return_inverse=True)
         total = np.bincount(back, weights=np.concatenate(numbers))
-        for one in key[total >= self.bound[key >> 40]].tolist():
-            item, band = one >> 40, one & ((1 << 40) - 1)
-            low = band * int(self.width[item]) - int(self.length[item])
-            yield item, low, low + 2 * int(self.width[item])
+        key = key[total >= self.bound[key >> 40]]
+        for part in np.split(key, np.flatnonzero(np.diff(key) > 1) + 1):  # neighbouring bands are aligned together
+            for at in range(0, max(len(part) - 1, min(len(part), 1)), _TOGETHER - 1):
+                one, last = int(part[at]), int(part[min(at + _TOGETHER, len(part)) - 1])
+                item, mask = one >> 40, (1 << 40) - 1
+                width, length = int(self.width[item]), int(self.length[item])
+                yield item, (one & mask) * width - length, ((last & mask) + 2) * width - length
 
 
 class _ShortItems:
@@ -308,7 +312,7 @@ def _matches(index: ItemIndex, data: np.ndarray, offsets: np.ndarray, settings:
         found.setdefault((int(np.searchsorted(heads, a)), item), []).append((0, a, b))
     for item, low, high in index.bands(text, settings.at_once):
         m, k = int(index.length[item]), int(index.budget[item])
-        # A band may touch two rows: the item is looked for in each of them.
+        # A region may touch two rows: the item is looked for in each of them.
         a, b = max(0, low - k), min(len(text), high + m + k)
         for row in range(np.searchsorted(heads, a), min(len(heads), np.searchsorted(heads, b) + 1)):
             begin = max(a, heads[row - 1] + 1 if row else 0)

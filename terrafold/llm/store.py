@@ -7,12 +7,12 @@ import uuid
 import pyarrow.fs
 from pyspark.sql import DataFrame, SparkSession
 
-from terrafold.session import shared_folder
+from terrafold.session import fresh_path
 
 
 def fresh_folder(spark: SparkSession, label: str) -> str:
-    """A path below the shared folder that nothing has used yet."""
-    return f"{shared_folder(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    """A path below the shared folder that nothing has used yet; ``terrafold.session.release`` deletes it."""
+    return fresh_path(spark, label)
 
 
 def written(df: DataFrame, label: str) -> DataFrame:
