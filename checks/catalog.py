@@ -1138,11 +1138,34 @@ def validate_ranges(spark, d):
     return I.tidy(quality.validate_ranges(I.wild_samples(spark, d)))
 
 
+WILD_COLUMNS = (
+    "raw_data_id", "latitude", "longitude", "soc_percent", "top_depth_cm", "bottom_depth_cm", "sampling_date",
+    "lab_analysis_date", "clay_fraction",
+)
+REPORT_RANGES = {
+    "lat": "latitude", "lon": "longitude", "soc": "soc_percent", "top_depth": "top_depth_cm", "bottom_depth": "bottom_depth_cm",
+    "sampling_date": "sampling_date", "lab_date": "lab_analysis_date",
+}
+REPORT_FIGURES = ("n", "mean", "std", "min", "q25", "q50", "q75", "max")
+
+
+def _range_sql(name: str, column: str) -> str:
+    plain = "{0}" if "date" in name or "depth" in name else "round({0}, 6)"
+    return ", ".join(f"{plain.format(f'{f}({column})')} as {name}_{f}" for f in ("min", "max"))
+
+
+def _figures_of(prefix: str, column: str) -> str:
+    figures = [f"count({column})", f"avg({column})", f"stddev_samp({column})", f"min({column})",
+               *(f"quantile_cont({column}, {q})" for q in (0.25, 0.5, 0.75)), f"max({column})"]
+    return ", ".join(f"{x if k == 0 else f'round({x}, 6)'} as {prefix}_{n}" for k, (x, n) in enumerate(zip(figures, REPORT_FIGURES)))
+
+
 @register("quality_report", f"""with w as ({V.WILD_SAMPLES}), r as (
   select count(*) as total_records, count(*) - count(soc_percent) as soc_missing,
-         min(latitude) as lat_min, max(latitude) as lat_max, min(longitude) as lon_min,
-         max(longitude) as lon_max, min(soc_percent) as soc_min, max(soc_percent) as soc_max,
-         min(sampling_date) as sampling_date_min, max(lab_analysis_date) as lab_date_max
+         cast({' + '.join(f"(count(*) - count({c}))" for c in WILD_COLUMNS)} as bigint) as missing_values,
+         {', '.join(f"count(*) - count({c}) as missing_{c}" for c in WILD_COLUMNS)},
+         {', '.join(_range_sql(n, c) for n, c in REPORT_RANGES.items())},
+         {_figures_of("described_soc", "soc_percent")}, {_figures_of("described_clay", "clay_fraction")}
   from w),
 i as (
   select case when soc_missing > 0 then concat('SOC% missing values: ', soc_missing) end as a,
@@ -1151,20 +1174,23 @@ i as (
          case when soc_min < 0 or soc_max > 100 then 'SOC% values outside expected range (0-100%)' end
            as e
   from r)
-select total_records, soc_missing, round(lat_min, 6) as lat_min, round(lat_max, 6) as lat_max,
-       round(lon_min, 6) as lon_min, round(lon_max, 6) as lon_max, round(soc_min, 6) as soc_min,
-       round(soc_max, 6) as soc_max, sampling_date_min, lab_date_max,
+select r.* replace (cast(top_depth_min as bigint) as top_depth_min, cast(top_depth_max as bigint) as top_depth_max,
+                    cast(bottom_depth_min as bigint) as bottom_depth_min, cast(bottom_depth_max as bigint) as bottom_depth_max),
        concat_ws('; ', a, b, c, e) as issues,
        cast(greatest(0, 100 - 10 * (case when a is null then 0 else 1 end
          + case when b is null then 0 else 1 end + case when c is null then 0 else 1 end
          + case when e is null then 0 else 1 end)) as bigint) as quality_score
 from r, i""")
 def quality_report(spark, d):
+    """Every column of the report, maps spread to columns."""
     report = quality.quality_report(I.wild_samples(spark, d))
-    return I.tidy(
-        report.withColumn("issues", F.array_join("issues", "; ")),
-        "total_records", "soc_missing", "lat_min", "lat_max", "lon_min", "lon_max", "soc_min",
-        "soc_max", "sampling_date_min", "lab_date_max", "issues", "quality_score")
+    spread = [F.col("missing")[c].alias(f"missing_{c}") for c in WILD_COLUMNS]
+    spread += [
+        F.col("descriptions")[c][f].alias(f"{prefix}_{f}")
+        for prefix, c in (("described_soc", "soc_percent"), ("described_clay", "clay_fraction")) for f in REPORT_FIGURES
+    ]
+    return I.tidy(report.withColumn("issues", F.array_join("issues", "; ")).select(
+        *[c for c in report.columns if c not in ("missing", "descriptions")], *spread))
 
 
 # Result-like rows, one per customer.

@@ -27,6 +27,22 @@ COUNTRY_BOXES = [
 CLAY_LOW, CLAY_MEDIUM, CLAY_HIGH = 0.15, 0.25, 0.35
 SOC_LOW, SOC_MEDIUM = 1.0, 3.0
 
+# Texts of the quality report's issues.
+QUALITY_ISSUES = {
+    "soc_missing": "SOC% missing values: ",
+    "latitude": "Invalid latitude range detected",
+    "longitude": "Invalid longitude range detected",
+    "soc_range": "SOC% values outside expected range (0-100%)",
+}
+
+# Texts of the warnings about result rows.
+RESULT_WARNINGS = {
+    "zero_samples": "Country %s has zero samples",
+    "low_samples": "Country %s has only %d samples",
+    "anomalous_soc": "Country %s has anomalous SOC mean: %.3f%%",
+    "anomalous_clay": "Country %s has anomalous clay fraction: %.3f",
+}
+
 # Cluster-count rules for groups above LARGE_GROUP rows.
 LARGE_GROUP = 1000
 TARGET_CLUSTER_ROWS = 150

@@ -153,16 +153,16 @@ def describe_columns(
     )
 
 
-def missing_counts(df: DataFrame) -> DataFrame:
-    """(column_name, n_missing) for every column, in one pass. NaN is missing too."""
-    floats = {f.name for f in df.schema.fields if f.dataType.typeName() in ("double", "float")}
+def _missing(df: DataFrame, name: str) -> Column:
+    """Null, or NaN in a float column."""
+    empty = F.col(name).isNull()
+    return empty | F.coalesce(F.isnan(name), F.lit(False)) if df.schema[name].dataType.typeName() in ("double", "float") else empty
 
-    def missing(name: str) -> Column:
-        empty = F.col(name).isNull()
-        return empty | F.coalesce(F.isnan(name), F.lit(False)) if name in floats else empty
 
+def missing_counts(df: DataFrame) -> DataFrame:
+    """(column_name, n_missing) for every column, in one pass. NaN is missing too."""
     counts = [
-        F.struct(F.lit(c).alias("column_name"), F.count_if(missing(c)).alias("n_missing"))
+        F.struct(F.lit(c).alias("column_name"), F.count_if(_missing(df, c)).alias("n_missing"))
         for c in df.columns
     ]
     return df.agg(F.array(*counts).alias("m")).select(F.explode("m").alias("m")).select("m.*")
@@ -222,31 +222,30 @@ def validate_ranges(samples: DataFrame) -> DataFrame:
     )
 
 
-def quality_report(samples: DataFrame) -> DataFrame:
-    """One row: totals, ranges, list of issues and the score (100 less 10 per issue).
+def quality_report(samples: DataFrame, described: tuple[str, ...] = ("soc_percent", "clay_fraction")) -> DataFrame:
+    """One row: totals, missing values per column, ranges, descriptions, issues and the score (100 less 10 per issue).
 
-    The two column descriptions come from describe_columns and missing values per column from
-    missing_counts.
+    ``missing`` maps every column to its missing values, ``descriptions`` the described columns that there are to count, mean,
+    standard deviation, extremes and quartiles. Columns without a value have null figures.
     """
+    texts = D.QUALITY_ISSUES
     issues = F.filter(
         F.array(
-            F.when(
-                F.col("soc_missing") > 0,
-                F.concat(F.lit("SOC% missing values: "), F.col("soc_missing").cast("string")),
-            ),
-            F.when(_outside("lat_min", "lat_max", -90, 90), F.lit("Invalid latitude range detected")),
-            F.when(
-                _outside("lon_min", "lon_max", -180, 180), F.lit("Invalid longitude range detected")
-            ),
-            F.when(
-                _outside("soc_min", "soc_max", 0, 100),
-                F.lit("SOC% values outside expected range (0-100%)"),
-            ),
+            F.when(F.col("soc_missing") > 0, F.concat(F.lit(texts["soc_missing"]), F.col("soc_missing").cast("string"))),
+            F.when(_outside("lat_min", "lat_max", -90, 90), F.lit(texts["latitude"])),
+            F.when(_outside("lon_min", "lon_max", -180, 180), F.lit(texts["longitude"])),
+            F.when(_outside("soc_min", "soc_max", 0, 100), F.lit(texts["soc_range"])),
         ),
         lambda i: i.isNotNull(),
     )
+    figures = F.struct("n", "mean", "std", "min", "q25", "q50", "q75", "max")
+    found = describe_columns(samples, tuple(c for c in described if c in samples.columns)).agg(
+        F.map_from_entries(F.collect_list(F.struct("column_name", figures))).alias("descriptions")
+    )
+    pairs = [x for c in samples.columns for x in (F.lit(c), F.count_if(_missing(samples, c)))]
     return (
-        _ranges(samples)
+        _ranges(samples, [F.create_map(*pairs).alias("missing")])
+        .withColumn("descriptions", found.scalar())
         .withColumn("issues", issues)
         .withColumn(
             "quality_score", F.greatest(F.lit(0), F.lit(100) - F.size("issues") * 10).cast("long")

@@ -137,21 +137,21 @@ def result_warnings(results: DataFrame) -> DataFrame:
         return F.when(condition, F.struct(F.lit(rule).alias("rule"), text.alias("warning")))
 
     findings = F.array(
-        finding(size == 0, "zero_samples", F.format_string("Country %s has zero samples", name)),
+        finding(size == 0, "zero_samples", F.format_string(D.RESULT_WARNINGS["zero_samples"], name)),
         finding(
             (size != 0) & (size < D.LOW_SAMPLE_COUNT),
             "low_samples",
-            F.format_string("Country %s has only %d samples", name, size),
+            F.format_string(D.RESULT_WARNINGS["low_samples"], name, size),
         ),
         finding(
             (soc > D.SOC_MEAN_LIMIT) | (soc < 0),
             "anomalous_soc",
-            F.format_string("Country %s has anomalous SOC mean: %.3f%%", name, soc),
+            F.format_string(D.RESULT_WARNINGS["anomalous_soc"], name, soc),
         ),
         finding(
             (clay > D.CLAY_MEAN_LIMIT) | (clay < 0),
             "anomalous_clay",
-            F.format_string("Country %s has anomalous clay fraction: %.3f", name, clay),
+            F.format_string(D.RESULT_WARNINGS["anomalous_clay"], name, clay),
         ),
     )
     return results.select(

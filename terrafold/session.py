@@ -45,7 +45,7 @@ def shared_folder(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
-_HANDED_OUT: list[tuple[str, str]] = []  # (application, path) of what fresh_path has named
+_HANDED_OUT: list[tuple[str, str]] = []  # (application, path) of what has been written below the shared folder
 
 
 def fresh_path(spark: SparkSession, label: str) -> str:
@@ -56,7 +56,8 @@ def fresh_path(spark: SparkSession, label: str) -> str:
 
 
 def release(spark: SparkSession) -> int:
-    """Delete the tables that this application has written below the shared folder; the number of paths.
+    """Delete the tables and checkpoints that this library has written below the shared folder for this application; the
+    number of paths.
 
     Frames that still read them fail afterwards, so call it when results are stored.
     """
@@ -72,7 +73,11 @@ def release(spark: SparkSession) -> int:
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint in the shared folder."""
     shared_folder(df.sparkSession)
-    return df.checkpoint(eager=True)
+    held = df.checkpoint(eager=True)
+    place = held._jdf.queryExecution().analyzed().rdd().getCheckpointFile()
+    if place.isDefined():
+        _HANDED_OUT.append((df.sparkSession.sparkContext.applicationId, place.get()))
+    return held
 
 
 def lookup_side(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:

@@ -24,7 +24,9 @@ assert path.startswith(shared_folder(spark)), (path, shared_folder(spark))
 assert spark.sparkContext.getCheckpointDir() == shared_folder(spark)
 if sys.argv[1] != "none":
     assert ("/key/" if sys.argv[1] == "key" else "/call/") in path, path
-assert release(spark) == 1
+assert release(spark) == 2 and release(spark) == 0
+left = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(shared_folder(spark))
+assert not list(left.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listStatus(left))
 """
 
 

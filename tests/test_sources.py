@@ -8,7 +8,7 @@ from terrafold import defaults as D
 from terrafold.functions.geometry import wkt_rings
 from terrafold.operators import runlog, simplify
 from terrafold.sources import countries as C
-from terrafold.sources import files
+from terrafold.sources import files, outlines
 from terrafold.sources import samples as S
 
 RAW = [
@@ -76,6 +76,68 @@ def test_country_dump(spark, tmp_path):
     assert {r.iso_code for r in with_ch.collect()} == {"DE", "FR", "CH"}
 
 
+def _dump(ways, code="AA", **extra):
+    members = [{"type": "way", "ref": ref, "role": role, "geometry": [{"lat": y, "lon": x} for x, y in points]} for ref, role, points in ways]
+    return {"type": "relation", "id": 1, "tags": {"ISO3166-1": code, "name": code}, "members": members, **extra}
+
+
+def _assembled(spark, *elements):
+    rows = [(k, json.dumps({"elements": e})) for k, e in enumerate(elements)]
+    dumps = C.dump_from_text(spark.createDataFrame(rows, "doc int, text string"), "text")
+    return {r.iso_code: ([[(p.x, p.y) for p in ring] for ring in r.rings], r.open_ways)
+            for r in outlines.assembled_rings(dumps, ["doc"]).collect()}
+
+
+def test_rings_from_shuffled_ways(spark):
+    """Random rings cut into ways in any order and direction come back whole, whatever the cuts."""
+    rng = np.random.default_rng(6)
+    elements, want = [], {}
+    for c in range(12):
+        ways, rings = [], []
+        for k in range(int(rng.integers(1, 5))):
+            n = int(rng.integers(3, 40))
+            angles = np.sort(rng.uniform(0, 2 * np.pi, n))
+            ring = [(round(100 * k + r * np.cos(a), 6), round(r * np.sin(a), 6)) for a, r in zip(angles, rng.uniform(1, 9, n))]
+            ring.append(ring[0])
+            cuts = np.unique(np.concatenate([[0, n], rng.integers(0, n + 1, 4)]))
+            inner = k == 3
+            for a, b in zip(cuts[:-1], cuts[1:]):
+                part = ring[a : b + 1]
+                ways.append((len(ways), "inner" if inner else "outer", part[::-1] if rng.random() < 0.5 else part))
+            rings.append(outlines.turned(np.array(ring), inner))
+        order = rng.permutation(len(ways))
+        ways = [(int(order[i]), role, points) for i, (_, role, points) in enumerate(ways)]
+        elements.append(_dump(ways, f"C{c}"))
+        want[f"C{c}"] = sorted([tuple(map(tuple, r.tolist())) for r in rings])
+    got = _assembled(spark, elements)
+    assert {k: sorted(tuple(r) for r in rings) for k, (rings, _) in got.items()} == want
+    assert all(n == 0 for _, n in got.values())
+
+
+def test_odd_relations(spark):
+    square = [(0, 0), (2, 0), (2, 2), (0, 2), (0, 0)]
+    got = _assembled(
+        spark,
+        [_dump([(1, "outer", square[:3]), (1, "outer", square[:3]), (2, "", square[2:]), (3, "outer", [(5, 5), (6, 6)]), (4, "outer", [(9, 9)])]),
+         _dump([], "BB"), {"type": "relation", "id": 3, "tags": {"ISO3166-1": "CC"}, "members": None}, {"type": "way", "id": 9}],
+        [_dump([(7, "outer", [(0, 0), (1, 0), (0, 0)])], "DD"), _dump([(5, "inner", square)], "AA")],
+        # two squares that touch in a corner
+        [_dump([(1, "outer", square), (2, "outer", [(2, 2), (4, 2), (4, 4)]), (3, "outer", [(2, 2), (2, 4), (4, 4)])], "EE")],
+    )
+    assert got["AA"] == ([[(0, 0), (2, 0), (2, 2), (0, 2), (0, 0)]], 1)
+    assert got["DD"] == ([], 1) and set(got) == {"AA", "DD", "EE"}
+    assert len(got["EE"][0]) == 2 and got["EE"][1] == 0
+
+
+def test_stitched_outlines_come_before_built_in_ones(spark):
+    square = [(0, 0), (0, 2), (2, 2), (2, 0), (0, 0)]
+    text = json.dumps({"elements": [_dump([(1, "outer", square[:3]), (2, "outer", square[2:])], "DE"), _dump([], "FR")]})
+    dumps = C.dump_from_text(spark.createDataFrame([(0, text)], "doc int, text string"), "text")
+    found = C.countries_from_dumps(dumps, ["doc"], with_members=True).select("iso_code", C.boundary_rings("boundary").alias("r"))
+    rings = {r.iso_code: [(p.x, p.y) for p in r.r[0]] for r in found.collect()}
+    assert rings["DE"] == [(0, 0), (2, 0), (2, 2), (0, 2), (0, 0)] and rings["FR"][0] == (-5.1, 41.3)
+
+
 def test_default_codes(spark):
     assert len(D.DEFAULT_COUNTRY_CODES) == 27 and "CH" not in D.DEFAULT_COUNTRY_CODES
     both = C.filter_country_codes(C.outline_table(spark))
@@ -131,6 +193,50 @@ def test_simplify_stays_within_tolerance(spark):
     assert max(_distance_to_path(p, ring[kept]) for p in ring) <= 0.01 + 1e-12
 
 
+def _crossings(lines):
+    pairs = set()
+    for i in range(len(lines)):
+        for j in range(i):
+            p, q, r, s = (x[None] for x in (lines[i, :2], lines[i, 2:], lines[j, :2], lines[j, 2:]))
+            a, b, c, d = (simplify._side(*x) for x in ((p, q, r), (p, q, s), (r, s, p), (r, s, q)))
+            touch = [simplify._inside(*x)[0] for x in ((p, q, r, a), (p, q, s, b), (r, s, p, c), (r, s, q, d))]
+            if (a * b < 0)[0] and (c * d < 0)[0] or any(touch):
+                pairs.add((j, i))
+    return pairs
+
+
+def test_simplify_makes_no_crossings():
+    rng = np.random.default_rng(0)
+    for _ in range(25):
+        n = int(rng.integers(8, 70))
+        angles, far = np.sort(rng.uniform(0, 2 * np.pi, n)), rng.uniform(0.3, 1.5, n)
+        ring = np.column_stack([far * np.cos(angles), far * np.sin(angles)])
+        ring = np.vstack([ring, ring[:1]])
+        for tolerance in (0.05, 0.4, 0.9):
+            kept = simplify.kept_of_shape([ring, ring * 0.2], tolerance)
+            lines, _ = simplify._segments([ring, ring * 0.2], kept)
+            assert not _crossings(lines) and not len(simplify._meeting(lines)[0])
+    # an outline that already crosses itself is left with its crossing
+    bow = np.array([(0, 0), (1, 1.0), (2, 2), (2, 0), (1, 1.01), (0, 2), (0, 0)], float)
+    assert len(simplify.kept_of_shape([bow], 0.1)[0]) >= 4
+
+
+def test_a_notch_stays_inside_its_outline():
+    ring = np.array([(0, 0), (2, -0.3), (4, 0), (4, 4), (2.2, 4), (2, -0.2), (1.8, 4), (0, 4), (0, 0)], float)
+    kept, = simplify.kept_of_shape([ring], 0.35)
+    lines, _ = simplify._segments([ring], [kept])
+    assert not _crossings(lines)
+
+
+def test_simplify_gives_a_row_for_each_row(spark):
+    square = [[(0.0, 0.0), (0.5, 0.0), (1.0, 0.0), (1.0, 1.0), (0.0, 1.0), (0.0, 0.0)]]
+    rows = [("a", square), ("a", square), ("b", square * 2), ("c", None), ("d", []), (None, [None, []])]
+    df = spark.createDataFrame(rows, "name string, rings array<array<struct<x double, y double>>>")
+    got = sorted((r.name or "", None if r.rings is None else [x and len(x) for x in r.rings]) for r in simplify.simplify_boundaries(df, 0.01).collect())
+    assert got == [("", [None, []]), ("a", [5]), ("a", [5]), ("b", [5, 5]), ("c", None), ("d", [])]
+    assert simplify.simplify_boundaries(df.select("rings"), 0.01).count() == 6
+
+
 def test_simplify_keeps_rows_rings_and_triangles(spark):
     wkts = [(1, "a", "POLYGON ((0 0, 5 0.0005, 10 0, 10 10, 0 10, 0 0), (2 2, 3 2, 3 3, 2 2))"),
             (2, "b", "POLYGON ((0 0, 0.0001 0, 0.0001 0.0001, 0 0))")]
