@@ -513,6 +513,7 @@ class KeyedKMeans:
         # kept in memory on top of that for the iterations.
         self.blocks = cut_lineage(location_blocks(rows, self.tasks)).persist(StorageLevel.MEMORY_AND_DISK)
         self._draws: dict[tuple, _Draws] = defaultdict(_Draws)
+        self._profiles: dict[object, GroupProfile] | None = None
 
     def __enter__(self):
         return self
@@ -521,7 +522,12 @@ class KeyedKMeans:
         self.blocks.unpersist()
 
     def profiles(self) -> dict[object, GroupProfile]:
-        """Row count and mean coordinate variance of each group, merged from one row per group and task."""
+        """Row count and mean coordinate variance of each group, merged from one row per group and task; found once."""
+        if self._profiles is None:
+            self._profiles = self._measured()
+        return self._profiles
+
+    def _measured(self) -> dict[object, GroupProfile]:
         kind = self.blocks.schema["grp"].dataType.simpleString()
 
         def moments(batches):

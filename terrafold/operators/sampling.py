@@ -5,6 +5,8 @@ Draws follow the seeded digest order of the sample ids, so they do not depend on
 
 from __future__ import annotations
 
+from contextlib import nullcontext
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -29,10 +31,10 @@ def random_sample(
 
 
 def _fit_by_rule(
-    samples: DataFrame, rule, sample_size: int, settings: KMeansSettings
+    samples: DataFrame, rule, sample_size: int, settings: KMeansSettings, engine: KeyedKMeans | None = None
 ) -> list[Model]:
     """Models with the cluster count a size rule gives; countries below 2 clusters have none."""
-    with KeyedKMeans(samples, settings=settings) as engine:
+    with nullcontext(engine) if engine else KeyedKMeans(samples, settings=settings) as engine:
         profiles = engine.profiles()
         if not profiles:
             return []
@@ -81,14 +83,14 @@ def draw_proportional(
 
 def cluster_sample(
     samples: DataFrame, sample_size: int = D.SAMPLE_SIZE, seed: int = D.SEED,
-    settings: KMeansSettings | None = None,
+    settings: KMeansSettings | None = None, engine: KeyedKMeans | None = None,
 ) -> DataFrame:
     """Rows drawn from every cluster in proportion to its size.
 
     The floor of one row per cluster may push a country above ``sample_size``. Countries too small
     to cluster are sampled at random.
     """
-    models = _fit_by_rule(samples, proportional_k, sample_size, settings or KMeansSettings(seed=seed))
+    models = _fit_by_rule(samples, proportional_k, sample_size, settings or KMeansSettings(seed=seed), engine)
     return _proportional_from(samples, models, sample_size, seed)
 
 
@@ -137,11 +139,11 @@ def draw_single(
 
 def single_cluster_sample(
     samples: DataFrame, sample_size: int = D.SAMPLE_SIZE, seed: int = D.SEED,
-    settings: KMeansSettings | None = None,
+    settings: KMeansSettings | None = None, engine: KeyedKMeans | None = None,
 ) -> DataFrame:
     """Rows of one cluster per country; countries too small to cluster are sampled at random."""
     models = _fit_by_rule(
-        samples, single_cluster_k, sample_size, settings or KMeansSettings(seed=seed)
+        samples, single_cluster_k, sample_size, settings or KMeansSettings(seed=seed), engine
     )
     spark = samples.sparkSession
     labelled = samples.withColumn("cluster_number", once(model_labels(spark, models)))
@@ -156,14 +158,15 @@ def single_cluster_sample(
 
 def draw_samples(
     samples: DataFrame, method: str = "random", sample_size: int = D.SAMPLE_SIZE,
-    seed: int = D.SEED, settings: KMeansSettings | None = None,
+    seed: int = D.SEED, settings: KMeansSettings | None = None, engine: KeyedKMeans | None = None,
 ) -> DataFrame:
+    """Rows by one of the three methods. An ``engine`` with these settings over the same groups' rows may be handed in."""
     if method == "random":
         return random_sample(samples, sample_size, seed)
     if method == "clustering":
-        return cluster_sample(samples, sample_size, seed, settings)
+        return cluster_sample(samples, sample_size, seed, settings, engine)
     if method == "single_cluster":
-        return single_cluster_sample(samples, sample_size, seed, settings)
+        return single_cluster_sample(samples, sample_size, seed, settings, engine)
     raise ValueError(f"unknown sampling method: {method}")
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from terrafold import defaults as D
 from terrafold import schemas
-from terrafold.operators.kmeans import KMeansSettings
+from terrafold.operators.kmeans import KeyedKMeans, KMeansSettings
 from terrafold.operators.sampling import draw_samples
 from terrafold.operators.tables import (
     result_rows, stored_table_exists, surrogate_ids, with_row_defaults,
@@ -51,6 +51,7 @@ def country_statistics(
     min_samples: int = D.MIN_SAMPLES_PER_COUNTRY,
     seed: int = D.SEED,
     settings: KMeansSettings | None = None,
+    engine: KeyedKMeans | None = None,
 ) -> DataFrame:
     """One result row per known country with at least ``min_samples`` samples.
 
@@ -64,7 +65,7 @@ def country_statistics(
         .agg(F.count(F.lit(1)).alias("total_samples"))
         .where(F.col("total_samples") >= min_samples)
     )
-    figures = sample_statistics(draw_samples(held, method, sample_size, seed, settings))
+    figures = sample_statistics(draw_samples(held, method, sample_size, seed, settings, engine))
     names = countries.select(
         F.col("id").alias("country_id"), F.col("name").alias("country_name"),
         F.col("iso_code").alias("country_code"),

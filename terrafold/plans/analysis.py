@@ -12,7 +12,7 @@ from terrafold import defaults as D
 from terrafold import schemas
 from terrafold.operators import clustering, quality, reports, runlog, spatial, statistics, tables
 from terrafold.operators.clustering import ClusterSettings
-from terrafold.operators.kmeans import clusters_frame
+from terrafold.operators.kmeans import KeyedKMeans, clusters_frame
 from terrafold.session import cut_lineage
 from terrafold.sources.countries import boundary_rings
 
@@ -78,19 +78,21 @@ def run_analysis(
     settings = settings or AnalysisSettings()
     located = cut_lineage(locate_samples(samples, countries, settings.grid))
     counted = spatial.refresh_sample_counts(countries, located)
-    models = clustering.choose_models(located, settings.clustering)
     smallest = settings.clustering.min_rows_per_cluster
-    found = clusters_frame(located.sparkSession, models, smallest)
-    clusters = tables.surrogate_ids(
-        clustering.store_clusters(found), ["country_id", "cluster_number"]
-    )
-    placed = clustering.place_samples(located, models, clusters, smallest)
-    results = cut_lineage(
-        statistics.country_statistics(
-            located, counted, settings.sampling_method, settings.sample_size,
-            settings.min_samples_per_country, settings.seed, settings.clustering.kmeans,
+    # One set of location blocks and draws serves the clusters and the samples drawn from clusters.
+    with KeyedKMeans(located, settings=settings.clustering.kmeans) as engine:
+        models = clustering.choose_models(located, settings.clustering, engine=engine)
+        found = clusters_frame(located.sparkSession, models, smallest)
+        clusters = tables.surrogate_ids(
+            clustering.store_clusters(found), ["country_id", "cluster_number"]
+        )
+        placed = clustering.place_samples(located, models, clusters, smallest)
+        results = cut_lineage(
+            statistics.country_statistics(
+                located, counted, settings.sampling_method, settings.sample_size,
+                settings.min_samples_per_country, settings.seed, settings.clustering.kmeans, engine,
+            )
         )
-    )
     return Analysis(
         samples=placed,
         countries=counted,
