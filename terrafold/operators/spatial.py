@@ -2,21 +2,28 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from terrafold import defaults as D
-from terrafold.functions.geometry import bounding_box, odd_crossings, shape_edges, strictly_inside
+from terrafold.functions.geometry import bounding_box, odd_crossings, on_any_edge, shape_edges
 from terrafold.functions.measurement import once
-from terrafold.session import cut_lineage
+from terrafold.session import BROADCAST_ROWS, cut_lineage, lookup_side
 
 # Upper bound for the broadcast cell table, counted in polygon edges (32 bytes each).
 BROADCAST_EDGES = 500_000
-# Copies of each cell in the shuffled join; a hot cell is spread over this many tasks.
-CELL_SALT = 16
+# A cell with more edges is split, and again while that thins it out.
+CELL_EDGES = 256
+SPLIT_ROUNDS = 4
+# So many edges at most are cut by one task.
+FEW_EDGES = 2_000
+# A cell with more samples is shared by several tasks of the shuffled join.
+CELL_SAMPLES = 200_000
 # Widening of cell borders when edges are matched to cells; covers rounding of x / grid.
 BORDER = 1e-9
 
+CELL = ["level", "cell_x", "cell_y"]
+
 
 def points(samples: DataFrame) -> DataFrame:
     """Samples with a point struct (lon, lat)."""
@@ -29,76 +36,170 @@ def valid_boundaries(countries: DataFrame, boundary_col: str = "boundary") -> Da
     return countries.dropna(subset=[boundary_col])
 
 
-def polygon_cells(boundaries: DataFrame, grid: float = D.GRID_DEGREES) -> DataFrame:
-    """Grid cells that a polygon meets: one row per (polygon, cell).
+def _steps(first: Column, last: Column) -> Column:
+    """first, ..., last; null where that is empty."""
+    return F.when(first <= last, F.sequence(first, last))
 
-    ``covered`` marks cells wholly inside the polygon; points in them need no further test. The
-    other cells carry the edges a ray from inside the cell can cross, so a test costs the edges of
-    one latitude band and not the whole outline. Input: ``country_id`` and ``rings``.
-    """
-    box = bounding_box("rings")
-    rows = (
-        boundaries.select("country_id", shape_edges("rings").alias("_edges"), box.alias("_box"))
-        .select(
-            "country_id",
-            "_edges",
-            F.floor(F.col("_box.min_lon") / grid).alias("_x0"),
-            F.floor(F.col("_box.max_lon") / grid).alias("_x1"),
-            F.explode(
-                F.sequence(
-                    F.floor(F.col("_box.min_lat") / grid), F.floor(F.col("_box.max_lat") / grid)
-                )
-            ).alias("cell_y"),
-        )
-    )
-    south, north = F.col("cell_y") * grid - BORDER, (F.col("cell_y") + 1) * grid + BORDER
-    banded = rows.select(
-        "country_id",
-        "cell_y",
-        F.filter(
-            "_edges",
-            lambda e: (F.least(e["y1"], e["y2"]) <= north) & (F.greatest(e["y1"], e["y2"]) >= south),
-        ).alias("_band"),
-        F.explode(F.sequence("_x0", "_x1")).alias("cell_x"),
-    )
-    west, east = F.col("cell_x") * grid - BORDER, (F.col("cell_x") + 1) * grid + BORDER
-    ahead = banded.withColumn(
-        "edges", F.filter("_band", lambda e: F.greatest(e["x1"], e["x2"]) >= west)
-    ).drop("_band")
-    near_outline = F.exists("edges", lambda e: F.least(e["x1"], e["x2"]) <= east)
-    center_x, center_y = (F.col("cell_x") + 0.5) * grid, (F.col("cell_y") + 0.5) * grid
-    covered = ~F.col("_near") & odd_crossings(F.col("edges"), center_x, center_y)
+
+def _parts(boundaries: DataFrame, grid: float) -> DataFrame:
+    """One row per edge of a polygon with the range of cells that its box meets. A polygon is a row of
+    ``boundaries``; several may have one ``country_id``."""
+    west, south, east, north = (F.floor(F.col(f"_box.{c}") / grid) for c in ("min_lon", "min_lat", "max_lon", "max_lat"))
     return (
-        ahead.withColumn("_near", near_outline)
-        .withColumn("covered", covered)
-        .where("_near or covered")
+        boundaries.withColumn("shape", F.monotonically_increasing_id())
+        .select("shape", "country_id", shape_edges("rings").alias("_edges"), bounding_box("rings").alias("_box"))
         .select(
-            "cell_x", "cell_y", "country_id", "covered",
-            F.when(F.col("covered"), F.slice("edges", 1, 0)).otherwise(F.col("edges")).alias("edges"),
+            "shape", "country_id", F.lit(0).alias("level"), west.alias("x0"), east.alias("x1"), south.alias("y0"),
+            north.alias("y1"), F.explode("_edges").alias("edge"), F.lit(None).cast("double").alias("turn"),
         )
     )
 
 
-def _winnable(cells: DataFrame) -> DataFrame:
-    """Cells without the polygons that cannot win there.
+def _cut(parts: DataFrame, grid: float) -> DataFrame:
+    """Edges and turns of every cell.
+
+    A ray from a point towards +x crosses edges of its own cell and edges farther east. Those farther east matter only by
+    their latitudes: each is crossed from its lower end on and no more from its upper end on. Two such ends that meet
+    in a vertex cancel out, so a cell keeps few of these turns, however long the outline is. Turns below the
+    cell are minus infinity. All comparisons are those of the plain ray test, so results are the same bit for bit.
+    """
+    size = F.lit(grid) / F.pow(F.lit(2.0), F.col("level"))
+    edge = F.col("edge")
+    low, high = F.least(edge["y1"], edge["y2"]), F.greatest(edge["y1"], edge["y2"])
+    south, north = F.col("cell_y") * size, (F.col("cell_y") + 1) * size
+
+    def x_at(y):
+        part = F.try_divide(F.least(F.greatest(y, low), high) - edge["y1"], edge["y2"] - edge["y1"])
+        return edge["x1"] + (edge["x2"] - edge["x1"]) * part
+
+    flat = edge["y1"] == edge["y2"]
+    one = F.when(flat, edge["x1"]).otherwise(x_at(south - BORDER))
+    other = F.when(flat, edge["x2"]).otherwise(x_at(north + BORDER))
+    first = F.greatest(F.col("y0"), F.floor((low - BORDER) / size))
+    last = F.least(F.col("y1"), F.floor((high + BORDER) / size))
+    banded = (
+        parts.where("edge is not null")
+        .withColumn("cell_y", F.explode(_steps(first, last)))
+        .withColumn("_from", F.floor((F.least(one, other) - BORDER) / size))
+        .withColumn("_to", F.floor((F.greatest(one, other) + BORDER) / size))
+    )
+    names = ["shape", "country_id", *CELL, "edge", "turn"]
+    near = banded.withColumn(
+        "cell_x", F.explode(_steps(F.greatest("_from", "x0"), F.least("_to", "x1")))
+    ).select(*names)
+    row = ["shape", "country_id", "level", "x0", "cell_y"]
+    ahead = (
+        banded.where((F.col("_from") > F.col("x0")) & ~flat)
+        .select(*row, F.least("_from", F.col("x1") + 1).alias("_end"), F.explode(F.array(low, high)).alias("turn"))
+    )
+    inherited = (
+        parts.where("edge is null")
+        .withColumn("cell_y", F.explode(_steps(F.col("y0"), F.col("y1"))))
+        .select(*row, (F.col("x1") + 1).alias("_end"), "turn")
+    )
+    below = F.when(F.col("turn") <= south - BORDER, F.lit(float("-inf"))).otherwise(F.col("turn"))
+    ends = (
+        ahead.unionByName(inherited)
+        .where(F.col("turn") <= north + BORDER)
+        .withColumn("turn", below)
+        .groupBy(*row, "turn").agg(F.sort_array(F.collect_list("_end"), asc=False).alias("_ends"))
+    )
+    # A turn counts in the cells west of an odd number of ends. A list has a number per edge of one polygon in one row of cells.
+    spans = F.transform(
+        F.sequence(F.lit(0), F.size("_ends") - 1, F.lit(2)),
+        lambda i: F.coalesce(
+            _steps(F.coalesce(F.get("_ends", i + 1), F.col("x0")), F.get("_ends", i) - 1), F.array().cast("array<bigint>")
+        ),
+    )
+    turns = ends.withColumn("cell_x", F.explode(F.flatten(spans))).withColumn("edge", F.lit(None).cast(parts.schema["edge"].dataType))
+    return near.unionByName(turns.select(*names))
+
+
+def _winnable(rows: DataFrame) -> DataFrame:
+    """Rows without the polygons that cannot win their cell.
 
     The highest id wins, so below the highest polygon that covers a cell nothing needs a test.
     """
-    floor = F.max(F.when(F.col("covered"), F.col("country_id"))).over(
-        Window.partitionBy("cell_x", "cell_y")
+    held = rows.groupBy(*CELL, "shape", "country_id").agg(
+        F.count("edge").alias("_edges"), F.count("turn").alias("_turns"), F.max("turn").alias("_top")
     )
-    return (
-        cells.withColumn("_floor", floor)
-        .where("_floor is null or country_id >= _floor")
-        .drop("_floor")
+    covered = held.where("_edges = 0 and _turns = 1").where(F.col("_top") == float("-inf"))
+    floors = covered.groupBy(*CELL).agg(F.max("country_id").alias("_floor"))
+    return rows.join(floors, CELL, "left").where("_floor is null or country_id >= _floor").drop("_floor")
+
+
+def adaptive_cells(
+    boundaries: DataFrame, grid: float = D.GRID_DEGREES, max_edges: int = CELL_EDGES
+) -> tuple[DataFrame, list[DataFrame]]:
+    """Cells that polygons meet, and the splits that lead to them.
+
+    Input: ``country_id`` and ``rings``. One row per polygon and cell: level, cell_x, cell_y, country_id, covered, edges,
+    turns; cells of a level are ``grid`` / 2^level wide. ``covered`` marks cells wholly inside, whose points need no
+    test. Cells in which more than ``max_edges`` edges meet are cut into 4^step ones by their count, round by
+    round, while the edges of the parts stay within four times those of the whole. Each split is a table of level, cell_x, cell_y, step.
+    """
+    # Kept once: every action on the result would otherwise grid the polygons again, and shapes be numbered anew.
+    parts = cut_lineage(_parts(boundaries, grid))
+    few = parts.limit(FEW_EDGES + 1).count() <= FEW_EDGES
+    # Few edges need no exchange: one task then cuts, groups and joins.
+    rows = cut_lineage(_winnable(_cut(parts.coalesce(1) if few else parts, grid)))
+    leaves, splits = [], []
+    for _ in range(SPLIT_ROUNDS):
+        counted = rows.groupBy(*CELL).agg(F.count("edge").alias("_n")).where(F.col("_n") > max_edges)
+        cells, before = counted.agg(F.count(F.lit(1)), F.coalesce(F.sum("_n"), F.lit(0))).first()
+        if not cells:
+            break
+        step = F.least(F.ceil(F.log2(F.col("_n") / max_edges) / 2), F.lit(6)).cast("int")
+        crowded = cut_lineage(counted.select(*CELL, step.alias("step")))
+        crowded = F.broadcast(crowded) if cells <= BROADCAST_ROWS else crowded
+        marked = rows.join(crowded, CELL, "left")
+        parts = F.pow(F.lit(2.0), F.col("step")).cast("long")
+        inner = marked.where("step is not null").select(
+            "shape", "country_id", (F.col("level") + F.col("step")).alias("level"), (F.col("cell_x") * parts).alias("x0"),
+            ((F.col("cell_x") + 1) * parts - 1).alias("x1"), (F.col("cell_y") * parts).alias("y0"),
+            ((F.col("cell_y") + 1) * parts - 1).alias("y1"), "edge", "turn",
+        )
+        finer = cut_lineage(_winnable(_cut(inner, grid)))
+        leaves.append(marked.where("step is null").drop("step"))
+        splits.append(crowded)
+        rows = finer
+        if finer.where("edge is not null").count() > 4 * before:
+            break
+    leaves.append(rows)
+    whole = leaves[0]
+    for more in leaves[1:]:
+        whole = whole.unionByName(more)
+    cells = whole.repartition(*CELL).groupBy(*CELL, "shape", "country_id").agg(
+        F.collect_list("edge").alias("edges"), F.collect_list("turn").alias("turns")
     )
+    covered = (F.size("edges") == 0) & (F.array_max("turns") == float("-inf"))
+    return cells.withColumn("covered", F.coalesce(covered, F.lit(False))).drop("shape"), splits
+
 
+def polygon_cells(boundaries: DataFrame, grid: float = D.GRID_DEGREES, max_edges: int = CELL_EDGES) -> DataFrame:
+    """The cells of ``adaptive_cells`` alone."""
+    return adaptive_cells(boundaries, grid, max_edges)[0]
 
-def _with_cell(samples: DataFrame, grid: float) -> DataFrame:
+
+def _with_cell(samples: DataFrame, grid: float, splits: list[DataFrame]) -> DataFrame:
+    """Samples with the level and place of the cell they lie in; null where a coordinate is unusable."""
     usable = ~F.isnan("longitude") & ~F.isnan("latitude")
-    return samples.withColumn(
-        "_cx", F.when(usable, F.floor(F.col("longitude") / grid))
-    ).withColumn("_cy", F.when(usable, F.floor(F.col("latitude") / grid)))
+
+    def place(column, level):
+        return F.when(usable, F.floor(F.col(column) / (F.lit(grid) / F.pow(F.lit(2.0), level))))
+
+    placed = (
+        samples.withColumn("level", F.lit(0)).withColumn("cell_x", place("longitude", F.col("level")))
+        .withColumn("cell_y", place("latitude", F.col("level")))
+    )
+    for split in splits:
+        level = F.col("level") + F.coalesce("step", F.lit(0))
+        placed = (
+            placed.join(split, CELL, "left").withColumn("level", level)
+            .withColumn("cell_x", place("longitude", F.col("level")))
+            .withColumn("cell_y", place("latitude", F.col("level"))).drop("step")
+        )
+    return placed
 
 
 def assign_polygons(
@@ -106,56 +207,54 @@ def assign_polygons(
     boundaries: DataFrame,
     grid: float = D.GRID_DEGREES,
     max_broadcast_edges: int = BROADCAST_EDGES,
+    max_edges: int = CELL_EDGES,
+    cell_samples: int = CELL_SAMPLES,
 ) -> DataFrame:
     """Samples with the ``country_id`` of the polygon they lie in; the highest id wins overlaps.
 
-    The polygon side becomes a table of grid cells. When its measured size is within bounds, one row
-    per cell is broadcast with all candidate polygons: samples are then neither shuffled nor
-    multiplied. A larger table is joined by shuffle, salted so that a crowded cell is shared by many
-    tasks, and the candidates of a sample are reduced by a row number of its own. Ids play no part, so null and
-    repeated ones are treated alike on both ways.
+    The polygon side becomes one row per cell with all candidate polygons, so a sample meets one row at most and is never
+    multiplied. When the measured size is within bounds the cells are broadcast. A larger table is joined by one shuffle on
+    the cell; cells with more than ``cell_samples`` samples, as counted, are copied for several tasks. Ids play no
+    part, so null and repeated ones are treated alike on both ways. Columns named level, cell_x, cell_y or step must not
+    be among those of the samples.
     """
     samples = samples.drop("country_id")
-    # Kept once: every action on the result would otherwise grid the polygons again.
-    cells = cut_lineage(_winnable(polygon_cells(boundaries, grid)))
-    held = cells.agg(F.sum(F.size("edges") + 1)).first()[0] or 0
+    cells, splits = adaptive_cells(boundaries, grid, max_edges)
+    shapes = F.collect_list(F.struct("country_id", "covered", "edges", "turns"))
+    lookup = cells.groupBy(*CELL).agg(shapes.alias("_shapes"))
+    lookup = cut_lineage(lookup)
+    size = F.aggregate("_shapes", F.lit(0), lambda n, s: n + F.size(s["edges"]) + F.size(s["turns"]) + 1)
+    held = lookup.agg(F.sum(size)).first()[0] or 0
+    keyed = _with_cell(samples, grid, splits)
     if held <= max_broadcast_edges:
-        return _assign_by_lookup(samples, cells, grid)
-    return _assign_by_shuffle(samples, cells, grid)
+        met = keyed.join(F.broadcast(lookup), CELL, "left")
+    else:
+        met = _met_by_shuffle(keyed, lookup, cell_samples)
+    lon, lat = F.col("longitude"), F.col("latitude")
 
+    def inside(s):
+        turned = F.size(F.filter(s["turns"], lambda t: t <= lat)) % 2 == 1
+        return (odd_crossings(s["edges"], lon, lat) != turned) & ~on_any_edge(s["edges"], lon, lat)
 
-def _assign_by_lookup(samples: DataFrame, cells: DataFrame, grid: float) -> DataFrame:
-    lookup = cells.groupBy(F.col("cell_x").alias("_cx"), F.col("cell_y").alias("_cy")).agg(
-        F.collect_list(F.struct("country_id", "covered", "edges")).alias("_shapes")
-    )
-    lon, lat = F.col("longitude"), F.col("latitude")
-    hits = F.filter("_shapes", lambda s: s["covered"] | strictly_inside(s["edges"], lon, lat))
+    hits = F.filter("_shapes", lambda s: s["covered"] | inside(s))
     winner = F.array_max(F.transform(hits, lambda s: s["country_id"]))
-    return (
-        _with_cell(samples, grid)
-        .join(F.broadcast(lookup), ["_cx", "_cy"], "left")
-        .withColumn("country_id", once(winner))
-        .drop("_cx", "_cy", "_shapes")
-    )
-
-
-def _assign_by_shuffle(samples: DataFrame, cells: DataFrame, grid: float) -> DataFrame:
-    id_col = "_row"
-    # Checkpointed, so that the numbers stay when a task is repeated.
-    samples = cut_lineage(samples.withColumn(id_col, F.monotonically_increasing_id()))
-    spread = F.pmod(F.xxhash64(id_col), F.lit(CELL_SALT)).cast("int")
-    keyed = _with_cell(samples.select(id_col, "longitude", "latitude"), grid).withColumn("_s", spread)
-    copies = cells.select(
-        F.col("cell_x").alias("_cx"), F.col("cell_y").alias("_cy"), "country_id", "covered", "edges",
-        F.explode(F.sequence(F.lit(0), F.lit(CELL_SALT - 1))).alias("_s"),
-    )
-    matched = (
-        keyed.join(copies, ["_cx", "_cy", "_s"])
-        .where(F.col("covered") | strictly_inside("edges", "longitude", "latitude"))
-        .groupBy(id_col)
-        .agg(F.max("country_id").alias("country_id"))
-    )
-    return samples.join(matched, id_col, "left").drop(id_col)
+    return met.withColumn("country_id", once(winner)).drop(*CELL, "_shapes")
+
+
+def _met_by_shuffle(keyed: DataFrame, lookup: DataFrame, cell_samples: int) -> DataFrame:
+    # Checkpointed, so that a repeated task deals its rows out as before.
+    keyed = cut_lineage(keyed)
+    busy = keyed.where("cell_x is not null and cell_y is not null").groupBy(*CELL).agg(F.count(F.lit(1)).alias("_n"))
+    busy = lookup_side(
+        busy.where(F.col("_n") > cell_samples).select(*CELL, F.ceil(F.col("_n") / cell_samples).cast("int").alias("_copies"))
+    )
+    number = F.monotonically_increasing_id()
+    nowhere = F.col("cell_x").isNull() | F.col("cell_y").isNull()
+    copy = F.when(nowhere, number % 1024).otherwise(number % F.coalesce("_copies", F.lit(1))).cast("int")
+    dealt = keyed.join(busy, CELL, "left").withColumn("_copy", copy).drop("_copies")
+    every = F.sequence(F.lit(0), F.coalesce("_copies", F.lit(1)) - 1)
+    copies = lookup.join(busy, CELL, "left").withColumn("_copy", F.explode(every)).drop("_copies")
+    return dealt.join(copies, [*CELL, "_copy"], "left").drop("_copy")
 
 
 def points_in_polygons(samples: DataFrame, boundaries: DataFrame, **options) -> DataFrame:

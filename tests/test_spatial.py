@@ -124,3 +124,66 @@ def test_null_and_repeated_ids_are_placed_alike_on_both_ways(spark):
     ]
     assert found[0] == found[1] and len(found[0]) == 6
     assert [r.country_id for r in spatial.assign_polygons(df, shapes, **BOTH[1]).where("id = 1").orderBy("longitude").collect()] == [None, 7, 3]
+
+
+def _lattice(spark, n):
+    """n * n square outlines side by side in the degree from (10, 50); ids go by rows."""
+    side = 1.0 / n
+    square = F.transform(
+        F.array(*[F.struct(F.lit(u).alias("u"), F.lit(v).alias("v")) for u, v in ((0, 0), (1, 0), (1, 1), (0, 1), (0, 0))]),
+        lambda c: F.struct((10 + (F.col("i") + c["u"]) * side).alias("x"), (50 + (F.col("j") + c["v"]) * side).alias("y")),
+    )
+    cells = spark.range(n * n).select("id", (F.col("id") % n).alias("i"), F.floor(F.col("id") / n).alias("j"))
+    return cells.select(F.col("id").alias("country_id"), F.array(square).alias("rings"))
+
+
+@pytest.mark.parametrize("options", BOTH)
+def test_a_hundred_thousand_outlines_in_one_degree(spark, options):
+    n = 320
+    shapes = _lattice(spark, n)
+    cells, splits = spatial.adaptive_cells(shapes)
+    cells = cells.cache()
+    assert splits and cells.agg(F.max(F.size("edges"))).first()[0] <= 8
+    per_cell = cells.groupBy(*spatial.CELL).agg(F.sum(F.size("edges")).alias("n"))
+    assert per_cell.agg(F.max("n")).first()[0] <= 2 * spatial.CELL_EDGES
+    cells.unpersist()
+    samples = spark.range(4000).select(
+        "id", (10 + (F.pmod(F.col("id") * 7919, F.lit(n)) + 0.5) / n).alias("longitude"),
+        (50 + (F.pmod(F.col("id") * 104729, F.lit(n)) + 0.25) / n).alias("latitude"))
+    wrong = spatial.assign_polygons(samples, shapes, **options).where(
+        ~F.col("country_id").eqNullSafe(F.pmod(F.col("id") * 104729, F.lit(n)) * n + F.pmod(F.col("id") * 7919, F.lit(n))))
+    assert wrong.count() == 0
+
+
+@pytest.mark.parametrize("options", [{"max_edges": 4}, {"max_edges": 4, "max_broadcast_edges": -1, "cell_samples": 10}])
+@pytest.mark.parametrize("grid", [1.0, 7.0])
+def test_split_cells_against_brute_force(spark, grid, options):
+    test_against_brute_force(spark, grid, options)
+
+
+def test_a_crowded_cell_is_shared_by_tasks(spark):
+    shapes = _boundaries(spark, (7, BOX), (3, "POLYGON ((0 0, 30 0, 30 60, 0 60, 0 0))"))
+    points = spark.range(5000).select(
+        "id", F.when(F.col("id") % 10 < 3, 10.5).otherwise((F.col("id") % 977) / 40).alias("longitude"),
+        F.when(F.col("id") % 10 < 3, 50.5).when(F.col("id") % 7 == 0, F.lit(None)).otherwise((F.col("id") % 1013) / 17).alias("latitude"))
+    near = spatial.assign_polygons(points, shapes)
+    far = spatial.assign_polygons(points, shapes, max_broadcast_edges=-1, cell_samples=100)
+    assert far.count() == 5000 and near.exceptAll(far).count() == 0
+    assert far.where("country_id = 7").count() >= 1500
+    plan = far._jdf.queryExecution().executedPlan().toString()
+    assert "_copy" in plan and "country_id" in far.columns
+
+
+def test_polygons_of_one_id_stay_apart(spark):
+    """Equal outlines under one id do not cancel out; neither do nested ones of several rows."""
+    shapes = _boundaries(spark, (7, BOX), (7, BOX), (7, "POLYGON ((8 49, 9 49, 9 50, 8 50, 8 49))"))
+    for options in BOTH:
+        assert _assign(spark, [(1, 8.5, 49.5), (2, 12.0, 52.0), (3, 0.0, 0.0)], shapes, **options) == {1: 7, 2: 7, 3: None}
+
+
+@pytest.mark.parametrize("options", BOTH)
+def test_no_outlines_and_no_samples(spark, options):
+    none = _boundaries(spark, (7, BOX)).limit(0)
+    assert _assign(spark, [(1, 8.5, 49.5)], none, **options) == {1: None}
+    empty = spark.createDataFrame([], "id long, longitude double, latitude double")
+    assert spatial.assign_polygons(empty, _boundaries(spark, (7, BOX)), **options).count() == 0
