@@ -9,6 +9,7 @@ from checks import kmeans_sql as K
 from checks import views as V
 from terrafold import defaults as D
 from terrafold.functions import geometry as G
+from terrafold.functions import projections as P
 from terrafold.functions.measurement import clay_fraction, parse_measurement
 from terrafold.functions.sizing import k_large_adjust, k_upper_bound
 from terrafold.operators import (
@@ -448,6 +449,58 @@ def reproject(spark, d):
     return back
 
 
+# Third flattening and squared eccentricity of the ellipsoid.
+ELLIPSOID = """consts as (
+  select 1 / 298.257223563e0 as f, f / (2 - f) as n, f * (2 - f) as e2, sqrt(f * (2 - f)) as e,
+         6378137e0 / (1 + n) * (1 + n*n/4 + n*n*n*n/64) as a)"""
+
+
+@register("reproject_zones", f"""with s as ({V.SAMPLES}), {ELLIPSOID},
+t as (
+  select id, longitude, latitude, n, a, floor((longitude + 180) / 6) * 6 - 177 as mid,
+         radians(longitude - mid) as l, sin(radians(latitude)) as p, 2 * sqrt(n) / (1 + n) as r,
+         sinh(atanh(p) - r * atanh(r * p)) as t, atan2(t, cos(l)) as u, atanh(sin(l) / sqrt(1 + t * t)) as v,
+         n/2 - 2*n**2/3 + 5*n**3/16 + 41*n**4/180 as a1, 13*n**2/48 - 3*n**3/5 + 557*n**4/1440 as a2,
+         61*n**3/240 - 103*n**4/140 as a3, 49561*n**4/161280 as a4
+  from s, consts)
+select id, cast(mid as bigint) as meridian,
+       round(500000 + 0.9996e0 * a * (v + a1*cos(2*u)*sinh(2*v) + a2*cos(4*u)*sinh(4*v) + a3*cos(6*u)*sinh(6*v)
+             + a4*cos(8*u)*sinh(8*v)), 2) as x,
+       round(0.9996e0 * a * (u + a1*sin(2*u)*cosh(2*v) + a2*sin(4*u)*cosh(4*v) + a3*sin(6*u)*cosh(6*v)
+             + a4*sin(8*u)*cosh(8*v)), 2) as y,
+       round(longitude, 6) as longitude, round(latitude, 6) as latitude
+from t""")
+def reproject_zones(spark, d):
+    placed = I.samples(spark, d).withColumn("meridian", P.zone_meridian("longitude").cast("long"))
+    moved = placed.select("id", "meridian", P.to_transverse_mercator("longitude", "latitude", "meridian").alias("m"))
+    back = P.from_transverse_mercator("m.x", "m.y", "meridian")
+    return moved.withColumn("b", back).select(
+        "id", "meridian", F.round("m.x", 2).alias("x"), F.round("m.y", 2).alias("y"),
+        F.round("b.longitude", 6).alias("longitude"), F.round("b.latitude", 6).alias("latitude"))
+
+
+def _area_sql(sine: str) -> str:
+    return f"((1 - e2) * ({sine} / (1 - e2 * {sine} * {sine}) - ln((1 - e * {sine}) / (1 + e * {sine})) / (2 * e)))"
+
+
+@register("reproject_equal_area", f"""with s as ({V.SAMPLES}), {ELLIPSOID},
+t as (
+  select id, longitude, latitude, radians(longitude - 10) as l, sin(radians(latitude)) as p, sin(radians(52)) as p0,
+         {_area_sql("1e0")} as q1, asin({_area_sql("p")} / q1) as b, asin({_area_sql("p0")} / q1) as b0,
+         6378137e0 * sqrt(q1 / 2) as r, 6378137e0 * cos(radians(52)) / sqrt(1 - e2 * p0 * p0) / (r * cos(b0)) as d,
+         r * sqrt(2 / (1 + sin(b0) * sin(b) + cos(b0) * cos(b) * cos(l))) as k
+  from s, consts)
+select id, round(4321000 + k * d * cos(b) * sin(l), 2) as x,
+       round(3210000 + k / d * (cos(b0) * sin(b) - sin(b0) * cos(b) * cos(l)), 2) as y,
+       round(longitude, 6) as longitude, round(latitude, 6) as latitude
+from t""")
+def reproject_equal_area(spark, d):
+    moved = I.samples(spark, d).select("id", P.to_equal_area("longitude", "latitude").alias("m"))
+    return moved.withColumn("b", P.from_equal_area("m.x", "m.y")).select(
+        "id", F.round("m.x", 2).alias("x"), F.round("m.y", 2).alias("y"),
+        F.round("b.longitude", 6).alias("longitude"), F.round("b.latitude", 6).alias("latitude"))
+
+
 # --- joins ------------------------------------------------------------------
 
 
