@@ -2,7 +2,7 @@
 
 Vertices within the tolerance go first. Then the segments of all rings of the shape are dealt to the cells of a grid, and those
 that meet in a cell are tested against each other; a segment that crosses or touches another one gets back the farthest of the
-vertices it replaced, until nothing meets that did not meet before.
+vertices it replaced, until nothing meets that did not meet before. Many shapes go through every step together.
 """
 
 from __future__ import annotations
@@ -10,7 +10,8 @@ from __future__ import annotations
 import sys
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -21,31 +22,48 @@ from terrafold import defaults as D
 # Tasks get the functions below by value, so executors need no copy of this package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-
-def _distance(points: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Distance of points to the segment a-b."""
-    along = b - a
-    length2 = along @ along
-    t = np.clip((points - a) @ along / length2, 0.0, 1.0) if length2 else np.zeros(len(points))
-    return np.hypot(*(points - (a + t[:, None] * along)).T)
+STEP_VERTICES = 200_000  # vertices of the shapes that go through the steps together, or those of one shape
+
+
+def _farthest(points: np.ndarray, first: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Per span the greatest distance of its inner vertices from the segment between its ends, and the first vertex that has it."""
+    count = last - first - 1
+    cuts = np.cumsum(count) - count
+    span = np.repeat(np.arange(len(first)), count)
+    at = np.arange(len(span)) + (first + 1 - cuts)[span]
+    a, along = points[first], points[last] - points[first]
+    length2 = (along * along).sum(axis=1)
+    t = ((points[at] - a[span]) * along[span]).sum(axis=1) / np.where(length2 == 0, 1.0, length2)[span]
+    t = np.clip(np.where((length2 == 0)[span], 0.0, t), 0.0, 1.0)
+    far = np.hypot(*(points[at] - (a[span] + t[:, None] * along[span])).T)
+    most = np.maximum.reduceat(far, cuts)
+    hit = np.flatnonzero((far == most[span]) | np.isnan(far))[::-1]
+    which = np.zeros(len(first), np.int64)
+    which[span[hit]] = at[hit]  # the first one is written last
+    return most, which
+
+
+def _within(points: np.ndarray, starts: np.ndarray, ends: np.ndarray, tolerance: float) -> np.ndarray:
+    """Whether each vertex of the rings stays. Ends stay; a ring keeps at least a triangle."""
+    keep, size = np.zeros(len(points), dtype=bool), ends - starts
+    some = size > 0
+    keep[starts[some]] = keep[ends[some] - 1] = True
+    first, last = starts[size > 3], ends[size > 3] - 1
+    while len(first):
+        most, middle = _farthest(points, first, last)
+        split = most > tolerance
+        middle = middle[split]
+        keep[middle] = True
+        first, last = np.concatenate([first[split], middle]), np.concatenate([middle, last[split]])
+        inner = last - first > 1
+        first, last = first[inner], last[inner]
+    before = np.append(0, np.cumsum(keep))
+    return keep | np.repeat(before[ends] - before[starts] < 4, size)
 
 
 def kept_vertices(ring: np.ndarray, tolerance: float) -> np.ndarray:
-    """Indexes of the ring vertices that stay. Ends stay; a ring keeps at least a triangle."""
-    keep = np.zeros(len(ring), dtype=bool)
-    keep[[0, -1]] = True
-    spans = [(0, len(ring) - 1)]
-    while spans:
-        first, last = spans.pop()
-        if last - first < 2:
-            continue
-        far = _distance(ring[first + 1:last], ring[first], ring[last])
-        i = int(far.argmax())
-        if far[i] > tolerance:
-            middle = first + 1 + i
-            keep[middle] = True
-            spans += [(first, middle), (middle, last)]
-    return np.flatnonzero(keep) if keep.sum() >= 4 else np.arange(len(ring))
+    """Indexes of the ring vertices that stay within the tolerance alone."""
+    return np.flatnonzero(_within(ring, np.array([0]), np.array([len(ring)]), tolerance))
 
 
 def _segments(rings: list[np.ndarray], kept: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
@@ -55,23 +73,35 @@ def _segments(rings: list[np.ndarray], kept: list[np.ndarray]) -> tuple[np.ndarr
     return np.concatenate(lines or [np.zeros((0, 4))]), np.concatenate(spans or [np.zeros((0, 3), int)]).astype(int)
 
 
-def _near_pairs(lines: np.ndarray):
-    """Pairs of segments whose boxes share a cell of a grid with about as many cells as segments."""
+def _near_pairs(lines: np.ndarray, shape: np.ndarray):
+    """Pairs of segments of a shape whose boxes share a cell of its grid, which has about as many cells as the shape has segments.
+
+    Segments are sorted by shape. A shape with coordinates that are no finite numbers is one cell.
+    """
     n = len(lines)
     low, high = np.minimum(lines[:, :2], lines[:, 2:]), np.maximum(lines[:, :2], lines[:, 2:])
-    origin, side = low.min(axis=0), (high.max(axis=0) - low.min(axis=0)) / max(1.0, np.sqrt(n))
-    side[side == 0] = 1.0
-    a, b = ((v - origin) // side for v in (low, high))
-    a, b = a.astype(np.int64), b.astype(np.int64)
+    cuts = np.flatnonzero(np.append(True, shape[1:] != shape[:-1]))
+    per = np.diff(np.append(cuts, n))
+    own = np.repeat(np.arange(len(cuts)), per)
+    origin = np.minimum.reduceat(low, cuts)
+    side = (np.maximum.reduceat(high, cuts) - origin) / np.sqrt(per)[:, None]
+    side[~(side > 0)] = 1.0
+    a, b = ((v - origin[own]) // side[own] for v in (low, high))
+    a, b = (np.where(np.isfinite(v), v, 0.0).astype(np.int64) for v in (a, b))
+    width = np.maximum.reduceat(b, cuts) + 1
+    cells = width.prod(axis=1)
+    base = np.cumsum(cells) - cells
     size = b - a + 1
     count = size.prod(axis=1)
     who = np.repeat(np.arange(n), count)
     at = np.arange(len(who)) - np.repeat(np.cumsum(count) - count, count)
-    cell = (a[who, 0] + at // size[who, 1]) * (1 << 32) + a[who, 1] + at % size[who, 1]
+    cell = base[own[who]] + (a[who, 0] + at // size[who, 1]) * width[own[who], 1] + a[who, 1] + at % size[who, 1]
     order = np.argsort(cell, kind="stable")
     cell, who = cell[order], who[order]
-    for step in range(1, n):  # partners that many places further in the same cell
-        same = np.flatnonzero(cell[step:] == cell[:-step])
+    same = np.arange(len(cell))
+    for step in range(1, len(cell)):  # partners that many places further in the same cell
+        same = same[same + step < len(cell)]
+        same = same[cell[same + step] == cell[same]]
         if not len(same):
             return
         yield who[same], who[same + step]
@@ -87,10 +117,10 @@ def _inside(p: np.ndarray, q: np.ndarray, r: np.ndarray, side: np.ndarray) -> np
     return (side == 0) & among & (r != p).any(axis=1) & (r != q).any(axis=1)
 
 
-def _meeting(lines: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs of segments that cross, or of which one touches the other elsewhere than at its ends."""
+def _meeting(lines: np.ndarray, shape: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of segments of a shape that cross, or of which one touches the other elsewhere than at its ends."""
     out = [(np.zeros(0, int), np.zeros(0, int))]
-    for i, j in _near_pairs(lines):
+    for i, j in _near_pairs(lines, np.zeros(len(lines), int) if shape is None else shape):
         p, q, r, s = lines[i, :2], lines[i, 2:], lines[j, :2], lines[j, 2:]
         one, two, three, four = _side(p, q, r), _side(p, q, s), _side(r, s, p), _side(r, s, q)
         hit = (one * two < 0) & (three * four < 0)
@@ -99,22 +129,66 @@ def _meeting(lines: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return tuple(np.concatenate(c) for c in zip(*out))
 
 
+def kept_of_shapes(points: np.ndarray, sizes: np.ndarray, shapes: np.ndarray, tolerance: float) -> np.ndarray:
+    """Whether each vertex stays, so that no segments of a shape meet that did not meet before.
+
+    ``sizes`` are the vertices of each ring and ``shapes`` the ascending numbers of their shapes.
+    """
+    ends, keep = np.cumsum(sizes), np.zeros(len(points), dtype=bool)
+    ring, open_ = np.repeat(np.arange(len(sizes)), sizes), np.unique(shapes)
+    with np.errstate(invalid="ignore", over="ignore"):
+        keep |= _within(points, ends - sizes, ends, tolerance)
+        while True:
+            at = np.flatnonzero(keep & np.isin(shapes, open_)[ring])
+            first, last = at[:-1], at[1:]
+            one = ring[first] == ring[last]
+            first, last = first[one], last[one]
+            shape, shorter = shapes[ring[first]], last - first > 1
+            use = np.isin(shape, shape[shorter])  # others lost no vertex
+            first, last, shape, shorter = first[use], last[use], shape[use], shorter[use]
+            if not len(first):
+                return keep
+            bad = np.unique(np.concatenate(_meeting(np.column_stack([points[first], points[last]]), shape)))
+            back = bad[shorter[bad]]
+            if not len(back):
+                return keep
+            keep[_farthest(points, first[back], last[back])[1]] = True
+            open_ = np.unique(shape[back])
+
+
 def kept_of_shape(rings: list[np.ndarray], tolerance: float) -> list[np.ndarray]:
-    """Indexes of the vertices that stay, ring by ring, so that no segments meet that did not meet before."""
-    kept = [kept_vertices(r, tolerance) if len(r) > 3 else np.arange(len(r)) for r in rings]
-    while True:
-        lines, spans = _segments(rings, kept)
-        shorter = spans[:, 2] - spans[:, 1] > 1
-        if not shorter.any():
-            return kept
-        bad = np.unique(np.concatenate(_meeting(lines)))
-        back = bad[shorter[bad]]
-        if not len(back):
-            return kept
-        for r, first, last in spans[back]:
-            far = _distance(rings[r][first + 1 : last], rings[r][first], rings[r][last])
-            kept[r] = np.append(kept[r], first + 1 + int(far.argmax()))
-        kept = [np.sort(k) for k in kept]
+    """Indexes of the vertices that stay, ring by ring, of one shape."""
+    sizes = np.array([len(r) for r in rings], np.int64)
+    points = np.concatenate([np.zeros((0, 2)), *rings])
+    keep = kept_of_shapes(points, sizes, np.zeros(len(rings), np.int64), tolerance)
+    return [np.flatnonzero(k) for k in np.split(keep, np.cumsum(sizes)[:-1])] if len(rings) else []
+
+
+def _lengths(lists: pa.Array) -> np.ndarray:
+    return pc.list_value_length(lists).fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
+
+
+def _offsets(sizes: np.ndarray) -> pa.Array:
+    return pa.array(np.append(0, np.cumsum(sizes)), pa.int32())
+
+
+def _kept_lists(xs: pa.Array, ys: pa.Array, tolerance: float) -> pa.Array:
+    """Per shape and ring the indexes of the vertices that stay, from lists of lists of coordinates."""
+    rings, sizes = _lengths(xs), _lengths(xs.flatten())
+    points = np.column_stack([c.flatten().flatten().to_numpy(zero_copy_only=False).astype(float) for c in (xs, ys)])
+    shapes, keep = np.repeat(np.arange(len(rings)), rings), np.zeros(len(points), dtype=bool)
+    ring_at, at = np.append(0, np.cumsum(rings)), np.append(0, np.cumsum(sizes))
+    begin = 0
+    while begin < len(rings):
+        room = at[ring_at[begin]] + STEP_VERTICES
+        end = max(begin + 1, int(np.searchsorted(at[ring_at], room, side="right")) - 1)
+        own, part = slice(ring_at[begin], ring_at[end]), slice(at[ring_at[begin]], at[ring_at[end]])
+        keep[part] = kept_of_shapes(points[part], sizes[own], shapes[own], tolerance)
+        begin = end
+    before = np.append(0, np.cumsum(keep))
+    inside = np.flatnonzero(keep) - np.repeat(at[:-1], before[at[1:]] - before[at[:-1]])
+    lists = pa.ListArray.from_arrays(_offsets(before[at[1:]] - before[at[:-1]]), pa.array(inside, pa.int32()))
+    return pa.ListArray.from_arrays(_offsets(rings), lists, mask=xs.is_null())
 
 
 def simplify_boundaries(
@@ -123,17 +197,12 @@ def simplify_boundaries(
     """The same rows with fewer vertices per ring, within ``tolerance`` degrees, and without new crossings.
 
     Every row gives one row, whatever its other columns; null and empty shapes and rings stay as they are. Only the
-    coordinates travel to Python.
+    coordinates travel to Python, from as many tasks as there are cores, however few files hold the shapes.
     """
 
-    @F.pandas_udf("array<array<int>>")
-    def kept(xs: pd.Series, ys: pd.Series) -> pd.Series:
-        out = []
-        for x, y in zip(xs, ys):
-            missing = x is None
-            rings = [] if missing else [np.column_stack([a, b]).astype(float) if a is not None else np.zeros((0, 2)) for a, b in zip(x, y)]
-            out.append(None if missing else [k.tolist() for k in kept_of_shape(rings, tolerance)])
-        return pd.Series(out, dtype=object)
+    @F.arrow_udf("array<array<int>>")
+    def kept(xs: pa.Array, ys: pa.Array) -> pa.Array:
+        return _kept_lists(xs, ys, tolerance)
 
     def coordinates(name: str):
         return F.transform(rings_col, lambda ring: F.transform(ring, lambda p: p[name]))
@@ -141,4 +210,7 @@ def simplify_boundaries(
     shorter = F.zip_with(
         rings_col, "_keep", lambda ring, keep: F.when(ring.isNotNull(), F.transform(keep, lambda i: F.get(ring, i)))
     )
-    return boundaries.withColumn("_keep", kept(coordinates("x"), coordinates("y"))).withColumn(rings_col, shorter).drop("_keep")
+    spark = boundaries.sparkSession
+    tasks = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    spread = boundaries.repartition(tasks)
+    return spread.withColumn("_keep", kept(coordinates("x"), coordinates("y"))).withColumn(rings_col, shorter).drop("_keep")

@@ -1,6 +1,7 @@
 import json
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -228,6 +229,34 @@ def test_a_notch_stays_inside_its_outline():
     assert not _crossings(lines)
 
 
+def test_shapes_are_simplified_together(monkeypatch):
+    """Many shapes take the steps of one and come out as each does on its own, shapes with NaN and without rings among them."""
+    rng, shapes = np.random.default_rng(7), []
+    for _ in range(300):
+        rings = [np.round(rng.normal(size=(int(rng.integers(0, 30)), 2)), 1) for _ in range(int(rng.integers(0, 4)))]
+        for ring in rings:
+            ring[-1:] = ring[:1]
+            ring[rng.random(len(ring)) < 0.005] = np.nan
+        shapes.append(rings)
+    alone = [simplify.kept_of_shape(rings, 0.6) for rings in shapes]
+    steps, meeting = [], simplify._meeting
+    monkeypatch.setattr(simplify, "_meeting", lambda *x: steps.append(1) or meeting(*x))
+    lists = [pa.array([[r[:, c].tolist() for r in rings] for rings in shapes] + [None], pa.list_(pa.list_(pa.float64()))) for c in (0, 1)]
+    got = simplify._kept_lists(*lists, 0.6).to_pylist()
+    assert got == [[k.tolist() for k in kept] for kept in alone] + [None]
+    assert len(steps) < 20
+    monkeypatch.setattr(simplify, "STEP_VERTICES", 50)
+    assert simplify._kept_lists(*lists, 0.6).to_pylist() == got
+
+
+def test_shapes_of_one_file_are_spread_over_tasks(spark):
+    square = [[(0.0, 0.0), (0.5, 0.0), (1.0, 0.0), (1.0, 1.0), (0.0, 1.0), (0.0, 0.0)]]
+    df = spark.createDataFrame([(i, square) for i in range(400)], "id int, rings array<array<struct<x double, y double>>>").coalesce(1)
+    got = simplify.simplify_boundaries(df, 0.01).select("id", F.spark_partition_id().alias("task"), F.size(F.flatten("rings")).alias("n")).collect()
+    assert sorted(r.id for r in got) == list(range(400)) and {r.n for r in got} == {5}
+    assert len({r.task for r in got}) >= spark.sparkContext.defaultParallelism
+
+
 def test_simplify_gives_a_row_for_each_row(spark):
     square = [[(0.0, 0.0), (0.5, 0.0), (1.0, 0.0), (1.0, 1.0), (0.0, 1.0), (0.0, 0.0)]]
     rows = [("a", square), ("a", square), ("b", square * 2), ("c", None), ("d", []), (None, [None, []])]
