@@ -178,6 +178,42 @@ def test_a_centre_without_members_moves_to_the_farthest_location(spark):
     assert sorted(batch.lat.round(6)) == [4.5, 50.5, 80.0] and sums["w"].sum() == 103
 
 
+def test_a_task_moves_a_centre_without_members_to_the_farthest_location():
+    lat, w = np.array([*map(float, range(10)), 50.0, 51.0, 80.0]), np.array([10.0] * 10 + [1.0] * 3)
+    places = kmeans._Places(lat, np.zeros(13), w, 42)
+    places.starts = lambda restart, depth: (np.array([4.0, 900.0, 901.0]), np.zeros(3))
+    got, _, sums = places.settled(0, 3, 0.0, 50)
+    assert sorted(got.round(6)) == [4.5, 50.5, 80.0] and sums[0].sum() == 103 and sums[3].sum() == pytest.approx(825.5)
+
+
+def test_models_of_one_task_equal_models_of_all_tasks(spark):
+    """Groups below, at and above the bound; many equal distances; more centres than a block has points."""
+    rng = np.random.default_rng(6)
+    rows = _rows({1: 700, 2: 40, 3: 1}, repeats=60)
+    rows += [(i, 4, float(a), float(b)) for i, (a, b) in enumerate(rng.integers(0, 9, (400, 2)))]
+    specs, found = [(1, 3), (2, 5), (1, 90), (3, 1), (4, 6), (4, 200)], []
+    for bound in (0, 81, 500_000):
+        settings = KMeansSettings(restarts=2, max_centers=150, near_locations=bound)
+        with KeyedKMeans(_frame(spark, rows), settings=settings) as engine:
+            profiles = engine.profiles()
+            models, curve = engine.fit(specs, profiles), engine.curve(specs, profiles)
+        assert [(m.group, m.k, m.inertia) for m in models] == curve
+        found.append([(m.group, m.k, m.restart, m.inertia, m.latitude.tolist(), m.longitude.tolist(), m.rows.tolist()) for m in models])
+    assert profiles[4].locations <= 81 < profiles[1].locations
+    assert found[0] == found[1] == found[2]
+
+
+def test_jobs_of_a_pass_do_not_follow_its_iterations(spark):
+    rows, group = _rows({1: 900, 2: 300}), "jobs of a fit"
+    with KeyedKMeans(_frame(spark, rows), settings=KMeansSettings(restarts=4, max_centers=20)) as engine:
+        profiles = engine.profiles()
+        spark.sparkContext.setJobGroup(group, group)
+        engine.curve([(1, 5), (2, 5)], profiles)
+        jobs = len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+        spark.sparkContext.setJobGroup("other", "other")
+    assert 2 <= jobs <= 12  # two passes
+
+
 def test_blocks_find_the_nearest_centre(spark):
     rng = np.random.default_rng(2)
     for n, k in ((500, 3), (3000, 60), (2000, 400)):
