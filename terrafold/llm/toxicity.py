@@ -12,7 +12,7 @@ from __future__ import annotations
 import io
 import json
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 import numpy as np
 import pyarrow as pa
@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from terrafold.llm.arrays import WORD_BYTE, SpanHasher, mix, text_slices, word_spans
-from terrafold.llm.store import written
+from terrafold.llm.store import fresh_folder, make_folder, put_bytes, read_bytes, written
 
 _U64 = np.uint64
 
@@ -46,7 +46,10 @@ class ToxicitySettings:
 
 @dataclass
 class ToxicityModel:
-    """Weights of fixed size (a table of 2**hash_bits rows per embedding), calibration and thresholds."""
+    """Weights of fixed size (a table of 2**hash_bits rows per embedding), calibration and thresholds.
+
+    A trained model holds the file of its tables instead of the tables, so they never come to the driver.
+    """
 
     settings: ToxicitySettings
     tables: list[np.ndarray] = field(default_factory=list)
@@ -56,6 +59,17 @@ class ToxicityModel:
     offset: float = 0.0
     scale: tuple[float, float] = (1.0, 0.0)
     thresholds: dict[str, float] = field(default_factory=dict)
+    path: str = ""  # of the tables, if they lie in the shared folder
+
+    def loaded(self) -> ToxicityModel:
+        """The model with its tables, for the task that scores."""
+        if not self.path:
+            return self
+        held, tables = np.load(io.BytesIO(read_bytes(self.path))), []
+        for k in range(1 + len(self.settings.prefixes)):
+            tables.append(np.zeros((1 << self.settings.hash_bits, self.settings.part), np.float32))
+            tables[k][held[f"rows{k}"]] = held[f"values{k}"]
+        return replace(self, tables=tables, path="")
 
 
 def word_ids(data: np.ndarray, offsets: np.ndarray, hasher: SpanHasher, settings: ToxicitySettings) -> tuple:
@@ -226,10 +240,12 @@ def _fit(texts: DataFrame, chosen: DataFrame, settings: ToxicitySettings) -> Tox
     sizes = found.select("words").toArrow().column("words").to_numpy()  # one number per row of the sample
     rows = found.mapInArrow(_numbered(settings, window_words(sizes, settings.sample_words)), "doc_id long, toxic int, ids binary")
 
+    folder = make_folder(fresh_folder(texts.sparkSession, "network"))
+
     def fit(table: pa.Table) -> pa.Table:
-        return pa.table({"body": pa.array([_packed(_fit_rows(table, settings))], pa.binary())})
+        return pa.table({"body": pa.array([_packed(_stored(_fit_rows(table, settings), folder))], pa.binary())})
 
-    # The sample is bounded, so one task fits on it, and the driver gets the weights alone.
+    # The sample is bounded, so one task fits on it, and the driver gets the few weights outside the tables alone.
     done = rows.groupBy(F.lit(0).alias("all")).applyInArrow(fit, "body binary").collect()
     return _unpacked(done[0].body, settings) if done else ToxicityModel(settings)
 
@@ -260,7 +276,7 @@ def _counted(texts: DataFrame, marked: DataFrame, model: ToxicityModel) -> pa.Ta
     sent, names = texts.sparkSession.sparkContext.broadcast(model), ["doc_id", "lang", "bin"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher, model = SpanHasher(), sent.value
+        hasher, model = SpanHasher(), sent.value.loaded()
         for batch in batches:
             for first, data, offsets in text_slices(batch, "text", 1 << 20):
                 z = logits(model, *word_ids(data, offsets, hasher, model.settings))
@@ -305,9 +321,21 @@ def calibrated(model: ToxicityModel, counts: pa.Table) -> ToxicityModel:
     return model
 
 
+def _stored(model: ToxicityModel, folder: str) -> ToxicityModel:
+    """The model with its tables in a file of the shared folder; of each only the rows that a text taught."""
+    if not model.tables:
+        return model
+    held, parts = io.BytesIO(), {}
+    for k, table in enumerate(model.tables):
+        parts[f"rows{k}"] = np.flatnonzero(table.any(axis=1)).astype(np.int32)
+        parts[f"values{k}"] = table[parts[f"rows{k}"]]
+    np.savez(held, **parts)
+    return replace(model, tables=[], path=put_bytes(f"{folder}/tables", [held.getvalue()]))
+
+
 def _packed(model: ToxicityModel) -> bytes:
     held = io.BytesIO()
-    plain = {"offset": model.offset, "scale": model.scale, "thresholds": model.thresholds}
+    plain = {"offset": model.offset, "scale": model.scale, "thresholds": model.thresholds, "path": model.path}
     arrays = {f"{k}{i}": a for k in ("tables", "kernels", "bias") for i, a in enumerate(getattr(model, k))}
     if model.weights is not None:
         arrays["weights"] = model.weights
@@ -321,7 +349,7 @@ def _unpacked(body: bytes, settings: ToxicitySettings) -> ToxicityModel:
     parts = [[held[f"{k}{i}"] for i in range(sum(n.startswith(k) for n in held))] for k in ("tables", "kernels", "bias")]
     return ToxicityModel(
         settings, *parts, held["weights"] if "weights" in held else None, plain["offset"], tuple(plain["scale"]),
-        plain["thresholds"],
+        plain["thresholds"], plain["path"],
     )
 
 
@@ -362,10 +390,10 @@ def score(docs: DataFrame, model: ToxicityModel) -> DataFrame:
     the score of a text without any feature. Repeated and null ids are answered row by row; a null or unknown language has the
     usual threshold; other columns are ignored; an empty table gives no rows.
     """
-    sent = docs.sparkSession.sparkContext.broadcast(model)  # fixed size: about 64 * 2**hash_bits bytes
+    sent = docs.sparkSession.sparkContext.broadcast(model)  # tasks read the tables themselves
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher, model = SpanHasher(), sent.value
+        hasher, model = SpanHasher(), sent.value.loaded()
         for batch in batches:
             langs = batch.column(2).to_pylist()
             for first, data, offsets in text_slices(batch, "text", 1 << 20):
@@ -382,20 +410,19 @@ def score(docs: DataFrame, model: ToxicityModel) -> DataFrame:
 
 
 def drop_toxic(docs: DataFrame, model: ToxicityModel) -> DataFrame:
-    """``docs`` without the rows that are flagged; rows are judged where they are, nothing is shuffled."""
-    sent, names = docs.sparkSession.sparkContext.broadcast(model), list(docs.columns)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher, model = SpanHasher(), sent.value
-        for batch in batches:
-            langs, keep = batch.column(1).to_pylist(), []
-            for first, data, offsets in text_slices(batch, "low", 1 << 20):
+    """``docs`` without the rows that are flagged; rows are judged where they are, nothing is shuffled, and only text and
+    language travel to Python."""
+    sent = docs.sparkSession.sparkContext.broadcast(model)
+
+    @F.arrow_udf("boolean")
+    def fine(columns: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        hasher, model = SpanHasher(), sent.value.loaded()
+        for low, lang in columns:
+            langs, keep = lang.to_pylist(), [np.zeros(0, bool)]
+            for first, data, offsets in text_slices(pa.RecordBatch.from_arrays([low], names=["low"]), "low", 1 << 20):
                 ids, bounds = word_ids(data, offsets, hasher, model.settings)
                 p = _sigmoid(model.scale[0] * logits(model, ids, bounds) + model.scale[1])
                 keep.append(p < [model.thresholds.get(l, model.settings.threshold) for l in langs[first : first + len(p)]])
-            if keep:
-                kept = batch.filter(pa.array(np.concatenate(keep)))
-                yield pa.RecordBatch.from_arrays(kept.column(2).flatten(), names=names)
+            yield pa.array(np.concatenate(keep))
 
-    source = docs.select(F.lower("text").alias("low"), F.col("lang").cast("string"), F.struct(*docs.columns).alias("row"))
-    return source.mapInArrow(run, docs.schema)
+    return docs.where(fine(F.lower("text"), F.col("lang").cast("string")))

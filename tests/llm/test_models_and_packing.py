@@ -2,6 +2,7 @@
 
 import collections
 import math
+import pickle
 import re
 import zlib
 
@@ -280,6 +281,13 @@ def test_toxic_texts_are_told_apart(spark, toxic_model):
     assert set(toxic_model.thresholds) == {"de", "fr"}
 
 
+def test_driver_holds_no_tables_of_the_network(toxic_model):
+    loaded = toxic_model.loaded()
+    assert len(pickle.dumps(toxic_model)) < 50_000 < sum(t.nbytes for t in loaded.tables)
+    assert not toxic_model.tables and len(loaded.tables) == 1 + len(SMALL.prefixes)
+    assert all(t.shape == (1 << SMALL.hash_bits, SMALL.part) and t.any() for t in loaded.tables)
+
+
 def test_toxicity_of_awkward_rows(spark, toxic_model):
     df = frame(spark).drop("toxic").drop("score")
     got = collected(toxicity.score(df, toxic_model))
