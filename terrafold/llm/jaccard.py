@@ -26,6 +26,8 @@ from terrafold.llm.arrays import WORD_BYTE, SpanHasher, mix, ranges, rolling, ru
 from terrafold.llm.store import written
 
 _U64 = np.uint64
+#: Bytes whose words are hashed together, and shared shingles that are counted together.
+HASHED_BYTES, COUNTED = 1 << 17, 1024
 
 
 @dataclass(frozen=True)
@@ -46,10 +48,23 @@ class JoinSettings:
         return 1
 
 
+def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, hasher: SpanHasher) -> np.ndarray:
+    """Hashes of the words, in pieces of bounded size; only a longer word is a larger piece. A hash does not depend on
+    where its word stands."""
+    out = np.empty(len(starts), _U64)
+    a = 0
+    while a < len(starts):
+        low = starts[a]
+        b = max(a + 1, int(np.searchsorted(ends, low + HASHED_BYTES, side="right")))
+        out[a:b] = hasher(data[low : ends[b - 1]], starts[a:b] - low, ends[a:b] - low)
+        a = b
+    return out
+
+
 def shingle_sets(data: np.ndarray, offsets: np.ndarray, words: int, hasher: SpanHasher) -> list[np.ndarray]:
     """Sorted distinct shingle hashes of each row of lower-cased text. A text with fewer words is one shingle."""
     starts, ends, first = word_spans(data, offsets, WORD_BYTE)
-    hashes = hasher(data, starts, ends)
+    hashes = word_hashes(data, starts, ends, hasher)
     joined = rolling(hashes, words)
     out = []
     for a, b in zip(first[:-1], first[1:]):
@@ -210,45 +225,57 @@ def _verified(docs: DataFrame, heads: DataFrame, settings: JoinSettings, id_colu
 
 
 def verify_group(table: pa.Table, threshold: float) -> pa.Table:
-    """Links of one block pair: sums per text, and a spanning forest."""
+    """Links of one block pair: sums per text, and a spanning forest. Only pairs of a row of block i and one of block j
+    are compared, which within one block are all pairs."""
     tree, i, j = (table.column(c)[0].as_py() for c in ("tree", "i", "j"))
     docs, copies, own = (table.column(c).to_numpy() for c in ("node", "copies", "own"))
-    labels = np.array(table.column("labels").to_pylist(), dtype=np.int64)
-    sets = [np.frombuffer(b, _U64) for b in table.column("shingles").to_pylist()]
-    sizes = np.array([len(s) for s in sets])
+    labels = table.column("labels").combine_chunks().flatten().to_numpy().reshape(len(docs), -1)
     order = np.lexsort([docs, own])  # rows of block i first
-    docs, copies, labels, sizes = docs[order], copies[order], labels[order], sizes[order]
-    sets = [sets[k] for k in order]
-    split = int((own == i).sum()) if i != j else 0
-    common = overlaps(sets)
-    linked = common >= threshold * (sizes[:, None] + sizes[None, :] - common) - 1e-9
+    docs, copies, labels = docs[order], copies[order].astype(np.int64), labels[order]
+    sets = _views(table.column("shingles"), order)
+    sizes = np.array([len(s) for s in sets])
+    split = int((own == i).sum())
+    left, right = slice(0, split), slice(split if i != j else 0, len(sets))
+    common = overlaps(sets, left, right)
+    linked = common >= threshold * (sizes[left, None] + sizes[None, right] - common) - 1e-9
     for earlier in range(tree):  # counted in the first tree that holds both
-        linked &= labels[:, earlier][:, None] != labels[:, earlier][None, :]
-    np.fill_diagonal(linked, False)
-    if i != j:  # within a block the pair (i, i) counts
-        linked[:split, :split] = False
-        linked[split:, split:] = False
-    n = linked @ copies.astype(np.int64)
+        linked &= labels[left, earlier][:, None] != labels[right, earlier][None, :]
+    if i != j:
+        n = np.concatenate([linked @ copies[right], linked.T @ copies[left]])
+        both = np.zeros((len(sets), len(sets)), bool)
+        both[left, right], both[right, left] = linked, linked.T
+    else:
+        np.fill_diagonal(linked, False)
+        n, both = linked @ copies, linked
     some = np.flatnonzero(n)
-    a, b = forest(linked)
+    a, b = forest(both)
     kind = np.concatenate([np.zeros(len(some), np.int32), np.ones(len(a), np.int32)])
     return pa.table({"kind": kind, "a": np.concatenate([docs[some], docs[a]]), "n": np.concatenate([n[some], docs[b]])})
 
 
-def overlaps(sets: list[np.ndarray]) -> np.ndarray:
-    """Numbers of common elements of all pairs of sets, by products of incidence matrices in column blocks."""
-    owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+def _views(column: pa.ChunkedArray, order: np.ndarray) -> list[np.ndarray]:
+    """The shingles of the rows in this order, not copied."""
+    held = column.cast(pa.large_binary()).combine_chunks()
+    _, where, data = held.buffers()
+    offsets = np.frombuffer(where, np.int64)[held.offset : held.offset + len(held) + 1]
+    return [np.frombuffer(data, _U64, (offsets[k + 1] - offsets[k]) // 8, offsets[k]) for k in order]
+
+
+def overlaps(sets: list[np.ndarray], left: slice, right: slice) -> np.ndarray:
+    """Numbers of common elements of each set on the left with each on the right, by products of incidence matrices in
+    column blocks."""
+    owner = np.repeat(np.arange(len(sets), dtype=np.int32), [len(s) for s in sets])
     values = np.concatenate(sets)
     order = np.argsort(values, kind="stable")
     starts, lengths = runs(values[order])
     shared = lengths > 1
     starts, lengths = starts[shared], lengths[shared]
-    out = np.zeros((len(sets), len(sets)), np.float32)
-    for c in range(0, len(starts), 4096):
-        s, n = starts[c : c + 4096], lengths[c : c + 4096]
+    out = np.zeros((len(sets[left]), len(sets[right])), np.float32)
+    for c in range(0, len(starts), COUNTED):
+        s, n = starts[c : c + COUNTED], lengths[c : c + COUNTED]
         held = np.zeros((len(sets), len(s)), np.float32)
         held[owner[order[ranges(s, n)]], np.repeat(np.arange(len(s)), n)] = 1
-        out += held @ held.T
+        out += held[left] @ held[right].T
     return out
 
 

@@ -2,13 +2,16 @@
 
 import collections
 import hashlib
+import tracemalloc
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from terrafold.llm import decontaminate, jaccard, suffixes
+from terrafold.llm.arrays import SpanHasher
 
 from .support import awkward_rows, collected, frame, prose, words_of
 
@@ -97,6 +100,75 @@ def test_similar_rows_go_one_by_one(spark):
         (False, 1, one), (False, 2, "other words stay here"), (False, 4, "x y z"), (False, 5, ""), (False, 5, ""), (True, 0, "")]
 
 
+def peak_mb(f):
+    """Result, and the most that numpy held meanwhile."""
+    tracemalloc.start()
+    try:
+        return f(), tracemalloc.get_traced_memory()[1] / 1e6
+    finally:
+        tracemalloc.stop()
+
+
+def test_shingles_of_a_long_text_are_made_in_bounded_memory():
+    """Words of every length, one of them longer than a piece; the same shingles as hashed at once."""
+    rng = np.random.default_rng(7)
+    text = " ".join(f"w{x}" for x in rng.integers(0, 10**6, 250_000)) + " " + "x" * 200_000 + " end"
+    data = np.frombuffer(text.encode(), np.uint8)
+    (one,), mb = peak_mb(lambda: jaccard.shingle_sets(data, np.array([0, len(data)]), 5, SpanHasher()))
+    assert mb < 12 * len(data) / 1e6  # 50 bytes for each byte of text before
+    starts, ends, _ = jaccard.word_spans(data, np.array([0, len(data)]), jaccard.WORD_BYTE)
+    assert (one == np.unique(jaccard.rolling(SpanHasher()(data, starts, ends), 5))).all()
+
+
+def block_pair(sizes, tree, same):
+    """Members of two blocks, or of one, with families of similar sets; the rows in any order."""
+    rng = np.random.default_rng(8)
+    base = [rng.choice(1 << 62, 300, replace=False).astype(np.uint64) for _ in range(9)]
+    sets = []
+    for _ in range(sum(sizes)):
+        own = base[rng.integers(0, 9)].copy()
+        own[: rng.integers(0, 60)] += np.uint64(rng.integers(0, 3))
+        sets.append(np.unique(own))
+    n, mixed = len(sets), rng.permutation(len(sets))
+    return pa.table({
+        "node": pa.array(rng.permutation(10 * n)[:n]), "tree": pa.array([tree] * n, pa.int32()), "i": pa.array([0] * n, pa.int32()),
+        "j": pa.array([0 if same else 1] * n, pa.int32()), "own": pa.array((np.repeat([0, 0 if same else 1], sizes))[mixed].astype(np.int32)),
+        "copies": pa.array(rng.integers(1, 4, n)), "labels": pa.array(rng.integers(0, 4, (n, 10)).tolist(), pa.list_(pa.int64())),
+        "shingles": pa.array([s.tobytes() for s in sets], pa.binary()),
+    })
+
+
+@pytest.mark.parametrize(("sizes", "tree", "same"), [((60, 50), 3, False), ((60, 50), 0, True), ((4, 0), 0, False), ((0, 4), 2, False)])
+def test_a_block_pair_links_what_all_pairs_say(sizes, tree, same):
+    table = block_pair(sizes, tree, same)
+    rows, sums, root = table.to_pylist(), collections.Counter(), {}
+    root = {r["node"]: r["node"] for r in rows}
+    sets = {r["node"]: set(np.frombuffer(r["shingles"], np.uint64).tolist()) for r in rows}
+    for a in rows:
+        for b in rows:
+            met = a["node"] != b["node"] and (same or a["own"] != b["own"]) and all(x != y for x, y in zip(a["labels"][:tree], b["labels"][:tree]))
+            x, y = sets[a["node"]], sets[b["node"]]
+            if met and len(x & y) >= 0.8 * len(x | y) - 1e-9:
+                sums[a["node"]] += b["copies"]
+                old, new = root[a["node"]], root[b["node"]]
+                root = {k: new if v == old else v for k, v in root.items()}
+    got = jaccard.verify_group(table, 0.8).to_pylist()
+    assert {r["a"]: r["n"] for r in got if r["kind"] == 0} == sums
+    found = {r["node"]: r["node"] for r in rows}
+    for r in got:
+        if r["kind"] == 1:
+            assert found[r["a"]] != found[r["n"]]  # a forest
+            found = {k: found[r["n"]] if v == found[r["a"]] else v for k, v in found.items()}
+    parts = lambda of: sorted(sorted(k for k in of if of[k] == v) for v in set(of.values()))
+    assert parts(found) == parts(root)
+
+
+def test_two_full_blocks_are_verified_in_bounded_memory():
+    table = block_pair((512, 512), 0, False)
+    _, mb = peak_mb(lambda: jaccard.verify_group(table, 0.8))
+    assert mb < 20  # 35 MB before
+
+
 def test_depth_is_the_longest_that_reaches_the_recall():
     s = jaccard.JoinSettings()
     reach = lambda d: 1 - (1 - s.threshold**d) ** s.trees
