@@ -363,3 +363,81 @@ def test_nothing_to_cluster(spark):
     assert clusters.count() == 0 and members.count() == 0
     row = clustering.clustering_coverage(clusters, frame).first()
     assert (row.total_clusters, row.avg_cluster_size, row.clustering_coverage) == (0, 0.0, 0.0)
+
+
+# --- followed centres --------------------------------------------------------
+
+
+@pytest.mark.parametrize("pairs, step", [(1 << 22, 16_000), (1 << 22, 60), (2_000, 300)])
+def test_followed_centres_have_the_nearest_locations(monkeypatch, pairs, step):
+    """Centres that rest, creep, jump or settle, on places with ties, towns, a line and far outliers; to the bit."""
+    monkeypatch.setattr(kmeans, "LISTED_PAIRS", pairs)
+    monkeypatch.setattr(kmeans, "STEP_LOCATIONS", step)
+    rng = np.random.default_rng(8)
+    layouts = [
+        rng.integers(0, 30, (1500, 2)) / 2, rng.normal(0, 1, (1200, 2)), np.exp(rng.normal(0, 3, (900, 2))),
+        np.concatenate([rng.normal(c, 0.01, (200, 2)) for c in rng.uniform(0, 50, (5, 2))]),
+        np.column_stack([rng.uniform(0, 10, 600), np.zeros(600)]),
+    ]
+    for x, k in zip(layouts, (200, 90, 70, 150, 1)):
+        x = np.unique(x, axis=0)
+        places = kmeans._Places(*x.T.copy(), rng.integers(1, 9, len(x)).astype(float), 42)
+        c = x[rng.choice(len(x), k, replace=False)].copy()
+        followed = kmeans._Followed(places, *c.T.copy(), kmeans.nearest(places.lat, places.lon, *c.T)[0])
+        for way in rng.integers(0, 5, 25):
+            some = rng.random(k) < (1, 0.1, 0, 0.5, 0)[way]
+            c[some] += rng.normal(0, np.ptp(x) / k**0.5 * (0.1, 0.3, 0, 0.01, 0)[way], (some.sum(), 2))
+            if way == 2:
+                c[rng.integers(0, k)] = x[rng.integers(0, len(x))]
+            elif way == 4:
+                held = followed.sums[0] > 0
+                c[held] = (followed.sums[1:, held] / followed.sums[0, held]).T.round(9)
+            elif k == 200:
+                c = np.round(c * 2) / 2  # equal distances
+            followed.follow(*c.T.copy())
+            index, best = kmeans.nearest(places.lat, places.lon, *c.T)
+            assert (followed.own == index).all() and (followed.squares() == best).all()
+            assert all((total == np.bincount(index, line, k)).all() for total, line in zip(followed.sums, places.lines))
+
+
+def test_followed_models_equal_models_by_blocks(monkeypatch):
+    rng = np.random.default_rng(9)
+    x = np.unique(np.concatenate([rng.normal(t, 0.4, (300, 2)) for t in rng.uniform(0, 20, (6, 2))]).round(2), axis=0)
+    w = rng.integers(1, 5, len(x)).astype(float)
+    found = []
+    for bound in (0, 10**9):
+        monkeypatch.setattr(kmeans, "FOLLOWED_CENTERS", bound)
+        places = kmeans._Places(*x.T.copy(), w, 42)
+        found.append([places.settled(r, k, 1e-4, 300) for r in (0, 1) for k in (3, 70, 400, len(x))])
+    for (lat, lon, sums), (lat_, lon_, sums_) in zip(*found):
+        assert np.allclose(lat, lat_, atol=3e-9) and np.allclose(lon, lon_, atol=3e-9)
+        assert (sums[0] == sums_[0]).all() and sums[3].sum() == pytest.approx(sums_[3].sum(), abs=1e-6)
+
+
+def test_followed_centres_leave_most_locations_alone():
+    """Near rest, a step with one moved centre looks at its surroundings only."""
+    rng = np.random.default_rng(10)
+    x = rng.uniform(0, 10, (20_000, 2))
+    places, c = kmeans._Places(*x.T.copy(), np.ones(len(x)), 42), rng.uniform(0, 10, (400, 2))
+    followed = kmeans._Followed(places, *c.T.copy(), kmeans.nearest(places.lat, places.lon, *c.T)[0])
+    looked, measured = [], followed._measured
+    followed._measured = lambda at, next_: (looked.append(len(at)), measured(at, next_))[1]
+    for i in range(6):
+        c[7, 0] += 0.01
+        looked.clear()
+        followed.follow(*c.T.copy())
+        assert i == 0 or sum(looked) < 2_000
+    assert (followed.own == kmeans.nearest(places.lat, places.lon, *c.T)[0]).all()
+
+
+def test_a_curve_takes_one_pass_however_many_centres(spark):
+    rows, group = _rows({1: 900}), "jobs of a curve"
+    with KeyedKMeans(_frame(spark, rows), settings=KMeansSettings(restarts=2, max_centers=60)) as engine:
+        profiles = engine.profiles()
+        spark.sparkContext.setJobGroup(group, group)
+        curve = engine.curve([(1, k) for k in range(2, 21)], profiles)
+        jobs = len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+        spark.sparkContext.setJobGroup("other", "other")
+        some = engine.fit([(1, 2), (1, 20)], profiles)
+    assert jobs <= 6  # 418 centres were seven passes and more
+    assert [p for p in curve if p[1] in (2, 20)] == [(m.group, m.k, m.inertia) for m in some]
